@@ -1,0 +1,7 @@
+"""Streaming surface.
+
+The loads this library re-expresses are batch jobs: the "watermark" they use
+is a stored high-water mark of the curated orders (``operators.upsert.
+newer_than``), not event-time lateness, and no operator keeps state between
+micro-batches. There is therefore no Structured Streaming operator here.
+"""
