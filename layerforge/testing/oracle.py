@@ -68,6 +68,19 @@ CTES: dict[str, str] = {
            CASE WHEN {K} % 5 <> 0 THEN {K} % 5 END AS payment_installments,
            value AS payment_value
     FROM events)""",
+    "raw_order_payments_b2": """
+  raw_order_payments_b2 AS (
+    SELECT order_id, payment_sequential, payment_type, payment_installments,
+           CASE WHEN payment_sequential = 1 THEN payment_value + 1.0 ELSE payment_value END
+             AS payment_value
+    FROM raw_order_payments)""",
+    "raw_orders_gaps": """
+  raw_orders_gaps AS (
+    SELECT CASE WHEN order_id % 501 <> 0 THEN order_id END AS order_id, customer_id,
+           CASE WHEN order_id % 97 <> 0 THEN order_status END AS order_status,
+           order_purchase_timestamp, order_approved_at, order_delivered_carrier_date,
+           order_delivered_customer_date, order_estimated_delivery_date
+    FROM raw_orders)""",
     "raw_order_reviews": f"""
   raw_order_reviews AS (
     SELECT event_id % 4000 AS review_id, user_id AS order_id, {K} % 7 AS review_score,
@@ -121,6 +134,8 @@ CTES: dict[str, str] = {
 # which raw CTEs each one needs first
 DEPS = {
     "raw_order_items_b2": ["raw_order_items"],
+    "raw_order_payments_b2": ["raw_order_payments"],
+    "raw_orders_gaps": ["raw_orders"],
     "raw_orders_b2": ["raw_orders"],
 }
 
@@ -288,3 +303,37 @@ def with_raw(body: str, *names: str, extra: str = "") -> str:
     if extra:
         parts.append(extra.strip())
     return "WITH " + ",\n  ".join(parts) + "\n" + body
+
+
+CUTOFF = "TIMESTAMP '2000-12-01 00:00:00'"
+
+
+def target_orders_sql() -> str:
+    return f"SELECT * FROM ({curated_orders_sql('b1')}) WHERE order_purchase_timestamp <= {CUTOFF}"
+
+
+def merge_sql(tgt: str, src: str, keys, change: str, update_cols, cols, label: str,
+              batch: str) -> str:
+    """FULL OUTER JOIN + CASE form of the conditional upsert. ``cols``: all
+    target columns except the load time."""
+    biz = [c for c in cols if c not in ("_source_file", "_batch_id")]
+    on = " AND ".join(f"t.{k} = s.{k}" for k in keys)
+    sel = ", ".join([f"t.{c} AS t_{c}" for c in cols] + [f"s.{c} AS s_{c}" for c in biz])
+    out = []
+    for c in cols:
+        if c == "_source_file":
+            out.append(f"CASE WHEN _action = 'insert' THEN '{label}' ELSE t__source_file END AS _source_file")
+        elif c == "_batch_id":
+            out.append(f"CASE WHEN _action <> 'keep' THEN '{batch}' ELSE t__batch_id END AS _batch_id")
+        elif c in update_cols:
+            out.append(f"CASE WHEN _action = 'keep' THEN t_{c} ELSE s_{c} END AS {c}")
+        else:
+            out.append(f"CASE WHEN _action = 'insert' THEN s_{c} ELSE t_{c} END AS {c}")
+    return f"""
+    SELECT {', '.join(out)}, _action FROM (
+      SELECT *, CASE WHEN _t AND _s AND coalesce(t_{change} <> s_{change}, false) THEN 'update'
+                     WHEN _t AND _s THEN 'keep'
+                     WHEN _s THEN 'insert' ELSE 'keep' END AS _action
+      FROM (SELECT {sel}, t._t, s._s
+            FROM (SELECT *, true AS _t FROM ({tgt})) t
+            FULL OUTER JOIN (SELECT *, true AS _s FROM ({src})) s ON {on}))"""

@@ -67,3 +67,636 @@ def q_curate_products(spark, d):
 @register("curate_sellers", O.with_raw(O.curated_sellers_sql(), "raw_sellers"))
 def q_curate_sellers(spark, d):
     return no_load_ts(C.curate_sellers(TT.raw_sellers(spark, d), B1))
+
+
+# ======================================================== shared test inputs
+
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..functions import columns as P  # noqa: E402
+from ..operators import quality as Q  # noqa: E402
+from ..operators import relational as R  # noqa: E402
+from ..operators import upsert as U  # noqa: E402
+from ..plans import loads as L  # noqa: E402
+from ..plans import ops as OPS  # noqa: E402
+
+B2 = RunContext(batch_id=TT.BATCH_2)
+ORDER_OUT = C.ORDER_COLS + ["_source_file", "_batch_id"]
+
+
+def target_orders(spark, d):
+    """First load: curated orders purchased up to the cutoff, batch b1."""
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d), B1)
+    return cur.filter(F.col("order_purchase_timestamp") <= TT.cutoff())
+
+
+def merged_orders(spark, d):
+    tgt = target_orders(spark, d)
+    mark = L.current_mark(spark, tgt)
+    src = L.orders_delta(L.RawTables({"orders": TT.raw_orders_batch2(spark, d),
+                                      "customers": TT.raw_customers(spark, d)}), mark, B2)
+    return L.merge_table("orders", tgt, src, B2)
+
+
+def _child_target(spark, d, table):
+    raw = {"order_items": TT.raw_order_items(spark, d),
+           "order_payments": TT.raw_order_payments(spark, d),
+           "order_reviews": TT.raw_order_reviews(spark, d)}[table]
+    build = {"order_items": C.curate_order_items, "order_payments": C.curate_order_payments,
+             "order_reviews": C.curate_order_reviews}[table]
+    return build(raw, B1).join(target_orders(spark, d).select("order_id"), "order_id", "left_semi")
+
+
+def merged_child(spark, d, table):
+    raw = L.RawTables({"order_items": TT.raw_order_items(spark, d, reprice=True),
+                       "order_payments": TT.raw_order_payments(spark, d, reprice=True),
+                       "order_reviews": TT.raw_order_reviews(spark, d)})
+    orders_now = merged_orders(spark, d).drop("_action")
+    src = L.child_delta(table, raw, orders_now, B2)
+    return L.merge_table(table, _child_target(spark, d, table), src, B2)
+
+
+# SQL pieces for the same inputs
+TGT_ORDERS = O.target_orders_sql()
+MARK = f"(SELECT coalesce(max(order_purchase_timestamp), TIMESTAMP '2000-01-01') FROM ({TGT_ORDERS}))"
+SRC_ORDERS = (f"SELECT * EXCLUDE (_source_file, _batch_id) FROM ({O.curated_orders_sql('b2', 'raw_orders_b2')}) "
+              f"WHERE order_purchase_timestamp > {MARK}")
+MERGED_ORDERS = O.merge_sql(TGT_ORDERS, SRC_ORDERS, ["order_id"], "order_status",
+                            L.MERGE_RULES["orders"][2], ORDER_OUT, C.SOURCE_LABELS["orders"], "b2")
+ORD_RAW = ("raw_orders", "raw_customers", "raw_orders_b2")
+
+
+def _child_sql(table):
+    cur = {"order_items": O.curated_items_sql, "order_payments": O.curated_payments_sql,
+           "order_reviews": O.curated_reviews_sql}[table]
+    cols = {"order_items": C.ITEM_COLS, "order_payments": C.PAYMENT_COLS,
+            "order_reviews": C.REVIEW_COLS}[table] + ["_source_file", "_batch_id"]
+    tgt = f"SELECT * FROM ({cur('b1')}) WHERE order_id IN (SELECT order_id FROM ({TGT_ORDERS}))"
+    b2src = {"order_items": "raw_order_items_b2", "order_payments": "raw_order_payments_b2",
+             "order_reviews": "raw_order_reviews"}[table]
+    touched = f"(SELECT order_id FROM ({MERGED_ORDERS}) WHERE _batch_id = 'b2')"
+    restricted = f"(SELECT * FROM {b2src} WHERE order_id IN {touched})"
+    src = f"SELECT * EXCLUDE (_source_file, _batch_id) FROM ({cur('b2', restricted)})"
+    keys, change, upd = L.MERGE_RULES[table]
+    return O.merge_sql(tgt, src, keys, change, upd, cols, C.SOURCE_LABELS[table], "b2")
+
+
+CHILD_RAW = {"order_items": ("raw_order_items", "raw_order_items_b2"),
+             "order_payments": ("raw_order_payments", "raw_order_payments_b2"),
+             "order_reviews": ("raw_order_reviews",)}
+
+
+def _sql(body, *raw):
+    return O.with_raw(body, *raw)
+
+
+# ================================================= P: column functions
+
+@register("norm_lower", _sql(f"SELECT order_id, lower({O.trim_ws('order_status')}) AS status_norm "
+                             "FROM raw_orders", "raw_orders"))
+def q_norm_lower(spark, d):
+    return TT.raw_orders(spark, d).select("order_id", P.norm_lower("order_status").alias("status_norm"))
+
+
+@register("norm_upper", _sql(f"SELECT customer_id, upper({O.trim_ws('customer_state')}) AS state_norm "
+                             "FROM raw_customers", "raw_customers"))
+def q_norm_upper(spark, d):
+    return TT.raw_customers(spark, d).select("customer_id",
+                                             P.norm_upper("customer_state").alias("state_norm"))
+
+
+@register("blank_to_null", _sql(f"SELECT review_id, order_id, nullif({O.trim_ws('review_comment_title')}, '') "
+                                "AS title FROM raw_order_reviews", "raw_order_reviews"))
+def q_blank_to_null(spark, d):
+    return TT.raw_order_reviews(spark, d).select(
+        "review_id", "order_id", P.blank_to_null("review_comment_title").alias("title"))
+
+
+@register("cast_cols", _sql("SELECT CAST(order_id AS VARCHAR) AS order_id, "
+                            "CAST(order_item_id AS BIGINT) AS order_item_id, "
+                            "CAST(price AS DOUBLE) AS price, "
+                            "CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date "
+                            "FROM raw_order_items", "raw_order_items"))
+def q_cast_cols(spark, d):
+    # raw CSV columns arrive as text: cast everything to string first, then
+    # apply the strict typed casts of the curate step
+    raw = TT.raw_order_items(spark, d)
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns])
+    return text.select("order_id",
+                       P.cast_strict("order_item_id", "int64").alias("order_item_id"),
+                       P.cast_strict("price", "float64").alias("price"),
+                       P.cast_strict("shipping_limit_date", "timestamp").alias("shipping_limit_date"))
+
+
+@register("cast_or_zero", _sql("SELECT order_id, coalesce(CAST(payment_installments AS BIGINT), 0) "
+                               "AS installments, coalesce(CAST(payment_sequential AS BIGINT), 0) AS seq, "
+                               "coalesce(CAST(payment_value AS DOUBLE), 0.0) AS value "
+                               "FROM raw_order_payments", "raw_order_payments"))
+def q_cast_or_zero(spark, d):
+    return TT.raw_order_payments(spark, d).select(
+        "order_id", P.cast_or_zero("payment_installments", "int64").alias("installments"),
+        P.cast_or_zero("payment_sequential", "int64").alias("seq"),
+        P.cast_or_zero("payment_value", "float64").alias("value"))
+
+
+@register("days_between_dates", _sql(
+    "SELECT order_id, CASE WHEN order_delivered_customer_date IS NOT NULL THEN "
+    "CAST(date_diff('day', CAST(order_purchase_timestamp AS DATE), "
+    "CAST(order_delivered_customer_date AS DATE)) AS BIGINT) END AS days FROM raw_orders", "raw_orders"))
+def q_days_between(spark, d):
+    return TT.raw_orders(spark, d).select(
+        "order_id", P.days_between_dates("order_delivered_customer_date",
+                                         "order_purchase_timestamp").alias("days"))
+
+
+@register("on_time_flag", _sql(
+    "SELECT order_id, CASE WHEN order_delivered_customer_date IS NOT NULL AND "
+    "order_estimated_delivery_date IS NOT NULL THEN order_delivered_customer_date <= "
+    "order_estimated_delivery_date END AS on_time FROM raw_orders", "raw_orders"))
+def q_on_time(spark, d):
+    return TT.raw_orders(spark, d).select(
+        "order_id", P.on_time("order_delivered_customer_date",
+                              "order_estimated_delivery_date").alias("on_time"))
+
+
+@register("add_lineage", _sql("SELECT *, 'raw.raw_sellers' AS _source_file, 'b1' AS _batch_id "
+                              "FROM raw_sellers", "raw_sellers"))
+def q_add_lineage(spark, d):
+    return no_load_ts(C.add_lineage(TT.raw_sellers(spark, d), "raw.raw_sellers", B1))
+
+
+@register("review_range_filter", _sql(O.typed_reviews_sql(), "raw_order_reviews"))
+def q_review_range(spark, d):
+    return C.typed_reviews(TT.raw_order_reviews(spark, d))
+
+
+@register("domain_violations", _sql(
+    f"SELECT order_id, order_status FROM ({O.curated_orders_sql()}) "
+    "WHERE order_status NOT IN ('p', 'f')", "raw_orders", "raw_customers"))
+def q_domain_violations(spark, d):
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    return cur.filter(P.not_in_domain("order_status", TT.STATUS_CATALOG_TEST)) \
+              .select("order_id", "order_status")
+
+
+@register("domain_rows", _sql(
+    f"SELECT status, CAST(count(o.order_id) AS BIGINT) AS orders FROM "
+    "(SELECT unnest(['p', 'f']) AS status) c LEFT JOIN "
+    f"({O.curated_orders_sql()}) o ON o.order_status = c.status GROUP BY status",
+    "raw_orders", "raw_customers"))
+def q_domain_rows(spark, d):
+    # catalog expanded to rows (explode of an array literal), then every
+    # catalog value with its number of curated orders
+    cat = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in TT.STATUS_CATALOG_TEST]))
+                                .alias("status"))
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    per = cur.groupBy(F.col("order_status").alias("status")).agg(F.count(F.lit(1)).alias("orders"))
+    return cat.join(per, "status", "left").select(
+        "status", F.coalesce(F.col("orders"), F.lit(0)).cast("bigint").alias("orders"))
+
+
+@register("json_sample", _sql(
+    "SELECT coalesce(CAST(to_json(list(order_id ORDER BY order_id NULLS FIRST)) AS VARCHAR), '[]') "
+    "AS sample_ids FROM (SELECT order_id FROM raw_orders_gaps WHERE order_status IS NULL "
+    "ORDER BY order_id NULLS FIRST LIMIT 5)", "raw_orders_gaps"))
+def q_json_sample(spark, d):
+    g = TT.raw_orders_with_gaps(spark, d)
+    return R.sample_ids(g.filter(F.col("order_status").isNull()), "order_id")
+
+
+@register("changed_rows", _sql(
+    f"SELECT t.order_id, t.order_status AS old_status, s.order_status AS new_status "
+    f"FROM ({TGT_ORDERS}) t JOIN ({SRC_ORDERS}) s ON t.order_id = s.order_id "
+    "WHERE t.order_status <> s.order_status", *ORD_RAW))
+def q_changed_rows(spark, d):
+    tgt = target_orders(spark, d).alias("t")
+    mark = L.current_mark(spark, tgt)
+    src = L.orders_delta(L.RawTables({"orders": TT.raw_orders_batch2(spark, d),
+                                      "customers": TT.raw_customers(spark, d)}), mark, B2).alias("s")
+    j = tgt.join(src, F.col("t.order_id") == F.col("s.order_id"))
+    return j.filter(P.changed(F.col("t.order_status"), F.col("s.order_status"))).select(
+        F.col("t.order_id").alias("order_id"), F.col("t.order_status").alias("old_status"),
+        F.col("s.order_status").alias("new_status"))
+
+
+@register("date_order_violations", _sql(
+    f"SELECT order_id FROM ({O.curated_orders_sql()}) WHERE order_delivered_customer_date IS NOT NULL "
+    "AND order_delivered_customer_date < order_purchase_timestamp", "raw_orders", "raw_customers"))
+def q_date_order(spark, d):
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    return cur.filter(P.before("order_delivered_customer_date", "order_purchase_timestamp")) \
+              .select("order_id")
+
+
+# ======================================================== J: joins
+
+@register("enrich_left", _sql(
+    f"SELECT o.order_id, o.customer_id, c.customer_city FROM ({O.clean_orders_sql()}) o "
+    f"LEFT JOIN ({O.CUSTOMERS_CLEAN}) c USING (customer_id)", "raw_orders", "raw_customers"))
+def q_enrich_left(spark, d):
+    j = R.enrich(C.clean_orders(TT.raw_orders(spark, d)), C.clean_customers(TT.raw_customers(spark, d)),
+                 ["customer_id"])
+    return j.select("order_id", "customer_id", "customer_city")
+
+
+@register("enrich_normalised_key", _sql(
+    f"SELECT product_id, product_category_name_en FROM ({O.curated_products_sql()})",
+    "raw_products", "raw_category_translation"))
+def q_enrich_norm(spark, d):
+    return C.curate_products(TT.raw_products(spark, d), TT.raw_category_translation(spark, d)) \
+            .select("product_id", "product_category_name_en")
+
+
+@register("restrict_to_batch", _sql(
+    f"SELECT * FROM raw_order_items_b2 WHERE order_id IN "
+    f"(SELECT order_id FROM ({MERGED_ORDERS}) WHERE _batch_id = 'b2')",
+    *ORD_RAW, "raw_order_items", "raw_order_items_b2"))
+def q_restrict(spark, d):
+    return R.restrict_to_batch(TT.raw_order_items(spark, d, reprice=True),
+                               merged_orders(spark, d), "order_id", TT.BATCH_2)
+
+
+@register("orphans", _sql(
+    f"SELECT i.order_id, i.order_item_id FROM ({O.curated_items_sql()}) i "
+    f"LEFT JOIN ({TGT_ORDERS}) o USING (order_id) WHERE o.order_id IS NULL",
+    "raw_order_items", "raw_orders", "raw_customers"))
+def q_orphans(spark, d):
+    items = C.curate_order_items(TT.raw_order_items(spark, d))
+    return R.orphans(items, target_orders(spark, d), "order_id").select("order_id", "order_item_id")
+
+
+@register("keys_missing_in", _sql(
+    f"SELECT DISTINCT o.order_id FROM ({O.curated_orders_sql()}) o WHERE o.order_id NOT IN "
+    f"(SELECT order_id FROM ({O.curated_items_sql()}))",
+    "raw_orders", "raw_customers", "raw_order_items"))
+def q_keys_missing(spark, d):
+    orders = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    items = C.curate_order_items(TT.raw_order_items(spark, d))
+    return R.keys_missing_in(orders, items, "order_id")
+
+
+# ===================================================== A: aggregations
+
+_RAW_NAMES = ["raw_orders", "raw_customers", "raw_order_items", "raw_order_payments",
+              "raw_order_reviews", "raw_products", "raw_category_translation", "raw_sellers"]
+
+
+def _raw_frames(spark, d):
+    return {"raw_orders": TT.raw_orders(spark, d), "raw_customers": TT.raw_customers(spark, d),
+            "raw_order_items": TT.raw_order_items(spark, d),
+            "raw_order_payments": TT.raw_order_payments(spark, d),
+            "raw_order_reviews": TT.raw_order_reviews(spark, d),
+            "raw_products": TT.raw_products(spark, d),
+            "raw_category_translation": TT.raw_category_translation(spark, d),
+            "raw_sellers": TT.raw_sellers(spark, d)}
+
+
+@register("table_counts", _sql(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _RAW_NAMES), *_RAW_NAMES))
+def q_table_counts(spark, d):
+    parts = [R.row_count(df).select(F.lit(n).alias("table_name"), "row_count")
+             for n, df in _raw_frames(spark, d).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("count_violations", _sql(
+    "SELECT count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS affected_count, "
+    "count(*) AS total_count FROM raw_orders_gaps", "raw_orders_gaps"))
+def q_count_violations(spark, d):
+    return R.count_violations(TT.raw_orders_with_gaps(spark, d),
+                              Q.null_predicate(["order_id", "customer_id", "order_status"]))
+
+
+@register("high_water_mark", _sql(f"SELECT {MARK} AS high_water_mark", "raw_orders", "raw_customers"))
+def q_hwm(spark, d):
+    return R.high_water_mark(target_orders(spark, d), "order_purchase_timestamp")
+
+
+@register("duplicate_keys", _sql("SELECT order_id, count(*) AS cnt FROM raw_orders GROUP BY order_id "
+                                 "HAVING count(*) > 1", "raw_orders"))
+def q_duplicate_keys(spark, d):
+    return R.duplicate_keys(TT.raw_orders(spark, d), "order_id")
+
+
+@register("excess_duplicates", _sql(
+    "SELECT CAST(coalesce(sum(cnt - 1), 0) AS BIGINT) AS excess_duplicates FROM "
+    "(SELECT count(*) AS cnt FROM raw_order_items GROUP BY order_id, order_item_id HAVING count(*) > 1)",
+    "raw_order_items"))
+def q_excess(spark, d):
+    return R.excess_duplicates(TT.raw_order_items(spark, d), ["order_id", "order_item_id"])
+
+
+@register("distinct_key_count", _sql("SELECT count(DISTINCT order_id) AS distinct_keys "
+                                     "FROM raw_order_payments", "raw_order_payments"))
+def q_distinct_count(spark, d):
+    return R.distinct_key_count(TT.raw_order_payments(spark, d), "order_id")
+
+
+@register("distinct_keys", _sql("SELECT DISTINCT order_id FROM raw_order_payments", "raw_order_payments"))
+def q_distinct_keys(spark, d):
+    return R.distinct_keys(TT.raw_order_payments(spark, d), "order_id")
+
+
+@register("violations_with_total", _sql(
+    f"SELECT count(*) AS affected_count, (SELECT count(*) FROM ({O.curated_items_sql()})) AS total_count "
+    f"FROM ({O.curated_items_sql()}) i LEFT JOIN ({TGT_ORDERS}) o USING (order_id) "
+    "WHERE o.order_id IS NULL", "raw_order_items", "raw_orders", "raw_customers"))
+def q_viol_total(spark, d):
+    return Q.check_foreign_key(C.curate_order_items(TT.raw_order_items(spark, d)),
+                               target_orders(spark, d), "order_id") \
+            .select("affected_count", "total_count")
+
+
+# ========================================================= W: windows
+
+_LI = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+       "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_EV = ["event_id", "ts", "user_id", "event_type", "value", "props"]
+
+
+@register("keep_one_highest", f"""SELECT * FROM lineitem QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY l_orderkey, l_linenumber ORDER BY l_extendedprice DESC NULLS LAST,
+    {', '.join(f'{c} ASC NULLS FIRST' for c in _LI if c not in ('l_orderkey', 'l_linenumber', 'l_extendedprice'))}) = 1""")
+def q_keep_one_highest(spark, d):
+    return R.keep_one(TT.read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_extendedprice"])
+
+
+@register("keep_one_latest", f"""SELECT * FROM events QUALIFY ROW_NUMBER() OVER (
+    PARTITION BY user_id ORDER BY ts DESC NULLS LAST,
+    {', '.join(f'{c} ASC NULLS FIRST' for c in _EV if c not in ('user_id', 'ts'))}) = 1""")
+def q_keep_one_latest(spark, d):
+    return R.keep_one(TT.read(spark, d, "events"), "user_id", ["ts"])
+
+
+# ========================================================= U: upserts
+
+@register("upsert_generic", """
+    WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, true AS _t
+               FROM orders WHERE o_orderdate <= TIMESTAMP '1998-01-01'),
+         s AS (SELECT o_orderkey, o_custkey,
+                      CASE WHEN o_orderpriority = '1-URGENT' THEN 'U' ELSE o_orderstatus END AS o_orderstatus,
+                      o_totalprice + 1.0 AS o_totalprice, o_orderdate, true AS _s
+               FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'),
+         j AS (SELECT t.o_orderkey AS t_k, s.o_orderkey AS s_k, t.o_custkey AS t_c, s.o_custkey AS s_c,
+                      t.o_orderstatus AS t_st, s.o_orderstatus AS s_st, t.o_totalprice AS t_p,
+                      s.o_totalprice AS s_p, t.o_orderdate AS t_d, s.o_orderdate AS s_d,
+                      CASE WHEN t._t AND s._s AND coalesce(t.o_orderstatus <> s.o_orderstatus, false)
+                           THEN 'update' WHEN t._t AND s._s THEN 'keep' WHEN s._s THEN 'insert'
+                           ELSE 'keep' END AS _action
+               FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey)
+    SELECT CASE WHEN _action = 'insert' THEN s_k ELSE t_k END AS o_orderkey,
+           CASE WHEN _action = 'insert' THEN s_c ELSE t_c END AS o_custkey,
+           CASE WHEN _action = 'keep' THEN t_st ELSE s_st END AS o_orderstatus,
+           CASE WHEN _action = 'keep' THEN t_p ELSE s_p END AS o_totalprice,
+           CASE WHEN _action = 'insert' THEN s_d ELSE t_d END AS o_orderdate,
+           _action
+    FROM j""")
+def q_upsert_generic(spark, d):
+    o = TT.read(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
+                                          "o_totalprice", "o_orderdate")
+    tgt = o.filter(F.col("o_orderdate") <= F.lit("1998-01-01").cast("timestamp_ntz"))
+    src = (o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+           .join(TT.read(spark, d, "orders").select("o_orderkey", "o_orderpriority"), "o_orderkey")
+           .select("o_orderkey", "o_custkey",
+                   F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("U"))
+                    .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+                   (F.col("o_totalprice") + 1.0).alias("o_totalprice"), "o_orderdate"))
+    return U.upsert(tgt, src, "o_orderkey", "o_orderstatus", ["o_orderstatus", "o_totalprice"], B2,
+                    strategy="shuffle")
+
+
+@register("upsert_orders", _sql(MERGED_ORDERS, *ORD_RAW))
+def q_upsert_orders(spark, d):
+    return no_load_ts(merged_orders(spark, d))
+
+
+@register("upsert_order_items", _sql(_child_sql("order_items"), *ORD_RAW, *CHILD_RAW["order_items"]))
+def q_upsert_items(spark, d):
+    return no_load_ts(merged_child(spark, d, "order_items"))
+
+
+@register("upsert_order_payments", _sql(_child_sql("order_payments"), *ORD_RAW,
+                                        *CHILD_RAW["order_payments"]))
+def q_upsert_payments(spark, d):
+    return no_load_ts(merged_child(spark, d, "order_payments"))
+
+
+@register("upsert_order_reviews", _sql(_child_sql("order_reviews"), *ORD_RAW,
+                                       *CHILD_RAW["order_reviews"]))
+def q_upsert_reviews(spark, d):
+    return no_load_ts(merged_child(spark, d, "order_reviews"))
+
+
+@register("newer_than", _sql(f"SELECT order_id, order_purchase_timestamp FROM raw_orders_b2 "
+                             f"WHERE order_purchase_timestamp > {MARK}", *ORD_RAW))
+def q_newer_than(spark, d):
+    mark = L.current_mark(spark, target_orders(spark, d))
+    return U.newer_than(TT.raw_orders_batch2(spark, d), "order_purchase_timestamp", mark) \
+            .select("order_id", "order_purchase_timestamp")
+
+
+@register("merge_stats", _sql(
+    "SELECT CAST(count_if(_action = 'insert') AS BIGINT) AS inserted, "
+    "CAST(count_if(_action = 'update') AS BIGINT) AS updated, "
+    "CAST(count_if(_action = 'keep') AS BIGINT) AS kept, count(*) AS total "
+    f"FROM ({MERGED_ORDERS})", *ORD_RAW))
+def q_merge_stats(spark, d):
+    return U.merge_stats(merged_orders(spark, d))
+
+
+# ================================================== Q: quality checks
+
+def _sample_sql(rel: str, col: str = "order_id") -> str:
+    return (f"(SELECT coalesce(CAST(to_json(list({col} ORDER BY {col} NULLS FIRST)) AS VARCHAR), '[]') "
+            f"FROM (SELECT {col} FROM {rel} ORDER BY {col} NULLS FIRST LIMIT 5))")
+
+
+CUR_ORDERS_SQL = f"({O.curated_orders_sql()})"
+CUR_ITEMS_SQL = f"({O.curated_items_sql()})"
+CUR_PAY_SQL = f"({O.curated_payments_sql()})"
+
+DQ_SQL = {
+    "dq_not_null": (
+        "SELECT CAST(count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS BIGINT) "
+        "AS affected_count, count(*) AS total_count, "
+        + _sample_sql("(SELECT * FROM raw_orders_gaps WHERE order_id IS NULL OR customer_id IS NULL "
+                      "OR order_status IS NULL)") + " AS sample_ids FROM raw_orders_gaps",
+        ("raw_orders_gaps",)),
+    "dq_domain": (
+        "SELECT CAST(count_if(order_status NOT IN ('p', 'f')) AS BIGINT) AS affected_count, "
+        "count(*) AS total_count, "
+        + _sample_sql(f"(SELECT * FROM {CUR_ORDERS_SQL} WHERE order_status NOT IN ('p', 'f'))")
+        + f" AS sample_ids FROM {CUR_ORDERS_SQL}", ("raw_orders", "raw_customers")),
+    "dq_foreign_key": (
+        f"SELECT (SELECT count(*) FROM orph) AS affected_count, "
+        f"(SELECT count(*) FROM {CUR_ITEMS_SQL}) AS total_count, "
+        + _sample_sql("orph") + " AS sample_ids",
+        ("raw_order_items", "raw_orders", "raw_customers")),
+    "dq_unique": (
+        "SELECT CAST(coalesce((SELECT sum(cnt - 1) FROM dup), 0) AS BIGINT) AS affected_count, "
+        "(SELECT count(*) FROM raw_orders) AS total_count, " + _sample_sql("dup") + " AS sample_ids",
+        ("raw_orders",)),
+    "dq_date_order": (
+        "SELECT CAST(count_if(order_delivered_customer_date IS NOT NULL AND "
+        "order_delivered_customer_date < order_purchase_timestamp) AS BIGINT) AS affected_count, "
+        "count(*) AS total_count, "
+        + _sample_sql(f"(SELECT * FROM {CUR_ORDERS_SQL} WHERE order_delivered_customer_date IS NOT NULL "
+                      "AND order_delivered_customer_date < order_purchase_timestamp)")
+        + f" AS sample_ids FROM {CUR_ORDERS_SQL}", ("raw_orders", "raw_customers")),
+    "dq_keys_present": (
+        "SELECT (SELECT count(*) FROM miss) AS affected_count, "
+        f"(SELECT count(DISTINCT order_id) FROM {CUR_PAY_SQL}) AS total_count, "
+        + _sample_sql("miss") + " AS sample_ids",
+        ("raw_order_payments", "raw_order_items")),
+}
+DQ_EXTRA = {
+    "dq_foreign_key": f"orph AS (SELECT i.order_id FROM {CUR_ITEMS_SQL} i LEFT JOIN ({TGT_ORDERS}) o "
+                      "USING (order_id) WHERE o.order_id IS NULL)",
+    "dq_unique": "dup AS (SELECT order_id, count(*) AS cnt FROM raw_orders GROUP BY order_id "
+                 "HAVING count(*) > 1)",
+    "dq_keys_present": f"miss AS (SELECT DISTINCT p.order_id FROM {CUR_PAY_SQL} p WHERE NOT EXISTS "
+                       f"(SELECT 1 FROM {CUR_ITEMS_SQL} i WHERE i.order_id = p.order_id))",
+}
+
+
+def _dq_sql(name):
+    body, raws = DQ_SQL[name]
+    return O.with_raw(body, *raws, extra=DQ_EXTRA.get(name, ""))
+
+
+def test_checks(spark, d) -> list:
+    """The six checks over the test adaptations (catalog {p, f}, orphans
+    against the first-load orders)."""
+    orders = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    items = C.curate_order_items(TT.raw_order_items(spark, d))
+    payments = C.curate_order_payments(TT.raw_order_payments(spark, d))
+    checks = Q.standard_checks(TT.raw_orders_with_gaps(spark, d), orders, items, payments,
+                               catalog=TT.STATUS_CATALOG_TEST)
+    checks[2].frame = Q.check_foreign_key(items, target_orders(spark, d), "order_id")
+    checks[3].frame = Q.check_unique(TT.raw_orders(spark, d), "order_id")
+    return checks
+
+
+@register("dq_not_null", _dq_sql("dq_not_null"))
+def q_dq_not_null(spark, d):
+    return Q.check_not_null(TT.raw_orders_with_gaps(spark, d),
+                            ["order_id", "customer_id", "order_status"], "order_id")
+
+
+@register("dq_domain", _dq_sql("dq_domain"))
+def q_dq_domain(spark, d):
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    return Q.check_domain(cur, "order_status", TT.STATUS_CATALOG_TEST, "order_id")
+
+
+@register("dq_foreign_key", _dq_sql("dq_foreign_key"))
+def q_dq_fk(spark, d):
+    return Q.check_foreign_key(C.curate_order_items(TT.raw_order_items(spark, d)),
+                               target_orders(spark, d), "order_id")
+
+
+@register("dq_unique", _dq_sql("dq_unique"))
+def q_dq_unique(spark, d):
+    return Q.check_unique(TT.raw_orders(spark, d), "order_id")
+
+
+@register("dq_date_order", _dq_sql("dq_date_order"))
+def q_dq_date_order(spark, d):
+    cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
+    return Q.check_order(cur, "order_purchase_timestamp", "order_delivered_customer_date", "order_id")
+
+
+@register("dq_keys_present", _dq_sql("dq_keys_present"))
+def q_dq_keys_present(spark, d):
+    return Q.check_keys_present(C.curate_order_payments(TT.raw_order_payments(spark, d)),
+                                C.curate_order_items(TT.raw_order_items(spark, d)), "order_id")
+
+
+_CHECK_META = [(c_name, desc, tbl, sev, q) for (c_name, desc, tbl, sev), q in zip(
+    [("null_mandatory_fields_orders", "Orders with NULL order_id, customer_id, or order_status",
+      "raw_orders", "CRITICAL"),
+     ("invalid_order_status", "Orders with order_status not in approved catalog values", "orders",
+      "WARNING"),
+     ("orphan_order_items", "order_items rows whose order_id has no matching order in curated orders",
+      "order_items", "ERROR"),
+     ("duplicate_order_ids_raw", "order_id values that appear more than once in raw_orders",
+      "raw_orders", "ERROR"),
+     ("invalid_date_range_delivery", "Orders where delivered_customer_date < purchase_timestamp",
+      "orders", "WARNING"),
+     ("payments_without_items", "Orders that have payment records but no item records in curated",
+      "order_payments / order_items", "WARNING")],
+    ["dq_not_null", "dq_domain", "dq_foreign_key", "dq_unique", "dq_date_order", "dq_keys_present"])]
+
+
+def _dq_all_sql() -> str:
+    ctes = []
+    for name in DQ_EXTRA:
+        ctes.append(DQ_EXTRA[name])
+    parts = []
+    for c_name, desc, tbl, sev, q in _CHECK_META:
+        body, _ = DQ_SQL[q]
+        parts.append(
+            f"SELECT 'b1' AS batch_id, '{c_name}' AS check_name, '{desc}' AS check_description, "
+            f"'{tbl}' AS table_name, '{sev}' AS severity, "
+            "CASE WHEN coalesce(affected_count, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+            "CAST(coalesce(affected_count, 0) AS BIGINT) AS affected_count, "
+            f"CAST(coalesce(total_count, 0) AS BIGINT) AS total_count, sample_ids FROM ({body})")
+    raws = ["raw_orders", "raw_customers", "raw_orders_gaps", "raw_order_items", "raw_order_payments"]
+    return O.with_raw(" UNION ALL ".join(parts), *raws, extra=",\n  ".join(ctes))
+
+
+DQ_ALL = _dq_all_sql()
+DQ_ALL_BODY = DQ_ALL[DQ_ALL.index("SELECT 'b1' AS batch_id"):]
+DQ_ALL_WITH = DQ_ALL[:DQ_ALL.index("SELECT 'b1' AS batch_id")]
+
+
+def dq_results(spark, d):
+    return Q.run_checks(spark, test_checks(spark, d), B1).drop("check_timestamp")
+
+
+@register("dq_run_all", DQ_ALL)
+def q_dq_run_all(spark, d):
+    return dq_results(spark, d)
+
+
+@register("dq_pct", DQ_ALL_WITH + (
+    "SELECT check_name, affected_count, total_count, CASE WHEN total_count <> 0 THEN "
+    "printf('%.2f%%', affected_count / total_count * 100) ELSE 'n/a' END AS violation_pct "
+    f"FROM ({DQ_ALL_BODY})"))
+def q_dq_pct(spark, d):
+    return Q.with_pct(dq_results(spark, d)).select("check_name", "affected_count", "total_count",
+                                                   "violation_pct")
+
+
+@register("dq_summary", DQ_ALL_WITH + (
+    "SELECT CAST(count_if(status = 'PASS') AS BIGINT) AS passed, "
+    "CAST(count_if(status = 'FAIL') AS BIGINT) AS failed, "
+    "CAST(count_if(status = 'ERROR') AS BIGINT) AS errored, count(*) AS total "
+    f"FROM ({DQ_ALL_BODY})"))
+def q_dq_summary(spark, d):
+    return Q.summarize_checks(dq_results(spark, d))
+
+
+@register("dq_gate", DQ_ALL_WITH + (
+    f"SELECT check_name, severity, status FROM ({DQ_ALL_BODY}) "
+    "WHERE severity = 'CRITICAL' AND status = 'FAIL'"))
+def q_dq_gate(spark, d):
+    return Q.critical_failures(dq_results(spark, d)).select("check_name", "severity", "status")
+
+
+@register("report_dq", DQ_ALL_WITH + (
+    "SELECT check_name, severity, status, affected_count, total_count, sample_ids "
+    f"FROM ({DQ_ALL_BODY})"))
+def q_report_dq(spark, d):
+    res = Q.run_checks(spark, test_checks(spark, d), B1)
+    return OPS.report_dq(res).drop("check_timestamp")
+
+
+@register("report_failures", DQ_ALL_WITH + (
+    f"SELECT * FROM ({DQ_ALL_BODY}) WHERE status = 'FAIL'"))
+def q_report_failures(spark, d):
+    res = Q.run_checks(spark, test_checks(spark, d), B1)
+    return OPS.report_failures(res).drop("check_timestamp")

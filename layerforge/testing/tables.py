@@ -91,16 +91,21 @@ def _k():
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
-def raw_order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """events as payments of order ``user_id``."""
+def raw_order_payments(spark: SparkSession, sf_dir: str, reprice: bool = False) -> DataFrame:
+    """events as payments of order ``user_id``. ``reprice`` is the second
+    batch: first installments (sequential 1) are one unit dearer."""
     e = read(spark, sf_dir, "events")
     k = _k()
+    seq = F.when(k % 4 != 3, k % 4)
+    value = F.col("value")
+    if reprice:
+        value = F.when(seq == 1, value + 1.0).otherwise(value)
     return e.select(
         F.col("user_id").alias("order_id"),
-        F.when(k % 4 != 3, k % 4).alias("payment_sequential"),
+        seq.alias("payment_sequential"),
         F.concat(F.lit(" "), F.upper(F.col("event_type")), F.lit(" ")).alias("payment_type"),
         F.when(k % 5 != 0, k % 5).alias("payment_installments"),
-        F.col("value").alias("payment_value"))
+        value.alias("payment_value"))
 
 
 def raw_order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,5 +181,16 @@ def raw_orders_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ro.unionByName(re)
 
 
+def raw_orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8/Q1: raw orders with missing values: status NULL on every 97th
+    order, order id NULL on every 501st."""
+    ro = raw_orders(spark, sf_dir)
+    return ro.select(
+        F.when(F.col("order_id") % 501 != 0, F.col("order_id")).alias("order_id"),
+        "customer_id",
+        F.when(F.col("order_id") % 97 != 0, F.col("order_status")).alias("order_status"),
+        *[c for c in ro.columns if c not in ("order_id", "customer_id", "order_status")])
+
+
 def cutoff():
     return F.lit(CUTOFF).cast("timestamp_ntz")
