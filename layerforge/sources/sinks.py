@@ -99,10 +99,11 @@ def ensure_ops_tables(spark: SparkSession, ops_root: str) -> dict[str, bool]:
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast to a fixed schema; a missing NOT NULL value fails."""
+    """Select and cast to a fixed schema; absent nullable columns become
+    NULL, a missing NOT NULL value fails the write."""
     cols = []
     for f in schema.fields:
-        c = F.col(f.name).cast(f.dataType)
+        c = (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType)
         if not f.nullable:
             c = F.coalesce(c, F.raise_error(F.lit(f"NULL in NOT NULL column {f.name}")).cast(f.dataType))
         cols.append(c.alias(f.name))

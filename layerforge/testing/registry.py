@@ -700,3 +700,257 @@ def q_report_dq(spark, d):
 def q_report_failures(spark, d):
     res = Q.run_checks(spark, test_checks(spark, d), B1)
     return OPS.report_failures(res).drop("check_timestamp")
+
+
+# ============================================ S: sources and sinks (I/O)
+
+from ..context import new_run_dir  # noqa: E402
+from ..sources import csv as CSV  # noqa: E402
+from ..sources import sinks as SK  # noqa: E402
+
+_REVIEW_RAW_COLS = ["review_id", "order_id", "review_score", "review_comment_title",
+                    "review_comment_message", "review_creation_date", "review_answer_timestamp"]
+
+
+def _reviews_multiline(spark, d):
+    """Raw reviews whose message spans two lines (quoted newline in CSV)."""
+    r = TT.raw_order_reviews(spark, d)
+    return r.withColumn("review_comment_message",
+                        F.concat(F.col("review_comment_message"), F.lit("\n"),
+                                 F.col("review_comment_title")))
+
+
+@register("csv_roundtrip", _sql(
+    "SELECT CAST(review_id AS BIGINT) AS review_id, CAST(order_id AS BIGINT) AS order_id, "
+    "CAST(review_score AS BIGINT) AS review_score, review_comment_title, "
+    "review_comment_message || chr(10) || review_comment_title AS review_comment_message, "
+    "review_creation_date, review_answer_timestamp FROM raw_order_reviews", "raw_order_reviews"))
+def q_csv_roundtrip(spark, d):
+    path = new_run_dir(spark, "csv-roundtrip")
+    CSV.write_csv(_reviews_multiline(spark, d), path)
+    good, _ = CSV.read_raw_csv(spark, path, CSV.string_schema(_REVIEW_RAW_COLS), max_bad=0,
+                               multiline=True)
+    return good.select(P.cast_strict("review_id", "int64").alias("review_id"),
+                       P.cast_strict("order_id", "int64").alias("order_id"),
+                       P.cast_strict("review_score", "int64").alias("review_score"),
+                       "review_comment_title", "review_comment_message",
+                       P.cast_strict("review_creation_date", "timestamp").alias("review_creation_date"),
+                       P.cast_strict("review_answer_timestamp", "timestamp").alias("review_answer_timestamp"))
+
+
+_ITEM_RAW_COLS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
+                  "price", "freight_value"]
+
+
+@register("csv_lenient", _sql(
+    "SELECT order_id, CAST(order_item_id AS BIGINT) AS order_item_id, product_id, seller_id, "
+    "shipping_limit_date, price, freight_value FROM raw_order_items WHERE order_item_id <> 7",
+    "raw_order_items"))
+def q_csv_lenient(spark, d):
+    # every 7th line number is written with one field too many (malformed)
+    path = new_run_dir(spark, "csv-lenient")
+    raw = TT.raw_order_items(spark, d)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _ITEM_RAW_COLS]
+    line = F.concat_ws(",", *fields)
+    line = F.when(F.col("order_item_id") == 7, F.concat(line, F.lit(",extra"))).otherwise(line)
+    raw.select(line.alias("value")).write.mode("overwrite").text(path)
+    good, _ = CSV.read_raw_csv(spark, path, CSV.string_schema(_ITEM_RAW_COLS),
+                               max_bad=10 ** 12, header=False)
+    return good.select(P.cast_strict("order_id", "int64").alias("order_id"),
+                       P.cast_strict("order_item_id", "int64").alias("order_item_id"),
+                       P.cast_strict("product_id", "int64").alias("product_id"),
+                       P.cast_strict("seller_id", "int64").alias("seller_id"),
+                       P.cast_strict("shipping_limit_date", "timestamp").alias("shipping_limit_date"),
+                       P.cast_strict("price", "float64").alias("price"),
+                       P.cast_strict("freight_value", "float64").alias("freight_value"))
+
+
+@register("raw_overwrite_twice", _sql("SELECT * FROM raw_sellers", "raw_sellers"))
+def q_raw_overwrite_twice(spark, d):
+    path = new_run_dir(spark, "raw-overwrite")
+    SK.write_full(TT.raw_sellers(spark, d), path)
+    SK.write_full(TT.raw_sellers(spark, d), path)      # truncate-and-load: no doubling
+    return spark.read.parquet(path)
+
+
+def _count_log_rows(spark, d, batch):
+    parts = [R.row_count(df, "records_read").select(
+        F.lit(batch).alias("batch_id"), F.lit("FULL").alias("run_type"),
+        F.lit(n).alias("table_name"), "records_read")
+        for n, df in _raw_frames(spark, d).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.withColumn("run_timestamp", F.lit(B1.run_ts).cast("timestamp_ntz"))
+
+
+@register("ops_append", _sql(" UNION ALL ".join(
+    f"SELECT '{b}' AS batch_id, 'FULL' AS run_type, '{n}' AS table_name, count(*) AS records_read "
+    f"FROM {n}" for b in ("b1", "b2") for n in _RAW_NAMES), *_RAW_NAMES))
+def q_ops_append(spark, d):
+    root = new_run_dir(spark, "ops")
+    SK.ensure_ops_tables(spark, root)
+    SK.ensure_ops_tables(spark, root)                  # idempotent
+    for b in ("b1", "b2"):
+        SK.append_log(_count_log_rows(spark, d, b), f"{root}/pipeline_run_log", SK.RUN_LOG_SCHEMA)
+    return spark.read.parquet(f"{root}/pipeline_run_log").select(
+        "batch_id", "run_type", "table_name", "records_read")
+
+
+_INGEST = {"sellers.csv": ("raw_sellers", ["seller_id", "seller_zip_code_prefix", "seller_city",
+                                           "seller_state"]),
+           "reviews.csv": ("raw_order_reviews", _REVIEW_RAW_COLS),
+           "geolocation.csv": ("raw_geolocation", ["zip"])}
+
+
+@register("ingest_all_report", _sql(
+    "SELECT 'raw_sellers' AS table_name, 'sellers.csv' AS file_name, count(*) AS rows_loaded, "
+    "CAST(0 AS BIGINT) AS rows_rejected, 'LOADED' AS status FROM raw_sellers UNION ALL "
+    "SELECT 'raw_order_reviews', 'reviews.csv', count(*), 0, 'LOADED' FROM raw_order_reviews UNION ALL "
+    "SELECT 'raw_geolocation', 'geolocation.csv', 0, 0, 'MISSING'", "raw_sellers", "raw_order_reviews"))
+def q_ingest_all(spark, d):
+    src = new_run_dir(spark, "landing")
+    CSV.write_csv(TT.raw_sellers(spark, d).coalesce(1), f"{src}/sellers.csv")
+    CSV.write_csv(_reviews_multiline(spark, d), f"{src}/reviews.csv")
+    rep = CSV.ingest_all(spark, src, _INGEST, new_run_dir(spark, "raw"), "b1",
+                         budgets={"raw_order_reviews": 1000}, multiline=["raw_order_reviews"])
+    return rep.drop("error_message")
+
+
+@register("write_curated_snapshot", _sql(O.curated_sellers_sql(), "raw_sellers"))
+def q_write_snapshot(spark, d):
+    root = new_run_dir(spark, "curated") + "/sellers"
+    SK.write_snapshot(C.curate_sellers(TT.raw_sellers(spark, d), B1), root, "b1")
+    return no_load_ts(SK.read_current(spark, root))
+
+
+# ===================================================== C7/U9: the loads
+
+def _raw_tables(spark, d, batch: int) -> L.RawTables:
+    orders = TT.raw_orders(spark, d)
+    if batch == 1:      # first extract: orders purchased up to the cutoff
+        orders = orders.filter(F.col("order_purchase_timestamp") <= TT.cutoff())
+    else:
+        orders = TT.raw_orders_batch2(spark, d)
+    return L.RawTables({
+        "orders": orders, "customers": TT.raw_customers(spark, d),
+        "order_items": TT.raw_order_items(spark, d, reprice=batch == 2),
+        "order_payments": TT.raw_order_payments(spark, d, reprice=batch == 2),
+        "order_reviews": TT.raw_order_reviews(spark, d),
+        "products": TT.raw_products(spark, d),
+        "category_translation": TT.raw_category_translation(spark, d),
+        "sellers": TT.raw_sellers(spark, d)})
+
+
+_LOG_COLS = ["batch_id", "run_type", "table_name", "records_read", "records_inserted",
+             "records_updated", "records_skipped", "status"]
+
+RAW_B1_ORDERS = f"(SELECT * FROM raw_orders WHERE order_purchase_timestamp <= {O.CUTOFF})"
+FULL_COUNTS = {
+    "sellers": ("raw_sellers", f"({O.curated_sellers_sql()})"),
+    "products": ("raw_products", f"({O.curated_products_sql()})"),
+    "orders": (RAW_B1_ORDERS, f"({O.curated_orders_sql('b1', RAW_B1_ORDERS)})"),
+    "order_items": ("raw_order_items", f"({O.curated_items_sql()})"),
+    "order_payments": ("raw_order_payments", f"({O.curated_payments_sql()})"),
+    "order_reviews": ("raw_order_reviews", f"({O.curated_reviews_sql()})"),
+}
+ALL_RAW = ("raw_orders", "raw_customers", "raw_orders_b2", "raw_order_items", "raw_order_items_b2",
+           "raw_order_payments", "raw_order_payments_b2", "raw_order_reviews", "raw_products",
+           "raw_category_translation", "raw_sellers")
+
+
+def _full_summary_sql() -> str:
+    parts = []
+    for t in L.FULL_ORDER:
+        raw, cur = FULL_COUNTS[t]
+        parts.append(
+            f"SELECT 'b1' AS batch_id, 'FULL' AS run_type, '{t}' AS table_name, r.n AS records_read, "
+            "c.n AS records_inserted, CAST(0 AS BIGINT) AS records_updated, "
+            "greatest(r.n - c.n, 0) AS records_skipped, 'SUCCESS' AS status "
+            f"FROM (SELECT count(*) AS n FROM {raw}) r, (SELECT count(*) AS n FROM {cur}) c")
+    return O.with_raw(" UNION ALL ".join(parts), *ALL_RAW)
+
+
+def _full_load(spark, d):
+    root = new_run_dir(spark, "lake")
+    log = L.full_load(spark, _raw_tables(spark, d, 1), f"{root}/curated", B1,
+                      ops_root=f"{root}/ops")
+    return root, log
+
+
+@register("full_load_summary", _full_summary_sql())
+def q_full_load_summary(spark, d):
+    _, log = _full_load(spark, d)
+    return log.select(*_LOG_COLS)
+
+
+# incremental after the full load above
+INC_TGT_ORDERS = O.curated_orders_sql("b1", RAW_B1_ORDERS)
+INC_MARK = f"(SELECT coalesce(max(order_purchase_timestamp), TIMESTAMP '2000-01-01') FROM ({INC_TGT_ORDERS}))"
+INC_SRC_ORDERS = (f"SELECT * EXCLUDE (_source_file, _batch_id) FROM "
+                  f"({O.curated_orders_sql('b2', 'raw_orders_b2')}) WHERE order_purchase_timestamp > {INC_MARK}")
+INC_MERGED_ORDERS = O.merge_sql(INC_TGT_ORDERS, INC_SRC_ORDERS, ["order_id"], "order_status",
+                                L.MERGE_RULES["orders"][2], ORDER_OUT, C.SOURCE_LABELS["orders"], "b2")
+
+
+def _inc_child_sql(table):
+    cur = {"order_items": O.curated_items_sql, "order_payments": O.curated_payments_sql,
+           "order_reviews": O.curated_reviews_sql}[table]
+    cols = {"order_items": C.ITEM_COLS, "order_payments": C.PAYMENT_COLS,
+            "order_reviews": C.REVIEW_COLS}[table] + ["_source_file", "_batch_id"]
+    b2src = {"order_items": "raw_order_items_b2", "order_payments": "raw_order_payments_b2",
+             "order_reviews": "raw_order_reviews"}[table]
+    touched = f"(SELECT order_id FROM ({INC_MERGED_ORDERS}) WHERE _batch_id = 'b2')"
+    src = (f"SELECT * EXCLUDE (_source_file, _batch_id) FROM "
+           f"({cur('b2', f'(SELECT * FROM {b2src} WHERE order_id IN {touched})')})")
+    keys, change, upd = L.MERGE_RULES[table]
+    return O.merge_sql(cur("b1"), src, keys, change, upd, cols, C.SOURCE_LABELS[table], "b2")
+
+
+def _inc_summary_sql() -> str:
+    parts = [
+        "SELECT 'b2' AS batch_id, 'INCREMENTAL' AS run_type, 'sellers' AS table_name, count(*) AS records_read, "
+        "count(*) AS records_inserted, CAST(0 AS BIGINT) AS records_updated, CAST(0 AS BIGINT) AS records_skipped, "
+        f"'SUCCESS' AS status FROM ({O.curated_sellers_sql()})",
+        "SELECT 'b2', 'INCREMENTAL', 'products', count(*), count(*), 0, 0, 'SUCCESS' "
+        f"FROM ({O.curated_products_sql()})"]
+    merged = {"orders": INC_MERGED_ORDERS, "order_items": _inc_child_sql("order_items"),
+              "order_payments": _inc_child_sql("order_payments"),
+              "order_reviews": _inc_child_sql("order_reviews")}
+    for t in L.FACTS:
+        parts.append(f"SELECT 'b2', 'INCREMENTAL', '{t}', count(*), count_if(_action = 'insert'), "
+                     f"count_if(_action = 'update'), 0, 'SUCCESS' FROM ({merged[t]})")
+    return O.with_raw(" UNION ALL ".join(parts), *ALL_RAW)
+
+
+B2_LOAD = RunContext(batch_id=TT.BATCH_2)
+
+
+@register("incremental_load_summary", _inc_summary_sql())
+def q_incremental_summary(spark, d):
+    root, _ = _full_load(spark, d)
+    log = L.incremental_load(spark, _raw_tables(spark, d, 2), f"{root}/curated", B2_LOAD,
+                             ops_root=f"{root}/ops")
+    return log.select(*_LOG_COLS)
+
+
+@register("refresh_dimensions", O.with_raw(
+    f"SELECT * FROM ({O.curated_sellers_sql('b2')}) ", "raw_sellers"))
+def q_refresh_dimensions(spark, d):
+    root, _ = _full_load(spark, d)
+    L.incremental_load(spark, _raw_tables(spark, d, 2), f"{root}/curated", B2_LOAD)
+    return no_load_ts(SK.read_current(spark, f"{root}/curated/sellers"))
+
+
+_FULL_SUMMARY = _full_summary_sql()
+_FS_BODY = _FULL_SUMMARY[_FULL_SUMMARY.index("SELECT 'b1' AS batch_id"):]
+_FS_WITH = _FULL_SUMMARY[:_FULL_SUMMARY.index("SELECT 'b1' AS batch_id")]
+
+
+@register("report_runs", _FS_WITH + (
+    "SELECT table_name, run_type, records_inserted, records_updated, status "
+    f"FROM ({_FS_BODY})"))
+def q_report_runs(spark, d):
+    root, _ = _full_load(spark, d)
+    log = spark.read.parquet(f"{root}/ops/pipeline_run_log")
+    return OPS.report_runs(log).drop("duration_seconds", "run_timestamp")
