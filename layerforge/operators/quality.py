@@ -16,6 +16,7 @@ status ERROR, affected -1, as the warehouse runner does.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -147,9 +148,11 @@ def _row(ctx: RunContext, c: Check, status: str, affected: int, total: int, samp
             int(affected), int(total), sample, ctx.run_ts)
 
 
-def evaluate_checks(checks: Sequence[Check], ctx: RunContext, fuse: bool = True) -> list[tuple]:
+def evaluate_checks(checks: Sequence[Check], ctx: RunContext, fuse: bool = True,
+                    parallel: int = 4) -> list[tuple]:
     """Run the checks; returns result tuples in ``DQ_SCHEMA`` order. Only the
-    one-row result of each check reaches the driver."""
+    one-row result of each check reaches the driver. Unfused checks are
+    submitted from up to ``parallel`` driver threads (concurrent jobs)."""
     results: dict[str, tuple] = {}
     pending = list(checks)
     if fuse:
@@ -177,24 +180,32 @@ def evaluate_checks(checks: Sequence[Check], ctx: RunContext, fuse: bool = True)
                                         c.id_col).collect()[0][0]
                 results[c.name] = _row(ctx, c, _status(affected), affected, total, sample)
             pending = [c for c in pending if c.name not in results]
-    for c in pending:
+    def one(c: Check) -> tuple:
         try:
             r = c.result_frame().collect()
             row = r[0] if r else None
             affected = int(row["affected_count"]) if row and row["affected_count"] else 0
             total = int(row["total_count"]) if row and row["total_count"] else 0
             sample = row["sample_ids"] if row else "[]"
-            results[c.name] = _row(ctx, c, _status(affected), affected, total, sample)
+            return _row(ctx, c, _status(affected), affected, total, sample)
         except Exception as exc:  # noqa: BLE001 - a failing check is a result
             c.meta["error"] = str(exc)
-            results[c.name] = _row(ctx, c, "ERROR", -1, 0, "[]")
+            return _row(ctx, c, "ERROR", -1, 0, "[]")
+
+    if parallel > 1 and len(pending) > 1:
+        with ThreadPoolExecutor(max_workers=min(parallel, len(pending))) as pool:
+            done = list(pool.map(one, pending))
+    else:
+        done = [one(c) for c in pending]
+    for c, r in zip(pending, done):
+        results[c.name] = r
     return [results[c.name] for c in checks]
 
 
 def run_checks(spark: SparkSession, checks: Sequence[Check], ctx: RunContext,
-               fuse: bool = True) -> DataFrame:
+               fuse: bool = True, parallel: int = 4) -> DataFrame:
     """Q7: results of all checks as a ``DQ_SCHEMA`` frame (one row each)."""
-    return spark.createDataFrame(evaluate_checks(checks, ctx, fuse), DQ_SCHEMA)
+    return spark.createDataFrame(evaluate_checks(checks, ctx, fuse, parallel), DQ_SCHEMA)
 
 
 def checks_frame(checks: Sequence[Check], ctx: RunContext) -> DataFrame:

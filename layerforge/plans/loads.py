@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,6 +30,17 @@ FULL_ORDER = ["sellers", "products", "orders", "order_items", "order_payments",
 DIMENSIONS = ["sellers", "products"]
 FACTS = ["orders", "order_items", "order_payments", "order_reviews"]
 DEFAULT_MARK = "2000-01-01 00:00:00"
+# Independent tables are submitted from a few driver threads so their jobs
+# share the cluster; each job is still fully distributed.
+DEFAULT_PARALLEL = 4
+
+
+def _run_all(fn, items, parallel: int):
+    """Map ``fn`` over ``items`` on a small thread pool, results in order."""
+    if parallel <= 1 or len(items) <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=min(parallel, len(items))) as pool:
+        return list(pool.map(fn, items))
 
 # Upsert settings per fact table: keys, change column, columns updated.
 MERGE_RULES = {
@@ -81,13 +93,15 @@ def _count_obs(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
-              ops_root: str | None = None, tables=FULL_ORDER) -> DataFrame:
-    """C7 + O1: build and write every curated table; returns the run log."""
+              ops_root: str | None = None, tables=FULL_ORDER,
+              parallel: int = DEFAULT_PARALLEL) -> DataFrame:
+    """C7 + O1: build and write every curated table (they are independent,
+    so up to ``parallel`` run at once); returns the run log in table order."""
     if ops_root:
         ensure_ops_tables(spark, ops_root)
     builders = curated_builders(raw, ctx)
-    rows = []
-    for table in tables:
+
+    def one(table):
         t0 = time.time()
         try:
             raw_df, build = builders[table]
@@ -95,11 +109,13 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
             out, out_obs = _count_obs(build(raw_obs_df), f"cur_{table}_{ctx.batch_id}")
             write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
             n_raw, n_out = raw_obs.get["n"], out_obs.get["n"]
-            rows.append(_log_row(ctx, "FULL", table, n_raw, n_out, 0, max(n_raw - n_out, 0),
-                                 "SUCCESS", round(time.time() - t0, 2)))
+            return _log_row(ctx, "FULL", table, n_raw, n_out, 0, max(n_raw - n_out, 0),
+                            "SUCCESS", round(time.time() - t0, 2))
         except Exception as exc:  # noqa: BLE001 - isolated per table
-            rows.append(_log_row(ctx, "FULL", table, 0, 0, 0, 0, "FAILED",
-                                 round(time.time() - t0, 2), str(exc)[:2000]))
+            return _log_row(ctx, "FULL", table, 0, 0, 0, 0, "FAILED",
+                            round(time.time() - t0, 2), str(exc)[:2000])
+
+    rows = _run_all(one, list(tables), parallel)
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     if ops_root:
         append_log(log, f"{ops_root}/pipeline_run_log", RUN_LOG_SCHEMA)
@@ -147,27 +163,29 @@ def merge_table(table: str, target: DataFrame, source: DataFrame, ctx: RunContex
 
 
 def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
-                     ops_root: str | None = None, **merge_kw) -> DataFrame:
+                     ops_root: str | None = None, parallel: int = DEFAULT_PARALLEL,
+                     **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
     reviews; each written as a new snapshot version. Returns the run log."""
     if ops_root:
         ensure_ops_tables(spark, ops_root)
-    rows = []
     mark = current_mark(spark, read_current(spark, f"{curated_root}/orders"))
     builders = curated_builders(raw, ctx)
-    for table in DIMENSIONS:                                    # U8
+
+    def dim(table):                                              # U8
         t0 = time.time()
         try:
             raw_df, build = builders[table]
             out, obs = _count_obs(build(raw_df), f"dim_{table}_{ctx.batch_id}")
             write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
             n = obs.get["n"]
-            rows.append(_log_row(ctx, "INCREMENTAL", table, n, n, 0, 0, "SUCCESS",
-                                 round(time.time() - t0, 2)))
+            return _log_row(ctx, "INCREMENTAL", table, n, n, 0, 0, "SUCCESS",
+                            round(time.time() - t0, 2))
         except Exception as exc:  # noqa: BLE001
-            rows.append(_log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
-                                 round(time.time() - t0, 2), str(exc)[:2000]))
-    for table in FACTS:
+            return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
+                            round(time.time() - t0, 2), str(exc)[:2000])
+
+    def fact(table):
         t0 = time.time()
         try:
             target = read_current(spark, f"{curated_root}/{table}")
@@ -185,11 +203,17 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
             write_snapshot(merged.drop("_action"), f"{curated_root}/{table}", ctx.batch_id)
             m = obs.get
             # records_read is the post-merge row count, skipped always 0
-            rows.append(_log_row(ctx, "INCREMENTAL", table, m["after"], m["inserted"],
-                                 m["updated"], 0, "SUCCESS", round(time.time() - t0, 2)))
+            return _log_row(ctx, "INCREMENTAL", table, m["after"], m["inserted"],
+                            m["updated"], 0, "SUCCESS", round(time.time() - t0, 2))
         except Exception as exc:  # noqa: BLE001
-            rows.append(_log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
-                                 round(time.time() - t0, 2), str(exc)[:2000]))
+            return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
+                            round(time.time() - t0, 2), str(exc)[:2000])
+
+    # dimensions and orders are independent; children need the new orders
+    first = _run_all(lambda f: f(), [lambda: dim("sellers"), lambda: dim("products"),
+                                     lambda: fact("orders")], parallel)
+    children = _run_all(fact, FACTS[1:], parallel)
+    rows = first + children
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     if ops_root:
         append_log(log, f"{ops_root}/pipeline_run_log", RUN_LOG_SCHEMA)

@@ -91,7 +91,12 @@ def target_orders(spark, d):
 
 
 def merged_orders(spark, d):
-    tgt = target_orders(spark, d)
+    # the target stands for a written table: materialise it once (reliable
+    # checkpoint) so the mark and the merge both read it instead of
+    # recomputing the first load
+    from ..context import work_root
+    work_root(spark)
+    tgt = target_orders(spark, d).checkpoint(eager=True)
     mark = L.current_mark(spark, tgt)
     src = L.orders_delta(L.RawTables({"orders": TT.raw_orders_batch2(spark, d),
                                       "customers": TT.raw_customers(spark, d)}), mark, B2)
@@ -570,9 +575,12 @@ def _dq_sql(name):
 def test_checks(spark, d) -> list:
     """The six checks over the test adaptations (catalog {p, f}, orphans
     against the first-load orders)."""
-    orders = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
-    items = C.curate_order_items(TT.raw_order_items(spark, d))
-    payments = C.curate_order_payments(TT.raw_order_payments(spark, d))
+    # the checks run on written curated tables: materialise each input once
+    from ..context import work_root
+    work_root(spark)
+    orders = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d)).checkpoint()
+    items = C.curate_order_items(TT.raw_order_items(spark, d)).checkpoint()
+    payments = C.curate_order_payments(TT.raw_order_payments(spark, d)).checkpoint()
     checks = Q.standard_checks(TT.raw_orders_with_gaps(spark, d), orders, items, payments,
                                catalog=TT.STATUS_CATALOG_TEST)
     checks[2].frame = Q.check_foreign_key(items, target_orders(spark, d), "order_id")

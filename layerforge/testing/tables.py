@@ -31,6 +31,16 @@ def _days(col, n: int):
     return col + F.expr(f"INTERVAL {n} DAYS")
 
 
+def _with_copies(df: DataFrame, cond, changes: dict) -> DataFrame:
+    """Rows matching ``cond`` appear twice; the second copy has ``changes``.
+    One scan (an ``explode`` of a one- or two-element array), instead of a
+    union that would read and compute the input twice."""
+    copy = F.explode(F.when(cond, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    d = df.withColumn("_copy", copy)
+    return d.withColumns({c: F.when(F.col("_copy") == 1, v).otherwise(F.col(c))
+                          for c, v in changes.items()}).drop("_copy")
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """one row per order plus re-issued duplicates (every 50th order
     again, one day later and with status 'X'); status padded with blanks and
@@ -50,10 +60,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("carrier").alias("order_delivered_carrier_date"),
         F.col("delivered").alias("order_delivered_customer_date"),
         _days(F.col("o_orderdate"), ESTIMATE_DAYS).alias("order_estimated_delivery_date"))
-    dup = (b.filter(F.col("order_id") % 50 == 0)
-           .withColumn("order_status", F.lit("X"))
-           .withColumn("order_purchase_timestamp", _days(F.col("order_purchase_timestamp"), 1)))
-    return b.unionByName(dup)
+    return _with_copies(b, F.col("order_id") % 50 == 0, {
+        "order_status": F.lit("X"),
+        "order_purchase_timestamp": _days(F.col("order_purchase_timestamp"), 1)})
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,9 +146,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("product_length_cm"),
         F.col("p_size").alias("product_height_cm"),
         F.when(F.col("p_size") % 7 != 0, F.col("p_size")).alias("product_width_cm"))
-    dup = (base.filter(F.col("product_id") % 100 == 0)
-           .withColumn("product_photos_qty", F.col("product_photos_qty") + 1))
-    return base.unionByName(dup)
+    return _with_copies(base, F.col("product_id") % 100 == 0,
+                        {"product_photos_qty": F.col("product_photos_qty") + 1})
 
 
 def raw_category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,8 +170,7 @@ def raw_sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("seller_zip_code_prefix"),
                      F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")).alias("seller_city"),
                      F.lower(F.col("r_name")).alias("seller_state")))
-    dup = base.filter(F.col("seller_id") % 10 == 0).withColumn("seller_state", F.lit("xx"))
-    return base.unionByName(dup)
+    return _with_copies(base, F.col("seller_id") % 10 == 0, {"seller_state": F.lit("xx")})
 
 
 def raw_orders_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,14 +178,11 @@ def raw_orders_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
     of the first load, moved ``REISSUE_DAYS`` later; every 40th re-issue
     changes its status to 'R'."""
     ro = raw_orders(spark, sf_dir)
-    re = (ro.filter((F.col("order_id") % 20 == 0)
-                    & (F.col("order_purchase_timestamp") <= F.lit(CUTOFF).cast("timestamp_ntz")))
-          .withColumn("order_purchase_timestamp",
-                      _days(F.col("order_purchase_timestamp"), REISSUE_DAYS))
-          .withColumn("order_status",
-                      F.when(F.col("order_id") % 40 == 0, F.lit("R"))
-                       .otherwise(F.col("order_status"))))
-    return ro.unionByName(re)
+    cond = (F.col("order_id") % 20 == 0) & (F.col("order_purchase_timestamp") <= cutoff())
+    return _with_copies(ro, cond, {
+        "order_purchase_timestamp": _days(F.col("order_purchase_timestamp"), REISSUE_DAYS),
+        "order_status": F.when(F.col("order_id") % 40 == 0, F.lit("R"))
+                         .otherwise(F.col("order_status"))})
 
 
 def raw_orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
