@@ -17,9 +17,10 @@ the previous version in place. Semantics follow the warehouse MERGE:
 Two physical strategies, both one pass over the target:
 
 ``broadcast``
-    used when the source (the delta) is proven small: its row count is
-    checked against ``broadcast_max_rows`` after it has been checkpointed to
-    the shared checkpoint folder. The target is then never shuffled: updates
+    used when the source (the delta) is proven small: after it has been
+    checkpointed to the shared checkpoint folder its size is measured (rows
+    times fixed-width bytes plus the actual bytes of its strings) and
+    checked against ``broadcast_max_bytes``. The target is then never shuffled: updates
     are a map-side left join against the broadcast source, and the matched
     keys found the same way feed a small anti join for the inserts.
 ``shuffle``
@@ -37,7 +38,7 @@ from ..context import RunContext, work_root
 from ..functions.columns import changed as _changed
 
 LINEAGE = ("_source_file", "_load_timestamp", "_batch_id")
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
 
 
 def _cols(keys) -> list[str]:
@@ -63,7 +64,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            ctx: RunContext, source_label: str | None = None,
            null_safe_change: bool = False, check_unique: bool = True,
            strategy: str = "auto",
-           broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
+           broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
     """New version of ``target`` after merging ``source``.
 
     ``changed_on``: column name(s) compared with ``!=`` (NULL means "not
@@ -80,10 +81,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     if strategy == "auto":
         # the size check that licenses a broadcast: the source is written to
         # the shared checkpoint folder (cuts its lineage, so a lost executor
-        # does not recompute the delta) and its rows are counted there
+        # does not recompute the delta) and measured there
         work_root(source.sparkSession)
         s = s.checkpoint(eager=True)
-        strategy = "broadcast" if s.count() <= broadcast_max_rows else "shuffle"
+        strategy = "broadcast" if _size_bytes(s) <= broadcast_max_bytes else "shuffle"
+
+    # A NULL key never matches: such target rows are kept and such source
+    # rows are inserted without entering the join, so a NULL-key hot spot
+    # never lands in one join partition.
+    null_key = None
+    for k in keys:
+        null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
+    t_null, t = t.filter(null_key), t.filter(~null_key)
+    s_null, s = s.filter(null_key), s.filter(~null_key)
 
     ta, sa = t.alias("t"), s.alias("s")
     if isinstance(changed_on, Column):
@@ -123,8 +133,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
             exprs.append(e.cast(target.schema[c].dataType).alias(c))
         return j.select(*exprs, a)
 
+    def inserted(frame: DataFrame) -> DataFrame:
+        return frame.select(*[_insert_expr(c, has_lineage, ctx, source_label, source)
+                              .cast(target.schema[c].dataType).alias(c) for c in out_cols],
+                            F.lit("insert").alias("_action"))
+
+    kept_null = t_null.select(*out_cols, F.lit("keep").alias("_action"))
+    side = kept_null.unionByName(inserted(s_null))
+
     if strategy == "shuffle":
-        return project(ta.join(sa, cond, "full_outer"))
+        return project(ta.join(sa, cond, "full_outer")).unionByName(side)
     if strategy != "broadcast":
         raise ValueError(f"unknown strategy {strategy!r} (use 'auto' or 'shuffle')")
 
@@ -135,11 +153,22 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     # broadcast source keys), so the anti join below sees at most |source|
     # keys on each side.
     matched = t.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi").distinct()
-    new_rows = s.join(matched, keys, "left_anti")
-    inserts = new_rows.select(*[_insert_expr(c, has_lineage, ctx, source_label, source)
-                                .cast(target.schema[c].dataType).alias(c) for c in out_cols],
-                              F.lit("insert").alias("_action"))
-    return kept_or_updated.unionByName(inserts)
+    inserts = inserted(s.join(matched, keys, "left_anti"))
+    return kept_or_updated.unionByName(inserts).unionByName(side)
+
+
+def _size_bytes(df: DataFrame) -> int:
+    """Measured in-memory size of a (materialised) frame: fixed-width bytes
+    per row plus the actual bytes of every string/binary value."""
+    var = [f.name for f in df.schema.fields
+           if f.dataType.typeName() in ("string", "binary")]
+    width = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
+    fixed = sum(width.get(f.dataType.typeName(), 8) for f in df.schema.fields if f.name not in var)
+    aggs = [F.count(F.lit(1)).alias("n")] + [
+        F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}")
+        for i, c in enumerate(var)]
+    row = df.agg(*aggs).first()
+    return int(row["n"]) * (fixed + 8) + sum(int(row[f"b{i}"]) for i in range(len(var)))
 
 
 def _insert_expr(c: str, has_lineage: bool, ctx: RunContext, label: str | None,
