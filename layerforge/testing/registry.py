@@ -962,3 +962,77 @@ def q_report_runs(spark, d):
     root, _ = _full_load(spark, d)
     log = spark.read.parquet(f"{root}/ops/pipeline_run_log")
     return OPS.report_runs(log).drop("duration_seconds", "run_timestamp")
+
+
+# ===================================== X: operational extensions (stretch)
+
+from ..plans import contracts as X  # noqa: E402
+
+
+@register("partitioned_month_read", _sql(
+    "SELECT order_id, strftime(order_purchase_timestamp, '%Y-%m') AS month "
+    f"FROM ({O.curated_orders_sql()}) WHERE strftime(order_purchase_timestamp, '%Y-%m') "
+    "BETWEEN '1996-01' AND '1996-12'", "raw_orders", "raw_customers"))
+def q_partitioned_month(spark, d):
+    # Month-partitioned layout; the read filters on the partition column,
+    # so only twelve month folders are listed and scanned
+    path = new_run_dir(spark, "orders-by-month")
+    cur = X.with_month(C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d), B1),
+                       "order_purchase_timestamp")
+    SK.write_full(cur, path, partition_by=["month"], sort_within=["order_id"])
+    back = spark.read.parquet(path)
+    return back.filter(F.col("month").cast("string").between("1996-01", "1996-12")) \
+               .select("order_id", F.col("month").cast("string").alias("month"))
+
+
+_LIMITS = {"orphan_order_items": 0.001, "invalid_order_status": 0.5,
+           "duplicate_order_ids_raw": 0.05}
+
+
+@register("dq_threshold", DQ_ALL_WITH + (
+    "SELECT check_name, coalesce(CASE check_name "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LIMITS.items())
+    + " END, 0.0) AS threshold, coalesce(CASE WHEN total_count > 0 THEN "
+    "affected_count / total_count END > coalesce(CASE check_name "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LIMITS.items())
+    + f" END, 0.0), false) AS alert FROM ({DQ_ALL_BODY})"))
+def q_dq_threshold(spark, d):
+    return X.with_threshold(dq_results(spark, d), _LIMITS, default=0.0) \
+            .select("check_name", "threshold", "alert")
+
+
+@register("pending_tables", "SELECT * FROM (VALUES ('order_items', 3), ('order_payments', 4), "
+                            "('order_reviews', 5)) AS t(table_name, position)")
+def q_pending_tables(spark, d):
+    # A batch that stopped after the dimensions and orders: the three
+    # child tables are what a resume has to run
+    root = new_run_dir(spark, "lake")
+    L.full_load(spark, _raw_tables(spark, d, 1), f"{root}/curated", B1, ops_root=f"{root}/ops",
+                tables=["sellers", "products", "orders"])
+    log = spark.read.parquet(f"{root}/ops/pipeline_run_log")
+    return X.pending_tables(spark, log, B1.batch_id, L.FULL_ORDER)
+
+
+@register("split_rejects", _sql(
+    "SELECT order_id, order_item_id, concat_ws(',', CASE WHEN price IS NULL THEN 'price_missing' END, "
+    "CASE WHEN freight_value = 0 THEN 'freight_zero' END) AS reject_reason, 'b1' AS _batch_id "
+    "FROM raw_order_items WHERE price IS NULL OR freight_value = 0", "raw_order_items"))
+def q_split_rejects(spark, d):
+    _, rej = X.split_rejects(TT.raw_order_items(spark, d),
+                             {"price_missing": F.col("price").isNull(),
+                              "freight_zero": F.col("freight_value") == 0}, B1)
+    return rej.select("order_id", "order_item_id", "reject_reason", "_batch_id")
+
+
+@register("contract_daily_volume", _sql(
+    "SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS rows FROM raw_orders "
+    "GROUP BY 1 HAVING count(*) < 5", "raw_orders"))
+def q_contract_daily(spark, d):
+    return X.daily_volume_breaches(TT.raw_orders(spark, d), "order_purchase_timestamp", 5)
+
+
+@register("mask_pii", _sql("SELECT customer_id, sha256(customer_unique_id) AS customer_unique_id, "
+                           "customer_state FROM raw_customers", "raw_customers"))
+def q_mask_pii(spark, d):
+    return X.mask(TT.raw_customers(spark, d), ["customer_unique_id"]) \
+            .select("customer_id", "customer_unique_id", "customer_state")
