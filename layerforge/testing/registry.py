@@ -368,7 +368,7 @@ def q_table_counts(spark, d):
 
 
 @register("count_violations", _sql(
-    "SELECT count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS affected_count, "
+    "SELECT CAST(count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS BIGINT) AS affected_count, "
     "count(*) AS total_count FROM raw_orders_gaps", "raw_orders_gaps"))
 def q_count_violations(spark, d):
     return R.count_violations(TT.raw_orders_with_gaps(spark, d),
@@ -926,8 +926,8 @@ def _inc_summary_sql() -> str:
               "order_payments": _inc_child_sql("order_payments"),
               "order_reviews": _inc_child_sql("order_reviews")}
     for t in L.FACTS:
-        parts.append(f"SELECT 'b2', 'INCREMENTAL', '{t}', count(*), count_if(_action = 'insert'), "
-                     f"count_if(_action = 'update'), 0, 'SUCCESS' FROM ({merged[t]})")
+        parts.append(f"SELECT 'b2', 'INCREMENTAL', '{t}', count(*), CAST(count_if(_action = 'insert') AS BIGINT), "
+                     f"CAST(count_if(_action = 'update') AS BIGINT), 0, 'SUCCESS' FROM ({merged[t]})")
     return O.with_raw(" UNION ALL ".join(parts), *ALL_RAW)
 
 
@@ -990,9 +990,9 @@ _LIMITS = {"orphan_order_items": 0.001, "invalid_order_status": 0.5,
 
 
 @register("dq_threshold", DQ_ALL_WITH + (
-    "SELECT check_name, coalesce(CASE check_name "
+    "SELECT check_name, CAST(coalesce(CASE check_name "
     + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LIMITS.items())
-    + " END, 0.0) AS threshold, coalesce(CASE WHEN total_count > 0 THEN "
+    + " END, 0.0) AS DOUBLE) AS threshold, coalesce(CASE WHEN total_count > 0 THEN "
     "affected_count / total_count END > coalesce(CASE check_name "
     + " ".join(f"WHEN '{k}' THEN {v}" for k, v in _LIMITS.items())
     + f" END, 0.0), false) AS alert FROM ({DQ_ALL_BODY})"))
