@@ -53,16 +53,17 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad:
     """S1+S2 for direct use: ``(good, rejected)`` frames after checking the
     bad-record budget (one counting pass; ``load_raw_csv`` does without)."""
     parsed = parse_csv(spark, path, schema, multiline, header)
-    first = schema.fieldNames()[0]
-    # the count references a data column too: Spark refuses scans that read
-    # only the corrupt-record column
-    bad = parsed.agg(F.count_if(F.col(CORRUPT).isNotNull() & (F.col(first).isNull()
-                                                              | F.col(first).isNotNull()))
-                     .alias("bad")).first()["bad"]
+    first = F.col(schema.fieldNames()[0])
+    # every use below also references a data column: Spark refuses CSV scans
+    # that read only the corrupt-record column (e.g. a bare count of the
+    # good rows after column pruning)
+    touch = first.isNull() | first.isNotNull()
+    is_bad = F.col(CORRUPT).isNotNull() & touch
+    bad = parsed.agg(F.count_if(is_bad).alias("bad")).first()["bad"]
     if bad > max_bad:
         raise BadRecordBudgetExceeded(f"{path}: {bad} bad records > budget {max_bad}")
-    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    rejected = parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    good = parsed.filter(F.col(CORRUPT).isNull() & touch).drop(CORRUPT)
+    rejected = parsed.filter(is_bad).select(CORRUPT, schema.fieldNames()[0])
     return good, rejected
 
 

@@ -24,6 +24,8 @@ def test_csv_edge_rows(spark):
     rows = {r["a"]: (r["b"], r["c"]) for r in good.collect()}
     assert rows == {"1": ("x\ny", "01037"), "2": (None, None), "3": ('he said "hi"', "5")}
     assert good.columns == ["a", "b", "c"]                # BOM not part of the first name
+    assert good.count() == 3 and good.select("b").count() == 3   # pruned scans still allowed
+    assert rej.count() == 1
     with pytest.raises(CSV.BadRecordBudgetExceeded):
         CSV.read_raw_csv(spark, p, SCHEMA, max_bad=0, multiline=True)
 
