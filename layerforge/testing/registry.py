@@ -90,35 +90,39 @@ def target_orders(spark, d):
     return cur.filter(F.col("order_purchase_timestamp") <= TT.cutoff())
 
 
-def merged_orders(spark, d):
-    # the target stands for a written table: materialise it once (reliable
-    # checkpoint) so the mark and the merge both read it instead of
-    # recomputing the first load
+def _orders_merge(spark, d):
+    """(first-load target, merged orders). The target stands for a written
+    table: it is materialised once (reliable checkpoint) so the mark, the
+    merge and the children's targets all read it instead of recomputing it."""
     from ..context import work_root
     work_root(spark)
     tgt = target_orders(spark, d).checkpoint(eager=True)
     mark = L.current_mark(spark, tgt)
     src = L.orders_delta(L.RawTables({"orders": TT.raw_orders_batch2(spark, d),
                                       "customers": TT.raw_customers(spark, d)}), mark, B2)
-    return L.merge_table("orders", tgt, src, B2)
+    return tgt, L.merge_table("orders", tgt, src, B2)
+
+
+def merged_orders(spark, d):
+    return _orders_merge(spark, d)[1]
 
 
-def _child_target(spark, d, table):
+def _child_target(spark, d, table, first_orders):
     raw = {"order_items": TT.raw_order_items(spark, d),
            "order_payments": TT.raw_order_payments(spark, d),
            "order_reviews": TT.raw_order_reviews(spark, d)}[table]
     build = {"order_items": C.curate_order_items, "order_payments": C.curate_order_payments,
              "order_reviews": C.curate_order_reviews}[table]
-    return build(raw, B1).join(target_orders(spark, d).select("order_id"), "order_id", "left_semi")
+    return build(raw, B1).join(first_orders.select("order_id"), "order_id", "left_semi")
 
 
 def merged_child(spark, d, table):
     raw = L.RawTables({"order_items": TT.raw_order_items(spark, d, reprice=True),
                        "order_payments": TT.raw_order_payments(spark, d, reprice=True),
                        "order_reviews": TT.raw_order_reviews(spark, d)})
-    orders_now = merged_orders(spark, d).drop("_action")
-    src = L.child_delta(table, raw, orders_now, B2)
-    return L.merge_table(table, _child_target(spark, d, table), src, B2)
+    tgt, merged = _orders_merge(spark, d)
+    src = L.child_delta(table, raw, merged.drop("_action"), B2)
+    return L.merge_table(table, _child_target(spark, d, table, tgt), src, B2)
 
 
 # SQL pieces for the same inputs
