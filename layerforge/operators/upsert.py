@@ -200,3 +200,48 @@ def merge_stats(result: DataFrame) -> DataFrame:
         F.count_if(a == "update").cast("bigint").alias("updated"),
         F.count_if(a == "keep").cast("bigint").alias("kept"),
         F.count(F.lit(1)).alias("total"))
+
+
+def upsert_partitions(spark, path: str, source: DataFrame, keys: str | Sequence[str],
+                      changed_on, update_cols: Sequence[str], ctx: RunContext,
+                      part_col: str, part_of, source_label: str | None = None,
+                      **kw) -> dict:
+    """U1 on a partitioned table, rewriting only the partitions it touches.
+
+    ``path`` is a parquet table partitioned by ``part_col``; ``part_of`` maps
+    a source frame to the partition value of each source row (e.g. the month
+    of the purchase time). Touched partitions are those of the source rows
+    (inserts land there) and those of the target rows the source matches
+    (updates stay in their partition, because the partition column is not
+    in ``update_cols``); they are found from the key and partition columns
+    only. Their rows are merged and written back with dynamic partition
+    overwrite, so the job reads and rewrites those partitions and nothing
+    else; a failed job replaces none. The list of touched partition values
+    is the only thing collected (bounded by the number of partitions).
+    Returns the touched values and the merge counts.
+    """
+    keys = _cols(keys)
+    if part_col in update_cols:
+        raise ValueError("the partition column cannot be updated in place")
+    target = spark.read.parquet(path)
+    src = source.withColumn(part_col, part_of(source).cast(target.schema[part_col].dataType))
+    work_root(spark)
+    src = src.checkpoint(eager=True)
+    hit = target.select(*keys, part_col).join(src.select(*keys), keys, "left_semi")
+    touched = [r[0] for r in src.select(part_col).union(hit.select(part_col)).distinct().collect()]
+    if not touched:
+        return {"partitions": [], "inserted": 0, "updated": 0, "kept": 0}
+    t = target.filter(F.col(part_col).isin(touched))
+    merged = upsert(t, src, keys, changed_on, update_cols, ctx, source_label=source_label, **kw)
+    from pyspark.sql import Observation
+    obs = Observation(f"upsert_parts_{ctx.batch_id}_{abs(hash(path))}")
+    a = F.col("_action")
+    merged = merged.observe(obs, F.count_if(a == "insert").alias("inserted"),
+                            F.count_if(a == "update").alias("updated"),
+                            F.count_if(a == "keep").alias("kept"))
+    (merged.drop("_action").write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic")
+           .partitionBy(part_col).parquet(path))
+    m = obs.get
+    return {"partitions": sorted(touched), "inserted": int(m["inserted"]),
+            "updated": int(m["updated"]), "kept": int(m["kept"])}

@@ -1043,3 +1043,45 @@ def q_contract_daily(spark, d):
 def q_mask_pii(spark, d):
     return X.mask(TT.raw_customers(spark, d), ["customer_unique_id"]) \
             .select("customer_id", "customer_unique_id", "customer_state")
+
+
+# ============== incremental upsert that rewrites only the touched months
+
+def _month(df):
+    return F.date_format(F.col("order_purchase_timestamp"), "yyyy-MM")
+
+
+def _orders_by_month(spark, d):
+    """First load written month-partitioned, then the second batch merged
+    into the touched months only. Returns (path, touched months)."""
+    path = new_run_dir(spark, "orders-by-month")
+    raw1 = _raw_tables(spark, d, 1)
+    first = X.with_month(C.curate_orders(raw1["orders"], raw1["customers"], B1),
+                         "order_purchase_timestamp")
+    SK.write_full(first, path, partition_by=["month"])
+    target = spark.read.parquet(path)
+    mark = L.current_mark(spark, target)
+    raw2 = _raw_tables(spark, d, 2)
+    src = L.orders_delta(raw2, mark, B2)
+    keys, change, upd = L.MERGE_RULES["orders"]
+    res = U.upsert_partitions(spark, path, src, keys, change, upd, B2, "month", _month,
+                              source_label=C.SOURCE_LABELS["orders"])
+    return path, res["partitions"]
+
+
+@register("upsert_orders_by_month", _sql(
+    f"SELECT * EXCLUDE (_action), strftime(order_purchase_timestamp, '%Y-%m') AS month "
+    f"FROM ({INC_MERGED_ORDERS})", *ALL_RAW))
+def q_upsert_by_month(spark, d):
+    path, _ = _orders_by_month(spark, d)
+    back = spark.read.parquet(path)
+    return no_load_ts(back.withColumn("month", F.col("month").cast("string")))
+
+
+@register("upsert_touched_months", _sql(
+    f"SELECT DISTINCT strftime(order_purchase_timestamp, '%Y-%m') AS month FROM ({INC_SRC_ORDERS}) "
+    f"UNION SELECT strftime(t.order_purchase_timestamp, '%Y-%m') FROM ({INC_TGT_ORDERS}) t "
+    f"WHERE t.order_id IN (SELECT order_id FROM ({INC_SRC_ORDERS}))", *ALL_RAW))
+def q_touched_months(spark, d):
+    _, months = _orders_by_month(spark, d)
+    return spark.createDataFrame([(m,) for m in months], "month string")

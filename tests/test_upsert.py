@@ -64,3 +64,26 @@ def test_newer_than_strict(spark):
     df = spark.createDataFrame([(datetime(2020, 1, 1),), (datetime(2020, 1, 2),), (None,)],
                                "ts timestamp_ntz")
     assert newer_than(df, "ts", "2020-01-01 00:00:00").count() == 1
+
+
+def test_upsert_partitions_rewrites_only_touched(spark):
+    import tempfile
+    from pyspark.sql.utils import AnalysisException  # noqa: F401
+    from layerforge.operators.upsert import upsert_partitions
+    from layerforge.sources.sinks import write_full
+    root = tempfile.mkdtemp(prefix="lf-parts-", dir="/tmp")
+    path = f"{root}/t"
+    t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("s"),
+                                (F.col("id") % 10).alias("m"))
+    write_full(t, path, partition_by=["m"])
+    import os
+    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("m=")}
+    src = spark.createDataFrame([(3, "b"), (200, "c"), (13, "a")], "k long, s string")
+    res = upsert_partitions(spark, path, src, "k", "s", ["s"], CTX, "m", lambda d: F.col("k") % 10)
+    assert res == {"partitions": [0, 3], "inserted": 1, "updated": 1, "kept": 19}
+    back = spark.read.parquet(path)
+    assert back.count() == 101
+    assert back.filter("k = 3").first()["s"] == "b" and back.filter("k = 200").first()["m"] == 0
+    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("m=")}
+    changed = sorted(d for d in after if after[d] != before.get(d))
+    assert changed == ["m=0", "m=3"]
