@@ -113,6 +113,12 @@ def keys_missing_in(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> Dat
     return a.select(*keys).distinct().join(b.select(*keys), keys, "left_anti")
 
 
+def domain_df(spark, values, name: str = "value") -> DataFrame:
+    """A literal list expanded to rows (one ``explode`` of an array
+    literal), e.g. a catalog to join or anti-join against."""
+    return spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in values])).alias(name))
+
+
 # ---------------------------------------------------------------- aggregates
 
 def row_count(df: DataFrame, alias: str = "row_count") -> DataFrame:

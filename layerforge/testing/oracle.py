@@ -131,12 +131,21 @@ CTES: dict[str, str] = {
     WHERE order_id % 20 = 0 AND order_purchase_timestamp <= TIMESTAMP '2000-12-01 00:00:00')""",
 }
 
+CTES["raw_orders_b2_late"] = """
+  raw_orders_b2_late AS (
+    SELECT order_id, customer_id,
+           CASE WHEN order_id % 30 = 0 THEN 'L' ELSE order_status END AS order_status,
+           order_purchase_timestamp, order_approved_at, order_delivered_carrier_date,
+           order_delivered_customer_date, order_estimated_delivery_date
+    FROM raw_orders_b2)"""
+
 # which raw CTEs each one needs first
 DEPS = {
     "raw_order_items_b2": ["raw_order_items"],
     "raw_order_payments_b2": ["raw_order_payments"],
     "raw_orders_gaps": ["raw_orders"],
     "raw_orders_b2": ["raw_orders"],
+    "raw_orders_b2_late": ["raw_orders", "raw_orders_b2"],
 }
 
 # ----------------------------------------------------------- curated (SQL)

@@ -256,8 +256,7 @@ def q_domain_violations(spark, d):
 def q_domain_rows(spark, d):
     # catalog expanded to rows (explode of an array literal), then every
     # catalog value with its number of curated orders
-    cat = spark.range(1).select(F.explode(F.array(*[F.lit(v) for v in TT.STATUS_CATALOG_TEST]))
-                                .alias("status"))
+    cat = R.domain_df(spark, TT.STATUS_CATALOG_TEST, "status")
     cur = C.curate_orders(TT.raw_orders(spark, d), TT.raw_customers(spark, d))
     per = cur.groupBy(F.col("order_status").alias("status")).agg(F.count(F.lit(1)).alias("orders"))
     return cat.join(per, "status", "left").select(
@@ -1085,3 +1084,54 @@ def q_upsert_by_month(spark, d):
 def q_touched_months(spark, d):
     _, months = _orders_by_month(spark, d)
     return spark.createDataFrame([(m,) for m in months], "month string")
+
+
+
+# ====================== delta options: look-back window and late updates
+
+def _late_merge(spark, d, lookback_days=0, late_updates=False):
+    from ..context import work_root
+    work_root(spark)
+    tgt = target_orders(spark, d).checkpoint(eager=True)
+    mark = L.current_mark(spark, tgt)
+    raw = L.RawTables({"orders": TT.raw_orders_batch2_late(spark, d),
+                       "customers": TT.raw_customers(spark, d)})
+    src = L.orders_delta(raw, mark, B2, lookback_days=lookback_days, late_updates=late_updates,
+                         target=tgt)
+    return no_load_ts(L.merge_table("orders", tgt, src, B2))
+
+
+_LATE_CLEAN = f"({O.curated_orders_sql('b2', 'raw_orders_b2_late')})"
+_LATE_RAW = ("raw_orders", "raw_customers", "raw_orders_b2", "raw_orders_b2_late")
+
+
+def _late_src(where: str) -> str:
+    return f"SELECT * EXCLUDE (_source_file, _batch_id) FROM {_LATE_CLEAN} s WHERE {where}"
+
+
+_LATE_DEFAULT = O.merge_sql(TGT_ORDERS, _late_src(f"order_purchase_timestamp > {MARK}"),
+                            ["order_id"], "order_status", L.MERGE_RULES["orders"][2], ORDER_OUT,
+                            C.SOURCE_LABELS["orders"], "b2")
+_LATE_LOOKBACK = O.merge_sql(TGT_ORDERS, _late_src(
+    f"order_purchase_timestamp > {MARK} - INTERVAL 400 DAY"), ["order_id"], "order_status",
+    L.MERGE_RULES["orders"][2], ORDER_OUT, C.SOURCE_LABELS["orders"], "b2")
+_LATE_UPDATES = O.merge_sql(TGT_ORDERS, _late_src(
+    f"order_purchase_timestamp > {MARK} OR EXISTS (SELECT 1 FROM ({TGT_ORDERS}) t "
+    "WHERE t.order_id = s.order_id AND t.order_status <> s.order_status)"),
+    ["order_id"], "order_status", L.MERGE_RULES["orders"][2], ORDER_OUT,
+    C.SOURCE_LABELS["orders"], "b2")
+
+
+@register("delta_default_misses_late_changes", _sql(_LATE_DEFAULT, *_LATE_RAW))
+def q_delta_default(spark, d):
+    return _late_merge(spark, d)
+
+
+@register("delta_lookback", _sql(_LATE_LOOKBACK, *_LATE_RAW))
+def q_delta_lookback(spark, d):
+    return _late_merge(spark, d, lookback_days=400)
+
+
+@register("delta_late_updates", _sql(_LATE_UPDATES, *_LATE_RAW))
+def q_delta_late_updates(spark, d):
+    return _late_merge(spark, d, late_updates=True)

@@ -185,6 +185,15 @@ def raw_orders_batch2(spark: SparkSession, sf_dir: str) -> DataFrame:
                          .otherwise(F.col("order_status"))})
 
 
+def raw_orders_batch2_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F7 source with late status changes: every 30th order also changes its
+    status to 'L' without a new purchase time (a change the default delta,
+    which keys on the purchase time, never sees)."""
+    b2 = raw_orders_batch2(spark, sf_dir)
+    return b2.withColumn("order_status", F.when(F.col("order_id") % 30 == 0, F.lit("L"))
+                         .otherwise(F.col("order_status")))
+
+
 def raw_orders_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F8/Q1: raw orders with missing values: status NULL on every 97th
     order, order id NULL on every 501st."""
