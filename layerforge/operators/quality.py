@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..context import RunContext
 from ..functions.columns import before, not_in_domain
-from .relational import (duplicate_keys, keys_missing_in, orphans, sample_ids)
+from .relational import duplicate_keys, keys_missing_in, sample_ids
 
 # The order-status catalog of the domain check.
 ORDER_STATUS_CATALOG = ["delivered", "shipped", "canceled", "invoiced",

@@ -68,7 +68,6 @@ def test_newer_than_strict(spark):
 
 def test_upsert_partitions_rewrites_only_touched(spark):
     import tempfile
-    from pyspark.sql.utils import AnalysisException  # noqa: F401
     from layerforge.operators.upsert import upsert_partitions
     from layerforge.sources.sinks import write_full
     root = tempfile.mkdtemp(prefix="lf-parts-", dir="/tmp")
