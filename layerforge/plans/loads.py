@@ -82,9 +82,11 @@ def curated_builders(raw: RawTables, ctx: RunContext) -> dict[str, tuple[DataFra
 
 
 def _log_row(ctx: RunContext, run_type: str, table: str, read: int, inserted: int,
-             updated: int, skipped: int, status: str, duration: float, error: str | None = None):
+             updated: int, skipped: int, status: str, duration: float, error: str | None = None,
+             source_rows: int | None = None):
     return (ctx.batch_id, run_type, table, int(read), int(inserted), int(updated), int(skipped),
-            status, error, ctx.run_ts, float(duration))
+            status, error, ctx.run_ts, float(duration),
+            None if source_rows is None else int(source_rows))
 
 
 def _count_obs(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -110,7 +112,7 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
             write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
             n_raw, n_out = raw_obs.get["n"], out_obs.get["n"]
             return _log_row(ctx, "FULL", table, n_raw, n_out, 0, max(n_raw - n_out, 0),
-                            "SUCCESS", round(time.time() - t0, 2))
+                            "SUCCESS", round(time.time() - t0, 2), source_rows=n_raw)
         except Exception as exc:  # noqa: BLE001 - isolated per table
             return _log_row(ctx, "FULL", table, 0, 0, 0, 0, "FAILED",
                             round(time.time() - t0, 2), str(exc)[:2000])
@@ -203,11 +205,12 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
         t0 = time.time()
         try:
             raw_df, build = builders[table]
-            out, obs = _count_obs(build(raw_df), f"dim_{table}_{ctx.batch_id}")
+            raw_obs_df, raw_obs = _count_obs(raw_df, f"dimraw_{table}_{ctx.batch_id}")
+            out, obs = _count_obs(build(raw_obs_df), f"dim_{table}_{ctx.batch_id}")
             write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
             n = obs.get["n"]
             return _log_row(ctx, "INCREMENTAL", table, n, n, 0, 0, "SUCCESS",
-                            round(time.time() - t0, 2))
+                            round(time.time() - t0, 2), source_rows=raw_obs.get["n"])
         except Exception as exc:  # noqa: BLE001
             return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
                             round(time.time() - t0, 2), str(exc)[:2000])
@@ -221,6 +224,7 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
             else:
                 orders_now = read_current(spark, f"{curated_root}/orders")
                 source = child_delta(table, raw, orders_now, ctx)
+            source, src_obs = _count_obs(source, f"delta_{table}_{ctx.batch_id}")
             merged = merge_table(table, target, source, ctx, **merge_kw)
             obs = Observation(f"merge_{table}_{ctx.batch_id}")
             a = F.col("_action")
@@ -231,7 +235,8 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
             m = obs.get
             # records_read is the post-merge row count, skipped always 0
             return _log_row(ctx, "INCREMENTAL", table, m["after"], m["inserted"],
-                            m["updated"], 0, "SUCCESS", round(time.time() - t0, 2))
+                            m["updated"], 0, "SUCCESS", round(time.time() - t0, 2),
+                            source_rows=src_obs.get["n"])
         except Exception as exc:  # noqa: BLE001
             return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
                             round(time.time() - t0, 2), str(exc)[:2000])

@@ -43,9 +43,14 @@ def _reader(spark: SparkSession, schema: T.StructType, multiline: bool, header:
 
 
 def parse_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False,
-              header: bool = True) -> DataFrame:
-    """Parsed rows plus the ``_corrupt_record`` text of bad lines."""
-    return _reader(spark, schema, multiline, header).csv(path)
+              header: bool = True, with_file_name: bool = False) -> DataFrame:
+    """Parsed rows plus the ``_corrupt_record`` text of bad lines;
+    ``with_file_name`` adds ``_source_file`` with the name of the file each
+    row came from (the scan's ``_metadata`` column)."""
+    df = _reader(spark, schema, multiline, header).csv(path)
+    if with_file_name:
+        df = df.withColumn("_source_file", F.col("_metadata.file_name"))
+    return df
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad: int = 0,
@@ -69,11 +74,11 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad:
 
 def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table_root: str,
                  version: str, max_bad: int = 0, multiline: bool = False,
-                 header: bool = True) -> dict:
+                 header: bool = True, with_file_name: bool = False) -> dict:
     """S1+S2+S5 in one pass: good and rejected rows are written together
     (partitioned by a rejected flag) into a new version while an
     ``Observation`` counts them; the pointer moves only within budget."""
-    parsed = parse_csv(spark, path, schema, multiline, header)
+    parsed = parse_csv(spark, path, schema, multiline, header, with_file_name)
     obs = Observation(f"csv_{version}_{abs(hash(path))}")
     flagged = parsed.withColumn(REJECTED, F.col(CORRUPT).isNotNull()).observe(
         obs, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(REJECTED)).alias("bad"))

@@ -28,6 +28,10 @@ RUN_LOG_SCHEMA = T.StructType([
     T.StructField("error_message", T.StringType(), True),
     T.StructField("run_timestamp", T.TimestampNTZType(), False),
     T.StructField("duration_seconds", T.DoubleType(), True),
+    # rows actually read for the table in this run (raw rows for full loads
+    # and dimension refreshes, delta rows for merges); records_read keeps the
+    # warehouse meaning, which for merges is the post-merge row count
+    T.StructField("source_rows", T.LongType(), True),
 ])
 
 

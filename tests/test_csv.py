@@ -59,3 +59,10 @@ def test_snapshot_pointer_and_ops_tables(spark):
         SK.write_snapshot(spark.range(1), f"{root}/t", "v2")
     assert SK.ensure_ops_tables(spark, f"{root}/ops") == {"pipeline_run_log": True, "dq_results": True}
     assert SK.ensure_ops_tables(spark, f"{root}/ops") == {"pipeline_run_log": False, "dq_results": False}
+
+
+def test_file_name_lineage(spark):
+    p = write(b"a,b,c\n1,2,3\n")
+    root = tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
+    CSV.load_raw_csv(spark, p, SCHEMA, root, "v1", with_file_name=True)
+    assert CSV.read_raw(spark, root).select("_source_file").first()[0] == "f.csv"
