@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from ..context import RunContext
 from ..operators.relational import high_water_mark, restrict_to_batch
-from ..operators.upsert import upsert
-from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, ensure_ops_tables, read_current,
-                             write_snapshot)
+from ..operators.upsert import upsert, upsert_partitions
+from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, current_path, ensure_ops_tables,
+                             read_current, write_snapshot)
 from . import curate as C
 
 # Table order of the loads (dimensions first, orders before
@@ -96,9 +96,15 @@ def _count_obs(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
               ops_root: str | None = None, tables=FULL_ORDER,
-              parallel: int = DEFAULT_PARALLEL) -> DataFrame:
+              parallel: int = DEFAULT_PARALLEL, layout: dict | None = None) -> DataFrame:
     """C7 + O1: build and write every curated table (they are independent,
-    so up to ``parallel`` run at once); returns the run log in table order."""
+    so up to ``parallel`` run at once); returns the run log in table order.
+
+    ``layout`` maps a table to ``(partition column, function frame ->
+    Column)``, e.g. ``{"orders": ("month", month_of_purchase)}``: that table
+    is written partitioned, and later incremental loads merge into its
+    touched partitions only."""
+    layout = layout or {}
     if ops_root:
         ensure_ops_tables(spark, ops_root)
     builders = curated_builders(raw, ctx)
@@ -108,8 +114,13 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
         try:
             raw_df, build = builders[table]
             raw_obs_df, raw_obs = _count_obs(raw_df, f"raw_{table}_{ctx.batch_id}")
-            out, out_obs = _count_obs(build(raw_obs_df), f"cur_{table}_{ctx.batch_id}")
-            write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
+            out = build(raw_obs_df)
+            kw = {}
+            if table in layout:
+                col, fn = layout[table]
+                out, kw = out.withColumn(col, fn(out)), {"partition_by": [col]}
+            out, out_obs = _count_obs(out, f"cur_{table}_{ctx.batch_id}")
+            write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id, **kw)
             n_raw, n_out = raw_obs.get["n"], out_obs.get["n"]
             return _log_row(ctx, "FULL", table, n_raw, n_out, 0, max(n_raw - n_out, 0),
                             "SUCCESS", round(time.time() - t0, 2), source_rows=n_raw)
@@ -193,9 +204,11 @@ def merge_table(table: str, target: DataFrame, source: DataFrame, ctx: RunContex
 
 def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
                      ops_root: str | None = None, parallel: int = DEFAULT_PARALLEL,
-                     **merge_kw) -> DataFrame:
+                     layout: dict | None = None, **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
-    reviews; each written as a new snapshot version. Returns the run log."""
+    reviews; each written as a new snapshot version, or, for tables in
+    ``layout``, merged into their touched partitions. Returns the run log."""
+    layout = layout or {}
     if ops_root:
         ensure_ops_tables(spark, ops_root)
     mark = current_mark(spark, read_current(spark, f"{curated_root}/orders"))
@@ -225,6 +238,18 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
                 orders_now = read_current(spark, f"{curated_root}/orders")
                 source = child_delta(table, raw, orders_now, ctx)
             source, src_obs = _count_obs(source, f"delta_{table}_{ctx.batch_id}")
+            if table in layout:
+                # partitioned table: merge into the touched partitions of the
+                # live version, in place (dynamic partition overwrite)
+                col, fn = layout[table]
+                keys, change, update_cols = MERGE_RULES[table]
+                path = current_path(spark, f"{curated_root}/{table}")
+                r = upsert_partitions(spark, path, source, keys, change, update_cols, ctx, col, fn,
+                                      source_label=C.SOURCE_LABELS[table], **merge_kw)
+                after = spark.read.parquet(path).count()      # footer-only count
+                return _log_row(ctx, "INCREMENTAL", table, after, r["inserted"], r["updated"], 0,
+                                "SUCCESS", round(time.time() - t0, 2),
+                                source_rows=src_obs.get["n"])
             merged = merge_table(table, target, source, ctx, **merge_kw)
             obs = Observation(f"merge_{table}_{ctx.batch_id}")
             a = F.col("_action")

@@ -71,6 +71,13 @@ def write_snapshot(df: DataFrame, root: str, version: str, **kw) -> str:
     return path
 
 
+def current_path(spark: SparkSession, root: str) -> str:
+    v = current_version(spark, root)
+    if v is None:
+        raise FileNotFoundError(f"no live version under {root}")
+    return f"{root}/v={v}"
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame:
     """Scan of the live version of a table."""
     v = current_version(spark, root)

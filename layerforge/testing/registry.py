@@ -1135,3 +1135,16 @@ def q_delta_lookback(spark, d):
 @register("delta_late_updates", _sql(_LATE_UPDATES, *_LATE_RAW))
 def q_delta_late_updates(spark, d):
     return _late_merge(spark, d, late_updates=True)
+
+
+
+_MONTH_LAYOUT = {"orders": ("month", _month)}
+
+
+@register("incremental_load_by_month_summary", _inc_summary_sql())
+def q_incremental_by_month(spark, d):
+    root = new_run_dir(spark, "lake")
+    L.full_load(spark, _raw_tables(spark, d, 1), f"{root}/curated", B1, layout=_MONTH_LAYOUT)
+    log = L.incremental_load(spark, _raw_tables(spark, d, 2), f"{root}/curated", B2_LOAD,
+                             layout=_MONTH_LAYOUT)
+    return log.select(*_LOG_COLS)
