@@ -46,14 +46,11 @@ def _cols(keys) -> list[str]:
 
 
 def _assert_unique(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Lazily fail when a non-NULL key repeats in the source. The count is a
-    window partitioned by the keys, the same partitioning the merge join
-    needs, so it adds no exchange."""
-    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
-    key_present = None
-    for k in keys:
-        key_present = F.col(k).isNotNull() if key_present is None else key_present & F.col(k).isNotNull()
-    ok = F.when(key_present, n == 1).otherwise(F.lit(True))
+    """Lazily fail when a key repeats in the (non-NULL-key) source. The count
+    is a window partitioned by the keys, the same partitioning the merge join
+    needs, so it adds no exchange; a repeated key fails the job anyway, so a
+    large window group only occurs on input that is rejected."""
+    ok = F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1
     return source.withColumn(
         "_s", F.coalesce(F.assert_true(ok, F.lit("upsert: source key matches more than one row")).cast("boolean"),
                          F.lit(True)))
@@ -75,7 +72,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     out_cols = [c for c in target.columns if c != "_action"]
     has_lineage = all(c in out_cols for c in LINEAGE)
 
-    s = _assert_unique(source, keys) if check_unique else source.withColumn("_s", F.lit(True))
     t = target.select(*out_cols).withColumn("_t", F.lit(True))
 
     if strategy == "auto":
@@ -83,17 +79,19 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
         # the shared checkpoint folder (cuts its lineage, so a lost executor
         # does not recompute the delta) and measured there
         work_root(source.sparkSession)
-        s = s.checkpoint(eager=True)
-        strategy = "broadcast" if _size_bytes(s) <= broadcast_max_bytes else "shuffle"
+        source = source.checkpoint(eager=True)
+        strategy = "broadcast" if _size_bytes(source) <= broadcast_max_bytes else "shuffle"
 
     # A NULL key never matches: such target rows are kept and such source
-    # rows are inserted without entering the join, so a NULL-key hot spot
-    # never lands in one join partition.
+    # rows are inserted without entering the join or the uniqueness window,
+    # so a NULL-key hot spot never lands in one partition.
     null_key = None
     for k in keys:
         null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
     t_null, t = t.filter(null_key), t.filter(~null_key)
-    s_null, s = s.filter(null_key), s.filter(~null_key)
+    s_null = source.filter(null_key).withColumn("_s", F.lit(True))
+    s_nn = source.filter(~null_key)
+    s = _assert_unique(s_nn, keys) if check_unique else s_nn.withColumn("_s", F.lit(True))
 
     ta, sa = t.alias("t"), s.alias("s")
     if isinstance(changed_on, Column):
