@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from ..context import RunContext
 from ..functions.columns import before, not_in_domain
-from .relational import duplicate_keys, keys_missing_in, sample_ids
+from .relational import keys_missing_in, sample_ids
 
 # The order-status catalog of the domain check.
 ORDER_STATUS_CATALOG = ["delivered", "shipped", "canceled", "invoiced",
@@ -106,17 +106,23 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, key: str) -> DataFram
     first_keys = orph.orderBy(F.col(key).asc_nulls_first()).limit(5)
     rows = first_keys.select(F.explode(F.array_repeat(F.col(key), F.least(F.col("_n"), F.lit(5))
                                                       .cast("int"))).alias(key))
+    # the total is the sum of the same per-key counts: one scan of the child
+    # and one shuffle (reused) serve count, total and sample
     return _fold(orph.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("affected_count")),
-                 _count(child, "total_count"), sample_ids(rows, key))
+                 per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_count")),
+                 sample_ids(rows, key))
 
 
 def check_unique(df: DataFrame, keys: str | Sequence[str], id_col: str | None = None) -> DataFrame:
     """Q4: duplicate keys; affected = rows beyond the first per key (NULL
-    keys form one group); total = all rows."""
+    keys form one group); total = all rows. One partial aggregate per key
+    feeds the excess, the total and the sample (one scan, one shuffle)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    d = duplicate_keys(df.select(*keys), keys)
-    excess = d.agg(F.coalesce(F.sum(F.col("cnt") - 1), F.lit(0)).alias("affected_count"))
-    return _fold(excess, _count(df, "total_count"), sample_ids(d, id_col or keys[0]))
+    g = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    excess = g.agg(F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt") - 1)), F.lit(0))
+                   .alias("affected_count"))
+    total = g.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_count"))
+    return _fold(excess, total, sample_ids(g.filter(F.col("cnt") > 1), id_col or keys[0]))
 
 
 def check_keys_present(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
