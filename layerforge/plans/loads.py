@@ -204,7 +204,7 @@ def merge_table(table: str, target: DataFrame, source: DataFrame, ctx: RunContex
 
 def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
                      ops_root: str | None = None, parallel: int = DEFAULT_PARALLEL,
-                     layout: dict | None = None, **merge_kw) -> DataFrame:
+                     layout: dict | None = None, tables=None, **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
     reviews; each written as a new snapshot version, or, for tables in
     ``layout``, merged into their touched partitions. Returns the run log."""
@@ -267,11 +267,28 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
                             round(time.time() - t0, 2), str(exc)[:2000])
 
     # dimensions and orders are independent; children need the new orders
-    first = _run_all(lambda f: f(), [lambda: dim("sellers"), lambda: dim("products"),
-                                     lambda: fact("orders")], parallel)
-    children = _run_all(fact, FACTS[1:], parallel)
-    rows = first + children
+    todo = set(tables) if tables is not None else set(DIMENSIONS + FACTS)
+    first = [(lambda t=t: dim(t)) for t in DIMENSIONS if t in todo]
+    if "orders" in todo:
+        first.append(lambda: fact("orders"))
+    rows = _run_all(lambda f: f(), first, parallel)
+    rows += _run_all(fact, [t for t in FACTS[1:] if t in todo], parallel)
     log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
     if ops_root:
         append_log(log, f"{ops_root}/pipeline_run_log", RUN_LOG_SCHEMA)
     return log
+
+
+def resume_incremental(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
+                       log: DataFrame, ops_root: str | None = None, **kw) -> DataFrame:
+    """Re-run, with the *same* batch id, only the tables of ``ctx.batch_id``
+    that have no SUCCESS row in ``log``. Children find the orders their
+    batch touched through that batch id, so a failure after the orders step
+    loses nothing (the next run would otherwise get a new id and a higher
+    mark). The pending set is a tiny anti join on the log."""
+    from .contracts import pending_tables
+    pending = [r["table_name"] for r in
+               pending_tables(spark, log, ctx.batch_id, DIMENSIONS + FACTS).collect()]
+    if not pending:
+        return spark.createDataFrame([], RUN_LOG_SCHEMA)
+    return incremental_load(spark, raw, curated_root, ctx, ops_root=ops_root, tables=pending, **kw)

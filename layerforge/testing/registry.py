@@ -1148,3 +1148,26 @@ def q_incremental_by_month(spark, d):
     log = L.incremental_load(spark, _raw_tables(spark, d, 2), f"{root}/curated", B2_LOAD,
                              layout=_MONTH_LAYOUT)
     return log.select(*_LOG_COLS)
+
+
+
+def _inc_children_sql() -> str:
+    full = _inc_summary_sql()
+    body = full[full.index("SELECT 'b2' AS batch_id"):]
+    head = full[:full.index("SELECT 'b2' AS batch_id")]
+    return head + f"SELECT * FROM ({body}) WHERE table_name IN ('order_items', 'order_payments', 'order_reviews')"
+
+
+@register("resume_incremental", _inc_children_sql())
+def q_resume_incremental(spark, d):
+    # the batch stops after dimensions and orders; the resume runs the three
+    # children with the same batch id and must equal an uninterrupted run
+    root = new_run_dir(spark, "lake")
+    L.full_load(spark, _raw_tables(spark, d, 1), f"{root}/curated", B1, ops_root=f"{root}/ops")
+    raw2 = _raw_tables(spark, d, 2)
+    L.incremental_load(spark, raw2, f"{root}/curated", B2_LOAD, ops_root=f"{root}/ops",
+                       tables=["sellers", "products", "orders"])
+    log = spark.read.parquet(f"{root}/ops/pipeline_run_log")
+    resumed = L.resume_incremental(spark, raw2, f"{root}/curated", B2_LOAD, log,
+                                   ops_root=f"{root}/ops")
+    return resumed.select(*_LOG_COLS)
