@@ -7,6 +7,7 @@ inside whole-stage codegen; none of them is a Python UDF.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from datetime import date, datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,6 +30,19 @@ TYPES = {
 }
 
 
+def ntz_lit(value) -> Column:
+    """Zone-free timestamp literal. A Python ``datetime`` (as collected from
+    a ``timestamp_ntz`` column) is passed as text, because ``lit(datetime)``
+    is read in the session time zone and would shift by its offset."""
+    if isinstance(value, Column):
+        return value
+    if isinstance(value, (datetime, date)):
+        text = value.strftime("%Y-%m-%d %H:%M:%S.%f") if isinstance(value, datetime) \
+            else value.strftime("%Y-%m-%d")
+        return F.lit(text).cast(T.TimestampNTZType())
+    return F.lit(value).cast(T.TimestampNTZType())
+
+
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
-from ..functions.columns import before, not_in_domain
+from ..functions.columns import before, not_in_domain, ntz_lit
 from .relational import keys_missing_in, sample_ids
 
 # The order-status catalog of the domain check.
@@ -241,7 +241,7 @@ def checks_frame(checks: Sequence[Check], ctx: RunContext) -> DataFrame:
             aff.alias("affected_count"),
             F.coalesce(F.col("total_count"), F.lit(0)).cast("bigint").alias("total_count"),
             F.col("sample_ids"),
-            F.lit(ctx.run_ts).cast("timestamp_ntz").alias("check_timestamp")))
+            ntz_lit(ctx.run_ts).alias("check_timestamp")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 
 from ..context import RunContext, work_root
 from ..functions.columns import changed as _changed
+from ..functions.columns import ntz_lit
 
 LINEAGE = ("_source_file", "_load_timestamp", "_batch_id")
 DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
@@ -185,7 +186,13 @@ def _insert_expr(c: str, has_lineage: bool, ctx: RunContext, label: str | None,
 def newer_than(df: DataFrame, ts_col: str, mark) -> DataFrame:
     """Rows strictly after the high-water mark (equal is excluded, NULL
     is excluded)."""
-    m = mark if isinstance(mark, Column) else F.lit(mark).cast(df.schema[ts_col].dataType)
+    dtype = df.schema[ts_col].dataType
+    if isinstance(mark, Column):
+        m = mark
+    elif dtype.typeName() == "timestamp_ntz":
+        m = ntz_lit(mark)                  # zone-free, whatever the session zone
+    else:
+        m = F.lit(mark).cast(dtype)
     return df.filter(F.col(ts_col) > m)
 
 

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_lit
 from ..context import RunContext
 
 
@@ -122,7 +123,7 @@ def freshness(df: DataFrame, ts_col: str, now, max_hours: float) -> DataFrame:
     """One row: newest timestamp, its age in hours at ``now`` and whether it
     breaches the freshness limit (an empty table breaches)."""
     newest = F.max(F.col(ts_col))
-    age = (F.unix_timestamp(F.lit(now).cast("timestamp_ntz").cast("timestamp"))
+    age = (F.unix_timestamp(ntz_lit(now).cast("timestamp"))
            - F.unix_timestamp(newest.cast("timestamp"))) / 3600.0
     return df.agg(newest.alias("newest"), age.alias("age_hours")).withColumn(
         "stale", F.coalesce(F.col("age_hours") > max_hours, F.lit(True)))
@@ -163,6 +164,6 @@ def rows_for(df: DataFrame, tenant_col: str, tenant) -> DataFrame:
 def expired(log: DataFrame, now, days: int = 90) -> DataFrame:
     """Batches whose run started more than ``days`` before ``now``: their
     snapshots may be removed (deletion itself stays a manual step)."""
-    cutoff = F.lit(now).cast("timestamp_ntz") - F.make_interval(days=F.lit(days))
+    cutoff = ntz_lit(now) - F.make_interval(days=F.lit(days))
     return (log.groupBy("batch_id").agg(F.max("run_timestamp").alias("last_run"))
                .filter(F.col("last_run") < cutoff))

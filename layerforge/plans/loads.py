@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import ntz_lit
 from ..context import RunContext
 from ..operators.relational import high_water_mark, restrict_to_batch
 from ..operators.upsert import upsert, upsert_partitions
@@ -161,7 +162,7 @@ def orders_delta(raw: RawTables, mark, ctx: RunContext, lookback_days: int = 0,
     deduplicated over all their raw rows, so the early filter is replaced by
     a semi join on the changed keys.
     """
-    m = F.lit(mark).cast("timestamp_ntz")
+    m = ntz_lit(mark)
     if lookback_days:
         m = m - F.make_interval(days=F.lit(int(lookback_days)))
     if not late_updates:

@@ -795,7 +795,7 @@ def _count_log_rows(spark, d, batch):
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("run_timestamp", F.lit(B1.run_ts).cast("timestamp_ntz"))
+    return out.withColumn("run_timestamp", P.ntz_lit(B1.run_ts))
 
 
 @register("ops_append", _sql(" UNION ALL ".join(

@@ -86,3 +86,15 @@ def test_upsert_partitions_rewrites_only_touched(spark):
     after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("m=")}
     changed = sorted(d for d in after if after[d] != before.get(d))
     assert changed == ["m=0", "m=3"]
+
+
+def test_newer_than_independent_of_session_zone(spark):
+    from datetime import datetime
+    df = spark.createDataFrame([(datetime(2020, 1, 1),), (datetime(2020, 1, 1, 5),)], "ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert newer_than(df, "ts", datetime(2020, 1, 1)).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
