@@ -74,13 +74,21 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad:
 
 def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table_root: str,
                  version: str, max_bad: int = 0, multiline: bool = False,
-                 header: bool = True, with_file_name: bool = False) -> dict:
+                 header: bool = True, with_file_name: bool = False,
+                 types: Mapping[str, str] | None = None) -> dict:
     """S1+S2+S5 in one pass: good and rejected rows are written together
     (partitioned by a rejected flag) into a new version while an
-    ``Observation`` counts them; the pointer moves only within budget."""
+    ``Observation`` counts them; the pointer moves only within budget.
+
+    ``types`` (column -> type name) also counts a value that is present but
+    does not convert (``try_cast`` is NULL) as a bad record, as a typed
+    warehouse load does; the raw values themselves stay text."""
     parsed = parse_csv(spark, path, schema, multiline, header, with_file_name)
+    bad_row = F.col(CORRUPT).isNotNull()
+    for c, t in (types or {}).items():
+        bad_row = bad_row | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
     obs = Observation(f"csv_{version}_{abs(hash(path))}")
-    flagged = parsed.withColumn(REJECTED, F.col(CORRUPT).isNotNull()).observe(
+    flagged = parsed.withColumn(REJECTED, bad_row).observe(
         obs, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(REJECTED)).alias("bad"))
     vpath = f"{table_root}/v={version}"
     live = current_version(spark, table_root)

@@ -66,3 +66,13 @@ def test_file_name_lineage(spark):
     root = tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
     CSV.load_raw_csv(spark, p, SCHEMA, root, "v1", with_file_name=True)
     assert CSV.read_raw(spark, root).select("_source_file").first()[0] == "f.csv"
+
+
+def test_conversion_failures_count_as_bad_records(spark):
+    p = write(b"a,b,c\n1,2,3\nx,2,3\n4,,3\n")
+    root = tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
+    with pytest.raises(CSV.BadRecordBudgetExceeded):
+        CSV.load_raw_csv(spark, p, SCHEMA, root, "v1", types={"a": "bigint", "b": "int"})
+    m = CSV.load_raw_csv(spark, p, SCHEMA, root, "v2", max_bad=1, types={"a": "bigint", "b": "int"})
+    assert m == {"rows": 2, "rejected": 1}                   # empty b is NULL, not a failure
+    assert sorted(r["a"] for r in CSV.read_raw(spark, root).collect()) == ["1", "4"]
