@@ -877,11 +877,11 @@ def _full_summary_sql() -> str:
     parts = []
     for t in L.FULL_ORDER:
         raw, cur = FULL_COUNTS[t]
+        r_n, c_n = f"(SELECT count(*) FROM {raw})", f"(SELECT count(*) FROM {cur})"
         parts.append(
-            f"SELECT 'b1' AS batch_id, 'FULL' AS run_type, '{t}' AS table_name, r.n AS records_read, "
-            "c.n AS records_inserted, CAST(0 AS BIGINT) AS records_updated, "
-            "greatest(r.n - c.n, 0) AS records_skipped, 'SUCCESS' AS status "
-            f"FROM (SELECT count(*) AS n FROM {raw}) r, (SELECT count(*) AS n FROM {cur}) c")
+            f"SELECT 'b1' AS batch_id, 'FULL' AS run_type, '{t}' AS table_name, {r_n} AS records_read, "
+            f"{c_n} AS records_inserted, CAST(0 AS BIGINT) AS records_updated, "
+            f"greatest({r_n} - {c_n}, 0) AS records_skipped, 'SUCCESS' AS status")
     return O.with_raw(" UNION ALL ".join(parts), *ALL_RAW)
 
 
