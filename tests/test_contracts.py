@@ -45,3 +45,8 @@ def test_threshold_and_pending(spark):
     log = spark.createDataFrame([("b", "t1", "SUCCESS"), ("b", "t2", "FAILED")],
                                 "batch_id string, table_name string, status string")
     assert sorted(r[0] for r in X.pending_tables(spark, log, "b", ["t1", "t2", "t3"]).collect()) == ["t2", "t3"]
+
+
+def test_drop_batch_for_replay(spark):
+    df = spark.createDataFrame([(1, "b1"), (2, "b2"), (3, None)], "k int, _batch_id string")
+    assert sorted(r[0] for r in X.drop_batch(df, "b2").collect()) == [1, 3]
