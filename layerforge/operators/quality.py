@@ -165,57 +165,71 @@ def _row(ctx: RunContext, c: Check, status: str, affected: int, total: int, samp
             int(affected), int(total), sample, ctx.run_ts)
 
 
+def _eval_one(c: Check, ctx: RunContext) -> tuple:
+    try:
+        r = c.result_frame().collect()
+        row = r[0] if r else None
+        affected = int(row["affected_count"]) if row and row["affected_count"] else 0
+        total = int(row["total_count"]) if row and row["total_count"] else 0
+        sample = row["sample_ids"] if row else "[]"
+        return _row(ctx, c, _status(affected), affected, total, sample)
+    except Exception as exc:  # noqa: BLE001 - a failing check is a result
+        c.meta["error"] = str(exc)
+        return _row(ctx, c, "ERROR", -1, 0, "[]")
+
+
+def _eval_fused(grp: list[Check], ctx: RunContext) -> list[tuple]:
+    """All row predicates over one frame in one scan (a ``count_if`` each);
+    samples only for the failed ones. Falls back to one check at a time if
+    the fused scan fails, so an erroring predicate stays isolated."""
+    df = grp[0].df
+    try:
+        aggs = [F.count(F.lit(1)).alias("_total")] + [
+            F.count_if(F.coalesce(c.predicate, F.lit(False))).alias(f"_a{i}")
+            for i, c in enumerate(grp)]
+        row = df.agg(*aggs).collect()[0]
+    except Exception:  # noqa: BLE001
+        return [_eval_one(c, ctx) for c in grp]
+    total = row["_total"] or 0
+    out = []
+    for i, c in enumerate(grp):
+        affected = row[f"_a{i}"] or 0
+        sample = "[]"
+        if affected:
+            sample = sample_ids(df.filter(F.coalesce(c.predicate, F.lit(False))),
+                                c.id_col).collect()[0][0]
+        out.append(_row(ctx, c, _status(affected), affected, total, sample))
+    return out
+
+
 def evaluate_checks(checks: Sequence[Check], ctx: RunContext, fuse: bool = True,
                     parallel: int = 4) -> list[tuple]:
     """Run the checks; returns result tuples in ``DQ_SCHEMA`` order. Only the
-    one-row result of each check reaches the driver. Unfused checks are
-    submitted from up to ``parallel`` driver threads (concurrent jobs)."""
-    results: dict[str, tuple] = {}
-    pending = list(checks)
+    one-row result of each check reaches the driver. Row-predicate checks on
+    the same frame are fused into one scan; the fused groups and the other
+    checks are submitted from up to ``parallel`` driver threads (concurrent
+    jobs)."""
+    units: list[list[Check]] = []
     if fuse:
         groups: dict[int, list[Check]] = {}
         for c in checks:
             if c.frame is None and c.df is not None:
                 groups.setdefault(id(c.df), []).append(c)
-        for grp in groups.values():
-            if len(grp) < 2:
-                continue
-            df = grp[0].df
-            try:
-                aggs = [F.count(F.lit(1)).alias("_total")] + [
-                    F.count_if(F.coalesce(c.predicate, F.lit(False))).alias(f"_a{i}")
-                    for i, c in enumerate(grp)]
-                row = df.agg(*aggs).collect()[0]
-            except Exception:  # noqa: BLE001 - fall back to one check at a time
-                continue
-            total = row["_total"] or 0
-            for i, c in enumerate(grp):
-                affected = row[f"_a{i}"] or 0
-                sample = "[]"
-                if affected:
-                    sample = sample_ids(df.filter(F.coalesce(c.predicate, F.lit(False))),
-                                        c.id_col).collect()[0][0]
-                results[c.name] = _row(ctx, c, _status(affected), affected, total, sample)
-            pending = [c for c in pending if c.name not in results]
-    def one(c: Check) -> tuple:
-        try:
-            r = c.result_frame().collect()
-            row = r[0] if r else None
-            affected = int(row["affected_count"]) if row and row["affected_count"] else 0
-            total = int(row["total_count"]) if row and row["total_count"] else 0
-            sample = row["sample_ids"] if row else "[]"
-            return _row(ctx, c, _status(affected), affected, total, sample)
-        except Exception as exc:  # noqa: BLE001 - a failing check is a result
-            c.meta["error"] = str(exc)
-            return _row(ctx, c, "ERROR", -1, 0, "[]")
-
-    if parallel > 1 and len(pending) > 1:
-        with ThreadPoolExecutor(max_workers=min(parallel, len(pending))) as pool:
-            done = list(pool.map(one, pending))
+        fused = {c.name for g in groups.values() if len(g) > 1 for c in g}
+        units += [g for g in groups.values() if len(g) > 1]
+        units += [[c] for c in checks if c.name not in fused]
+    else:
+        units = [[c] for c in checks]
+
+    def run(unit: list[Check]) -> list[tuple]:
+        return _eval_fused(unit, ctx) if len(unit) > 1 else [_eval_one(unit[0], ctx)]
+
+    if parallel > 1 and len(units) > 1:
+        with ThreadPoolExecutor(max_workers=min(parallel, len(units))) as pool:
+            done = list(pool.map(run, units))
     else:
-        done = [one(c) for c in pending]
-    for c, r in zip(pending, done):
-        results[c.name] = r
+        done = [run(u) for u in units]
+    results = {r[1]: r for rows in done for r in rows}
     return [results[c.name] for c in checks]
 
 
