@@ -39,9 +39,34 @@ class RunContext:
     )
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session."""
-    for key, value in SESSION_CONF.items():
+def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Shuffle sizing for a cluster run over ``input_bytes`` of input.
+
+    The initial shuffle width is input / 256 MB (at least 200), so no
+    shuffle partition has to hold more than a few hundred MB even before
+    AQE; AQE then coalesces small partitions towards the advisory size and
+    splits skewed join partitions above 5x the median (and 512 MB). Scan
+    splits stay at 256 MB. For 100 TB this gives ~400k initial partitions,
+    which AQE coalesces per stage from measured sizes.
+    """
+    n = max(200, int(input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+    }
+
+
+def configure(spark: SparkSession, input_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings above to an existing session; with
+    ``input_bytes`` also the shuffle sizing of ``cluster_conf``."""
+    conf = dict(SESSION_CONF)
+    if input_bytes:
+        conf.update(cluster_conf(input_bytes))
+    for key, value in conf.items():
         spark.conf.set(key, value)
     return spark
 
