@@ -39,22 +39,24 @@ class RunContext:
     )
 
 
-def cluster_conf(input_bytes: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+def cluster_conf(input_bytes: int, bytes_per_shuffle_partition: int = 1024 ** 3,
+                 max_partitions: int = 50_000) -> dict:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
-    The initial shuffle width is input / 256 MB (at least 200), so no
-    shuffle partition has to hold more than a few hundred MB even before
-    AQE; AQE then coalesces small partitions towards the advisory size and
-    splits skewed join partitions above 5x the median (and 512 MB). Scan
-    splits stay at 256 MB. For 100 TB this gives ~400k initial partitions,
-    which AQE coalesces per stage from measured sizes.
+    Shuffled bytes are a fraction of the input once scans are pruned and
+    aggregates combined map-side, so the initial shuffle width is one
+    partition per GB of input, clamped to [200, 50,000]. The clamp keeps
+    the map x reduce block count manageable. AQE then coalesces small
+    partitions towards 128 MB and splits skewed join partitions above 5x
+    the median (and 512 MB). Scan splits are 256 MB. For 100 TB this gives
+    50,000 initial shuffle partitions and about 400k scan tasks.
     """
-    n = max(200, int(input_bytes // target_partition_bytes))
+    n = int(min(max_partitions, max(200, input_bytes // bytes_per_shuffle_partition)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 ** 2),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 ** 2),
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
     }
