@@ -293,3 +293,23 @@ def resume_incremental(spark: SparkSession, raw: RawTables, curated_root: str, c
     if not pending:
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
     return incremental_load(spark, raw, curated_root, ctx, ops_root=ops_root, tables=pending, **kw)
+
+
+def quality_run(spark: SparkSession, raw_orders: DataFrame, curated_root: str, ctx: RunContext,
+                ops_root: str | None = None, catalog=None, gate: bool = False,
+                strict: bool = False) -> DataFrame:
+    """Q7-Q10 over the live curated tables: run the six checks (fused and
+    concurrent), append the results to ``dq_results`` and, when ``gate``,
+    raise if a CRITICAL check failed. Returns the result frame."""
+    from ..operators import quality as Q
+    orders = read_current(spark, f"{curated_root}/orders")
+    items = read_current(spark, f"{curated_root}/order_items")
+    payments = read_current(spark, f"{curated_root}/order_payments")
+    kw = {"catalog": catalog} if catalog is not None else {}
+    res = Q.run_checks(spark, Q.standard_checks(raw_orders, orders, items, payments, **kw), ctx)
+    if ops_root:
+        ensure_ops_tables(spark, ops_root)
+        append_log(res, f"{ops_root}/dq_results", Q.DQ_SCHEMA)
+    if gate:
+        Q.gate(res, strict=strict)
+    return res

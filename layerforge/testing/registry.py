@@ -1172,3 +1172,67 @@ def q_resume_incremental(spark, d):
     resumed = L.resume_incremental(spark, raw2, f"{root}/curated", B2_LOAD, log,
                                    ops_root=f"{root}/ops")
     return resumed.select(*_LOG_COLS)
+
+
+
+# =================== quality run over the written tables of a full load
+
+def _quality_run_sql() -> str:
+    """The six checks over the full-load tables (raw orders with gaps for
+    the null and duplicate checks, as in ``dq_run_all``)."""
+    cur_o = f"({O.curated_orders_sql('b1', RAW_B1_ORDERS)})"
+    cur_i, cur_p = f"({O.curated_items_sql()})", f"({O.curated_payments_sql()})"
+    gaps = "(SELECT * FROM raw_orders_gaps)"
+    s = _sample_sql
+    checks = [
+        ("null_mandatory_fields_orders", "Orders with NULL order_id, customer_id, or order_status",
+         "raw_orders", "CRITICAL",
+         "SELECT count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS a, "
+         "count(*) AS t, " + s(f"(SELECT * FROM {gaps} WHERE order_id IS NULL OR customer_id IS NULL "
+                                "OR order_status IS NULL)") + f" AS smp FROM {gaps}"),
+        ("invalid_order_status", "Orders with order_status not in approved catalog values", "orders",
+         "WARNING", "SELECT count_if(order_status NOT IN ('p', 'f')) AS a, count(*) AS t, "
+         + s(f"(SELECT * FROM {cur_o} WHERE order_status NOT IN ('p', 'f'))") + f" AS smp FROM {cur_o}"),
+        ("orphan_order_items", "order_items rows whose order_id has no matching order in curated orders",
+         "order_items", "ERROR",
+         f"SELECT (SELECT count(*) FROM qr_orph) AS a, (SELECT count(*) FROM {cur_i}) AS t, "
+         + s("qr_orph") + " AS smp"),
+        ("duplicate_order_ids_raw", "order_id values that appear more than once in raw_orders",
+         "raw_orders", "ERROR",
+         "SELECT coalesce((SELECT sum(cnt - 1) FROM qr_dup), 0) AS a, "
+         f"(SELECT count(*) FROM {gaps}) AS t, " + s("qr_dup") + " AS smp"),
+        ("invalid_date_range_delivery", "Orders where delivered_customer_date < purchase_timestamp",
+         "orders", "WARNING",
+         "SELECT count_if(order_delivered_customer_date IS NOT NULL AND order_delivered_customer_date "
+         "< order_purchase_timestamp) AS a, count(*) AS t, "
+         + s(f"(SELECT * FROM {cur_o} WHERE order_delivered_customer_date IS NOT NULL AND "
+             "order_delivered_customer_date < order_purchase_timestamp)") + f" AS smp FROM {cur_o}"),
+        ("payments_without_items", "Orders that have payment records but no item records in curated",
+         "order_payments / order_items", "WARNING",
+         f"SELECT (SELECT count(*) FROM qr_miss) AS a, (SELECT count(DISTINCT order_id) FROM {cur_p}) AS t, "
+         + s("qr_miss") + " AS smp"),
+    ]
+    extra = ",\n  ".join([
+        f"qr_orph AS (SELECT i.order_id FROM {cur_i} i LEFT JOIN {cur_o} o USING (order_id) "
+        "WHERE o.order_id IS NULL)",
+        f"qr_dup AS (SELECT order_id, count(*) AS cnt FROM {gaps} GROUP BY order_id HAVING count(*) > 1)",
+        f"qr_miss AS (SELECT DISTINCT p.order_id FROM {cur_p} p WHERE NOT EXISTS "
+        f"(SELECT 1 FROM {cur_i} i WHERE i.order_id = p.order_id))"])
+    parts = [f"SELECT 'b1' AS batch_id, '{n}' AS check_name, '{desc}' AS check_description, "
+             f"'{tbl}' AS table_name, '{sev}' AS severity, "
+             "CASE WHEN coalesce(a, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+             "CAST(coalesce(a, 0) AS BIGINT) AS affected_count, "
+             f"CAST(coalesce(t, 0) AS BIGINT) AS total_count, smp AS sample_ids FROM ({body})"
+             for n, desc, tbl, sev, body in checks]
+    return O.with_raw(" UNION ALL ".join(parts), "raw_orders", "raw_customers", "raw_orders_gaps",
+                      "raw_order_items", "raw_order_payments", extra=extra)
+
+
+@register("quality_run_report", _quality_run_sql())
+def q_quality_run(spark, d):
+    # full load, then the quality run over the written tables; the results
+    # are read back from the ops table they were appended to
+    root, _ = _full_load(spark, d)
+    L.quality_run(spark, TT.raw_orders_with_gaps(spark, d), f"{root}/curated", B1,
+                  ops_root=f"{root}/ops", catalog=TT.STATUS_CATALOG_TEST)
+    return spark.read.parquet(f"{root}/ops/dq_results").drop("check_timestamp")
