@@ -25,6 +25,10 @@ def norm(v):
     return (4, str(v))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def canon(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return [cols[i] for i in order], sorted(tuple(norm(r[i]) for i in order) for r in rows)
@@ -51,6 +55,10 @@ def test_query_matches_oracle(spark, duck, name):
     cur = duck.execute(E.oracle_sql()[name])
     drows = cur.fetchall()
     assert canon(df.columns, srows) == canon([d[0] for d in cur.description], drows)
+    stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+              for f in df.schema.fields}
+    dtypes = {r[0]: r[1] for r in duck.execute(f"DESCRIBE ({E.oracle_sql()[name]})").fetchall()}
+    assert stypes == dtypes
 
 
 def test_entry_smoke(spark):
