@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import exact_dedup
+from . import exact_dedup, quality_rules
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 
 ORACLES = {
