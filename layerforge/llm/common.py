@@ -7,6 +7,8 @@ both carry the same text and so get the same decision.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -105,3 +107,12 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
     return x ^ (x >> np.uint64(32))
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker.  Functions of this
+    package reach workers by value, so module globals would not outlast a task."""
+    name = "_lf_worker_cache"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    return vars(sys.modules[name]).setdefault("cache", {})

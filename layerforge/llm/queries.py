@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, quality_rules, simhash, substring_dedup
+from . import exact_dedup, packing, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
+    "op6_packing": packing.op6_packing,
 }
 
 ORACLES = {
