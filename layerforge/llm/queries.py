@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, packing, quality_rules, simhash, substring_dedup
+from . import bpe, exact_dedup, packing, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op6_packing": packing.op6_packing,
+    "op8_bpe": bpe.op8_bpe,
 }
 
 ORACLES = {
