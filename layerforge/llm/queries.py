@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, packing, quality_rules, simhash, substring_dedup
+from . import bpe, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_substring_dedup": substring_dedup.op3_substring_dedup,
     "op6_packing": packing.op6_packing,
     "op8_bpe": bpe.op8_bpe,
+    "op9_language_id": language_id.op9_language_id,
 }
 
 ORACLES = {
