@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup
+from . import bpe, chat_format, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -12,8 +12,10 @@ QUERIES = {
     "op6_packing": packing.op6_packing,
     "op8_bpe": bpe.op8_bpe,
     "op9_language_id": language_id.op9_language_id,
+    "op5_chat_format": chat_format.op5_chat_format,
 }
 
 ORACLES = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op5_chat_format": chat_format.OP5_SQL,
 }
