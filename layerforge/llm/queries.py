@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup
+from . import bpe, chat_format, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup, token_counts
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_language_id": language_id.op9_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
+    "op7_token_counts": token_counts.op7_token_counts,
 }
 
 ORACLES = {
