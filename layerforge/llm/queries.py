@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, chat_format, exact_dedup, language_id, packing, quality_rules, simhash, substring_dedup, token_counts
+from . import (bpe, chat_format, exact_dedup, language_id, lm_score, packing, quality_rules, simhash, substring_dedup,
+               token_counts)
 
 QUERIES = {
+    "op1_lm_score": lm_score.op1_lm_score,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op10_quality_rules": quality_rules.op10_quality_rules,
     "op2_simhash_near_dedup": simhash.op2_simhash_near_dedup,
