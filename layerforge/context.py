@@ -25,7 +25,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -40,18 +39,20 @@ class RunContext:
 
 
 def cluster_conf(input_bytes: int, bytes_per_shuffle_partition: int = 1024 ** 3,
-                 max_partitions: int = 50_000) -> dict:
+                 max_partitions: int = 50_000, shuffled_per_input: float = 1.0) -> dict:
     """Shuffle sizing for a cluster run over ``input_bytes`` of input.
 
-    Shuffled bytes are a fraction of the input once scans are pruned and
-    aggregates combined map-side, so the initial shuffle width is one
-    partition per GB of input, clamped to [200, 50,000]. The clamp keeps
-    the map x reduce block count manageable. AQE then coalesces small
-    partitions towards 128 MB and splits skewed join partitions above 5x
-    the median (and 512 MB). Scan splits are 256 MB. For 100 TB this gives
-    50,000 initial shuffle partitions and about 400k scan tasks.
+    Dedup windows and merges shuffle whole rows, and compressed parquet
+    grows when it is shuffled, so ``input_bytes`` is multiplied by
+    ``shuffled_per_input`` (measure it for your tables) before it is divided
+    into partitions. AQE coalesces small partitions towards 128 MB and splits
+    skewed join partitions, but it never splits a window's partition, which
+    is why the width comes from shuffled bytes. The upper clamp bounds the
+    map x reduce block count: at 100 TB of input and a factor of 3 a window
+    task then reads about 6 GB instead of 1 GB and sorts it on disk, which is
+    slower but complete. Raise it where the shuffle service can take more.
     """
-    n = int(min(max_partitions, max(200, input_bytes // bytes_per_shuffle_partition)))
+    n = int(min(max_partitions, max(200, input_bytes * shuffled_per_input // bytes_per_shuffle_partition)))
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
@@ -93,18 +94,26 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def is_one_process(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[n]``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_root(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach). Only when the session names none, as
-    in tests and local runs, a fresh local folder is created and registered.
+    storage every executor can reach); a cluster session that names none is
+    refused. Only a session in this one process (``local[...]``, as in tests)
+    gets a fresh local folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
         if not current:
+            if not is_one_process(sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             current = tempfile.mkdtemp(prefix="lf-work-", dir="/tmp")
         sc.setCheckpointDir(current)
         current = sc.getCheckpointDir() or current

@@ -9,13 +9,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Whitespace trim of the warehouse: strips every leading/trailing whitespace
-# character (tab, newline, ...), not only blanks as Spark's ``trim`` does.
-_EDGE_WS = r"^\s+|\s+$"
+# character of Unicode (tab, newline, no-break and ideographic space, ...), not
+# only blanks as Spark's ``trim`` does.
+_EDGE_WS = r"(?U)^\s+|\s+$"
+
+# A time of day that is followed by a zone: Z, UTC or an offset.
+_ZONED = r"(?i):\d{2}(\.\d+)?\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)\s*$"
 
 # Target types of the strict casts. Warehouse TIMESTAMP values are absolute
 # UTC instants; they are kept as zone-free UTC wall-clock values so results
@@ -76,6 +80,19 @@ def cast_strict(c: str | Column, type_name: str | T.DataType) -> Column:
     return _col(c).cast(to_type(type_name))
 
 
+def cast_timestamp(df: DataFrame, c: str) -> Column:
+    """P4 for timestamps: an absolute instant as UTC wall-clock time. Text with
+    a zone is converted, text without one is UTC already. A column that is
+    typed already is cast plainly, so filters on it still reach the scan."""
+    plain = F.col(c).cast(T.TimestampNTZType())
+    if not isinstance(df.schema[c].dataType, T.StringType):
+        return plain
+    micros = F.unix_micros(F.col(c).cast(T.TimestampType())).cast("decimal(20,0)")
+    seconds = (micros / 1_000_000).cast("decimal(18,6)")
+    utc = ntz_lit("1970-01-01 00:00:00") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+    return F.when(F.col(c).rlike(_ZONED), utc).otherwise(plain)
+
+
 def cast_or_zero(c: str | Column, type_name: str | T.DataType) -> Column:
     """P5: strict cast with NULL replaced by zero of the target type."""
     t = to_type(type_name)
@@ -144,8 +161,3 @@ def before(later: str | Column, earlier: str | Column) -> Column:
     """Row-level order violation: ``later`` present and < ``earlier``."""
     l_, e_ = _col(later), _col(earlier)
     return l_.isNotNull() & (l_ < e_)
-
-
-def json_array(c: str | Column) -> Column:
-    """P19 element step: JSON text of an array column."""
-    return F.to_json(_col(c))

@@ -8,9 +8,10 @@ top-5 (``TakeOrderedAndProject``). The per-check pieces are stacked with
 violating row set is ever gathered whole and no cross join is needed.
 
 ``run_checks`` is the runner: row-predicate checks over the same frame are
-fused into one scan (one ``agg`` with a ``count_if`` per predicate), samples
-are fetched only for failed checks, and a check that raises is recorded with
-status ERROR, affected -1, as the warehouse runner does.
+fused into one scan (one ``agg`` with a ``count_if`` per predicate) and
+sampled only if they fail; checks that compare keys count and sample from one
+shuffle. A check that raises is recorded with status ERROR, affected -1, as
+the warehouse runner does.
 """
 
 from __future__ import annotations
@@ -24,15 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..context import RunContext
-from ..functions.columns import before, not_in_domain, ntz_lit
-from .relational import keys_missing_in, sample_ids
+from ..functions.columns import before, not_in_domain
+from .relational import sample_ids
 
 # The order-status catalog of the domain check.
 ORDER_STATUS_CATALOG = ["delivered", "shipped", "canceled", "invoiced",
                         "processing", "approved", "unavailable", "created"]
 
-RESULT_COLS = ["affected_count", "total_count", "sample_ids"]
-
 DQ_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType(), False),
     T.StructField("check_name", T.StringType(), False),
@@ -128,8 +127,10 @@ def check_unique(df: DataFrame, keys: str | Sequence[str], id_col: str | None =
 def check_keys_present(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Q6: distinct keys of ``a`` missing in ``b`` (one direction);
     total = COUNT(DISTINCT key) of ``a``."""
-    m = keys_missing_in(a, b, key)
-    total = a.agg(F.count_distinct(F.col(key)).alias("total_count"))
+    # one distinct of the keys (a reused shuffle) serves total, count and sample
+    distinct = a.select(key).distinct()
+    m = distinct.join(b.select(key), key, "left_anti")
+    total = distinct.agg(F.count(F.col(key)).alias("total_count"))
     return _fold(_count(m, "affected_count"), total, sample_ids(m, key))
 
 
@@ -222,7 +223,8 @@ def evaluate_checks(checks: Sequence[Check], ctx: RunContext, fuse: bool = True,
         units = [[c] for c in checks]
 
     def run(unit: list[Check]) -> list[tuple]:
-        return _eval_fused(unit, ctx) if len(unit) > 1 else [_eval_one(unit[0], ctx)]
+        # a row predicate is counted first and sampled only if it failed
+        return _eval_fused(unit, ctx) if unit[0].frame is None else [_eval_one(unit[0], ctx)]
 
     if parallel > 1 and len(units) > 1:
         with ThreadPoolExecutor(max_workers=min(parallel, len(units))) as pool:
@@ -239,29 +241,6 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], ctx: RunContext,
     return spark.createDataFrame(evaluate_checks(checks, ctx, fuse, parallel), DQ_SCHEMA)
 
 
-def checks_frame(checks: Sequence[Check], ctx: RunContext) -> DataFrame:
-    """Lazy variant of the runner: every check's one-row frame with its
-    metadata and status, stacked; nothing runs until the caller acts. A
-    failing check fails the whole frame (use ``run_checks`` to isolate)."""
-    parts = []
-    for c in checks:
-        r = c.result_frame()
-        aff = F.coalesce(F.col("affected_count"), F.lit(0)).cast("bigint")
-        parts.append(r.select(
-            F.lit(ctx.batch_id).alias("batch_id"), F.lit(c.name).alias("check_name"),
-            F.lit(c.description).alias("check_description"), F.lit(c.table).alias("table_name"),
-            F.lit(c.severity).alias("severity"),
-            F.when(aff == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
-            aff.alias("affected_count"),
-            F.coalesce(F.col("total_count"), F.lit(0)).cast("bigint").alias("total_count"),
-            F.col("sample_ids"),
-            ntz_lit(ctx.run_ts).alias("check_timestamp")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 def with_pct(results: DataFrame) -> DataFrame:
     """Q8: violation percentage as text with two decimals, ``n/a`` when the
     total is 0."""
@@ -300,29 +279,30 @@ def gate(results: DataFrame, strict: bool = False) -> None:
 
 # -------------------------------------------- the six checks of the runs
 
+# Name -> (description, table, severity) of the result rows.
+STANDARD_META = {
+    "null_mandatory_fields_orders": ("Orders with NULL order_id, customer_id, or order_status", "raw_orders", "CRITICAL"),
+    "invalid_order_status": ("Orders with order_status not in approved catalog values", "orders", "WARNING"),
+    "orphan_order_items": ("order_items rows whose order_id has no matching order in curated orders", "order_items",
+                           "ERROR"),
+    "duplicate_order_ids_raw": ("order_id values that appear more than once in raw_orders", "raw_orders", "ERROR"),
+    "invalid_date_range_delivery": ("Orders where delivered_customer_date < purchase_timestamp", "orders", "WARNING"),
+    "payments_without_items": ("Orders that have payment records but no item records in curated",
+                               "order_payments / order_items", "WARNING"),
+}
+
 def standard_checks(raw_orders: DataFrame, orders: DataFrame, items: DataFrame,
                     payments: DataFrame, catalog: Sequence[str] = ORDER_STATUS_CATALOG
                     ) -> list[Check]:
     """The six checks run after each load, over the given frames."""
-    return [
-        Check("null_mandatory_fields_orders",
-              "Orders with NULL order_id, customer_id, or order_status", "raw_orders", "CRITICAL",
-              df=raw_orders, predicate=null_predicate(["order_id", "customer_id", "order_status"]),
-              id_col="order_id"),
-        Check("invalid_order_status", "Orders with order_status not in approved catalog values",
-              "orders", "WARNING", df=orders,
-              predicate=not_in_domain("order_status", catalog), id_col="order_id"),
-        Check("orphan_order_items",
-              "order_items rows whose order_id has no matching order in curated orders",
-              "order_items", "ERROR", frame=check_foreign_key(items, orders, "order_id")),
-        Check("duplicate_order_ids_raw", "order_id values that appear more than once in raw_orders",
-              "raw_orders", "ERROR", frame=check_unique(raw_orders, "order_id")),
-        Check("invalid_date_range_delivery",
-              "Orders where delivered_customer_date < purchase_timestamp", "orders", "WARNING",
-              df=orders, predicate=before("order_delivered_customer_date", "order_purchase_timestamp"),
-              id_col="order_id"),
-        Check("payments_without_items",
-              "Orders that have payment records but no item records in curated",
-              "order_payments / order_items", "WARNING",
-              frame=check_keys_present(payments, items, "order_id")),
-    ]
+    how = {
+        "null_mandatory_fields_orders": dict(df=raw_orders, id_col="order_id", predicate=null_predicate(
+            ["order_id", "customer_id", "order_status"])),
+        "invalid_order_status": dict(df=orders, id_col="order_id", predicate=not_in_domain("order_status", catalog)),
+        "orphan_order_items": dict(frame=check_foreign_key(items, orders, "order_id")),
+        "duplicate_order_ids_raw": dict(frame=check_unique(raw_orders, "order_id")),
+        "invalid_date_range_delivery": dict(df=orders, id_col="order_id", predicate=before(
+            "order_delivered_customer_date", "order_purchase_timestamp")),
+        "payments_without_items": dict(frame=check_keys_present(payments, items, "order_id")),
+    }
+    return [Check(name, *STANDARD_META[name], **kw) for name, kw in how.items()]

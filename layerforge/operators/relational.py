@@ -82,11 +82,11 @@ def enrich(df: DataFrame, lookup: DataFrame, on, how: str = "left",
         if lookup_unique == "first":
             lookup = keep_one(lookup, keys)
         elif lookup_unique == "error":
-            dup = (lookup.groupBy(*keys).count()
-                   .select(F.assert_true(F.col("count") == 1,
-                                         F.lit("duplicate lookup key")).alias("ok")))
-            # fail fast, before the (large) fact side is read
-            dup.filter(F.col("ok").isNotNull()).limit(1).collect()
+            # counted by key with partial sums, checked when the join runs
+            row = F.struct(*[F.col(f"`{c}`") for c in lookup.columns])
+            lookup = (lookup.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(row).alias("_row"))
+                      .withColumn("_ok", F.assert_true(F.col("_n") == 1, F.lit("duplicate lookup key")))
+                      .filter(F.col("_ok").isNull()).select("_row.*"))
         else:
             raise ValueError(f"unknown lookup_unique={lookup_unique!r}")
     return df.join(lookup, on, how)

@@ -14,56 +14,56 @@ the previous version in place. Semantics follow the warehouse MERGE:
 * two source rows for one key fail the job (the warehouse refuses such a
   MERGE; a join would silently multiply).
 
-Two physical strategies, both one pass over the target:
-
-``broadcast``
-    used when the source (the delta) is proven small: after it has been
-    checkpointed to the shared checkpoint folder its size is measured (rows
-    times fixed-width bytes plus the actual bytes of its strings) and
-    checked against ``broadcast_max_bytes``. The target is then never shuffled: updates
-    are a map-side left join against the broadcast source, and the matched
-    keys found the same way feed a small anti join for the inserts.
-``shuffle``
-    full outer join co-partitioned on the keys; used for any source size.
+One plan for every size: updates come from a left join of the target with the
+source, inserts from a left anti join of the source with the target's keys.
+The target is scanned twice, the second time for its keys only; there is no
+full outer join, so AQE may broadcast a side whose measured size allows it and
+may split the rows of a hot key, on the target's side too. A NULL key never
+matches: such target rows are kept by the outer side of the left join, such
+source rows by the anti join. Source rows are counted by key with partial sums
+before the shuffle, so a repeated key fails without its rows being gathered.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..context import RunContext, work_root
 from ..functions.columns import changed as _changed
 from ..functions.columns import ntz_lit
+from ..sources.sinks import layout
 
-LINEAGE = ("_source_file", "_load_timestamp", "_batch_id")
-DEFAULT_BROADCAST_MAX_BYTES = 128 * 1024 * 1024
-
+#: Partition values that a plan may hold as literals.
+MAX_LITERALS = 10_000
 
+LINEAGE = ("_source_file", "_load_timestamp", "_batch_id")
 def _cols(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
 def _assert_unique(source: DataFrame, keys: list[str]) -> DataFrame:
-    """Lazily fail when a key repeats in the (non-NULL-key) source. The count
-    is a window partitioned by the keys, the same partitioning the merge join
-    needs, so it adds no exchange; a repeated key fails the job anyway, so a
-    large window group only occurs on input that is rejected."""
-    ok = F.count(F.lit(1)).over(Window.partitionBy(*keys)) == 1
-    return source.withColumn(
-        "_s", F.coalesce(F.assert_true(ok, F.lit("upsert: source key matches more than one row")).cast("boolean"),
-                         F.lit(True)))
+    """Lazily fail when a non-NULL key repeats in the source. Rows are reduced
+    to one a key and counted, with partial sums in the map tasks; rows with a
+    NULL key never match and are left as they are."""
+    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    row = F.struct(*[F.col(f"`{c}`") for c in source.columns])
+    one = (source.filter(~null_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(row).alias("_row"))
+           .withColumn("_ok", F.assert_true(F.col("_n") == 1, F.lit("upsert: source key matches more than one row")))
+           .select("_row", F.coalesce(F.col("_ok").cast("boolean"), F.lit(True)).alias("_s")).select("_row.*", "_s"))
+    return one.unionByName(source.filter(null_key).withColumn("_s", F.lit(True)))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
            changed_on: str | Sequence[str] | Column, update_cols: Sequence[str],
            ctx: RunContext, source_label: str | None = None,
-           null_safe_change: bool = False, check_unique: bool = True,
-           strategy: str = "auto",
-           broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
-    """New version of ``target`` after merging ``source``.
+           null_safe_change: bool = False, check_unique: bool = True) -> DataFrame:
+    """New version of ``target`` after merging ``source``, which is read
+    twice: pass a written or checkpointed frame where it is costly to make.
 
     ``changed_on``: column name(s) compared with ``!=`` (NULL means "not
     changed"; ``null_safe_change`` uses IS DISTINCT FROM), or a Column over
@@ -74,26 +74,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
     has_lineage = all(c in out_cols for c in LINEAGE)
 
     t = target.select(*out_cols).withColumn("_t", F.lit(True))
-
-    if strategy == "auto":
-        # the size check that licenses a broadcast: the source is written to
-        # the shared checkpoint folder (cuts its lineage, so a lost executor
-        # does not recompute the delta) and measured there
-        work_root(source.sparkSession)
-        source = source.checkpoint(eager=True)
-        strategy = "broadcast" if _size_bytes(source) <= broadcast_max_bytes else "shuffle"
-
-    # A NULL key never matches: such target rows are kept and such source
-    # rows are inserted without entering the join or the uniqueness window,
-    # so a NULL-key hot spot never lands in one partition.
-    null_key = None
-    for k in keys:
-        null_key = F.col(k).isNull() if null_key is None else (null_key | F.col(k).isNull())
-    t_null, t = t.filter(null_key), t.filter(~null_key)
-    s_null = source.filter(null_key).withColumn("_s", F.lit(True))
-    s_nn = source.filter(~null_key)
-    s = _assert_unique(s_nn, keys) if check_unique else s_nn.withColumn("_s", F.lit(True))
-
+    s = _assert_unique(source, keys) if check_unique else source.withColumn("_s", F.lit(True))
     ta, sa = t.alias("t"), s.alias("s")
     if isinstance(changed_on, Column):
         chg = changed_on
@@ -137,37 +118,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str],
                               .cast(target.schema[c].dataType).alias(c) for c in out_cols],
                             F.lit("insert").alias("_action"))
 
-    kept_null = t_null.select(*out_cols, F.lit("keep").alias("_action"))
-    side = kept_null.unionByName(inserted(s_null))
-
-    if strategy == "shuffle":
-        return project(ta.join(sa, cond, "full_outer")).unionByName(side)
-    if strategy != "broadcast":
-        raise ValueError(f"unknown strategy {strategy!r} (use 'auto' or 'shuffle')")
-
-    # target side: map-side left join against the broadcast source
-    kept_or_updated = project(ta.join(F.broadcast(sa), cond, "left"))
-    # inserts: source keys absent from the target. The matched keys are
-    # found map-side too (semi join of the target's key columns against the
-    # broadcast source keys), so the anti join below sees at most |source|
-    # keys on each side.
-    matched = t.select(*keys).join(F.broadcast(s.select(*keys)), keys, "left_semi").distinct()
-    inserts = inserted(s.join(matched, keys, "left_anti"))
-    return kept_or_updated.unionByName(inserts).unionByName(side)
-
-
-def _size_bytes(df: DataFrame) -> int:
-    """Measured in-memory size of a (materialised) frame: fixed-width bytes
-    per row plus the actual bytes of every string/binary value."""
-    var = [f.name for f in df.schema.fields
-           if f.dataType.typeName() in ("string", "binary")]
-    width = {"byte": 1, "boolean": 1, "short": 2, "integer": 4, "date": 4, "float": 4}
-    fixed = sum(width.get(f.dataType.typeName(), 8) for f in df.schema.fields if f.name not in var)
-    aggs = [F.count(F.lit(1)).alias("n")] + [
-        F.coalesce(F.sum(F.octet_length(F.col(c))), F.lit(0)).alias(f"b{i}")
-        for i, c in enumerate(var)]
-    row = df.agg(*aggs).first()
-    return int(row["n"]) * (fixed + 8) + sum(int(row[f"b{i}"]) for i in range(len(var)))
+    kept_or_updated = project(ta.join(sa, cond, "left"))
+    return kept_or_updated.unionByName(inserted(s.join(target.select(*keys), keys, "left_anti")))
 
 
 def _insert_expr(c: str, has_lineage: bool, ctx: RunContext, label: str | None,
@@ -219,34 +171,43 @@ def upsert_partitions(spark, path: str, source: DataFrame, keys: str | Sequence[
     (inserts land there) and those of the target rows the source matches
     (updates stay in their partition, because the partition column is not
     in ``update_cols``); they are found from the key and partition columns
-    only. Their rows are merged and written back with dynamic partition
-    overwrite, so the job reads and rewrites those partitions and nothing
-    else; a failed job replaces none. The list of touched partition values
-    is the only thing collected (bounded by the number of partitions).
-    Returns the touched values and the merge counts.
+    only, NULL included. Their rows are merged and written back with dynamic
+    partition overwrite, so the job reads and rewrites those partitions and
+    nothing else. A job that fails before its commit replaces none; the commit
+    itself renames one partition after another. Returns the touched values
+    (the first ``MAX_LITERALS``) and the merge counts.
     """
     keys = _cols(keys)
     if part_col in update_cols:
         raise ValueError("the partition column cannot be updated in place")
     target = spark.read.parquet(path)
-    src = source.withColumn(part_col, part_of(source).cast(target.schema[part_col].dataType))
     work_root(spark)
-    src = src.checkpoint(eager=True)
+    src = source.withColumn(part_col, part_of(source).cast(target.schema[part_col].dataType)).checkpoint(eager=True)
     hit = target.select(*keys, part_col).join(src.select(*keys), keys, "left_semi")
-    touched = [r[0] for r in src.select(part_col).union(hit.select(part_col)).distinct().collect()]
-    if not touched:
+    touched = src.select(part_col).union(hit.select(part_col)).distinct().checkpoint(eager=True)
+    n_touched = touched.count()
+    if not n_touched:
         return {"partitions": [], "inserted": 0, "updated": 0, "kept": 0}
-    t = target.filter(F.col(part_col).isin(touched))
+    # literal values prune folders; a list too long for a plan is joined instead
+    # (the same rows, from a scan of all partitions)
+    if n_touched <= MAX_LITERALS:
+        values = [r[0] for r in touched.collect()]
+        known = [v for v in values if v is not None]
+        wanted = F.col(part_col).isin(known) if known else F.lit(False)
+        t = target.filter(wanted | F.col(part_col).isNull() if None in values else wanted)
+    else:
+        right = touched.select(F.col(part_col).alias("_touched"))
+        t = target.join(right, target[part_col].eqNullSafe(right["_touched"]), "left_semi")
     merged = upsert(t, src, keys, changed_on, update_cols, ctx, source_label=source_label, **kw)
-    from pyspark.sql import Observation
-    obs = Observation(f"upsert_parts_{ctx.batch_id}_{abs(hash(path))}")
+    obs = Observation(f"upsert_parts_{uuid.uuid4().hex}")
     a = F.col("_action")
     merged = merged.observe(obs, F.count_if(a == "insert").alias("inserted"),
                             F.count_if(a == "update").alias("updated"),
                             F.count_if(a == "keep").alias("kept"))
-    (merged.drop("_action").write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic")
-           .partitionBy(part_col).parquet(path))
+    (layout(merged.drop("_action"), [part_col]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(path))
     m = obs.get
-    return {"partitions": sorted(touched), "inserted": int(m["inserted"]),
+    parts = touched.orderBy(F.col(part_col).asc_nulls_first()).limit(MAX_LITERALS).collect()
+    return {"partitions": [r[0] for r in parts], "inserted": int(m["inserted"]),
             "updated": int(m["updated"]), "kept": int(m["kept"])}

@@ -1,7 +1,7 @@
 """Operational extensions proposed alongside the loads (X1-X8): partitioned
 layout, alert thresholds, replay bookkeeping, reject tables, schema diffs,
-data contracts, masking and snapshot expiry. All are DataFrame operators;
-none collects data to the driver.
+data contracts, masking and snapshot expiry. All are DataFrame operators; what
+the driver gets is at most a row for each column or rule.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_lit
 from ..context import RunContext
+from ..sources.sinks import path_exists
 
 
 # ------------------------------------------------------------- X1 layout
@@ -109,14 +110,74 @@ def schema_diff(old: DataFrame, new: DataFrame) -> DataFrame:
                     change.alias("change"), sev.alias("severity")).filter(F.col("change").isNotNull())
 
 
+SCHEMA_VERSIONS = "table_name string, batch_id string, captured_at timestamp_ntz, " + SCHEMA_SNAPSHOT
+
+
+class BreakingSchemaChange(RuntimeError):
+    pass
+
+
+def record_schema(spark: SparkSession, df: DataFrame, table: str, ctx: RunContext, path: str,
+                  halt: bool = True) -> DataFrame:
+    """Compare a table's schema with the last one stored for it in the
+    ``schema_versions`` table, append it, and return the differences. With
+    ``halt`` a breaking change raises before anything is stored."""
+    snap = schema_snapshot(spark, df)
+    if path_exists(spark, path):
+        stored = spark.read.schema(SCHEMA_VERSIONS).parquet(path).filter(F.col("table_name") == table)
+        last = stored.agg(F.max(F.struct("captured_at", "batch_id")).alias("m")).first()["m"]
+        if last is None:
+            diff = schema_diff(snap, snap)
+        else:
+            diff = schema_diff(stored.filter((F.col("captured_at") == ntz_lit(last["captured_at"]))
+                                             & (F.col("batch_id") == last["batch_id"])), snap)
+    else:
+        diff = schema_diff(snap, snap)
+    rows = diff.collect()                                  # at most one row a column
+    broken = [r["column_name"] for r in rows if r["severity"] == "BREAKING"]
+    if halt and broken:
+        raise BreakingSchemaChange(f"{table}: " + ", ".join(sorted(broken)))
+    (snap.select(F.lit(table).alias("table_name"), F.lit(ctx.batch_id).alias("batch_id"),
+                 ntz_lit(ctx.run_ts).alias("captured_at"), *snap.columns).write.mode("append").parquet(path))
+    return spark.createDataFrame(rows, diff.schema)
+
+
+def write_rejects(rejects: DataFrame, table: str, path: str) -> None:
+    """Append rejected rows to the rejects table: table, batch, reason and
+    the row itself as JSON, so rows of all tables fit one schema."""
+    row = F.to_json(F.struct(*[F.col(c) for c in rejects.columns if c not in ("reject_reason", "_batch_id")]))
+    (rejects.select(F.lit(table).alias("table_name"), F.col("_batch_id").alias("batch_id"), "reject_reason",
+                    row.alias("row")).write.mode("append").parquet(path))
+
+
+def contract_checks(df: DataFrame, table: str, contract: Mapping, ctx: RunContext) -> DataFrame:
+    """``validate_contract`` as rows of ``dq_results``, one a rule."""
+    counts = validate_contract(df, contract)
+    rules = [c for c in counts.columns if c != "rows"]
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.col(r).alias("affected")) for r in rules]))
+    return counts.select("rows", each.alias("e")).select(
+        F.lit(ctx.batch_id).alias("batch_id"), F.concat(F.lit(f"contract_{table}_"), F.col("e.rule")).alias("check_name"),
+        F.concat(F.lit("Contract rule "), F.col("e.rule")).alias("check_description"), F.lit(table).alias("table_name"),
+        F.lit("ERROR").alias("severity"),
+        F.when(F.col("e.affected") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")).alias("status"),
+        F.col("e.affected").alias("affected_count"), F.col("rows").alias("total_count"), F.lit("[]").alias("sample_ids"),
+        ntz_lit(ctx.run_ts).alias("check_timestamp"))
+
+
 # ------------------------------------------------------------ X6 contract
 
-def daily_volume_breaches(df: DataFrame, ts_col: str, min_rows: int) -> DataFrame:
-    """Days whose row count is under the contract floor (partial
-    aggregation per day; a day with no rows at all is not listed)."""
-    return (df.groupBy(F.to_date(F.col(ts_col)).alias("day"))
-              .agg(F.count(F.lit(1)).alias("rows"))
-              .filter(F.col("rows") < min_rows))
+def daily_volume_breaches(df: DataFrame, ts_col: str, min_rows: int, first_day=None, last_day=None) -> DataFrame:
+    """Days whose row count is under the contract floor, days without any row
+    included: every day from ``first_day`` to ``last_day`` (by default those
+    of the data) is joined with the counts by day (partial aggregation).
+    Rows without a time belong to no day."""
+    per_day = (df.filter(F.col(ts_col).isNotNull()).groupBy(F.to_date(F.col(ts_col)).alias("day"))
+                 .agg(F.count(F.lit(1)).alias("rows")))
+    ends = per_day.agg(F.coalesce(F.lit(first_day).cast("date"), F.min("day")).alias("a"),
+                       F.coalesce(F.lit(last_day).cast("date"), F.max("day")).alias("b"))
+    days = ends.filter(F.col("a") <= F.col("b")).select(F.explode(F.sequence("a", "b")).alias("day"))
+    return (days.join(per_day, "day", "left").select("day", F.coalesce("rows", F.lit(0)).alias("rows"))
+                .filter(F.col("rows") < min_rows))
 
 
 def freshness(df: DataFrame, ts_col: str, now, max_hours: float) -> DataFrame:
@@ -131,9 +192,17 @@ def freshness(df: DataFrame, ts_col: str, now, max_hours: float) -> DataFrame:
 
 def validate_contract(df: DataFrame, contract: Mapping) -> DataFrame:
     """Types, nullability, allowed values and ranges as one fused one-row
-    aggregate of violation counts (column ``<rule>``), one scan."""
+    aggregate of violation counts (column ``<rule>``), one scan. A column that
+    is missing violates its ``<column>__missing`` rule once and no other;
+    ``max_null_rate`` counts the NULLs beyond that share of the rows."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     for c, spec in contract.get("columns", {}).items():
+        aggs.append(F.lit(int(c not in df.columns)).cast("bigint").alias(f"{c}__missing"))
+        if c not in df.columns:
+            continue
+        if "max_null_rate" in spec:
+            over = F.count_if(F.col(c).isNull()) - F.floor(F.count(F.lit(1)) * F.lit(float(spec["max_null_rate"])))
+            aggs.append(F.greatest(over, F.lit(0)).cast("bigint").alias(f"{c}__null_rate"))
         if "type" in spec:
             aggs.append(F.count_if(try_cast_failed(c, spec["type"])).alias(f"{c}__type"))
         if spec.get("nullable") is False:
@@ -148,10 +217,11 @@ def validate_contract(df: DataFrame, contract: Mapping) -> DataFrame:
 
 # --------------------------------------------------------------- X7 masks
 
-def mask(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """PII columns replaced by their SHA-256 hex digest (joinable, not
-    readable)."""
-    return df.withColumns({c: F.sha2(F.col(c).cast("string"), 256) for c in cols})
+def mask(df: DataFrame, cols: Sequence[str], key: str) -> DataFrame:
+    """PII columns replaced by a keyed SHA-256 hex digest: joinable under one
+    key. Values from a small domain, such as zip codes, can be found by trial
+    by whoever has the key, so it must be kept like the data itself."""
+    return df.withColumns({c: F.sha2(F.concat(F.lit(key), F.lit(":"), F.col(c).cast("string")), 256) for c in cols})
 
 
 def rows_for(df: DataFrame, tenant_col: str, tenant) -> DataFrame:

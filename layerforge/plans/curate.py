@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..context import RunContext
-from ..functions.columns import (blank_to_null, cast_or_zero, cast_strict,
+from ..functions.columns import (blank_to_null, cast_or_zero, cast_strict, cast_timestamp,
                                  days_between_dates, default_unknown, in_range,
                                  norm_lower, norm_upper, on_time, product_if_all,
                                  sum_of)
 from ..operators.relational import enrich, keep_one
+from ..sources.csv import TYPED
 
 LINEAGE_COLS = ["_source_file", "_load_timestamp", "_batch_id"]
 
@@ -81,12 +82,17 @@ def clean_orders(raw_orders: DataFrame, tie_breakers: Sequence[str] | None = Non
     ``newer_than`` applies the high-water filter *before* the dedup: the
     dedup orders by the same purchase timestamp descending, so every key
     with a row above the mark keeps the same winner, and the filter can be
-    pushed into the scan (Catalyst does not push it through the window).
+    pushed into the scan (Catalyst does not push it through the window). On
+    a raw text layer the typed copy of the purchase time that the ingest
+    writes (``TYPED`` + name, see ``sources.csv``) takes the filter.
     """
+    typed = TYPED + "order_purchase_timestamp"
+    if newer_than is not None and typed in raw_orders.columns:
+        raw_orders = raw_orders.filter(F.col(typed) > newer_than)
     o = (raw_orders.filter(F.col("order_id").isNotNull())
          .select("order_id", "customer_id",
                  norm_lower("order_status").alias("order_status"),
-                 *[cast_strict(c, "timestamp").alias(c) for c in _TS_ORDER]))
+                 *[cast_timestamp(raw_orders, c).alias(c) for c in _TS_ORDER]))
     if newer_than is not None:
         o = o.filter(F.col("order_purchase_timestamp") > newer_than)
     return keep_one(o, "order_id", ["order_purchase_timestamp"],
@@ -133,7 +139,7 @@ def typed_items(raw_items: DataFrame) -> DataFrame:
             .select("order_id",
                     cast_strict("order_item_id", "int64").alias("order_item_id"),
                     "product_id", "seller_id",
-                    cast_strict("shipping_limit_date", "timestamp").alias("shipping_limit_date"),
+                    cast_timestamp(raw_items, "shipping_limit_date").alias("shipping_limit_date"),
                     cast_strict("price", "float64").alias("_price_raw"),
                     cast_or_zero("freight_value", "float64").alias("freight_value")))
 
@@ -189,8 +195,8 @@ def typed_reviews(raw_reviews: DataFrame) -> DataFrame:
                     cast_strict("review_score", "int64").alias("review_score"),
                     blank_to_null("review_comment_title").alias("review_comment_title"),
                     blank_to_null("review_comment_message").alias("review_comment_message"),
-                    cast_strict("review_creation_date", "timestamp").alias("review_creation_date"),
-                    cast_strict("review_answer_timestamp", "timestamp").alias("review_answer_timestamp"))
+                    cast_timestamp(raw_reviews, "review_creation_date").alias("review_creation_date"),
+                    cast_timestamp(raw_reviews, "review_answer_timestamp").alias("review_answer_timestamp"))
             .filter(in_range("review_score", 1, 5)))
 
 

@@ -1,15 +1,18 @@
 """Full and incremental loads.
 
 The loads are short driver loops over *tables*, never over rows: each step
-declares one DataFrame plan and writes it as a new snapshot version. Row
-counts come from ``Observation`` metrics collected during that same write
-(no extra scans). Every table runs isolated: a failure becomes a FAILED
-run-log row and the loop continues, as in the warehouse scripts.
+declares one DataFrame plan and writes it as a new snapshot version. Counts of
+written rows come from ``Observation`` metrics of that same write; raw rows are
+counted apart, without columns. Every table runs isolated: a failure becomes a
+FAILED run-log row and the loop continues, as in the warehouse scripts, but
+tables that depend on a failed one are skipped.
 """
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -18,11 +21,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_lit
-from ..context import RunContext
+from ..context import RunContext, work_root
 from ..operators.relational import high_water_mark, restrict_to_batch
 from ..operators.upsert import upsert, upsert_partitions
-from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, current_path, ensure_ops_tables,
-                             read_current, write_snapshot)
+from ..sources.csv import read_raw
+from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, current_path, current_version, ensure_ops_tables,
+                             previous_version, read_current, write_snapshot)
 from . import curate as C
 
 # Table order of the loads (dimensions first, orders before
@@ -30,6 +34,8 @@ from . import curate as C
 FULL_ORDER = ["sellers", "products", "orders", "order_items", "order_payments", "order_reviews"]
 DIMENSIONS = ["sellers", "products"]
 FACTS = ["orders", "order_items", "order_payments", "order_reviews"]
+RAW_NAMES = ["orders", "customers", "order_items", "order_payments", "order_reviews", "products",
+             "category_translation", "sellers"]
 DEFAULT_MARK = "2000-01-01 00:00:00"
 # Independent tables are submitted from a few driver threads so their jobs
 # share the cluster; each job is still fully distributed.
@@ -91,49 +97,97 @@ def _log_row(ctx: RunContext, run_type: str, table: str, read: int, inserted: in
 
 
 def _count_obs(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
 
 
+class RunLog:
+    """The run log of one load. Every row goes to the ops table when it
+    happens (STARTED before a table is touched, SUCCESS, FAILED or SKIPPED
+    after it), so a lost driver leaves behind how far it came. The frame that
+    a load returns has the last row of each table."""
+
+    def __init__(self, spark: SparkSession, ops_root: str | None, ctx: RunContext, run_type: str):
+        self.spark, self.ctx, self.run_type = spark, ctx, run_type
+        self.one_at_a_time = threading.Lock()      # two jobs must not commit into one folder at once
+        self.path = f"{ops_root}/pipeline_run_log" if ops_root else None
+        if ops_root:
+            ensure_ops_tables(spark, ops_root)
+
+    def _append(self, row: tuple) -> tuple:
+        if self.path:
+            with self.one_at_a_time:
+                append_log(self.spark.createDataFrame([row], RUN_LOG_SCHEMA).coalesce(1), self.path, RUN_LOG_SCHEMA)
+        return row
+
+    def row(self, table: str, status: str, read: int = 0, inserted: int = 0, updated: int = 0, skipped: int = 0,
+            seconds: float = 0.0, error: str | None = None, source_rows: int | None = None) -> tuple:
+        return _log_row(self.ctx, self.run_type, table, read, inserted, updated, skipped, status, seconds, error,
+                        source_rows)
+
+    def run(self, table: str, step: Callable[[], dict]) -> tuple:
+        """Run one table's step, which returns the counts of its row. An
+        exception becomes a FAILED row with the whole error text."""
+        t0 = time.time()
+        self._append(self.row(table, "STARTED"))
+        try:
+            row = self.row(table, "SUCCESS", seconds=round(time.time() - t0, 2), **step())
+        except Exception as exc:  # noqa: BLE001 - isolated per table
+            row = self.row(table, "FAILED", seconds=round(time.time() - t0, 2), error=str(exc))
+        return self._append(row[:10] + (round(time.time() - t0, 2),) + row[11:])
+
+    def skip(self, table: str, why: str) -> tuple:
+        return self._append(self.row(table, "SKIPPED", error=why))
+
+    def frame(self, rows: list[tuple]) -> DataFrame:
+        return self.spark.createDataFrame(rows, RUN_LOG_SCHEMA)
+
+
+def _laid_out(df: DataFrame, table: str, layout: dict) -> tuple[DataFrame, dict]:
+    """Partition column and write options of a table's layout: (partition
+    column, function frame -> Column[, clustering columns])."""
+    if table not in layout:
+        return df, {}
+    col, fn, *cluster = layout[table]
+    return df.withColumn(col, fn(df)), {"partition_by": [col], "sort_within": list(cluster[0]) if cluster else None}
+
+
+def _is_live(spark: SparkSession, curated_root: str, table: str, ctx: RunContext) -> bool:
+    return current_version(spark, f"{curated_root}/{table}") == ctx.batch_id
+
+
 def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
               ops_root: str | None = None, tables=FULL_ORDER,
               parallel: int = DEFAULT_PARALLEL, layout: dict | None = None) -> DataFrame:
     """C7 + O1: build and write every curated table (they are independent,
     so up to ``parallel`` run at once); returns the run log in table order.
 
+    A table whose live version is this batch's already is logged from what is
+    there and not written again, so a load that lost its log can be run again.
+
     ``layout`` maps a table to ``(partition column, function frame ->
-    Column)``, e.g. ``{"orders": ("month", month_of_purchase)}``: that table
-    is written partitioned, and later incremental loads merge into its
-    touched partitions only."""
+    Column[, clustering columns])``, e.g. ``{"orders": ("month",
+    month_of_purchase, ["customer_id"])}``: that table is written partitioned
+    and sorted, and later incremental loads merge into its touched partitions
+    only."""
     layout = layout or {}
-    if ops_root:
-        ensure_ops_tables(spark, ops_root)
     builders = curated_builders(raw, ctx)
-
-    def one(table):
-        t0 = time.time()
-        try:
-            raw_df, build = builders[table]
-            raw_obs_df, raw_obs = _count_obs(raw_df, f"raw_{table}_{ctx.batch_id}")
-            out = build(raw_obs_df)
-            kw = {}
-            if table in layout:
-                col, fn = layout[table]
-                out, kw = out.withColumn(col, fn(out)), {"partition_by": [col]}
-            out, out_obs = _count_obs(out, f"cur_{table}_{ctx.batch_id}")
+    log = RunLog(spark, ops_root, ctx, "FULL")
+
+    def load(table):
+        raw_df, build = builders[table]
+        # counted apart from the build: an observed scan would take no pushed filters
+        n_raw = raw_df.count()
+        if _is_live(spark, curated_root, table, ctx):
+            n_out = read_current(spark, f"{curated_root}/{table}").count()
+        else:
+            out, kw = _laid_out(build(raw_df), table, layout)
+            out, out_obs = _count_obs(out, f"cur_{table}")
             write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id, **kw)
-            n_raw, n_out = raw_obs.get["n"], out_obs.get["n"]
-            return _log_row(ctx, "FULL", table, n_raw, n_out, 0, max(n_raw - n_out, 0),
-                            "SUCCESS", round(time.time() - t0, 2), source_rows=n_raw)
-        except Exception as exc:  # noqa: BLE001 - isolated per table
-            return _log_row(ctx, "FULL", table, 0, 0, 0, 0, "FAILED",
-                            round(time.time() - t0, 2), str(exc)[:2000])
+            n_out = out_obs.get["n"]
+        return {"read": n_raw, "inserted": n_out, "skipped": max(n_raw - n_out, 0), "source_rows": n_raw}
 
-    rows = _run_all(one, list(tables), parallel)
-    log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
-    if ops_root:
-        append_log(log, f"{ops_root}/pipeline_run_log", RUN_LOG_SCHEMA)
-    return log
+    return log.frame(_run_all(lambda t: log.run(t, lambda: load(t)), list(tables), parallel))
 
 
 # --------------------------------------------------------------- incremental
@@ -158,9 +212,10 @@ def orders_delta(raw: RawTables, mark, ctx: RunContext, lookback_days: int = 0,
     idempotent).
 
     ``late_updates`` also admits orders at or below the mark whose status
-    differs from the target's (``target`` required). Those keys must be
-    deduplicated over all their raw rows, so the early filter is replaced by
-    a semi join on the changed keys.
+    differs from the target's (``target`` required). The changed keys come
+    from the latest key, time and status of the raw rows alone, compared with
+    the target's; only the raw rows of those keys and of new ones (a semi
+    join) are then deduplicated in full.
     """
     m = ntz_lit(mark)
     if lookback_days:
@@ -170,12 +225,13 @@ def orders_delta(raw: RawTables, mark, ctx: RunContext, lookback_days: int = 0,
         return C.orders_from_clean(clean, raw["customers"])
     if target is None:
         raise ValueError("late_updates needs the current target")
-    clean = C.clean_orders(raw["orders"])
-    t = target.select("order_id", F.col("order_status").alias("_t_status"))
-    j = clean.join(t, "order_id", "left")
-    keep = (F.col("order_purchase_timestamp") > m) | (
-        F.col("_t_status").isNotNull() & (F.col("order_status") != F.col("_t_status")))
-    return C.orders_from_clean(j.filter(keep).drop("_t_status"), raw["customers"])
+    latest = C.clean_orders(raw["orders"]).select("order_id", "order_status", "order_purchase_timestamp")
+    t = target.select("order_id", F.col("order_status").alias("_t_status")).distinct()
+    changed = (latest.join(t, "order_id", "left")
+               .filter((F.col("order_purchase_timestamp") > m) | (F.col("order_status") != F.col("_t_status")))
+               .select("order_id"))
+    clean = C.clean_orders(raw["orders"].join(changed, "order_id", "left_semi"))
+    return C.orders_from_clean(clean, raw["customers"])
 
 
 def child_delta(table: str, raw: RawTables, orders_now: DataFrame, ctx: RunContext) -> DataFrame:
@@ -205,96 +261,123 @@ def merge_table(table: str, target: DataFrame, source: DataFrame, ctx: RunContex
 
 def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
                      ops_root: str | None = None, parallel: int = DEFAULT_PARALLEL,
-                     layout: dict | None = None, tables=None, **merge_kw) -> DataFrame:
+                     layout: dict | None = None, tables=None, lookback_days: int = 0,
+                     late_updates: bool = False, **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
     reviews; each written as a new snapshot version, or, for tables in
-    ``layout``, merged into their touched partitions. Returns the run log."""
+    ``layout``, merged into their touched partitions. ``lookback_days`` and
+    ``late_updates`` go to ``orders_delta``, ``merge_kw`` to the merges.
+
+    Children find their parents by the batch id that the orders step stamps.
+    If that step fails, they are logged SKIPPED and do not run. A table whose
+    live version is this batch's already is done: it is logged SUCCESS from
+    what is there, so a batch whose log was lost can be finished.
+    Returns the run log (the last row of each table)."""
     layout = layout or {}
-    if ops_root:
-        ensure_ops_tables(spark, ops_root)
-    mark = current_mark(spark, read_current(spark, f"{curated_root}/orders"))
     builders = curated_builders(raw, ctx)
+    log = RunLog(spark, ops_root, ctx, "INCREMENTAL")
+    path_of = lambda table: f"{curated_root}/{table}"
+
+    def stamped(table) -> dict:
+        """Counts of a merge that is live already. Inserts and updates are
+        told apart by the version before it."""
+        now = read_current(spark, path_of(table))
+        keys = MERGE_RULES[table][0]
+        mine = now.filter(F.col("_batch_id") == ctx.batch_id)
+        before = previous_version(spark, path_of(table))
+        new = mine if before is None else mine.join(spark.read.parquet(before).select(*keys), keys, "left_anti")
+        n_mine, n_new = mine.count(), new.count()
+        return {"read": now.count(), "inserted": n_new, "updated": n_mine - n_new}
 
     def dim(table):                                              # U8
-        t0 = time.time()
-        try:
-            raw_df, build = builders[table]
-            raw_obs_df, raw_obs = _count_obs(raw_df, f"dimraw_{table}_{ctx.batch_id}")
-            out, obs = _count_obs(build(raw_obs_df), f"dim_{table}_{ctx.batch_id}")
-            write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id)
+        raw_df, build = builders[table]
+        n_raw = raw_df.count()
+        if _is_live(spark, curated_root, table, ctx):
+            n = read_current(spark, path_of(table)).count()
+        else:
+            out, kw = _laid_out(build(raw_df), table, layout)
+            out, obs = _count_obs(out, f"dim_{table}")
+            write_snapshot(out, path_of(table), ctx.batch_id, **kw)
             n = obs.get["n"]
-            return _log_row(ctx, "INCREMENTAL", table, n, n, 0, 0, "SUCCESS",
-                            round(time.time() - t0, 2), source_rows=raw_obs.get["n"])
-        except Exception as exc:  # noqa: BLE001
-            return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
-                            round(time.time() - t0, 2), str(exc)[:2000])
+        return {"read": n, "inserted": n, "source_rows": n_raw}
+
+    def delta(table, target):
+        if table != "orders":
+            return child_delta(table, raw, read_current(spark, path_of("orders")), ctx)
+        mark = current_mark(spark, target)
+        return orders_delta(raw, mark, ctx, lookback_days, late_updates, target)
 
     def fact(table):
-        t0 = time.time()
-        try:
-            target = read_current(spark, f"{curated_root}/{table}")
-            if table == "orders":
-                source = orders_delta(raw, mark, ctx)
-            else:
-                orders_now = read_current(spark, f"{curated_root}/orders")
-                source = child_delta(table, raw, orders_now, ctx)
-            source, src_obs = _count_obs(source, f"delta_{table}_{ctx.batch_id}")
-            if table in layout:
-                # partitioned table: merge into the touched partitions of the
-                # live version, in place (dynamic partition overwrite)
-                col, fn = layout[table]
-                keys, change, update_cols = MERGE_RULES[table]
-                path = current_path(spark, f"{curated_root}/{table}")
-                r = upsert_partitions(spark, path, source, keys, change, update_cols, ctx, col, fn,
-                                      source_label=C.SOURCE_LABELS[table], **merge_kw)
-                after = spark.read.parquet(path).count()      # footer-only count
-                return _log_row(ctx, "INCREMENTAL", table, after, r["inserted"], r["updated"], 0,
-                                "SUCCESS", round(time.time() - t0, 2),
-                                source_rows=src_obs.get["n"])
-            merged = merge_table(table, target, source, ctx, **merge_kw)
-            obs = Observation(f"merge_{table}_{ctx.batch_id}")
-            a = F.col("_action")
-            merged = merged.observe(obs, F.count(F.lit(1)).alias("after"),
-                                    F.count_if(a == "insert").alias("inserted"),
-                                    F.count_if(a == "update").alias("updated"))
-            write_snapshot(merged.drop("_action"), f"{curated_root}/{table}", ctx.batch_id)
-            m = obs.get
-            # records_read is the post-merge row count, skipped always 0
-            return _log_row(ctx, "INCREMENTAL", table, m["after"], m["inserted"],
-                            m["updated"], 0, "SUCCESS", round(time.time() - t0, 2),
-                            source_rows=src_obs.get["n"])
-        except Exception as exc:  # noqa: BLE001
-            return _log_row(ctx, "INCREMENTAL", table, 0, 0, 0, 0, "FAILED",
-                            round(time.time() - t0, 2), str(exc)[:2000])
+        if _is_live(spark, curated_root, table, ctx):
+            return stamped(table)
+        target = read_current(spark, path_of(table))
+        # written once: the merge reads it twice, and a lost executor does not redo it
+        work_root(spark)
+        source = delta(table, target).checkpoint(eager=True)
+        n_source = source.count()
+        if table in layout:
+            # partitioned table: merge into the touched partitions of the
+            # live version, in place (dynamic partition overwrite)
+            col, fn = layout[table][:2]
+            keys, change, update_cols = MERGE_RULES[table]
+            path = current_path(spark, path_of(table))
+            r = upsert_partitions(spark, path, source, keys, change, update_cols, ctx, col, fn,
+                                  source_label=C.SOURCE_LABELS[table], **merge_kw)
+            return {"read": spark.read.parquet(path).count(), "inserted": r["inserted"], "updated": r["updated"],
+                    "source_rows": n_source}
+        merged = merge_table(table, target, source, ctx, **merge_kw)
+        obs = Observation(f"merge_{table}_{uuid.uuid4().hex}")
+        a = F.col("_action")
+        merged = merged.observe(obs, F.count(F.lit(1)).alias("after"),
+                                F.count_if(a == "insert").alias("inserted"),
+                                F.count_if(a == "update").alias("updated"))
+        write_snapshot(merged.drop("_action"), path_of(table), ctx.batch_id)
+        m = obs.get
+        # records_read is the post-merge row count, skipped always 0
+        return {"read": m["after"], "inserted": m["inserted"], "updated": m["updated"], "source_rows": n_source}
 
     # dimensions and orders are independent; children need the new orders
     todo = set(tables) if tables is not None else set(DIMENSIONS + FACTS)
-    first = [(lambda t=t: dim(t)) for t in DIMENSIONS if t in todo]
+    steps = [(t, lambda t=t: dim(t)) for t in DIMENSIONS if t in todo]
     if "orders" in todo:
-        first.append(lambda: fact("orders"))
-    rows = _run_all(lambda f: f(), first, parallel)
-    rows += _run_all(fact, [t for t in FACTS[1:] if t in todo], parallel)
-    log = spark.createDataFrame(rows, RUN_LOG_SCHEMA)
-    if ops_root:
-        append_log(log, f"{ops_root}/pipeline_run_log", RUN_LOG_SCHEMA)
-    return log
+        steps.append(("orders", lambda: fact("orders")))
+    rows = _run_all(lambda s: log.run(*s), steps, parallel)
+    children = [t for t in FACTS[1:] if t in todo]
+    if any(r[2] == "orders" and r[7] != "SUCCESS" for r in rows):
+        rows += [log.skip(t, "the orders step of this batch failed") for t in children]
+    else:
+        rows += _run_all(lambda t: log.run(t, lambda: fact(t)), children, parallel)
+    return log.frame(rows)
+
+
+def to_rerun(spark: SparkSession, log: DataFrame, ctx: RunContext) -> list[str]:
+    """Tables that a resumed batch runs: those without a SUCCESS row, and if
+    orders is among them, everything downstream of it too."""
+    from .contracts import pending_tables
+    pending = {r["table_name"] for r in pending_tables(spark, log, ctx.batch_id, DIMENSIONS + FACTS).collect()}
+    if "orders" in pending:
+        pending |= set(FACTS)
+    return [t for t in DIMENSIONS + FACTS if t in pending]
 
 
 def resume_incremental(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
                        log: DataFrame, ops_root: str | None = None, **kw) -> DataFrame:
-    """Re-run, with the *same* batch id, only the tables of ``ctx.batch_id``
-    that have no SUCCESS row in ``log``. Children find the orders their
-    batch touched through that batch id, so a failure after the orders step
-    loses nothing (the next run would otherwise get a new id and a higher
-    mark). The pending set is a tiny anti join on the log."""
-    from .contracts import pending_tables
-    pending = [r["table_name"] for r in
-               pending_tables(spark, log, ctx.batch_id, DIMENSIONS + FACTS).collect()]
+    """Finish the batch ``ctx.batch_id``: the tables of ``to_rerun`` run again
+    with the *same* batch id, by which children find the orders their batch
+    touched. Tables whose version of this batch is live are not written
+    again, whether or not the log knows of them."""
+    pending = to_rerun(spark, log, ctx)
     if not pending:
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
     return incremental_load(spark, raw, curated_root, ctx, ops_root=ops_root, tables=pending, **kw)
 
 
+def raw_tables(spark: SparkSession, raw_root: str) -> RawTables:
+    """The raw inputs as the CSV ingest wrote them: live good rows of
+    ``<raw_root>/raw_<name>``, all text."""
+    return RawTables({n: read_raw(spark, f"{raw_root}/raw_{n}") for n in RAW_NAMES})
+
+
 def quality_run(spark: SparkSession, raw_orders: DataFrame, curated_root: str, ctx: RunContext,
                 ops_root: str | None = None, catalog=None, gate: bool = False,
                 strict: bool = False) -> DataFrame:

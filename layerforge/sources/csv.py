@@ -13,17 +13,21 @@ task per file), so it is meant for free-text files only.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
-from .sinks import current_version, write_full
+from ..functions.columns import cast_timestamp
+from .sinks import move_pointer, path_exists, read_current, refuse_known, write_full
 
 CORRUPT = "_corrupt_record"
 REJECTED = "is_rejected"
+#: Prefix of the typed copies of text columns.
+TYPED = "_typed_"
 
 
 class BadRecordBudgetExceeded(RuntimeError):
@@ -50,7 +54,8 @@ def parse_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: b
     df = _reader(spark, schema, multiline, header).csv(path)
     if with_file_name:
         df = df.withColumn("_source_file", F.col("_metadata.file_name"))
-    return df
+    # a multi-line file is parsed by one task; what follows need not stay in it
+    return df.hint("rebalance") if multiline else df
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad: int = 0,
@@ -75,38 +80,45 @@ def read_raw_csv(spark: SparkSession, path: str, schema: T.StructType, max_bad:
 def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table_root: str,
                  version: str, max_bad: int = 0, multiline: bool = False,
                  header: bool = True, with_file_name: bool = False,
-                 types: Mapping[str, str] | None = None) -> dict:
+                 types: Mapping[str, str] | None = None, typed_copies: Sequence[str] = ()) -> dict:
     """S1+S2+S5 in one pass: good and rejected rows are written together
     (partitioned by a rejected flag) into a new version while an
     ``Observation`` counts them; the pointer moves only within budget.
 
     ``types`` (column -> type name) also counts a value that is present but
     does not convert (``try_cast`` is NULL) as a bad record, as a typed
-    warehouse load does; the raw values themselves stay text."""
+    warehouse load does; the raw values themselves stay text. A timestamp
+    column in ``typed_copies`` is also written typed, as ``_typed_<name>``
+    (NULL if it does not convert): its parquet statistics serve filters that
+    a cast of text cannot push down, such as the high-water mark's."""
     parsed = parse_csv(spark, path, schema, multiline, header, with_file_name)
     bad_row = F.col(CORRUPT).isNotNull()
     for c, t in (types or {}).items():
         bad_row = bad_row | (F.col(c).isNotNull() & F.col(c).try_cast(t).isNull())
-    obs = Observation(f"csv_{version}_{abs(hash(path))}")
+    obs = Observation(f"csv_{uuid.uuid4().hex}")
+    for c in typed_copies:
+        # a value that does not convert must not fail the strict cast
+        checked = parsed.withColumn("_text", F.when(F.col(c).try_cast("timestamp").isNotNull(), F.col(c)))
+        parsed = checked.withColumn(TYPED + c, cast_timestamp(checked, "_text")).drop("_text")
     flagged = parsed.withColumn(REJECTED, bad_row).observe(
         obs, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(REJECTED)).alias("bad"))
     vpath = f"{table_root}/v={version}"
-    live = current_version(spark, table_root)
-    if live and live.split("/")[0] == version:
-        raise ValueError(f"version {version} of {table_root} is live")
+    refuse_known(spark, table_root, version)
     write_full(flagged, vpath, partition_by=[REJECTED])
     m = obs.get
     if m["bad"] > max_bad:
         raise BadRecordBudgetExceeded(f"{path}: {m['bad']} bad records > budget {max_bad}")
-    spark.createDataFrame([(f"{version}/{REJECTED}=false",)], "version string").coalesce(1) \
-        .write.mode("overwrite").parquet(f"{table_root}/_current")
+    if m["lines"] == m["bad"]:
+        # no good row, so no folder for them: an empty one keeps the table readable
+        good = [f for f in flagged.schema.fields if f.name != REJECTED]
+        spark.createDataFrame([], T.StructType(good)).write.mode("overwrite").parquet(f"{vpath}/{REJECTED}=false")
+    move_pointer(spark, table_root, version, f"{REJECTED}=false")
     return {"rows": int(m["lines"] - m["bad"]), "rejected": int(m["bad"])}
 
 
 def read_raw(spark: SparkSession, table_root: str) -> DataFrame:
     """Live good rows of a raw table written by ``load_raw_csv``."""
-    v = current_version(spark, table_root)
-    return spark.read.parquet(f"{table_root}/v={v}").drop(CORRUPT)
+    return read_current(spark, table_root).drop(CORRUPT)
 
 
 INGEST_SCHEMA = T.StructType([
@@ -121,25 +133,30 @@ INGEST_SCHEMA = T.StructType([
 
 def ingest_all(spark: SparkSession, src_dir: str, mapping: Mapping[str, tuple[str, Sequence[str]]],
                raw_root: str, version: str, budgets: Mapping[str, int] | None = None,
-               multiline: Sequence[str] = ()) -> DataFrame:
-    """Load every mapped file (file -> (table, columns)); a missing file
-    is reported and skipped, a failing one reported, the others still load.
-    Returns one report row per file."""
-    budgets = budgets or {}
-    rows = []
-    for fname, (table, cols) in mapping.items():
+               multiline: Sequence[str] = (), types: Mapping[str, Mapping[str, str]] | None = None,
+               with_file_name: bool = False, typed_copies: Mapping[str, Sequence[str]] | None = None,
+               parallel: int = 4) -> DataFrame:
+    """Load every mapped file (file -> (table, columns)), up to
+    ``parallel`` at a time; a missing file is reported and skipped, a failing
+    one reported with its whole error text, the others still load. ``types``
+    has the column types of each table whose conversion failures count as
+    bad records. Returns one report row per file, in the mapping's order."""
+    def one(item):
+        fname, (table, cols) = item
         path = f"{src_dir}/{fname}"
-        try:
-            spark.read.text(path).schema  # noqa: B018 - resolves the path only
-        except AnalysisException:
-            rows.append((table, fname, 0, 0, "MISSING", None))
-            continue
+        if not path_exists(spark, path):
+            return table, fname, 0, 0, "MISSING", None
         try:
             m = load_raw_csv(spark, path, string_schema(cols), f"{raw_root}/{table}", version,
-                             max_bad=budgets.get(table, 0), multiline=table in multiline)
-            rows.append((table, fname, m["rows"], m["rejected"], "LOADED", None))
+                             max_bad=(budgets or {}).get(table, 0), multiline=table in multiline,
+                             types=(types or {}).get(table), with_file_name=with_file_name,
+                             typed_copies=(typed_copies or {}).get(table, ()))
+            return table, fname, m["rows"], m["rejected"], "LOADED", None
         except Exception as exc:  # noqa: BLE001 - reported per file
-            rows.append((table, fname, 0, 0, "FAILED", str(exc)[:2000]))
+            return table, fname, 0, 0, "FAILED", str(exc)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        rows = list(pool.map(one, mapping.items()))
     return spark.createDataFrame(rows, INGEST_SCHEMA)
 
 

@@ -2,11 +2,11 @@
 
 Plain parquet has no MERGE and no atomic replace, and overwriting a path
 that the same plan reads deletes the input first. So a table is a folder of
-immutable versions ``<table>/v=<version>/`` plus a one-row pointer table
-``<table>/_current`` naming the live version. A new version is written next
-to the old one and the pointer moves only after the write succeeded; readers
-resolve the pointer, so a failed or lost job leaves the previous version
-live, and an upsert can read version N while writing N+1.
+immutable versions ``<table>/v=<version>/`` plus an append-only pointer table
+``<table>/_versions`` whose last row names the live version. A new version is
+written next to the old one and its pointer row is appended only after the
+write succeeded; readers resolve the pointer, so a failed or lost job leaves
+the previous version live, and an upsert can read version N while writing N+1.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 RUN_LOG_SCHEMA = T.StructType([
     T.StructField("batch_id", T.StringType(), False),
@@ -37,67 +36,107 @@ RUN_LOG_SCHEMA = T.StructType([
 
 def write_full(df: DataFrame, path: str, partition_by: list[str] | None = None,
                sort_within: list[str] | None = None) -> None:
-    """Truncate-and-load (idempotent). Optional month/day partition
-    columns and a sort inside each file (clustering) for pruning."""
-    if sort_within:
-        df = df.sortWithinPartitions(*sort_within)
-    w = df.write.mode("overwrite")
+    """Truncate-and-load (idempotent): the whole folder is replaced,
+    partitions that the new rows lack included, whatever the session's
+    partition overwrite mode. Optional month/day partition columns and a sort
+    inside each file (clustering) for pruning.
+
+    A partitioned write is rebalanced on its partition columns first: each
+    partition is written by as many tasks as its size needs (AQE splits large
+    ones), not by every task of the stage.
+    """
+    writer = layout(df, partition_by, sort_within).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
+
+
+def layout(df: DataFrame, partition_by: list[str] | None = None, sort_within: list[str] | None = None) -> DataFrame:
+    """Rows laid out for a write: rebalanced on the partition columns, sorted
+    by them and the clustering columns within each task."""
     if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+        df = df.hint("rebalance", *partition_by)
+    if sort_within:
+        df = df.sortWithinPartitions(*(partition_by or []), *sort_within)
+    return df
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, in whatever file system it names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+POINTER_SCHEMA = "seq long, version string, detail string"
 
 
 def _pointer(root: str) -> str:
-    return f"{root}/_current"
+    return f"{root}/_versions"
+
+
+def _pointer_rows(spark: SparkSession, root: str) -> list:
+    """All pointer rows of a table, oldest first: one for each version."""
+    if not path_exists(spark, _pointer(root)):
+        return []
+    return sorted(spark.read.schema(POINTER_SCHEMA).parquet(_pointer(root)).collect())
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    try:
-        row = spark.read.parquet(_pointer(root)).first()
-    except AnalysisException:
-        return None
-    return row["version"] if row else None
+    rows = _pointer_rows(spark, root)
+    return rows[-1]["version"] if rows else None
+
+
+def move_pointer(spark: SparkSession, root: str, version: str, detail: str | None = None) -> None:
+    """Make a version the live one. Pointer rows are only ever appended, and
+    the last one counts: a crash leaves the earlier version live, never none."""
+    rows = _pointer_rows(spark, root)
+    seq = rows[-1]["seq"] + 1 if rows else 0
+    spark.createDataFrame([(seq, version, detail)], POINTER_SCHEMA).coalesce(1) \
+        .write.mode("append").parquet(_pointer(root))
+
+
+def refuse_known(spark: SparkSession, root: str, version: str) -> None:
+    """A version that was live once is not written again: the live one would
+    be overwritten while it is read, an older one would bring old rows back."""
+    known = [r["version"] for r in _pointer_rows(spark, root)]
+    if version in known:
+        what = "live" if known[-1] == version else "superseded"
+        raise ValueError(f"version {version} of {root} is {what}; write a new version")
 
 
 def write_snapshot(df: DataFrame, root: str, version: str, **kw) -> str:
     """Write a new version, then move the pointer; returns its path."""
     path = f"{root}/v={version}"
-    spark = df.sparkSession
-    if current_version(spark, root) == version:
-        raise ValueError(f"version {version} of {root} is live; write a new version")
+    refuse_known(df.sparkSession, root, version)
     write_full(df, path, **kw)
-    spark.createDataFrame([(version,)], "version string").coalesce(1) \
-        .write.mode("overwrite").parquet(_pointer(root))
+    move_pointer(df.sparkSession, root, version)
     return path
 
 
 def current_path(spark: SparkSession, root: str) -> str:
-    v = current_version(spark, root)
-    if v is None:
+    """Folder of the live version."""
+    rows = _pointer_rows(spark, root)
+    if not rows:
         raise FileNotFoundError(f"no live version under {root}")
-    return f"{root}/v={v}"
+    return f"{root}/v={rows[-1]['version']}" + (f"/{rows[-1]['detail']}" if rows[-1]["detail"] else "")
 
 
-def read_current(spark: SparkSession, root: str) -> DataFrame:
-    """Scan of the live version of a table."""
-    v = current_version(spark, root)
-    if v is None:
-        raise FileNotFoundError(f"no live version under {root}")
-    return spark.read.parquet(f"{root}/v={v}")
+def previous_version(spark: SparkSession, root: str) -> str | None:
+    """Folder of the version before the live one."""
+    rows = _pointer_rows(spark, root)
+    return f"{root}/v={rows[-2]['version']}" if len(rows) > 1 else None
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018 - resolves the path only
-        return True
-    except AnalysisException:
-        return False
+def read_current(spark: SparkSession, root: str) -> DataFrame:
+    """Scan of the live version of a table."""
+    return spark.read.parquet(current_path(spark, root))
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     """Create an empty table with a fixed schema if absent; returns True
     when it was created."""
-    if exists(spark, path):
+    if path_exists(spark, path):
         return False
     spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
     return True

@@ -8,9 +8,12 @@ day differences are BIGINT.
 
 from __future__ import annotations
 
+from ..plans import curate as C
+
 # whitespace trim, DuckDB spelling
 def trim_ws(expr: str) -> str:
-    return f"regexp_replace({expr}, '^\\s+|\\s+$', '', 'g')"
+    space = "[\\s\\x{0B}\\x{85}\\p{Z}]+"           # \\s alone is ASCII here
+    return f"regexp_replace({expr}, '^{space}|{space}$', '', 'g')"
 
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
@@ -177,26 +180,24 @@ CUSTOMERS_CLEAN = f"""
            upper({trim_ws('customer_state')}) AS customer_state
     FROM raw_customers WHERE customer_id IS NOT NULL"""
 
-ORDER_SELECT = """
-    o.order_id, o.customer_id, c.customer_unique_id, c.customer_zip_code_prefix,
-    c.customer_city, c.customer_state, o.order_status, o.order_purchase_timestamp,
-    o.order_approved_at, o.order_delivered_carrier_date, o.order_delivered_customer_date,
-    o.order_estimated_delivery_date,
-    CASE WHEN o.order_delivered_customer_date IS NOT NULL
-         THEN CAST(date_diff('day', CAST(o.order_purchase_timestamp AS DATE),
-                             CAST(o.order_delivered_customer_date AS DATE)) AS BIGINT) END
-      AS days_to_delivery,
-    CASE WHEN o.order_delivered_customer_date IS NOT NULL
-          AND o.order_estimated_delivery_date IS NOT NULL
-         THEN o.order_delivered_customer_date <= o.order_estimated_delivery_date END
-      AS delivered_on_time"""
+#: How a curated column is stated where it is not simply copied. NULLs pass
+#: through date arithmetic and comparisons by themselves.
+DERIVED = {
+    "days_to_delivery": "CAST(CAST(order_delivered_customer_date AS DATE) - CAST(order_purchase_timestamp AS DATE) AS BIGINT)",
+    "delivered_on_time": "order_delivered_customer_date <= order_estimated_delivery_date",
+    "product_volume_cm3": "product_length_cm * product_height_cm * product_width_cm",
+    "product_category_name_en": "coalesce(category_en, 'unknown')",
+}
+
+
+def columns_sql(cols) -> str:
+    return ", ".join(f"{DERIVED[c]} AS {c}" if c in DERIVED else c for c in cols)
 
 
 def curated_orders_sql(batch: str = "b1", src: str = "raw_orders", where: str = "") -> str:
     return f"""
-    SELECT {ORDER_SELECT}, 'raw.raw_orders' AS _source_file, '{batch}' AS _batch_id
-    FROM ({clean_orders_sql(src, where)}) o
-    LEFT JOIN ({CUSTOMERS_CLEAN}) c USING (customer_id)"""
+    SELECT {columns_sql(C.ORDER_COLS)}, 'raw.raw_orders' AS _source_file, '{batch}' AS _batch_id
+    FROM ({clean_orders_sql(src, where)}) LEFT JOIN ({CUSTOMERS_CLEAN}) USING (customer_id)"""
 
 
 def curated_items_sql(batch: str = "b1", src: str = "raw_order_items") -> str:
@@ -263,15 +264,7 @@ PRODUCT_TIE = ", ".join(f"{c} ASC NULLS FIRST" for c in [
 
 def curated_products_sql(batch: str = "b1") -> str:
     return f"""
-    SELECT p.product_id, p.product_category_name_pt,
-           coalesce(t.category_en, 'unknown') AS product_category_name_en,
-           p.product_name_length, p.product_description_length, p.product_photos_qty,
-           p.product_weight_g, p.product_length_cm, p.product_height_cm, p.product_width_cm,
-           CASE WHEN p.product_length_cm IS NOT NULL AND p.product_height_cm IS NOT NULL
-                 AND p.product_width_cm IS NOT NULL
-                THEN p.product_length_cm * p.product_height_cm * p.product_width_cm END
-             AS product_volume_cm3,
-           'raw.raw_products' AS _source_file, '{batch}' AS _batch_id
+    SELECT {columns_sql(C.PRODUCT_COLS)}, 'raw.raw_products' AS _source_file, '{batch}' AS _batch_id
     FROM (
       SELECT product_id, lower({trim_ws('product_category_name')}) AS product_category_name_pt,
              CAST(product_name_lenght AS BIGINT) AS product_name_length,

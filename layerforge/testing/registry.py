@@ -472,8 +472,7 @@ def q_upsert_generic(spark, d):
                    F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("U"))
                     .otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
                    (F.col("o_totalprice") + 1.0).alias("o_totalprice"), "o_orderdate"))
-    return U.upsert(tgt, src, "o_orderkey", "o_orderstatus", ["o_orderstatus", "o_totalprice"], B2,
-                    strategy="shuffle")
+    return U.upsert(tgt, src, "o_orderkey", "o_orderstatus", ["o_orderstatus", "o_totalprice"], B2)
 
 
 @register("upsert_orders", _sql(MERGED_ORDERS, *ORD_RAW))
@@ -630,19 +629,8 @@ def q_dq_keys_present(spark, d):
                                 C.curate_order_items(TT.raw_order_items(spark, d)), "order_id")
 
 
-_CHECK_META = [(c_name, desc, tbl, sev, q) for (c_name, desc, tbl, sev), q in zip(
-    [("null_mandatory_fields_orders", "Orders with NULL order_id, customer_id, or order_status",
-      "raw_orders", "CRITICAL"),
-     ("invalid_order_status", "Orders with order_status not in approved catalog values", "orders",
-      "WARNING"),
-     ("orphan_order_items", "order_items rows whose order_id has no matching order in curated orders",
-      "order_items", "ERROR"),
-     ("duplicate_order_ids_raw", "order_id values that appear more than once in raw_orders",
-      "raw_orders", "ERROR"),
-     ("invalid_date_range_delivery", "Orders where delivered_customer_date < purchase_timestamp",
-      "orders", "WARNING"),
-     ("payments_without_items", "Orders that have payment records but no item records in curated",
-      "order_payments / order_items", "WARNING")],
+_CHECK_META = [(name, *Q.STANDARD_META[name], q) for name, q in zip(
+    Q.STANDARD_META,
     ["dq_not_null", "dq_domain", "dq_foreign_key", "dq_unique", "dq_date_order", "dq_keys_present"])]
 
 
@@ -770,7 +758,7 @@ def q_csv_lenient(spark, d):
     line = F.when(F.col("order_item_id") == 7, F.concat(line, F.lit(",extra"))).otherwise(line)
     raw.select(line.alias("value")).write.mode("overwrite").text(path)
     good, _ = CSV.read_raw_csv(spark, path, CSV.string_schema(_ITEM_RAW_COLS),
-                               max_bad=10 ** 12, header=False)
+                               max_bad=raw.filter("order_item_id = 7").count(), header=False)
     return good.select(P.cast_strict("order_id", "int64").alias("order_id"),
                        P.cast_strict("order_item_id", "int64").alias("order_item_id"),
                        P.cast_strict("product_id", "int64").alias("product_id"),
@@ -825,7 +813,7 @@ _INGEST = {"sellers.csv": ("raw_sellers", ["seller_id", "seller_zip_code_prefix"
     "SELECT 'raw_geolocation', 'geolocation.csv', 0, 0, 'MISSING'", "raw_sellers", "raw_order_reviews"))
 def q_ingest_all(spark, d):
     src = new_run_dir(spark, "landing")
-    CSV.write_csv(TT.raw_sellers(spark, d).coalesce(1), f"{src}/sellers.csv")
+    CSV.write_csv(TT.raw_sellers(spark, d), f"{src}/sellers.csv")
     CSV.write_csv(_reviews_multiline(spark, d), f"{src}/reviews.csv")
     rep = CSV.ingest_all(spark, src, _INGEST, new_run_dir(spark, "raw"), "b1",
                          budgets={"raw_order_reviews": 1000}, multiline=["raw_order_reviews"])
@@ -962,13 +950,32 @@ _FS_BODY = _FULL_SUMMARY[_FULL_SUMMARY.index("SELECT 'b1' AS batch_id"):]
 _FS_WITH = _FULL_SUMMARY[:_FULL_SUMMARY.index("SELECT 'b1' AS batch_id")]
 
 
+def _days_back(col):
+    """Log rows of one run moved to distinct days, so that order can be seen."""
+    return F.col(col) - F.make_interval(days=F.length("table_name" if col == "run_timestamp" else "check_name"))
+
+
+def _numbered(df):
+    """The report's order as a column. ``monotonically_increasing_id`` follows
+    the sorted partitions; the rank of it is their position."""
+    from pyspark.sql.window import Window
+    return (df.withColumn("_i", F.monotonically_increasing_id())
+              .withColumn("position", F.row_number().over(Window.orderBy("_i")).cast("bigint")).drop("_i"))
+
+
 @register("report_runs", _FS_WITH + (
-    "SELECT table_name, run_type, records_inserted, records_updated, status "
+    "SELECT table_name, run_type, records_inserted, records_updated, status, "
+    "rank() OVER (ORDER BY length(table_name)) AS day_rank "
     f"FROM ({_FS_BODY})"))
 def q_report_runs(spark, d):
     root, _ = _full_load(spark, d)
-    log = spark.read.parquet(f"{root}/ops/pipeline_run_log")
-    return OPS.report_runs(log).drop("duration_seconds", "run_timestamp")
+    log = spark.read.parquet(f"{root}/ops/pipeline_run_log").filter("status <> 'STARTED'") \
+               .withColumn("run_timestamp", _days_back("run_timestamp"))
+    r = _numbered(OPS.report_runs(log))
+    # equal times may come in any order: their first position is compared
+    from pyspark.sql.window import Window
+    return r.withColumn("day_rank", F.min("position").over(Window.partitionBy("run_timestamp"))) \
+            .drop("duration_seconds", "run_timestamp", "position")
 
 
 # ===================================== X: operational extensions (stretch)
@@ -1032,17 +1039,22 @@ def q_split_rejects(spark, d):
 
 
 @register("contract_daily_volume", _sql(
-    "SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS rows FROM raw_orders "
-    "GROUP BY 1 HAVING count(*) < 5", "raw_orders"))
+    "SELECT day, coalesce(n, 0) AS rows FROM (SELECT CAST(unnest(generate_series(min(order_purchase_timestamp)::DATE, "
+    "max(order_purchase_timestamp)::DATE, INTERVAL 1 DAY)) AS DATE) AS day FROM raw_orders) "
+    "LEFT JOIN (SELECT CAST(order_purchase_timestamp AS DATE) AS day, count(*) AS n FROM raw_orders GROUP BY 1) "
+    "USING (day) WHERE coalesce(n, 0) < 5", "raw_orders"))
 def q_contract_daily(spark, d):
     return X.daily_volume_breaches(TT.raw_orders(spark, d), "order_purchase_timestamp", 5)
 
 
-@register("mask_pii", _sql("SELECT customer_id, sha256(customer_unique_id) AS customer_unique_id, "
-                           "customer_state FROM raw_customers", "raw_customers"))
+_MASKED = ["customer_unique_id", "customer_zip_code_prefix", "customer_city"]
+
+
+@register("mask_pii", _sql("SELECT customer_id, " + ", ".join(f"sha256('k1:' || {c}) AS {c}" for c in _MASKED)
+                           + ", customer_state FROM raw_customers", "raw_customers"))
 def q_mask_pii(spark, d):
-    return X.mask(TT.raw_customers(spark, d), ["customer_unique_id"]) \
-            .select("customer_id", "customer_unique_id", "customer_state")
+    return X.mask(TT.raw_customers(spark, d), _MASKED, key="k1") \
+            .select("customer_id", *_MASKED, "customer_state")
 
 
 # ============== incremental upsert that rewrites only the touched months
@@ -1185,30 +1197,24 @@ def _quality_run_sql() -> str:
     gaps = "(SELECT * FROM raw_orders_gaps)"
     s = _sample_sql
     checks = [
-        ("null_mandatory_fields_orders", "Orders with NULL order_id, customer_id, or order_status",
-         "raw_orders", "CRITICAL",
+        ("null_mandatory_fields_orders", *Q.STANDARD_META["null_mandatory_fields_orders"],
          "SELECT count_if(order_id IS NULL OR customer_id IS NULL OR order_status IS NULL) AS a, "
          "count(*) AS t, " + s(f"(SELECT * FROM {gaps} WHERE order_id IS NULL OR customer_id IS NULL "
                                 "OR order_status IS NULL)") + f" AS smp FROM {gaps}"),
-        ("invalid_order_status", "Orders with order_status not in approved catalog values", "orders",
-         "WARNING", "SELECT count_if(order_status NOT IN ('p', 'f')) AS a, count(*) AS t, "
+        ("invalid_order_status", *Q.STANDARD_META["invalid_order_status"], "SELECT count_if(order_status NOT IN ('p', 'f')) AS a, count(*) AS t, "
          + s(f"(SELECT * FROM {cur_o} WHERE order_status NOT IN ('p', 'f'))") + f" AS smp FROM {cur_o}"),
-        ("orphan_order_items", "order_items rows whose order_id has no matching order in curated orders",
-         "order_items", "ERROR",
+        ("orphan_order_items", *Q.STANDARD_META["orphan_order_items"],
          f"SELECT (SELECT count(*) FROM qr_orph) AS a, (SELECT count(*) FROM {cur_i}) AS t, "
          + s("qr_orph") + " AS smp"),
-        ("duplicate_order_ids_raw", "order_id values that appear more than once in raw_orders",
-         "raw_orders", "ERROR",
+        ("duplicate_order_ids_raw", *Q.STANDARD_META["duplicate_order_ids_raw"],
          "SELECT coalesce((SELECT sum(cnt - 1) FROM qr_dup), 0) AS a, "
          f"(SELECT count(*) FROM {gaps}) AS t, " + s("qr_dup") + " AS smp"),
-        ("invalid_date_range_delivery", "Orders where delivered_customer_date < purchase_timestamp",
-         "orders", "WARNING",
+        ("invalid_date_range_delivery", *Q.STANDARD_META["invalid_date_range_delivery"],
          "SELECT count_if(order_delivered_customer_date IS NOT NULL AND order_delivered_customer_date "
          "< order_purchase_timestamp) AS a, count(*) AS t, "
          + s(f"(SELECT * FROM {cur_o} WHERE order_delivered_customer_date IS NOT NULL AND "
              "order_delivered_customer_date < order_purchase_timestamp)") + f" AS smp FROM {cur_o}"),
-        ("payments_without_items", "Orders that have payment records but no item records in curated",
-         "order_payments / order_items", "WARNING",
+        ("payments_without_items", *Q.STANDARD_META["payments_without_items"],
          f"SELECT (SELECT count(*) FROM qr_miss) AS a, (SELECT count(DISTINCT order_id) FROM {cur_p}) AS t, "
          + s("qr_miss") + " AS smp"),
     ]
@@ -1236,3 +1242,288 @@ def q_quality_run(spark, d):
     L.quality_run(spark, TT.raw_orders_with_gaps(spark, d), f"{root}/curated", B1,
                   ops_root=f"{root}/ops", catalog=TT.STATUS_CATALOG_TEST)
     return spark.read.parquet(f"{root}/ops/dq_results").drop("check_timestamp")
+
+
+# ================= failure and resume, NULL partitions, replaced partitions
+
+class _Lost(RuntimeError):
+    pass
+
+
+def _curated_facts(spark, root):
+    """Business columns of all fact tables in one frame: table, row as JSON."""
+    out = None
+    for t in L.FACTS:
+        df = SK.read_current(spark, f"{root}/curated/{t}").drop("_load_timestamp")
+        one = df.select(F.lit(t).alias("table_name"), "_batch_id", F.col("order_id").cast("bigint").alias("order_id"))
+        one = one.groupBy("table_name", "_batch_id", "order_id").agg(F.count(F.lit(1)).alias("rows"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _inc_facts_sql() -> str:
+    merged = {"orders": INC_MERGED_ORDERS, **{t: _inc_child_sql(t) for t in L.FACTS[1:]}}
+    return O.with_raw(" UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, _batch_id, order_id, count(*) AS rows FROM ({sql}) GROUP BY _batch_id, order_id"
+        for t, sql in merged.items()), *ALL_RAW)
+
+
+@register("resume_after_failed_orders", _inc_facts_sql())
+def q_resume_failed_orders(spark, d):
+    # the orders step fails on a value that does not cast, so its children are
+    # skipped; the resume runs all four and ends like an uninterrupted batch
+    root, _ = _full_load(spark, d)
+    raw = _raw_tables(spark, d, 2)
+    broken = dict(raw.frames)
+    broken["orders"] = broken["orders"].withColumn("order_approved_at", F.lit("no time"))
+    log = L.incremental_load(spark, L.RawTables(broken), f"{root}/curated", B2_LOAD, ops_root=f"{root}/ops")
+    states = {r["table_name"]: r["status"] for r in log.collect()}
+    if states["orders"] != "FAILED" or {states[t] for t in L.FACTS[1:]} != {"SKIPPED"}:
+        raise _Lost(str(states))
+    L.resume_incremental(spark, raw, f"{root}/curated", B2_LOAD,
+                         spark.read.parquet(f"{root}/ops/pipeline_run_log"), ops_root=f"{root}/ops")
+    return _curated_facts(spark, root)
+
+
+@register("resume_after_lost_log", _inc_facts_sql())
+def q_resume_lost_log(spark, d):
+    # every table was written, but no log row survived: the resume finds the
+    # live versions and changes nothing
+    root, _ = _full_load(spark, d)
+    raw = _raw_tables(spark, d, 2)
+    L.incremental_load(spark, raw, f"{root}/curated", B2_LOAD)
+    L.resume_incremental(spark, raw, f"{root}/curated", B2_LOAD,
+                         spark.read.parquet(f"{root}/ops/pipeline_run_log"), ops_root=f"{root}/ops")
+    return _curated_facts(spark, root)
+
+
+@register("resume_after_lost_log_summary", _inc_summary_sql())
+def q_resume_lost_log_summary(spark, d):
+    root, _ = _full_load(spark, d)
+    raw = _raw_tables(spark, d, 2)
+    L.incremental_load(spark, raw, f"{root}/curated", B2_LOAD)
+    log = L.resume_incremental(spark, raw, f"{root}/curated", B2_LOAD,
+                               spark.read.parquet(f"{root}/ops/pipeline_run_log"), ops_root=f"{root}/ops")
+    return log.select(*_LOG_COLS)
+
+
+def _no_dates(df):
+    return df.withColumn("order_purchase_timestamp", F.when(F.col("order_id") % 3 != 0, F.col("order_purchase_timestamp")))
+
+
+_NO_DATE = ("SELECT * REPLACE (CASE WHEN order_id % 3 <> 0 THEN order_purchase_timestamp END AS order_purchase_timestamp) "
+            "FROM ")
+
+
+@register("upsert_null_partitions", _sql(O.merge_sql(
+    _NO_DATE + f"({INC_TGT_ORDERS})",
+    f"SELECT * EXCLUDE (_source_file, _batch_id) FROM ({_NO_DATE} ({O.curated_orders_sql('b2', 'raw_orders_b2')})) "
+    "WHERE order_id % 4 = 0 OR order_purchase_timestamp IS NULL",
+    ["order_id"], "order_status", L.MERGE_RULES["orders"][2], ORDER_OUT, C.SOURCE_LABELS["orders"], "b2"
+    ).replace(", _action FROM", ", strftime(CASE WHEN _action = 'insert' THEN s_order_purchase_timestamp ELSE "
+              "t_order_purchase_timestamp END, '%Y-%m') AS month FROM", 1), *ALL_RAW))
+def q_upsert_null_partitions(spark, d):
+    # a third of the orders have no purchase time, in the target and the source
+    path = new_run_dir(spark, "orders-null-month")
+    raw1, raw2 = _raw_tables(spark, d, 1), _raw_tables(spark, d, 2)
+    first = _no_dates(C.curate_orders(raw1["orders"], raw1["customers"], B1))
+    SK.write_full(X.with_month(first, "order_purchase_timestamp"), path, partition_by=["month"])
+    src = _no_dates(C.curate_orders(raw2["orders"], raw2["customers"])) \
+        .filter((F.col("order_id") % 4 == 0) | F.col("order_purchase_timestamp").isNull())
+    keys, change, upd = L.MERGE_RULES["orders"]
+    U.upsert_partitions(spark, path, src, keys, change, upd, B2, "month", _month,
+                        source_label=C.SOURCE_LABELS["orders"])
+    return no_load_ts(spark.read.parquet(path).withColumn("month", F.col("month").cast("string")))
+
+
+@register("partitioned_overwrite_twice", _sql(
+    "SELECT seller_id, seller_state FROM raw_sellers WHERE seller_state <> 'xx'", "raw_sellers"))
+def q_partitioned_overwrite(spark, d):
+    path = new_run_dir(spark, "sellers-by-state")
+    s = TT.raw_sellers(spark, d).select("seller_id", "seller_state")
+    SK.write_full(s, path, partition_by=["seller_state"])
+    SK.write_full(s.filter("seller_state <> 'xx'"), path, partition_by=["seller_state"])   # one partition fewer
+    return spark.read.parquet(path).select("seller_id", F.col("seller_state").cast("string").alias("seller_state"))
+
+
+@register("csv_retry_same_version", _sql(
+    "SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(order_item_id AS VARCHAR) AS order_item_id, "
+    "CAST(0 AS BIGINT) AS rejected FROM raw_order_items", "raw_order_items"))
+def q_csv_retry(spark, d):
+    # the first file breaks its budget of one bad line; the corrected one is
+    # loaded under the same version and leaves nothing of the first attempt
+    raw = TT.raw_order_items(spark, d).select("order_id", "order_item_id")
+    line = F.concat_ws(",", "order_id", "order_item_id")
+    bad, good, root = (new_run_dir(spark, x) for x in ("csv-bad", "csv-good", "csv-raw"))
+    raw.select(F.when(F.col("order_item_id") < 7, line).otherwise(F.concat(line, F.lit(",x"))).alias("value")) \
+       .write.text(bad)
+    raw.select(line.alias("value")).write.text(good)
+    schema = CSV.string_schema(["order_id", "order_item_id"])
+    try:
+        CSV.load_raw_csv(spark, bad, schema, root, "v1", max_bad=1, header=False)
+        raise _Lost("the budget did not hold")
+    except CSV.BadRecordBudgetExceeded:
+        pass
+    m = CSV.load_raw_csv(spark, good, schema, root, "v1", max_bad=1, header=False)
+    left = spark.read.schema(schema).parquet(f"{root}/v=v1").count()
+    return CSV.read_raw(spark, root).withColumn("rejected", F.lit(m["rejected"] + left - m["rows"]).cast("bigint"))
+
+
+# ======================================= from text files to curated tables
+
+_RAW_COLS = {
+    "orders": ["order_id", "customer_id", "order_status", *O.ORDERS_TS],
+    "customers": ["customer_id", "customer_unique_id", "customer_zip_code_prefix", "customer_city", "customer_state"],
+    "order_items": _ITEM_RAW_COLS, "order_reviews": _REVIEW_RAW_COLS,
+    "order_payments": ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"],
+    "products": ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght",
+                 "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"],
+    "category_translation": ["product_category_name", "product_category_name_english"],
+    "sellers": ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"],
+}
+
+
+def _text_loads(spark, d):
+    """Both batches as CSV, ingested, loaded in full and incrementally, and
+    checked. Returns the lake's root."""
+    root = new_run_dir(spark, "text-lake")
+    for batch, version in ((1, "b1"), (2, "b2")):
+        landing, tables = new_run_dir(spark, "landing"), _raw_tables(spark, d, batch)
+        for n in L.RAW_NAMES:
+            CSV.write_csv(tables[n].select(*_RAW_COLS[n]), f"{landing}/{n}.csv")
+        report = CSV.ingest_all(
+            spark, landing, {f"{n}.csv": (f"raw_{n}", _RAW_COLS[n]) for n in L.RAW_NAMES}, f"{root}/raw", version,
+            multiline=["raw_order_reviews"], typed_copies={"raw_orders": ["order_purchase_timestamp"]})
+        states = {r["table_name"]: (r["status"], r["error_message"]) for r in report.collect()}
+        if {s for s, _ in states.values()} != {"LOADED"}:
+            raise _Lost(str(states))
+        raw = L.raw_tables(spark, f"{root}/raw")
+        load = L.full_load if batch == 1 else L.incremental_load
+        log = load(spark, raw, f"{root}/curated", RunContext(batch_id=version), ops_root=f"{root}/ops")
+        failed = [(r["table_name"], r["error_message"]) for r in log.collect() if r["status"] != "SUCCESS"]
+        if failed:
+            raise _Lost(str(failed))
+    L.quality_run(spark, raw["orders"], f"{root}/curated", B2_LOAD, ops_root=f"{root}/ops",
+                  catalog=TT.STATUS_CATALOG_TEST)
+    return root
+
+
+def _text_sql(sql: str, cols) -> str:
+    ids = {"order_id", "product_id", "seller_id", "review_id"}
+    return O.with_raw("SELECT " + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" if c in ids else c for c in cols)
+                      + f" FROM ({sql})", *ALL_RAW)
+
+
+_TEXT = {"orders": (INC_MERGED_ORDERS, C.ORDER_COLS), "order_items": (_inc_child_sql("order_items"), C.ITEM_COLS),
+         "order_payments": (_inc_child_sql("order_payments"), C.PAYMENT_COLS),
+         "order_reviews": (_inc_child_sql("order_reviews"), C.REVIEW_COLS),
+         "products": (O.curated_products_sql("b2"), C.PRODUCT_COLS), "sellers": (O.curated_sellers_sql("b2"), C.SELLER_COLS)}
+
+for _t, (_q, _cols) in _TEXT.items():
+    register(f"from_text_{_t}", _text_sql(_q, [*_cols, "_batch_id"]))(
+        lambda spark, d, t=_t, cols=tuple(_cols): SK.read_current(
+            spark, f"{_text_loads(spark, d)}/curated/{t}").select(*cols, "_batch_id"))
+
+
+# ============================================= casts, contracts and reports
+
+@register("cast_offsets", _sql(
+    "SELECT order_id, order_purchase_timestamp - CASE order_id % 4 WHEN 0 THEN INTERVAL 2 HOUR WHEN 1 THEN INTERVAL 0 HOUR "
+    "WHEN 2 THEN INTERVAL (-330) MINUTE ELSE INTERVAL 0 HOUR END AS ts FROM raw_orders", "raw_orders"))
+def q_cast_offsets(spark, d):
+    raw = TT.raw_orders(spark, d)
+    zone = F.element_at(F.array(*[F.lit(z) for z in ("+02:00", "Z", "-05:30", "")]), (F.col("order_id") % 4 + 1).cast("int"))
+    text = raw.select("order_id", F.concat(F.date_format("order_purchase_timestamp", "yyyy-MM-dd HH:mm:ss"), zone).alias("ts"))
+    return text.select("order_id", P.cast_timestamp(text, "ts").alias("ts"))
+
+
+@register("trim_unicode", _sql("SELECT customer_id, lower(customer_unique_id) AS name FROM raw_customers", "raw_customers"))
+def q_trim_unicode(spark, d):
+    c = TT.raw_customers(spark, d)
+    padded = F.concat(F.lit("\u00a0\t"), "customer_unique_id", F.lit("\u3000 \u2003\n"))
+    return c.select("customer_id", P.norm_lower(padded).alias("name"))
+
+
+def _late_load(spark, d, **options):
+    root, _ = _full_load(spark, d)
+    raw = _raw_tables(spark, d, 2)
+    frames = dict(raw.frames, orders=TT.raw_orders_batch2_late(spark, d))
+    log = L.incremental_load(spark, L.RawTables(frames), f"{root}/curated", B2_LOAD, tables=["orders"], **options)
+    failed = [r["error_message"] for r in log.collect() if r["status"] != "SUCCESS"]
+    if failed:
+        raise _Lost(str(failed))
+    return no_load_ts(SK.read_current(spark, f"{root}/curated/orders"))
+
+
+def _inc_late_sql(where: str) -> str:
+    body = O.merge_sql(INC_TGT_ORDERS, _late_src(where), ["order_id"], "order_status", L.MERGE_RULES["orders"][2],
+                       ORDER_OUT, C.SOURCE_LABELS["orders"], "b2")
+    return O.with_raw(f"SELECT * EXCLUDE (_action) FROM ({body})", *ALL_RAW, "raw_orders_b2_late")
+
+
+@register("incremental_lookback", _inc_late_sql(f"order_purchase_timestamp > {INC_MARK} - INTERVAL 400 DAY"))
+def q_incremental_lookback(spark, d):
+    return _late_load(spark, d, lookback_days=400)
+
+
+@register("incremental_late_updates", _inc_late_sql(
+    f"order_purchase_timestamp > {INC_MARK} OR EXISTS (SELECT 1 FROM ({INC_TGT_ORDERS}) t "
+    "WHERE t.order_id = s.order_id AND t.order_status <> s.order_status)"))
+def q_incremental_late(spark, d):
+    return _late_load(spark, d, late_updates=True)
+
+
+_CONTRACT = {"columns": {"order_id": {"nullable": False}, "order_status": {"allowed": ["o", "f", "p"], "max_null_rate": 0.001},
+                         "coupon": {"type": "string"}}}
+
+
+@register("contract_checks", _sql(
+    "SELECT 'contract_orders_' || rule AS check_name, CASE WHEN affected = 0 THEN 'PASS' ELSE 'FAIL' END AS status, "
+    "CAST(affected AS BIGINT) AS affected_count, total AS total_count FROM (SELECT count(*) AS total, "
+    "0 AS order_id__missing, count_if(order_id IS NULL) AS order_id__null, 0 AS order_status__missing, "
+    "greatest(count_if(order_status IS NULL) - CAST(floor(count(*) * 0.001) AS BIGINT), 0) AS order_status__null_rate, "
+    "count_if(order_status NOT IN ('o', 'f', 'p')) AS order_status__allowed, 1 AS coupon__missing FROM raw_orders_gaps) "
+    "UNPIVOT (affected FOR rule IN (order_id__missing, order_id__null, order_status__missing, order_status__null_rate, "
+    "order_status__allowed, coupon__missing))", "raw_orders", "raw_orders_gaps"))
+def q_contract_checks(spark, d):
+    return X.contract_checks(TT.raw_orders_with_gaps(spark, d), "orders", _CONTRACT, B1) \
+            .select("check_name", "status", "affected_count", "total_count")
+
+
+@register("freshness", _sql(
+    "SELECT max(order_purchase_timestamp) AS newest, "
+    "epoch(TIMESTAMP '2030-01-01' - max(order_purchase_timestamp)) / 3600.0 AS age_hours, true AS stale FROM raw_orders",
+    "raw_orders"))
+def q_freshness(spark, d):
+    return X.freshness(TT.raw_orders(spark, d), "order_purchase_timestamp", "2030-01-01 00:00:00", 24.0)
+
+
+@register("rows_for_tenant", _sql("SELECT order_id, order_item_id FROM raw_order_items WHERE seller_id = 1", "raw_order_items"))
+def q_rows_for(spark, d):
+    return X.rows_for(TT.raw_order_items(spark, d), "seller_id", 1).select("order_id", "order_item_id")
+
+
+@register("drop_batch", _sql(f"SELECT * EXCLUDE (_action) FROM ({INC_MERGED_ORDERS}) WHERE _batch_id <> 'b2'", *ALL_RAW))
+def q_drop_batch(spark, d):
+    root, _ = _full_load(spark, d)
+    L.incremental_load(spark, _raw_tables(spark, d, 2), f"{root}/curated", B2_LOAD, tables=["orders"])
+    return no_load_ts(X.drop_batch(SK.read_current(spark, f"{root}/curated/orders"), "b2"))
+
+
+@register("rejects_table", _sql(
+    "SELECT 'order_items' AS table_name, 'b1' AS batch_id, 'price_missing' AS reject_reason, count(*) AS rows "
+    "FROM raw_order_items WHERE price IS NULL GROUP BY ALL", "raw_order_items"))
+def q_rejects_table(spark, d):
+    path = new_run_dir(spark, "rejects")
+    _, rej = X.split_rejects(TT.raw_order_items(spark, d), {"price_missing": F.col("price").isNull()}, B1)
+    X.write_rejects(rej, "order_items", path)
+    return spark.read.parquet(path).groupBy("table_name", "batch_id", "reject_reason").agg(F.count("row").alias("rows"))
+
+
+@register("expired_batches", _sql(
+    "SELECT CAST(order_id % 10 AS VARCHAR) AS batch_id, max(order_purchase_timestamp) AS last_run FROM raw_orders "
+    "GROUP BY 1 HAVING max(order_purchase_timestamp) < TIMESTAMP '2030-01-01' - INTERVAL 90 DAY", "raw_orders"))
+def q_expired(spark, d):
+    log = TT.raw_orders(spark, d).select((F.col("order_id") % 10).cast("string").alias("batch_id"),
+                                         F.col("order_purchase_timestamp").alias("run_timestamp"))
+    return X.expired(log, "2030-01-01 00:00:00", 90)

@@ -19,10 +19,9 @@ def source(spark, rows=None):
     return spark.createDataFrame(rows, "k int, status string, note string")
 
 
-@pytest.mark.parametrize("strategy", ["auto", "shuffle"])
-def test_upsert_semantics(spark, strategy):
+def test_upsert_semantics(spark):
     out = upsert(target(spark), source(spark), "k", "status", ["status"], CTX,
-                 source_label="lbl", strategy=strategy)
+                 source_label="lbl")
     got = {(r["k"], r["status"], r["note"], r["_batch_id"], r["_action"]) for r in out.collect()}
     assert got == {
         (1, "b", "n1", "b2", "update"),       # changed: listed column only
@@ -48,7 +47,7 @@ def test_upsert_idempotent(spark):
 def test_upsert_duplicate_source_key_fails(spark):
     src = source(spark, [(1, "x", "a"), (1, "y", "b")])
     with pytest.raises(Exception):
-        upsert(target(spark), src, "k", "status", ["status"], CTX, strategy="shuffle").collect()
+        upsert(target(spark), src, "k", "status", ["status"], CTX).collect()
 
 
 def test_upsert_empty_sides(spark):
