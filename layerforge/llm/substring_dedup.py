@@ -59,7 +59,7 @@ WINDOW, GRAM = 50, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
 LATEST = np.iinfo(np.int64).max
 #: Bytes of text in one numpy pass of the first step.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 12 << 20
 
 
 class _WordHashes(dict):
