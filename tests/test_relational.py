@@ -36,8 +36,9 @@ def test_enrich_lookup_modes(spark):
     assert R.enrich(facts, look, ["k"]).count() == 4               # warehouse: multiplies
     first = R.enrich(facts, look, ["k"], lookup_unique="first").collect()
     assert len(first) == 3 and {r["v"] for r in first if r["k"] == "a"} == {10}
+    unchecked = R.enrich(facts, look, ["k"], lookup_unique="error")       # declares, runs nothing
     with pytest.raises(Exception):
-        R.enrich(facts, look, ["k"], lookup_unique="error")
+        unchecked.collect()
 
 
 def test_orphans_is_anti_join_and_keeps_null_keys(spark):
