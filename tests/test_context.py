@@ -19,3 +19,26 @@ def test_configure_and_work_root_use_session_settings(spark):
     root = work_root(spark)
     assert root == spark.sparkContext.getCheckpointDir().rstrip("/")
     assert new_run_dir(spark, "x").startswith(root + "/x-")
+
+
+def test_only_a_one_process_session_may_use_a_local_folder(monkeypatch):
+    import pytest
+
+    from layerforge import context
+
+    class Fake:
+        master = "spark://host:7077"
+        sparkContext = conf = None
+
+        def getCheckpointDir(self):
+            return None
+
+        def get(self, key, default=None):
+            return default
+
+    fake = Fake()
+    fake.sparkContext = fake.conf = fake
+    with pytest.raises(RuntimeError):
+        context.work_root(fake)
+    assert context.is_one_process("local[8]") and context.is_one_process("local")
+    assert not context.is_one_process("local-cluster[3,2,1024]")

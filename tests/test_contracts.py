@@ -50,3 +50,39 @@ def test_threshold_and_pending(spark):
 def test_drop_batch_for_replay(spark):
     df = spark.createDataFrame([(1, "b1"), (2, "b2"), (3, None)], "k int, _batch_id string")
     assert sorted(r[0] for r in X.drop_batch(df, "b2").collect()) == [1, 3]
+
+
+def test_missing_column_and_null_rate(spark):
+    df = spark.createDataFrame([(1, None), (2, "a"), (3, None), (4, "b")], "k int, s string")
+    contract = {"columns": {"s": {"max_null_rate": 0.25}, "gone": {"type": "int", "nullable": False}}}
+    r = X.validate_contract(df, contract).first()
+    assert (r["s__missing"], r["s__null_rate"], r["gone__missing"]) == (0, 1, 1)
+    rows = {r["check_name"]: (r["status"], r["affected_count"], r["total_count"])
+            for r in X.contract_checks(df, "t", contract, RunContext(batch_id="b")).collect()}
+    assert rows == {"contract_t_s__missing": ("PASS", 0, 4), "contract_t_s__null_rate": ("FAIL", 1, 4),
+                    "contract_t_gone__missing": ("FAIL", 1, 4)}
+
+
+def test_empty_days_are_listed(spark):
+    df = spark.createDataFrame([(datetime(2024, 1, 1, 5),), (datetime(2024, 1, 4),), (None,)], "ts timestamp_ntz")
+    got = {str(r["day"]): r["rows"] for r in X.daily_volume_breaches(df, "ts", 1).collect()}
+    assert got == {"2024-01-02": 0, "2024-01-03": 0}
+    more = X.daily_volume_breaches(df, "ts", 1, "2023-12-31", "2024-01-02").collect()
+    assert sorted(str(r["day"]) for r in more) == ["2023-12-31", "2024-01-02"]
+    assert X.daily_volume_breaches(df.limit(0), "ts", 1).collect() == []
+
+
+def test_schema_versions_halt_on_a_breaking_change(spark):
+    import pytest
+    from layerforge.context import new_run_dir
+    path = new_run_dir(spark, "schema-versions")
+    v1 = spark.createDataFrame([], "a int, b string")
+    run = lambda n: RunContext(batch_id=f"b{n}", run_ts=datetime(2024, 1, n))
+    assert X.record_schema(spark, v1, "t", run(1), path).count() == 0
+    wider = spark.createDataFrame([], "a int, b string, c string")
+    assert [r["change"] for r in X.record_schema(spark, wider, "t", run(2), path).collect()] == ["added"]
+    with pytest.raises(X.BreakingSchemaChange):
+        X.record_schema(spark, v1, "t", run(3), path)
+    assert X.record_schema(spark, v1, "u", run(3), path).count() == 0        # another table
+    stored = spark.read.parquet(path)
+    assert {(r["table_name"], r["batch_id"]) for r in stored.collect()} == {("t", "b1"), ("t", "b2"), ("u", "b3")}

@@ -40,3 +40,52 @@ def test_full_load_counts_and_versions(spark):
     assert sellers["records_skipped"] == sellers["records_read"] - sellers["records_inserted"]
     assert sellers["source_rows"] == sellers["records_read"]
     assert SK.current_version(spark, f"{root}/curated/orders") == "b1"
+
+
+def test_whole_error_text_and_skipped_children(spark):
+    root = new_run_dir(spark, "lake")
+    raw = RG._raw_tables(spark, SF, 1)
+    L.full_load(spark, raw, f"{root}/curated", RunContext(batch_id="b1"))
+    text, raw = "x" * 3000, RG._raw_tables(spark, SF, 2)
+    frames = dict(raw.frames, orders=raw["orders"].withColumn(
+        "order_status", F.raise_error(F.lit(text)).cast("string")))
+    log = L.incremental_load(spark, L.RawTables(frames), f"{root}/curated", RunContext(batch_id="b2"),
+                             ops_root=f"{root}/ops")
+    rows = {r["table_name"]: r for r in log.collect()}
+    assert text in rows["orders"]["error_message"]
+    assert {rows[t]["status"] for t in L.FACTS[1:]} == {"SKIPPED"}
+    assert rows["sellers"]["status"] == "SUCCESS"
+    todo = L.to_rerun(spark, spark.read.parquet(f"{root}/ops/pipeline_run_log"), RunContext(batch_id="b2"))
+    assert todo == L.FACTS
+
+
+def test_high_water_filter_reaches_the_scan_of_the_text_layer(spark):
+    from layerforge.sources import csv as CSV
+    from layerforge.testing.registry import _RAW_COLS
+    src, root = new_run_dir(spark, "landing"), new_run_dir(spark, "raw")
+    CSV.write_csv(TT.raw_orders(spark, SF).select(*_RAW_COLS["orders"]), f"{src}/orders.csv")
+    CSV.load_raw_csv(spark, f"{src}/orders.csv", CSV.string_schema(_RAW_COLS["orders"]), f"{root}/raw_orders", "v1",
+                     typed_copies=["order_purchase_timestamp"])
+    raw = L.RawTables({"orders": CSV.read_raw(spark, f"{root}/raw_orders"), "customers": TT.raw_customers(spark, SF)})
+    plan = L.orders_delta(raw, "1998-01-01 00:00:00", None)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(_typed_order_purchase_timestamp" in plan
+    want = TT.raw_orders(spark, SF).filter("order_purchase_timestamp > '1998-01-01'").select("order_id").distinct().count()
+    assert L.orders_delta(raw, "1998-01-01 00:00:00", None).count() == want
+
+
+def test_a_superseded_version_is_not_written_again(spark):
+    import pytest
+    root = new_run_dir(spark, "versions")
+    for v in ("v1", "v2"):
+        SK.write_snapshot(spark.range(2), root, v)
+    with pytest.raises(ValueError):
+        SK.write_snapshot(spark.range(9), root, "v1")
+    assert SK.read_current(spark, root).count() == 2 and SK.current_version(spark, root) == "v2"
+
+
+def test_partitioned_write_makes_one_file_for_each_small_partition(spark):
+    import glob
+    root = new_run_dir(spark, "files") + "/t"
+    SK.write_full(spark.range(0, 4000, 1, 16).withColumn("m", F.col("id") % 10), root, partition_by=["m"],
+                  sort_within=["id"])
+    assert len(glob.glob(root.removeprefix("file:") + "/m=*/*.parquet")) == 10
