@@ -22,10 +22,14 @@ How the reference is indexed and parsed against
   match, and the boundary between pieces.
 * The factors go back to their documents as bit masks of the runs.
 
-The first map task step keeps only the least doc_id of each run in its chunk
-and marks the rest as duplicates at once, so a passage that a third of all
-documents share costs its block one piece a chunk.  Blocks are streamed in
-sorted order; one block is in memory at a time.
+The first step keeps only the least doc_id of each run in its chunk and marks
+the rest as duplicates at once, so of a passage that a third of all documents
+share each run is sent once a chunk.  The runs that lie half inside such a
+passage differ from document to document, yet have its minimizers.  So blocks
+that are frequent in a sample of the documents (``hot_blocks``; at most some
+thousand numbers) are cut into ``SPLIT`` by the runs' hashes.  That only decides
+which task looks at a run; any sample gives the same result.  Blocks are
+streamed in sorted order; one is in memory at a time.
 
 Hashes: 64 bits a word, a polynomial over them with an odd base, mixed; of a
 run's hash 48 bits are sent, next to the block's 64.
@@ -57,6 +61,8 @@ from .common import KEY_HASH, KEY_ID, chunks_of, doc_key, materialise, mix64, re
 
 WINDOW, GRAM = 50, 8
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Parts of a hot block; share of sampled documents (and least number) that make one hot.
+SPLIT, HOT_SHARE, HOT_LEAST = 64, 0.002, 12
 LATEST = np.iinfo(np.int64).max
 #: Bytes of text in one numpy pass of the first step.
 CHUNK_BYTES = 12 << 20
@@ -128,11 +134,37 @@ def _earliest(key: np.ndarray, doc: np.ndarray) -> np.ndarray:
 PIECES = f"block long, {KEY_ID} long, {KEY_HASH} long, start int, marked long, open long, hashes binary"
 
 
+def hot_blocks(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, one_in: int = 64) -> np.ndarray:
+    """Blocks that are frequent among every ``one_in``-th document by hash."""
+    def run(batches):
+        for held in chunks_of(batches, CHUNK_BYTES):
+            texts = [t or "" for b in held for t in b.column("text").to_pylist()]
+            text, _, _, least = runs_of(texts, window, gram)
+            pair = np.lexsort((least, text))
+            text, least = text[pair], least[pair]
+            once = np.concatenate([[True], (text[1:] != text[:-1]) | (least[1:] != least[:-1])])[:len(text)]
+            block, n = np.unique(least[once], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(block.view(np.int64)), pa.array(n.astype(np.int64)),
+                                              pa.array(np.zeros(len(n), np.int64))], names=["block", "n", "docs"])
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([0], pa.int64()),
+                                              pa.array([len(texts)], pa.int64())], names=["block", "n", "docs"])
+    sample = docs.filter(F.pmod(F.xxhash64("doc_id", "text", F.lit("hot")), F.lit(one_in)) == 0).select("text")
+    counts = materialise(sample.mapInArrow(run, "block long, n long, docs long")
+                         .groupBy("block").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+                         .filter((F.col("n") >= HOT_LEAST) | F.col("block").isNull()), "block-counts")
+    total = counts.agg(F.sum("docs")).first()[0] or 0
+    # a text has few blocks, so those that a given share of the texts have are bounded
+    rows = counts.filter(F.col("block").isNotNull() & (F.col("n") >= HOT_SHARE * total)).select("block").collect()
+    return np.sort(np.array([r["block"] for r in rows], np.int64).view(np.uint64))
+
+
 def pieces(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """The pieces of every document: up to 64 consecutive runs with one
-    minimizer.  ``marked`` has a bit for each run that is known to be a
+    minimizer (of a hot block, those of them in one part).  ``marked`` has a bit for each run that is known to be a
     duplicate already, ``open`` one for each that the block must decide, whose
     hashes (6 bytes each) follow."""
+    hot = hot_blocks(docs, window, gram)
+
     def run(batches):
         for held in chunks_of(batches, CHUNK_BYTES):
             ids = np.concatenate([b.column(0).fill_null(LATEST).to_numpy() for b in held])
@@ -147,8 +179,17 @@ def pieces(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             begin = np.nonzero(new)[0]
             offset = np.arange(len(h)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(h)]])))
             new |= offset % 64 == 0
+            offset %= 64
+            if len(hot):
+                at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
+                salt = np.where(hot[at] == least, h % np.uint64(SPLIT) + np.uint64(1), np.uint64(0))
+                order = np.lexsort((salt, np.cumsum(new)))
+                begun = np.cumsum(new)[order]
+                text, start, h, least, offset, local, salt = (x[order] for x in (text, start, h, least, offset, local, salt))
+                new = np.concatenate([[True], (begun[1:] != begun[:-1]) | (salt[1:] != salt[:-1])])
+                least = np.where(salt > 0, mix64(least + salt), least)
             begin = np.nonzero(new)[0]
-            bit = np.uint64(1) << (offset % 64).astype(np.uint64)
+            bit = np.uint64(1) << offset.astype(np.uint64)
             marked = np.bitwise_or.reduceat(np.where(local, bit, np.uint64(0)), begin)
             todo = np.bitwise_or.reduceat(np.where(local, np.uint64(0), bit), begin)
             six = np.ascontiguousarray(h[~local].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).reshape(-1)
@@ -158,7 +199,7 @@ def pieces(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             at = pa.array(text[begin])
             out = pa.RecordBatch.from_arrays(
                 [pa.array(least[begin].view(np.int64)), *[_combined(k.take(at)) for k in keys],
-                 pa.array(start[begin].astype(np.int32)), pa.array(marked.view(np.int64)), pa.array(todo.view(np.int64)),
+                 pa.array((start - offset)[begin].astype(np.int32)), pa.array(marked.view(np.int64)), pa.array(todo.view(np.int64)),
                  hashes], names=["block", KEY_ID, KEY_HASH, "start", "marked", "open", "hashes"])
             for k in range(0, out.num_rows, 20_000):
                 yield out.slice(k, 20_000)
