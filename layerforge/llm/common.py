@@ -85,12 +85,11 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def chunks_of(batches, max_bytes: int, size_of=lambda b: b.nbytes):
-    """Group record batches until a chunk holds ``max_bytes``; bounds what one
-    numpy pass holds, whatever the partition's size."""
+    """Cut and group record batches into chunks of about ``max_bytes`` (at
+    least one row); bounds what one numpy pass holds, whatever the sizes of
+    partitions and batches."""
     held, total = [], 0
-    for b in batches:
-        if not b.num_rows:
-            continue
+    for b in (part for batch in batches for part in _cut(batch, max_bytes, size_of)):
         held.append(b)
         total += size_of(b)
         if total >= max_bytes:
@@ -100,6 +99,17 @@ def chunks_of(batches, max_bytes: int, size_of=lambda b: b.nbytes):
         yield held
 
 
+def _cut(batch, max_bytes: int, size_of):
+    """A batch in slices of at most ``max_bytes``, or of one row."""
+    if batch.num_rows <= 1 or size_of(batch) <= max_bytes:
+        if batch.num_rows:
+            yield batch
+        return
+    half = batch.num_rows // 2
+    yield from _cut(batch.slice(0, half), max_bytes, size_of)
+    yield from _cut(batch.slice(half), max_bytes, size_of)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (multiply and xor-shift), on uint64."""
     x = x ^ (x >> np.uint64(32))

@@ -180,29 +180,40 @@ def pieces(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame
             offset = np.arange(len(h)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(h)]])))
             new |= offset % 64 == 0
             offset %= 64
-            if len(hot):
-                at = np.minimum(np.searchsorted(hot, least), len(hot) - 1)
-                salt = np.where(hot[at] == least, h % np.uint64(SPLIT) + np.uint64(1), np.uint64(0))
-                order = np.lexsort((salt, np.cumsum(new)))
-                begun = np.cumsum(new)[order]
-                text, start, h, least, offset, local, salt = (x[order] for x in (text, start, h, least, offset, local, salt))
-                new = np.concatenate([[True], (begun[1:] != begun[:-1]) | (salt[1:] != salt[:-1])])
-                least = np.where(salt > 0, mix64(least + salt), least)
-            begin = np.nonzero(new)[0]
-            bit = np.uint64(1) << offset.astype(np.uint64)
-            marked = np.bitwise_or.reduceat(np.where(local, bit, np.uint64(0)), begin)
-            todo = np.bitwise_or.reduceat(np.where(local, np.uint64(0), bit), begin)
-            six = np.ascontiguousarray(h[~local].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).reshape(-1)
-            sent = np.add.reduceat((~local).astype(np.int64), begin) * 6
-            ends = np.concatenate([[0], np.cumsum(sent)]).astype(np.int32)
-            hashes = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(six)])
-            at = pa.array(text[begin])
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(least[begin].view(np.int64)), *[_combined(k.take(at)) for k in keys],
-                 pa.array((start - offset)[begin].astype(np.int32)), pa.array(marked.view(np.int64)), pa.array(todo.view(np.int64)),
-                 hashes], names=["block", KEY_ID, KEY_HASH, "start", "marked", "open", "hashes"])
-            for k in range(0, out.num_rows, 20_000):
-                yield out.slice(k, 20_000)
+            if len(hot):                       # all runs of a piece have one minimizer, so pieces are hot or not
+                is_hot = hot[np.minimum(np.searchsorted(hot, least), len(hot) - 1)] == least
+                if is_hot.any():
+                    salt = h[is_hot] % np.uint64(SPLIT) + np.uint64(1)
+                    number = np.cumsum(new)[is_hot]
+                    order = np.lexsort((salt, number))
+                    salt, number = salt[order], number[order]
+                    pick = np.nonzero(is_hot)[0][order]
+                    parts = np.concatenate([[True], (number[1:] != number[:-1]) | (salt[1:] != salt[:-1])])
+                    yield from rows(keys, parts, text[pick], start[pick], h[pick], mix64(least[pick] + salt), offset[pick],
+                                    local[pick])
+                    cold = ~is_hot
+                    text, start, h, least, offset, local, new = (
+                        x[cold] for x in (text, start, h, least, offset, local, new))
+            if len(h):
+                yield from rows(keys, new, text, start, h, least, offset, local)
+
+    def rows(keys, new, text, start, h, block, offset, local):
+        begin = np.nonzero(new)[0]
+        bit = np.uint64(1) << offset.astype(np.uint64)
+        marked = np.bitwise_or.reduceat(np.where(local, bit, np.uint64(0)), begin)
+        todo = np.bitwise_or.reduceat(np.where(local, np.uint64(0), bit), begin)
+        six = np.ascontiguousarray(h[~local].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:]).reshape(-1)
+        sent = np.add.reduceat((~local).astype(np.int64), begin) * 6
+        ends = np.concatenate([[0], np.cumsum(sent)]).astype(np.int32)
+        hashes = pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(ends), pa.py_buffer(six)])
+        at = pa.array(text[begin])
+        out = pa.RecordBatch.from_arrays(
+            [pa.array(block[begin].view(np.int64)), *[_combined(k.take(at)) for k in keys],
+             pa.array((start - offset)[begin].astype(np.int32)), pa.array(marked.view(np.int64)), pa.array(todo.view(np.int64)),
+             hashes], names=["block", KEY_ID, KEY_HASH, "start", "marked", "open", "hashes"])
+        for k in range(0, out.num_rows, 20_000):
+            yield out.slice(k, 20_000)
+
     return docs.select(*doc_key(), "text").mapInArrow(run, PIECES)
 
 
