@@ -100,7 +100,7 @@ def _orders_merge(spark, d):
     mark = L.current_mark(spark, tgt)
     src = L.orders_delta(L.RawTables({"orders": TT.raw_orders_batch2(spark, d),
                                       "customers": TT.raw_customers(spark, d)}), mark, B2)
-    return tgt, L.merge_table("orders", tgt, src, B2)
+    return tgt, L.merge_table("orders", tgt, src.checkpoint(eager=True), B2)
 
 
 def merged_orders(spark, d):
@@ -121,8 +121,10 @@ def merged_child(spark, d, table):
                        "order_payments": TT.raw_order_payments(spark, d, reprice=True),
                        "order_reviews": TT.raw_order_reviews(spark, d)})
     tgt, merged = _orders_merge(spark, d)
-    src = L.child_delta(table, raw, merged.drop("_action"), B2)
-    return L.merge_table(table, _child_target(spark, d, table, tgt), src, B2)
+    # what the load reads as written tables is materialised here too
+    orders_now = merged.drop("_action").checkpoint(eager=True)
+    src = L.child_delta(table, raw, orders_now, B2).checkpoint(eager=True)
+    return L.merge_table(table, _child_target(spark, d, table, tgt).checkpoint(eager=True), src, B2)
 
 
 # SQL pieces for the same inputs
@@ -1419,8 +1421,18 @@ _TEXT = {"orders": (INC_MERGED_ORDERS, C.ORDER_COLS), "order_items": (_inc_child
          "order_reviews": (_inc_child_sql("order_reviews"), C.REVIEW_COLS),
          "products": (O.curated_products_sql("b2"), C.PRODUCT_COLS), "sellers": (O.curated_sellers_sql("b2"), C.SELLER_COLS)}
 
+
+def _text_ids(sql: str) -> str:
+    """Ids that the curate step passes on as they are stay text, so that ties
+    among them are broken as text."""
+    return sql.replace("l_partkey AS product_id, l_suppkey AS seller_id",
+                       "CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_suppkey AS VARCHAR) AS seller_id") \
+              .replace("l_partkey AS product_id,\n           l_suppkey AS seller_id",
+                       "CAST(l_partkey AS VARCHAR) AS product_id,\n           CAST(l_suppkey AS VARCHAR) AS seller_id")
+
+
 for _t, (_q, _cols) in _TEXT.items():
-    register(f"from_text_{_t}", _text_sql(_q, [*_cols, "_batch_id"]))(
+    register(f"from_text_{_t}", _text_ids(_text_sql(_q, [*_cols, "_batch_id"])))(
         lambda spark, d, t=_t, cols=tuple(_cols): SK.read_current(
             spark, f"{_text_loads(spark, d)}/curated/{t}").select(*cols, "_batch_id"))
 
