@@ -2,13 +2,17 @@
 
 The network predicts each word from the two words on either side: the context's
 embeddings (one table for each place) are added, go through tanh, and a
-two-level softmax gives the probability of the word's class and of the word in
-its class.  A document's score is the sum of the logarithms over all its words.
+two-level softmax gives the probability of the id's class and of the id in its
+class.  Frequent words have an id of their own; the others share the ids of
+hash buckets, and the share of the word in its bucket is multiplied in.  A
+document's score is the sum of the logarithms over all its words.
 
 Everything is learned from all documents.
-* Words are counted over the whole corpus.  The most frequent get an id, the
-  rest share hash buckets.  Only the ``TOP`` most frequent words reach the
-  driver.
+* Words are counted over the whole corpus, into a written table of every word,
+  its id and its count.  Only the ``TOP`` most frequent words and the sums of
+  the buckets reach the driver.
+* The words of a chunk of documents that lie in buckets are joined with that
+  table, one row for each distinct word of the chunk, and come back to the chunk.
 * Training is one pass over all documents, in ``rounds`` rounds that split them
   by a hash.  In a round each task starts from the same parameters, runs
   minibatch Adagrad over all its documents, and sends its parameters (about
@@ -22,6 +26,9 @@ Defined results
   end of the text hold a padding id.
 * null texts and texts without words: no words, score 0, mean null.
 * Repeated rows are trained on as often as they occur and score alike.
+* A word counted n times in a bucket of N has the share (n - DISCOUNT) / N of
+  it.  What is taken off goes to as many unseen words as the bucket has words:
+  one that was never counted has the share DISCOUNT / N.
 * An empty table gives no rows.  Columns other than doc_id and text are not
   read.
 * Scores depend, within the noise of training, on how the input is split.
@@ -34,10 +41,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import KEY_HASH, KEY_ID, chunks_of, doc_key, read_table
+from .common import KEY_HASH, KEY_ID, chunks_of, doc_key, materialise, read_table
 
 CLASSES, MEMBERS, HIDDEN, SPAN = 32, 32, 16, 2
 VOCAB = CLASSES * MEMBERS
@@ -45,9 +53,12 @@ TOP = 768                                      # ids 1..TOP; 0 is padding
 BUCKETS = VOCAB - 1 - TOP
 PLACES = [d for d in range(-SPAN, SPAN + 1) if d]
 BLOCKS, FAN = 16, 256
+#: What is taken off each count of a word in a bucket, for unseen words.
+DISCOUNT = 0.25
 #: Distinct words that a task counts before it sends them on.
 COUNT_MEMORY = 500_000
 CHUNK_BYTES = 8 << 20
+SENT = ["chunk", "word", "bucket", "refs"]
 BATCH, RATE = 8192, 0.3
 
 
@@ -57,9 +68,8 @@ def words_of(text: str | None) -> list[bytes]:
 
 # -------------------------------------------------------------- vocabulary
 
-def vocabulary(docs: DataFrame) -> tuple[list[bytes], list[int], int]:
-    """The ``TOP`` most frequent words (ties by bytes), how often each occurs,
-    and how many words the corpus has."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """How often each word occurs; the null word has the sum of all."""
     def count(batches):
         def out(c, total):
             words, n = list(c) + [None], list(c.values()) + [total]
@@ -77,13 +87,27 @@ def vocabulary(docs: DataFrame) -> tuple[list[bytes], list[int], int]:
                     c, total = Counter(), 0
         yield from out(c, total)
 
-    rows = (docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.col("word").isNull().desc(), F.col("n").desc(), "word").limit(TOP + 1).collect())
+    return docs.select("text").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary(docs: DataFrame) -> tuple[list[bytes], list[int], int]:
+    """The ``TOP`` most frequent words (ties by bytes), how often each occurs,
+    and how many words the corpus has."""
+    return frequent(word_counts(docs))
+
+
+def frequent(counts: DataFrame) -> tuple[list[bytes], list[int], int]:
+    """``vocabulary`` from the counts."""
+    rows = counts.orderBy(F.col("word").isNull().desc(), F.col("n").desc(), "word").limit(TOP + 1).collect()
     total = sum(r["n"] for r in rows if r["word"] is None)
     top = [(bytes(r["word"]), r["n"]) for r in rows if r["word"] is not None]
     return [w for w, _ in top], [n for _, n in top], total
 
 
+def bucket_of(word: bytes) -> int:
+    return 1 + TOP + xxhash.xxh32_intdigest(word) % BUCKETS
+
+
 class Ids(dict):
     """word -> id."""
 
@@ -95,10 +119,50 @@ class Ids(dict):
         if len(self) > 300_000:
             self.clear()
             self.update(self.top)
-        self[word] = i = 1 + TOP + xxhash.xxh32_intdigest(word) % BUCKETS
+        self[word] = i = bucket_of(word)
         return i
 
 
+class Numbers(dict):
+    """word -> its number within a chunk: the id of a frequent word, from
+    TOP + 1 on that of any other in the order of appearance."""
+
+    def __init__(self, top: list[bytes]):
+        super().__init__((w, i + 1) for i, w in enumerate(top))
+        self.frequent, self.buckets = len(top), []
+
+    def __missing__(self, word: bytes) -> int:
+        self.buckets.append(bucket_of(word))
+        self[word] = i = TOP + len(self.buckets)
+        return i
+
+    def ids(self) -> np.ndarray:
+        """The id of each number."""
+        return np.concatenate([np.arange(TOP + 1), np.array(self.buckets, np.int64)])
+
+    def others(self) -> list[bytes]:
+        return list(self)[self.frequent:]
+
+
+def in_buckets(counts: DataFrame, top: list[bytes]) -> tuple[DataFrame, np.ndarray]:
+    """The table of all words that share a bucket (word, id, n), written, and
+    the sum of n for each id."""
+    def place(batches):
+        known = set(top)
+        for batch in batches:
+            words = batch.column("word").to_pylist()
+            at = [i for i, w in enumerate(words) if w is not None and w not in known]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([words[i] for i in at], pa.binary()), pa.array([bucket_of(words[i]) for i in at], pa.int32()),
+                 batch.column("n").take(pa.array(at, pa.int64()))], names=["word", "id", "n"])
+
+    table = materialise(counts.mapInArrow(place, "word binary, id int, n long"), "lm-words")
+    sums = np.zeros(VOCAB, np.int64)
+    for r in table.groupBy("id").agg(F.sum("n").alias("n")).collect():
+        sums[r["id"]] = r["n"]
+    return table, sums
+
+
 def padded(texts: list[str | None], ids: Ids) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Ids of all texts with ``SPAN`` padding ids (0) around each, where each
     text starts in them, and its number of words."""
@@ -282,10 +346,10 @@ def train_round(docs: DataFrame, top: list[bytes], params: np.ndarray) -> np.nda
     return np.concatenate([np.frombuffer(r["values"], np.float32) for r in sorted(rows, key=lambda r: r["block"])])
 
 
-def fit_model(docs: DataFrame, rounds: int = 2) -> tuple[list[bytes], np.ndarray]:
-    """Vocabulary and parameters from one pass over all documents."""
-    top, counts, total = vocabulary(docs)
-    params = initial(counts, total)
+def fit_model(docs: DataFrame, rounds: int = 2, counts: DataFrame | None = None) -> tuple[list[bytes], np.ndarray]:
+    """Frequent words and parameters from one pass over all documents."""
+    top, n, total = frequent(word_counts(docs) if counts is None else counts)
+    params = initial(n, total)
     keyed = docs.select(*doc_key(), "text")
     turn = F.pmod(F.xxhash64(KEY_ID, KEY_HASH, F.lit("round")), F.lit(rounds))
     for k in range(rounds):
@@ -294,7 +358,8 @@ def fit_model(docs: DataFrame, rounds: int = 2) -> tuple[list[bytes], np.ndarray
 
 
 def score(docs: DataFrame, top: list[bytes], params: np.ndarray) -> DataFrame:
-    """Document key, n_tokens, log_likelihood (sum) and per_token (mean)."""
+    """Document key, n_tokens, log_likelihood (sum) and per_token (mean) of the
+    network's ids: words that share a bucket are not told apart."""
     def run(batches):
         ids, p = Ids(top), views(params)
         for held, texts in _texts(batches):
@@ -313,6 +378,63 @@ def score(docs: DataFrame, top: list[bytes], params: np.ndarray) -> DataFrame:
         run, f"{KEY_ID} long, {KEY_HASH} long, n_tokens long, log_likelihood double, per_token double")
 
 
+def score_words(docs: DataFrame, top: list[bytes], params: np.ndarray, words: DataFrame, sums: np.ndarray) -> DataFrame:
+    """As ``score``, with the share of each word in its bucket; ``words`` and
+    ``sums`` are those of ``in_buckets``."""
+    def run(batches):
+        # a chunk's distinct words, each with its places' documents; last, under
+        # a name that no word can have, the network's scores of the documents
+        p, partition = views(params), TaskContext.get().partitionId()
+        for k, (held, texts) in enumerate(_texts(batches)):
+            chunk, numbers = (partition << 32) + k, Numbers(top)
+            flat, starts, n = padded(texts, numbers)
+            sum_to = np.concatenate([[0.0], np.cumsum(log_likelihoods(p, numbers.ids()[flat]), dtype=np.float64)])
+            doc = np.repeat(np.arange(len(texts), dtype=np.int32), n)
+            number = flat[flat > 0]
+            doc, number = doc[number > TOP], number[number > TOP] - TOP - 1
+            docs_of = doc[np.argsort(number, kind="stable")]
+            m = len(numbers.buckets)
+            edges = np.concatenate([[0], np.cumsum(4 * np.bincount(number, minlength=m))]).astype(np.int32)
+            refs = pa.Array.from_buffers(pa.binary(), m, [None, pa.py_buffer(edges), pa.py_buffer(docs_of)])
+            others = pa.array(numbers.others(), pa.binary())
+            for lo in range(0, m, 50_000):
+                size = min(50_000, m - lo)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(size, chunk)), others.slice(lo, size),
+                     pa.array(numbers.buckets[lo:lo + size], pa.int32()), refs.slice(lo, size)], names=SENT)
+            key = pa.Table.from_batches(held).combine_chunks()
+            scored = pa.table([key.column(0), key.column(1), pa.array(n), pa.array(sum_to[starts + n] - sum_to[starts])],
+                              names=[KEY_ID, KEY_HASH, "n_tokens", "log_likelihood"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, scored.schema) as out:
+                out.write_table(scored)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([chunk], pa.int64()), pa.array([b" %d" % chunk], pa.binary()), pa.array([0], pa.int32()),
+                 pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=SENT)
+
+    def finish(table):
+        ids = table.column("bucket").to_numpy()
+        n = table.column("n").fill_null(0).to_numpy()
+        share = np.log(np.where(n > 0, n - DISCOUNT, DISCOUNT) / np.maximum(sums[ids], 1))
+        refs = table.column("refs").to_pylist()
+        scored = pa.ipc.open_stream(refs[int(np.nonzero(ids == 0)[0][0])]).read_all()
+        word = np.nonzero(ids > 0)[0]
+        times = np.array([len(refs[i]) // 4 for i in word], np.int64)
+        doc = np.frombuffer(b"".join(refs[i] for i in word), np.int32)
+        s = scored.column("log_likelihood").to_numpy() + np.bincount(doc, np.repeat(share[word], times), scored.num_rows)
+        m = scored.column("n_tokens").to_numpy()
+        return pa.table([*scored.columns[:3], pa.array(s), pa.array(s / np.maximum(m, 1), mask=m == 0)],
+                        names=[KEY_ID, KEY_HASH, "n_tokens", "log_likelihood", "per_token"])
+
+    sent = docs.select(*doc_key(), "text").mapInArrow(run, "chunk long, word binary, bucket int, refs binary")
+    return (sent.join(words.select("word", "n"), "word", "left").select("chunk", "bucket", "refs", "n")
+            .groupBy("chunk").applyInArrow(
+                finish, f"{KEY_ID} long, {KEY_HASH} long, n_tokens long, log_likelihood double, per_token double"))
+
+
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    return score(docs, *fit_model(docs)).select(F.col(KEY_ID).alias("doc_id"), "n_tokens", "log_likelihood", "per_token")
+    counts = materialise(word_counts(docs), "lm-counts")
+    top, params = fit_model(docs, counts=counts)
+    scored = score_words(docs, top, params, *in_buckets(counts, top))
+    return scored.select(F.col(KEY_ID).alias("doc_id"), "n_tokens", "log_likelihood", "per_token")

@@ -330,3 +330,44 @@ def test_vocabulary_counts_everything(awkward):
     from collections import Counter
     want = sorted(Counter(words).items(), key=lambda x: (-x[1], x[0]))[:lm_score.TOP]
     assert list(zip(top, counts)) == want
+
+
+def test_words_of_a_bucket_are_told_apart(spark, awkward, no_rows):
+    """Each word's share in its bucket, from the counts of all words: against
+    plain counting, for rows with and without counted words."""
+    from collections import Counter
+    counts = lm_score.word_counts(awkward)
+    top, params = lm_score.fit_model(awkward, counts=counts)
+    words, sums = lm_score.in_buckets(counts, top)
+    count = Counter(w for _, t, *_ in awkward_rows() for w in (t or "").encode().lower().split())
+    tail = {w: n for w, n in count.items() if w not in set(top)}
+    assert len(tail) > 1000 and {bytes(r["word"]): r["n"] for r in words.collect()} == tail
+    total = Counter()
+    for w, n in tail.items():
+        total[lm_score.bucket_of(w)] += n
+    extra = lambda t: sum(np.log((tail.get(w, 0) - 0.25 if w in tail else 0.25) / max(total[lm_score.bucket_of(w)], 1))
+                          for w in (t or "").encode().lower().split() if w not in set(top))
+    rare, common = min(tail, key=tail.get).decode(), max(tail, key=tail.get).decode()
+    new = spark.createDataFrame([(900, "neverseenword " * 3), (901, rare), (902, common), (903, None)], "doc_id long, text string")
+    for df, texts in ((awkward, [(i, t) for i, t, *_ in awkward_rows()]), (new, [(r[0], r[1]) for r in new.collect()])):
+        plain = {(r[0], r[1]): r for r in lm_score.score(df, top, params).collect()}
+        got = lm_score.score_words(df, top, params, words, sums).collect()
+        assert len(got) == len(texts)
+        by = {}
+        for i, t in texts:
+            by.setdefault((i, len((t or "").split())), []).append(extra(t))
+        for r in got:
+            base = plain[(r[0], r[1])]
+            assert r["n_tokens"] == base["n_tokens"] and (r["per_token"] is None) == (r["n_tokens"] == 0)
+            assert any(abs(base["log_likelihood"] + x - r["log_likelihood"]) < 1e-6 * (1 + abs(r["log_likelihood"]))
+                       for x in by[(r[0], r["n_tokens"])])
+    assert lm_score.score_words(no_rows, top, params, words, sums).collect() == []
+
+
+def test_the_query_sums_to_a_distribution(spark):
+    """Over the counted words of a bucket and as many unseen ones the shares add up to 1."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    counts = lm_score.word_counts(docs)
+    words, sums = lm_score.in_buckets(counts, lm_score.vocabulary(docs)[0])
+    for r in words.groupBy("id").agg(F.sum(F.col("n") - lm_score.DISCOUNT).alias("seen"), F.count("word").alias("k")).collect():
+        assert abs((r["seen"] + r["k"] * lm_score.DISCOUNT) / sums[r["id"]] - 1) < 1e-9
