@@ -5,8 +5,11 @@ participant as the assistant, the others as named users, and the character spans
 that the assistant is trained on (its texts and their end marks).
 
 A conversation is rendered in parts of at most ``max_turns`` turns, so no group
-that is gathered into one row grows without bound, and a part is rendered for
-those who speak in it (for others it holds nothing to train on).  The number of
+that is gathered into one row grows without bound.  With ``whole``, as in the
+query, every part is rendered for every participant of the whole conversation
+and starts with the system turns that were before it, so the parts of a view add
+up to the dialogue; without, a part is rendered by itself, for those who speak
+in it.  The number of
 a turn within its conversation comes from a range sort of all turns, not from a
 window by conversation: a conversation that holds a third of all turns is spread
 over many tasks, each of which counts on from where the one before it ended.
@@ -17,8 +20,11 @@ Defined results
   rendered as often as they occur.
 * A null conv_id is a conversation like any other.
 * A system turn is nobody's perspective and is rendered as such in all.  A turn
-  without a role is an unnamed user's.  A part without any participant gives no
-  row, as does an empty table.
+  without a role is an unnamed user's.  A conversation (without ``whole``, a
+  part) without any participant gives no row, as does an empty table.
+* System turns that are repeated at the head of a part appear there once for
+  each role and text, in the order of their first places, and are not counted in
+  n_turns.
 * A null text is an empty one.  ``<|`` in a text or a role is written ``< |``,
   so that no text can pose as a mark.
 * Columns other than conv_id, turn, role and text are not read.
@@ -58,18 +64,37 @@ def _plain(c: Column) -> Column:
     return F.replace(F.coalesce(c, F.lit("")), F.lit("<|"), F.lit("< |"))
 
 
-def rotate(turns: DataFrame, max_turns: int = MAX_TURNS, system_roles: tuple[str, ...] = ("system",)) -> DataFrame:
-    """One row for each conversation, part and participant who speaks in it:
-    conv_id, part, assistant, n_turns, n_own, rendered, and spans (array of
-    start and end, in characters of ``rendered``)."""
-    parts = (numbered(turns)
-             .withColumn("part", F.floor(F.col("ordinal") / max_turns))
-             .groupBy("conv_id", "part")
-             .agg(F.array_sort(F.collect_list(F.struct("ordinal", "role", "text"))).alias("turns")))
+def _system_before(placed: DataFrame, max_turns: int, is_system) -> DataFrame:
+    """The system turns that were before each part, as turns of that part."""
+    first = placed.filter(is_system(F.col("role"))).groupBy("conv_id", "role", "text").agg(F.min("ordinal").alias("ordinal"))
+    last = placed.groupBy("conv_id").agg(F.max("part").alias("last")).filter("last > 0").withColumnRenamed("conv_id", "c")
+    since = F.floor(F.col("ordinal") / max_turns) + 1
+    return (first.join(last, F.col("conv_id").eqNullSafe(F.col("c"))).filter(since <= F.col("last"))
+                 .select("conv_id", "role", "text", "ordinal", F.explode(F.sequence(since, F.col("last"))).alias("part"),
+                         F.lit(True).alias("again")))
+
+
+def rotate(turns: DataFrame, max_turns: int = MAX_TURNS, system_roles: tuple[str, ...] = ("system",),
+           whole: bool = False) -> DataFrame:
+    """One row for each conversation, part and participant who speaks in it
+    (``whole``: in the conversation): conv_id, part, assistant, n_turns, n_own,
+    rendered, and spans (array of start and end, in characters of ``rendered``)."""
     is_system = lambda r: r.isin(*system_roles)
-    people = F.array_distinct(F.transform(F.filter("turns", lambda t: t["role"].isNotNull() & ~is_system(t["role"])),
-                                          lambda t: t["role"]))
-    views = parts.select("conv_id", "part", "turns", F.explode(people).alias("assistant"))
+    placed = numbered(turns).withColumn("part", F.floor(F.col("ordinal") / max_turns))
+    held = placed.select("conv_id", "role", "text", "ordinal", "part", F.lit(False).alias("again"))
+    if whole:
+        held = held.unionByName(_system_before(placed, max_turns, is_system))
+    parts = (held.groupBy("conv_id", "part")
+             .agg(F.array_sort(F.collect_list(F.struct("ordinal", "role", "text", "again"))).alias("turns")))
+    if whole:
+        people = (turns.select(F.col("conv_id").alias("c"), F.col("role").cast("string").alias("assistant"))
+                  .filter(F.col("assistant").isNotNull() & ~is_system(F.col("assistant"))).distinct())
+        views = (parts.join(people, F.col("conv_id").eqNullSafe(F.col("c")))
+                      .select("conv_id", "part", "turns", "assistant"))
+    else:
+        people = F.array_distinct(F.transform(F.filter("turns", lambda t: t["role"].isNotNull() & ~is_system(t["role"])),
+                                              lambda t: t["role"]))
+        views = parts.select("conv_id", "part", "turns", F.explode(people).alias("assistant"))
 
     def header(t):
         return (F.when(t["role"].isNull(), F.lit("<|user|>\n"))
@@ -79,7 +104,7 @@ def rotate(turns: DataFrame, max_turns: int = MAX_TURNS, system_roles: tuple[str
 
     segments = F.transform("turns", lambda t: F.struct(
         (t["role"].isNotNull() & (t["role"] == F.col("assistant"))).alias("own"),
-        header(t).alias("head"), F.concat(_plain(t["text"]), F.lit("\n" + END)).alias("body")))
+        t["again"].alias("again"), header(t).alias("head"), F.concat(_plain(t["text"]), F.lit("\n" + END)).alias("body")))
     views = views.select("conv_id", "part", "assistant", segments.alias("segments"))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
 
@@ -90,14 +115,14 @@ def rotate(turns: DataFrame, max_turns: int = MAX_TURNS, system_roles: tuple[str
         return F.struct(end.alias("at"), F.when(s["own"], F.concat(acc["spans"], own)).otherwise(acc["spans"]).alias("spans"))
 
     return views.select(
-        "conv_id", "part", "assistant", F.size("segments").cast("long").alias("n_turns"),
+        "conv_id", "part", "assistant", F.size(F.filter("segments", lambda s: ~s["again"])).cast("long").alias("n_turns"),
         F.size(F.filter("segments", lambda s: s["own"])).cast("long").alias("n_own"),
         F.array_join(F.transform("segments", lambda s: F.concat(s["head"], s["body"])), "").alias("rendered"),
         F.aggregate("segments", zero, step, lambda acc: acc["spans"]).alias("spans"))
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = rotate(read_table(spark, sf_dir, "conversations"))
+    r = rotate(read_table(spark, sf_dir, "conversations"), whole=True)
     spans = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ";")
     return r.select("conv_id", "part", "assistant", "n_turns", "n_own", "rendered", spans.alias("spans"))
 

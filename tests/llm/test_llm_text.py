@@ -255,6 +255,35 @@ def test_chat_awkward_turns(spark):
     assert chat_format.rotate(df.limit(0)).collect() == []
 
 
+def test_chat_query_gives_everyone_the_whole_dialogue(spark, tmp_path):
+    """Long conversations: who is silent in a part has a row for it, and system
+    turns are at the head of every part after them."""
+    rows = [(c, 0, "system", "rules") for c in (1, None)]
+    rows += [(c, t, "ann" if t == 10 else ["bob", "cy"][t % 2], f"text {t}") for c in (1, None) for t in range(1, 300)]
+    rows += [(1, 200, "system", "late"), (1, 201, "system", "rules"), (2, 0, "ann", "short"), (2, 1, None, "x"),
+             (3, 0, "system", "alone")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df.repartition(5).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r["conv_id"], r["part"], r["assistant"]): r for r in chat_format.op5_chat_format(spark, str(tmp_path)).collect()}
+    want = {}
+    for conv in {r[0] for r in rows}:
+        mine = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1], r[2] or "", r[3]))
+        for me in {r[2] for r in mine} - {"system", None}:
+            for p in range(0, len(mine), 128):
+                heads = list(dict.fromkeys(r[3] for r in mine[:p] if r[2] == "system"))
+                text, spans = "".join(f"<|system|>\n{h}\n<|end|>\n" for h in heads), []
+                for _, _, role, body in mine[p:p + 128]:
+                    text += {None: "<|user|>", "system": "<|system|>", me: "<|assistant|>"}.get(role, f"<|user name={role}|>") + "\n"
+                    at = len(text)
+                    text += body + "\n<|end|>\n"
+                    if role == me:
+                        spans.append(f"{at}-{len(text)}")
+                want[(conv, p // 128, me)] = (text, ";".join(spans), len(mine[p:p + 128]), len(spans))
+    assert set(got) == set(want) and (1, 2, "ann") in got
+    for k, w in want.items():
+        assert (got[k]["rendered"], got[k]["spans"], got[k]["n_turns"], got[k]["n_own"]) == w
+
+
 # ---------------------------------------------------------------------- lm
 
 def slow_score(words, ids, p):
