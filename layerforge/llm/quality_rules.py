@@ -126,8 +126,13 @@ def base_counts(docs: DataFrame) -> DataFrame:
 #: The transformed statistics, and for each the spread below which a
 #: difference is no evidence of junk.  Its square is added to the scatter, so
 #: statistics that are constant in a group (no symbols at all) do not make the
-#: scatter singular or a single symbol an outlier.
-FLOORS = {"x_word_length": 0.06, "x_symbols": 0.4, "x_dup_lines": 0.25, "x_repeats": 0.25}
+#: scatter singular or a single symbol an outlier.  Those of the two shares are
+#: small against the angles that the base rules leave (0.785 for 50 %), so
+#: either can reject by itself.
+FLOORS = {"x_word_length": 0.06, "x_symbols": 0.4, "x_dup_lines": 0.12, "x_repeats": 0.12}
+#: Lines and words that are added to those of a document before its shares are
+#: taken: one repeated line of three is little evidence, 23 of 60 are much.
+PRIOR_LINES, PRIOR_WORDS = 6, 100
 VECTOR = list(FLOORS)
 DIM = len(VECTOR)
 PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
@@ -135,7 +140,8 @@ BINS = 640
 
 
 def transformed() -> dict[str, Column]:
-    """Logs of rates, and the angle that evens out the variance of a share."""
+    """Logs of rates, and the angle that evens out the variance of a share.
+    Shares are drawn towards 0 in short documents."""
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
 
     def angle(part, whole):
@@ -143,8 +149,8 @@ def transformed() -> dict[str, Column]:
     return {
         "x_word_length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n),
         "x_symbols": F.log1p(F.col("n_symbols") / n / 0.02),
-        "x_dup_lines": angle(F.col("n_dup_lines"), F.greatest(F.col("n_lines"), F.lit(1)).cast("double")),
-        "x_repeats": angle(F.col("n_repeat_words"), n),
+        "x_dup_lines": angle(F.col("n_dup_lines"), (F.col("n_lines") + PRIOR_LINES).cast("double")),
+        "x_repeats": angle(F.col("n_repeat_words"), n + PRIOR_WORDS),
     }
 
 

@@ -105,3 +105,25 @@ def test_step_against_direct_computation(spark):
 
 def test_chi_square():
     assert abs(Q.chi2_cdf(5.991464547, 2) - 0.95) < 1e-9 and abs(Q.chi2_quantile(0.95, 4) - 9.487729037) < 1e-6
+
+
+def test_moderate_repetition_is_rejected(spark):
+    """Repetition counts in clean groups, below what the base rules reject:
+    copied lines together with repeated words, and repeated words alone."""
+    rng = np.random.default_rng(8)
+
+    def fresh(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 8))) for _ in range(n))
+    clean = ["\n".join(fresh(12) for _ in range(20)) for _ in range(300)]
+    one_line = fresh(13)
+    clean += [f"{one_line}\n{fresh(36)}\n{one_line}"] * 3                        # one line of three repeated
+    lines = ["\n".join([fresh(14) + "\nread more here now\nread more here now\nread more here now" for _ in range(5)])
+             for _ in range(10)]
+    words = [" ".join(f"some stock phrase found all over pages {fresh(8)}" for _ in range(35)) for _ in range(10)]
+    texts = clean + lines + words
+    df = spark.createDataFrame([(k, t, "en", "s") for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = {r["doc_id"]: r for r in Q.verdicts(df).collect()}
+    planted = [rows[k] for k in range(len(clean), len(texts))]
+    assert not any(r["base_failed"] for r in planted)
+    assert [k for k in range(len(clean)) if not rows[k]["kept"]] == []
+    assert [r["doc_id"] for r in planted if r["kept"]] == []
