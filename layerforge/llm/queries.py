@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import (bpe, chat_format, exact_dedup, language_id, lm_score, packing, quality_rules, simhash, substring_dedup,
+from . import (bpe, chat_format, decontaminate, exact_dedup, language_id, lm_score, packing, quality_rules, simhash, substring_dedup,
                token_counts)
 
 QUERIES = {
@@ -16,9 +16,11 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op13_decontaminate": decontaminate.op13_decontaminate,
 }
 
 ORACLES = {
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op5_chat_format": chat_format.OP5_SQL,
+    "op13_decontaminate": decontaminate.OP13_SQL,
 }
