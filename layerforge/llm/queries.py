@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (bpe, chat_format, conversation_repair, decontaminate, exact_dedup, language_id, lm_score, packing, quality_rules, simhash, substring_dedup,
-               token_counts)
+from . import (bpe, chat_format, conversation_repair, decontaminate, exact_dedup, language_id, lm_score, packing,
+               quality_rules, simhash, substring_dedup, token_alignment, token_counts)
 
 QUERIES = {
     "op1_lm_score": lm_score.op1_lm_score,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_language_id": language_id.op9_language_id,
     "op5_chat_format": chat_format.op5_chat_format,
     "op7_token_counts": token_counts.op7_token_counts,
+    "op11_token_alignment": token_alignment.op11_token_alignment,
     "op12_conversation_repair": conversation_repair.op12_conversation_repair,
     "op13_decontaminate": decontaminate.op13_decontaminate,
 }
