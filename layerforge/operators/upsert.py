@@ -36,9 +36,9 @@ from pyspark.sql import functions as F
 from ..context import RunContext, work_root
 from ..functions.columns import changed as _changed
 from ..functions.columns import ntz_lit
-from ..sources.sinks import layout
+from ..sources import versions as V
 
-#: Partition values that a plan may hold as literals.
+#: Touched partition values that a merge reports.
 MAX_LITERALS = 10_000
 
 LINEAGE = ("_source_file", "_load_timestamp", "_batch_id")
@@ -159,55 +159,82 @@ def merge_stats(result: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"))
 
 
-def upsert_partitions(spark, path: str, source: DataFrame, keys: str | Sequence[str],
+def upsert_partitions(spark, root: str, source: DataFrame, keys: str | Sequence[str],
                       changed_on, update_cols: Sequence[str], ctx: RunContext,
                       part_col: str, part_of, source_label: str | None = None,
                       **kw) -> dict:
-    """U1 on a partitioned table, rewriting only the partitions it touches.
-
-    ``path`` is a parquet table partitioned by ``part_col``; ``part_of`` maps
-    a source frame to the partition value of each source row (e.g. the month
-    of the purchase time). Touched partitions are those of the source rows
-    (inserts land there) and those of the target rows the source matches
-    (updates stay in their partition, because the partition column is not
-    in ``update_cols``); they are found from the key and partition columns
-    only, NULL included. Their rows are merged and written back with dynamic
-    partition overwrite, so the job reads and rewrites those partitions and
-    nothing else. A job that fails before its commit replaces none; the commit
-    itself renames one partition after another. Returns the touched values
-    (the first ``MAX_LITERALS``) and the merge counts.
+    """U1 on a versioned table (``sources.versions``) that is partitioned by
+    ``part_col``, rewriting only the partitions it touches.
+
+    ``part_of`` maps a source frame to the partition value of each source row
+    (e.g. the month of the purchase time). Touched partitions are those of the
+    source rows (inserts land there) and those of the target rows the source
+    matches (updates stay in their partition, because the partition column is not
+    in ``update_cols``), NULL included; they are found from the key and partition
+    columns only. Their rows are merged into new files, and one commit exchanges
+    their files in the manifest; the files of all other partitions are carried
+    over unread. Nothing live is renamed. Returns the touched values (the first
+    ``MAX_LITERALS``) and the merge counts.
     """
-    keys = _cols(keys)
     if part_col in update_cols:
-        raise ValueError("the partition column cannot be updated in place")
-    target = spark.read.parquet(path)
+        raise ValueError("the partition column cannot be updated")
+
+    def choose(files, target, src, matched):
+        touched = src.select(V.part_key([part_col]).alias("part")).union(
+            matched.select(V.part_key([part_col]).alias("part"))).distinct()
+        return files.join(touched, "part", "left_semi")
+
+    return _merge_files(spark, root, source, _cols(keys), changed_on, update_cols, ctx, choose, part_col, part_of,
+                        source_label, **kw)
+
+
+def upsert_files(spark, root: str, source: DataFrame, keys: str | Sequence[str],
+                 changed_on, update_cols: Sequence[str], ctx: RunContext, part_col: str | None = None, part_of=None,
+                 source_label: str | None = None, **kw) -> dict:
+    """U1 on a versioned table by copy-on-write of single files: only files that
+    hold a matched key are rewritten, inserted rows go to new files, and all
+    other files are carried over in the manifest. Of these, only the key columns
+    are read, to see that they hold no matched key. For a partitioned table,
+    ``part_col`` and ``part_of`` as for ``upsert_partitions``."""
+    return _merge_files(spark, root, source, _cols(keys), changed_on, update_cols, ctx,
+                        lambda files, target, src, matched: files.join(matched.select(F.col("_path").alias("path")).distinct(),
+                                                                       "path", "left_semi"),
+                        part_col, part_of, source_label, **kw)
+
+
+def _merge_files(spark, root, source, keys, changed_on, update_cols, ctx, choose, part_col, part_of, source_label,
+                 **kw) -> dict:
+    base = V.head(spark, root)
+    if base is None:
+        raise FileNotFoundError(f"no live version under {root}")
+    schema, parts = base.struct(), list(base.partition_by)
+    target = V.scan(spark, root, base, with_path=True)
     work_root(spark)
-    src = source.withColumn(part_col, part_of(source).cast(target.schema[part_col].dataType)).checkpoint(eager=True)
-    hit = target.select(*keys, part_col).join(src.select(*keys), keys, "left_semi")
-    touched = src.select(part_col).union(hit.select(part_col)).distinct().checkpoint(eager=True)
-    n_touched = touched.count()
-    if not n_touched:
-        return {"partitions": [], "inserted": 0, "updated": 0, "kept": 0}
-    # literal values prune folders; a list too long for a plan is joined instead
-    # (the same rows, from a scan of all partitions)
-    if n_touched <= MAX_LITERALS:
-        values = [r[0] for r in touched.collect()]
-        known = [v for v in values if v is not None]
-        wanted = F.col(part_col).isin(known) if known else F.lit(False)
-        t = target.filter(wanted | F.col(part_col).isNull() if None in values else wanted)
-    else:
-        right = touched.select(F.col(part_col).alias("_touched"))
-        t = target.join(right, target[part_col].eqNullSafe(right["_touched"]), "left_semi")
-    merged = upsert(t, src, keys, changed_on, update_cols, ctx, source_label=source_label, **kw)
-    obs = Observation(f"upsert_parts_{uuid.uuid4().hex}")
+    src = source
+    if part_col is not None:
+        src = src.withColumn(part_col, part_of(source).cast(schema[part_col].dataType))
+    src = src.checkpoint(eager=True)
+    src_keys = src.select(*keys)
+    matched = target.select(*keys, *parts, "_path").join(src_keys, keys, "left_semi").select(*parts, "_path").distinct().checkpoint()
+    hit = choose(V.files(spark, root, base), target, src, matched).select(*V.files(spark, root, base).columns).checkpoint()
+    rows = V.scan(spark, root, base, hit)
+    merged = upsert(rows, src, keys, changed_on, update_cols, ctx, source_label=source_label, **kw)
+    obs = Observation(f"upsert_files_{uuid.uuid4().hex}")
     a = F.col("_action")
     merged = merged.observe(obs, F.count_if(a == "insert").alias("inserted"),
                             F.count_if(a == "update").alias("updated"),
                             F.count_if(a == "keep").alias("kept"))
-    (layout(merged.drop("_action"), [part_col]).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(path))
+    attempt, added = V.write_files(merged.drop("_action").select(*schema.names), root, parts)
+
+    def unconcerned(now, new):
+        # rows that others added meanwhile must hold none of the keys that were merged
+        return V.scan(spark, root, now, new).join(src_keys, keys, "left_semi").isEmpty()
+
+    done = V.commit(spark, root, ctx.batch_id, "merge", schema, parts, base, added, hit, attempt, recheck=unconcerned)
     m = obs.get
-    parts = touched.orderBy(F.col(part_col).asc_nulls_first()).limit(MAX_LITERALS).collect()
-    return {"partitions": [r[0] for r in parts], "inserted": int(m["inserted"]),
-            "updated": int(m["updated"]), "kept": int(m["kept"])}
+    values = []
+    if part_col is not None:
+        touched = src.select(part_col).union(matched.select(part_col)).distinct()
+        values = [r[0] for r in touched.orderBy(F.col(part_col).asc_nulls_first()).limit(MAX_LITERALS).collect()]
+    return {"partitions": values, "inserted": int(m["inserted"]), "updated": int(m["updated"]), "kept": int(m["kept"]),
+            "files_rewritten": hit.count(), "commit": done}

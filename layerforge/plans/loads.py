@@ -24,9 +24,10 @@ from ..functions.columns import ntz_lit
 from ..context import RunContext, work_root
 from ..operators.relational import high_water_mark, restrict_to_batch
 from ..operators.upsert import upsert, upsert_partitions
+from ..sources import versions as V
 from ..sources.csv import read_raw
-from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, current_path, current_version, ensure_ops_tables,
-                             previous_version, read_current, write_snapshot)
+from ..sources.sinks import (RUN_LOG_SCHEMA, append_log, current_version, ensure_ops_tables, is_versioned,
+                             read_current, read_previous, restore, was_live, write_snapshot)
 from . import curate as C
 
 # Table order of the loads (dimensions first, orders before
@@ -63,6 +64,10 @@ MERGE_RULES = {
 }
 
 
+# Keys of the dimensions, which are replaced and not merged.
+KEYS = {"sellers": ["seller_id"], "products": ["product_id"]}
+
+
 @dataclass
 class RawTables:
     """Raw inputs by name: orders, customers, order_items, order_payments,
@@ -152,6 +157,14 @@ def _laid_out(df: DataFrame, table: str, layout: dict) -> tuple[DataFrame, dict]
     return df.withColumn(col, fn(df)), {"partition_by": [col], "sort_within": list(cluster[0]) if cluster else None}
 
 
+def _write_table(df: DataFrame, path: str, ctx: RunContext, partition_by=None, sort_within=None) -> None:
+    """A whole new version: with a manifest if the table has a partitioned layout."""
+    if partition_by:
+        V.replace(df, path, ctx.batch_id, partition_by, sort_within)
+    else:
+        write_snapshot(df, path, ctx.batch_id)
+
+
 def _is_live(spark: SparkSession, curated_root: str, table: str, ctx: RunContext) -> bool:
     return current_version(spark, f"{curated_root}/{table}") == ctx.batch_id
 
@@ -183,7 +196,7 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
         else:
             out, kw = _laid_out(build(raw_df), table, layout)
             out, out_obs = _count_obs(out, f"cur_{table}")
-            write_snapshot(out, f"{curated_root}/{table}", ctx.batch_id, **kw)
+            _write_table(out, f"{curated_root}/{table}", ctx, **kw)
             n_out = out_obs.get["n"]
         return {"read": n_raw, "inserted": n_out, "skipped": max(n_raw - n_out, 0), "source_rows": n_raw}
 
@@ -265,7 +278,8 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
                      late_updates: bool = False, **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
     reviews; each written as a new snapshot version, or, for tables in
-    ``layout``, merged into their touched partitions. ``lookback_days`` and
+    ``layout``, merged into new files of their touched partitions, which one
+    commit exchanges. ``lookback_days`` and
     ``late_updates`` go to ``orders_delta``, ``merge_kw`` to the merges.
 
     Children find their parents by the batch id that the orders step stamps.
@@ -284,8 +298,8 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
         now = read_current(spark, path_of(table))
         keys = MERGE_RULES[table][0]
         mine = now.filter(F.col("_batch_id") == ctx.batch_id)
-        before = previous_version(spark, path_of(table))
-        new = mine if before is None else mine.join(spark.read.parquet(before).select(*keys), keys, "left_anti")
+        before = read_previous(spark, path_of(table))
+        new = mine if before is None else mine.join(before.select(*keys), keys, "left_anti")
         n_mine, n_new = mine.count(), new.count()
         return {"read": now.count(), "inserted": n_new, "updated": n_mine - n_new}
 
@@ -297,7 +311,7 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
         else:
             out, kw = _laid_out(build(raw_df), table, layout)
             out, obs = _count_obs(out, f"dim_{table}")
-            write_snapshot(out, path_of(table), ctx.batch_id, **kw)
+            _write_table(out, path_of(table), ctx, **kw)
             n = obs.get["n"]
         return {"read": n, "inserted": n, "source_rows": n_raw}
 
@@ -316,15 +330,13 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
         source = delta(table, target).checkpoint(eager=True)
         n_source = source.count()
         if table in layout:
-            # partitioned table: merge into the touched partitions of the
-            # live version, in place (dynamic partition overwrite)
+            # partitioned table: new files for the touched partitions, one commit
             col, fn = layout[table][:2]
             keys, change, update_cols = MERGE_RULES[table]
-            path = current_path(spark, path_of(table))
-            r = upsert_partitions(spark, path, source, keys, change, update_cols, ctx, col, fn,
+            r = upsert_partitions(spark, path_of(table), source, keys, change, update_cols, ctx, col, fn,
                                   source_label=C.SOURCE_LABELS[table], **merge_kw)
-            return {"read": spark.read.parquet(path).count(), "inserted": r["inserted"], "updated": r["updated"],
-                    "source_rows": n_source}
+            n_after = V.files(spark, path_of(table), r["commit"]).agg(F.sum("rows")).first()[0] or 0
+            return {"read": n_after, "inserted": r["inserted"], "updated": r["updated"], "source_rows": n_source}
         merged = merge_table(table, target, source, ctx, **merge_kw)
         obs = Observation(f"merge_{table}_{uuid.uuid4().hex}")
         a = F.col("_action")
@@ -372,6 +384,36 @@ def resume_incremental(spark: SparkSession, raw: RawTables, curated_root: str, c
     return incremental_load(spark, raw, curated_root, ctx, ops_root=ops_root, tables=pending, **kw)
 
 
+def undo_batch(spark: SparkSession, curated_root: str, batch_id: str, tables=None) -> DataFrame:
+    """Take a batch back from all curated tables, children first: inserted
+    rows go, updated ones get their earlier image. Afterwards the batch can be
+    loaded again under the same id. Returns a row for each table: ``undone``, or
+    ``untouched`` where the batch is not live (it never wrote the table, or was
+    taken back already, so an interrupted undo can be run again).
+
+    Where later batches are live, tables with manifests get the inverse of the
+    batch's difference; a table of whole snapshots cannot, and raises."""
+    todo, rows = [], []
+    for table in reversed(list(tables or DIMENSIONS + FACTS)):
+        path = f"{curated_root}/{table}"
+        if is_versioned(spark, path):
+            names = [c.version for c in V.history(spark, path)]
+            wrote = names.count(batch_id) > names.count(f"undo {batch_id}")
+            keys = MERGE_RULES[table][0] if table in MERGE_RULES else KEYS[table]
+            step = lambda path=path, keys=keys: V.undo(spark, path, batch_id, keys)
+        else:
+            wrote = was_live(spark, path, batch_id)
+            if wrote and current_version(spark, path) != batch_id:
+                raise ValueError(f"{table}: later versions than {batch_id} are whole snapshots; take those back first")
+            step = lambda path=path: restore(spark, path, batch_id)
+        todo.append((table, step if wrote else None))
+    for table, step in todo:
+        if step:
+            step()
+        rows.append((table, "undone" if step else "untouched"))
+    return spark.createDataFrame(rows, "table_name string, state string")
+
+
 def raw_tables(spark: SparkSession, raw_root: str) -> RawTables:
     """The raw inputs as the CSV ingest wrote them: live good rows of
     ``<raw_root>/raw_<name>``, all text."""

@@ -102,8 +102,8 @@ def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table_roo
         parsed = checked.withColumn(TYPED + c, cast_timestamp(checked, "_text")).drop("_text")
     flagged = parsed.withColumn(REJECTED, bad_row).observe(
         obs, F.count(F.lit(1)).alias("lines"), F.count_if(F.col(REJECTED)).alias("bad"))
-    vpath = f"{table_root}/v={version}"
-    refuse_known(spark, table_root, version)
+    seq, folder = refuse_known(spark, table_root, version)
+    vpath = f"{table_root}/{folder}"
     write_full(flagged, vpath, partition_by=[REJECTED])
     m = obs.get
     if m["bad"] > max_bad:
@@ -112,7 +112,7 @@ def load_raw_csv(spark: SparkSession, path: str, schema: T.StructType, table_roo
         # no good row, so no folder for them: an empty one keeps the table readable
         good = [f for f in flagged.schema.fields if f.name != REJECTED]
         spark.createDataFrame([], T.StructType(good)).write.mode("overwrite").parquet(f"{vpath}/{REJECTED}=false")
-    move_pointer(spark, table_root, version, f"{REJECTED}=false")
+    move_pointer(spark, table_root, seq, version, f"{folder}/{REJECTED}=false")
     return {"rows": int(m["lines"] - m["bad"]), "rejected": int(m["bad"])}
 
 

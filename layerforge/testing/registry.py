@@ -712,6 +712,7 @@ def q_report_failures(spark, d):
 from ..context import new_run_dir  # noqa: E402
 from ..sources import csv as CSV  # noqa: E402
 from ..sources import sinks as SK  # noqa: E402
+from ..sources import versions as V  # noqa: E402
 
 _REVIEW_RAW_COLS = ["review_id", "order_id", "review_score", "review_comment_title",
                     "review_comment_message", "review_creation_date", "review_answer_timestamp"]
@@ -1067,29 +1068,27 @@ def _month(df):
 
 def _orders_by_month(spark, d):
     """First load written month-partitioned, then the second batch merged
-    into the touched months only. Returns (path, touched months)."""
-    path = new_run_dir(spark, "orders-by-month")
+    into the touched months only. Returns (root, touched months)."""
+    root = new_run_dir(spark, "orders-by-month")
     raw1 = _raw_tables(spark, d, 1)
     first = X.with_month(C.curate_orders(raw1["orders"], raw1["customers"], B1),
                          "order_purchase_timestamp")
-    SK.write_full(first, path, partition_by=["month"])
-    target = spark.read.parquet(path)
-    mark = L.current_mark(spark, target)
+    V.replace(first, root, "b1", ["month"])
+    mark = L.current_mark(spark, V.read(spark, root))
     raw2 = _raw_tables(spark, d, 2)
     src = L.orders_delta(raw2, mark, B2)
     keys, change, upd = L.MERGE_RULES["orders"]
-    res = U.upsert_partitions(spark, path, src, keys, change, upd, B2, "month", _month,
+    res = U.upsert_partitions(spark, root, src, keys, change, upd, B2, "month", _month,
                               source_label=C.SOURCE_LABELS["orders"])
-    return path, res["partitions"]
+    return root, res["partitions"]
 
 
 @register("upsert_orders_by_month", _sql(
     f"SELECT * EXCLUDE (_action), strftime(order_purchase_timestamp, '%Y-%m') AS month "
     f"FROM ({INC_MERGED_ORDERS})", *ALL_RAW))
 def q_upsert_by_month(spark, d):
-    path, _ = _orders_by_month(spark, d)
-    back = spark.read.parquet(path)
-    return no_load_ts(back.withColumn("month", F.col("month").cast("string")))
+    root, _ = _orders_by_month(spark, d)
+    return no_load_ts(V.read(spark, root))
 
 
 @register("upsert_touched_months", _sql(
@@ -1319,23 +1318,22 @@ _NO_DATE = ("SELECT * REPLACE (CASE WHEN order_id % 3 <> 0 THEN order_purchase_t
 
 @register("upsert_null_partitions", _sql(O.merge_sql(
     _NO_DATE + f"({INC_TGT_ORDERS})",
-    f"SELECT * EXCLUDE (_source_file, _batch_id) FROM ({_NO_DATE} ({O.curated_orders_sql('b2', 'raw_orders_b2')})) "
-    "WHERE order_id % 4 = 0 OR order_purchase_timestamp IS NULL",
+    f"SELECT * EXCLUDE (_source_file, _batch_id) FROM ({_NO_DATE} ({O.curated_orders_sql('b2', 'raw_orders_b2')}))",
     ["order_id"], "order_status", L.MERGE_RULES["orders"][2], ORDER_OUT, C.SOURCE_LABELS["orders"], "b2"
     ).replace(", _action FROM", ", strftime(CASE WHEN _action = 'insert' THEN s_order_purchase_timestamp ELSE "
               "t_order_purchase_timestamp END, '%Y-%m') AS month FROM", 1), *ALL_RAW))
 def q_upsert_null_partitions(spark, d):
-    # a third of the orders have no purchase time, in the target and the source
-    path = new_run_dir(spark, "orders-null-month")
+    # a third of the orders have no purchase time, in the target and the source;
+    # the whole second batch is merged
+    root = new_run_dir(spark, "orders-null-month")
     raw1, raw2 = _raw_tables(spark, d, 1), _raw_tables(spark, d, 2)
     first = _no_dates(C.curate_orders(raw1["orders"], raw1["customers"], B1))
-    SK.write_full(X.with_month(first, "order_purchase_timestamp"), path, partition_by=["month"])
-    src = _no_dates(C.curate_orders(raw2["orders"], raw2["customers"])) \
-        .filter((F.col("order_id") % 4 == 0) | F.col("order_purchase_timestamp").isNull())
+    V.replace(X.with_month(first, "order_purchase_timestamp"), root, "b1", ["month"])
+    src = _no_dates(C.curate_orders(raw2["orders"], raw2["customers"]))
     keys, change, upd = L.MERGE_RULES["orders"]
-    U.upsert_partitions(spark, path, src, keys, change, upd, B2, "month", _month,
+    U.upsert_partitions(spark, root, src, keys, change, upd, B2, "month", _month,
                         source_label=C.SOURCE_LABELS["orders"])
-    return no_load_ts(spark.read.parquet(path).withColumn("month", F.col("month").cast("string")))
+    return no_load_ts(V.read(spark, root))
 
 
 @register("partitioned_overwrite_twice", _sql(
@@ -1539,3 +1537,6 @@ def q_expired(spark, d):
     log = TT.raw_orders(spark, d).select((F.col("order_id") % 10).cast("string").alias("batch_id"),
                                          F.col("order_purchase_timestamp").alias("run_timestamp"))
     return X.expired(log, "2030-01-01 00:00:00", 90)
+
+
+from . import registry_versions  # noqa: E402,F401 - registers its queries

@@ -89,3 +89,58 @@ def test_partitioned_write_makes_one_file_for_each_small_partition(spark):
     SK.write_full(spark.range(0, 4000, 1, 16).withColumn("m", F.col("id") % 10), root, partition_by=["m"],
                   sort_within=["id"])
     assert len(glob.glob(root.removeprefix("file:") + "/m=*/*.parquet")) == 10
+
+
+def _layout_lake(spark, **kw):
+    root = new_run_dir(spark, "lake")
+    L.full_load(spark, RG._raw_tables(spark, SF, 1), f"{root}/curated", RunContext(batch_id="b1"), layout=RG._MONTH_LAYOUT)
+    log = L.incremental_load(spark, RG._raw_tables(spark, SF, 2), f"{root}/curated", RG.B2_LOAD, layout=RG._MONTH_LAYOUT, **kw)
+    return root, {r["table_name"]: r for r in log.collect()}
+
+
+def test_resume_of_layout_tables_logs_what_the_batch_did(spark):
+    root, first = _layout_lake(spark)
+    lost = spark.createDataFrame([], L.RUN_LOG_SCHEMA)                # every table was written, the log is gone
+    log = L.resume_incremental(spark, RG._raw_tables(spark, SF, 2), f"{root}/curated", RG.B2_LOAD, lost, layout=RG._MONTH_LAYOUT)
+    again = {r["table_name"]: r for r in log.collect()}
+    cols = ("records_read", "records_inserted", "records_updated", "status")
+    assert first["orders"]["records_inserted"] > 0 and first["orders"]["records_updated"] > 0
+    assert [again["orders"][c] for c in cols] == [first["orders"][c] for c in cols]
+
+
+def test_undo_batch_restores_all_tables_once(spark):
+    import pytest
+    root, _ = _layout_lake(spark, late_updates=True)
+    states = {r["table_name"]: r["state"] for r in L.undo_batch(spark, f"{root}/curated", "b2").collect()}
+    assert set(states.values()) == {"undone"} and set(states) == set(L.DIMENSIONS + L.FACTS)
+    assert all(SK.read_current(spark, f"{root}/curated/{t}").filter("_batch_id <> 'b1'").isEmpty() for t in L.FACTS)
+    again = {r["state"] for r in L.undo_batch(spark, f"{root}/curated", "b2").collect()}
+    assert again == {"untouched"}
+    SK.write_snapshot(spark.range(5), f"{root}/t", "b1")
+    for v in ("b2", "b3"):
+        SK.write_snapshot(spark.range(2), f"{root}/t", v)
+    with pytest.raises(ValueError):                                   # below a later whole snapshot
+        L.undo_batch(spark, root, "b2", tables=["t"])
+
+
+def test_snapshots_of_two_writers_and_restore(spark, monkeypatch):
+    import pytest
+    root = new_run_dir(spark, "two-writers")
+    SK.write_snapshot(spark.range(1), root, "v1")
+    real = SK.write_full
+
+    def slow(*a, **kw):                          # another writer commits while this one writes
+        monkeypatch.setattr(SK, "write_full", real)
+        SK.write_snapshot(spark.range(2), root, "other")
+        real(*a, **kw)
+    monkeypatch.setattr(SK, "write_full", slow)
+    with pytest.raises(SK.Conflict):
+        SK.write_snapshot(spark.range(3), root, "mine")
+    assert SK.current_version(spark, root) == "other" and SK.read_current(spark, root).count() == 2
+    SK.write_snapshot(spark.range(3), root, "mine")                   # the retry starts from the other's version
+    assert SK.restore(spark, root, "mine") == "other" and SK.read_current(spark, root).count() == 2
+    SK.write_snapshot(spark.range(7), root, "mine")                   # taken back, so it may be written anew
+    assert SK.read_current(spark, root).count() == 7 and SK.current_version(spark, root) == "mine"
+    assert SK.restore(spark, root, "mine") == "other" and SK.restore(spark, root, "other") == "v1"
+    with pytest.raises(ValueError):
+        SK.restore(spark, root, "v1")

@@ -66,25 +66,22 @@ def test_newer_than_strict(spark):
 
 
 def test_upsert_partitions_rewrites_only_touched(spark):
-    import tempfile
+    from layerforge.context import new_run_dir
     from layerforge.operators.upsert import upsert_partitions
-    from layerforge.sources.sinks import write_full
-    root = tempfile.mkdtemp(prefix="lf-parts-", dir="/tmp")
-    path = f"{root}/t"
-    t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("s"),
-                                (F.col("id") % 10).alias("m"))
-    write_full(t, path, partition_by=["m"])
-    import os
-    before = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("m=")}
+    from layerforge.sources import versions as V
+    root = new_run_dir(spark, "parts")
+    t = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("s"), (F.col("id") % 10).alias("m"))
+    V.replace(t, root, "b1", ["m"])
+    before = {r["path"] for r in V.files(spark, root, V.head(spark, root)).collect()}
     src = spark.createDataFrame([(3, "b"), (200, "c"), (13, "a")], "k long, s string")
-    res = upsert_partitions(spark, path, src, "k", "s", ["s"], CTX, "m", lambda d: F.col("k") % 10)
-    assert res == {"partitions": [0, 3], "inserted": 1, "updated": 1, "kept": 19}
-    back = spark.read.parquet(path)
+    res = upsert_partitions(spark, root, src, "k", "s", ["s"], CTX, "m", lambda d: F.col("k") % 10)
+    assert {k: res[k] for k in ("partitions", "inserted", "updated", "kept")} == {
+        "partitions": [0, 3], "inserted": 1, "updated": 1, "kept": 19}
+    back = V.read(spark, root)
     assert back.count() == 101
     assert back.filter("k = 3").first()["s"] == "b" and back.filter("k = 200").first()["m"] == 0
-    after = {d: sorted(os.listdir(os.path.join(path, d))) for d in os.listdir(path) if d.startswith("m=")}
-    changed = sorted(d for d in after if after[d] != before.get(d))
-    assert changed == ["m=0", "m=3"]
+    after = V.files(spark, root, V.head(spark, root)).collect()
+    assert {r["part"] for r in after if r["path"] not in before} == {'{"m":"0"}', '{"m":"3"}'}
 
 
 def test_newer_than_independent_of_session_zone(spark):
