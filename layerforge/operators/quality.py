@@ -100,15 +100,19 @@ def check_foreign_key(child: DataFrame, parent: DataFrame, key: str) -> DataFram
     The sample lists the orphan rows' keys in key order (a key repeats once
     per row), drawn from the top five keys only.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return foreign_key_of_counts(child.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")), parent, key)
+
+
+def foreign_key_of_counts(per_key: DataFrame, parent: DataFrame, key: str) -> DataFrame:
+    """Q3 from the child's row count by key (``key``, ``cnt``)."""
     orph = per_key.join(parent.select(key), key, "left_anti")
     first_keys = orph.orderBy(F.col(key).asc_nulls_first()).limit(5)
-    rows = first_keys.select(F.explode(F.array_repeat(F.col(key), F.least(F.col("_n"), F.lit(5))
+    rows = first_keys.select(F.explode(F.array_repeat(F.col(key), F.least(F.col("cnt"), F.lit(5))
                                                       .cast("int"))).alias(key))
     # the total is the sum of the same per-key counts: one scan of the child
     # and one shuffle (reused) serve count, total and sample
-    return _fold(orph.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("affected_count")),
-                 per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("total_count")),
+    return _fold(orph.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("affected_count")),
+                 per_key.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_count")),
                  sample_ids(rows, key))
 
 
@@ -117,7 +121,11 @@ def check_unique(df: DataFrame, keys: str | Sequence[str], id_col: str | None =
     keys form one group); total = all rows. One partial aggregate per key
     feeds the excess, the total and the sample (one scan, one shuffle)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    g = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt"))
+    return unique_of_counts(df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("cnt")), keys, id_col)
+
+
+def unique_of_counts(g: DataFrame, keys: Sequence[str], id_col: str | None = None) -> DataFrame:
+    """Q4 from the row count by key (the keys, ``cnt``)."""
     excess = g.agg(F.coalesce(F.sum(F.when(F.col("cnt") > 1, F.col("cnt") - 1)), F.lit(0))
                    .alias("affected_count"))
     total = g.agg(F.coalesce(F.sum("cnt"), F.lit(0)).alias("total_count"))

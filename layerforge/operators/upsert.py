@@ -173,7 +173,8 @@ def upsert_partitions(spark, root: str, source: DataFrame, keys: str | Sequence[
     in ``update_cols``), NULL included; they are found from the key and partition
     columns only. Their rows are merged into new files, and one commit exchanges
     their files in the manifest; the files of all other partitions are carried
-    over unread. Nothing live is renamed. Returns the touched values (the first
+    over unread. Nothing live is renamed. With ``evolve``, columns of the source
+    that are new to the table, or wider, are its columns from then on. Returns the touched values (the first
     ``MAX_LITERALS``) and the merge counts.
     """
     if part_col in update_cols:
@@ -203,12 +204,15 @@ def upsert_files(spark, root: str, source: DataFrame, keys: str | Sequence[str],
 
 
 def _merge_files(spark, root, source, keys, changed_on, update_cols, ctx, choose, part_col, part_of, source_label,
-                 **kw) -> dict:
+                 evolve: bool = False, **kw) -> dict:
     base = V.head(spark, root)
     if base is None:
         raise FileNotFoundError(f"no live version under {root}")
     schema, parts = base.struct(), list(base.partition_by)
-    target = V.scan(spark, root, base, with_path=True)
+    if evolve:
+        own = source.select(*[c for c in source.columns if c != part_col])
+        schema = V.merged_schema(schema, own.schema)
+    target = V.scan(spark, root, base, with_path=True, schema=schema)
     work_root(spark)
     src = source
     if part_col is not None:
@@ -217,7 +221,7 @@ def _merge_files(spark, root, source, keys, changed_on, update_cols, ctx, choose
     src_keys = src.select(*keys)
     matched = target.select(*keys, *parts, "_path").join(src_keys, keys, "left_semi").select(*parts, "_path").distinct().checkpoint()
     hit = choose(V.files(spark, root, base), target, src, matched).select(*V.files(spark, root, base).columns).checkpoint()
-    rows = V.scan(spark, root, base, hit)
+    rows = V.scan(spark, root, base, hit, schema=schema)
     merged = upsert(rows, src, keys, changed_on, update_cols, ctx, source_label=source_label, **kw)
     obs = Observation(f"upsert_files_{uuid.uuid4().hex}")
     a = F.col("_action")

@@ -117,11 +117,16 @@ class BreakingSchemaChange(RuntimeError):
     pass
 
 
+SCHEMA_CHANGES = ("table_name string, batch_id string, column_name string, old_type string, new_type string, "
+                  "change string, severity string")
+
+
 def record_schema(spark: SparkSession, df: DataFrame, table: str, ctx: RunContext, path: str,
-                  halt: bool = True) -> DataFrame:
+                  halt: bool = True, changes_path: str | None = None) -> DataFrame:
     """Compare a table's schema with the last one stored for it in the
     ``schema_versions`` table, append it, and return the differences. With
-    ``halt`` a breaking change raises before anything is stored."""
+    ``halt`` a breaking change raises before the schema is stored; the
+    differences are appended to ``changes_path`` in any case."""
     snap = schema_snapshot(spark, df)
     if path_exists(spark, path):
         stored = spark.read.schema(SCHEMA_VERSIONS).parquet(path).filter(F.col("table_name") == table)
@@ -134,6 +139,9 @@ def record_schema(spark: SparkSession, df: DataFrame, table: str, ctx: RunContex
     else:
         diff = schema_diff(snap, snap)
     rows = diff.collect()                                  # at most one row a column
+    if changes_path and rows:
+        spark.createDataFrame([(table, ctx.batch_id, *r) for r in rows], SCHEMA_CHANGES).coalesce(1) \
+             .write.mode("append").parquet(changes_path)
     broken = [r["column_name"] for r in rows if r["severity"] == "BREAKING"]
     if halt and broken:
         raise BreakingSchemaChange(f"{table}: " + ", ".join(sorted(broken)))

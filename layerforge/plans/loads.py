@@ -165,13 +165,24 @@ def _write_table(df: DataFrame, path: str, ctx: RunContext, partition_by=None, s
         write_snapshot(df, path, ctx.batch_id)
 
 
+def _guard_schema(spark: SparkSession, raw_df: DataFrame, table: str, ctx: RunContext, log: RunLog, schemas: str | None) -> None:
+    """X5 before a table is transformed: its raw schema against the last one
+    recorded under ``schemas``. A breaking change raises, which ends the table as
+    FAILED with nothing written; a new nullable column is a row of
+    ``<schemas>_changes``."""
+    if schemas:
+        from .contracts import record_schema
+        with log.one_at_a_time:                    # two jobs must not commit into one folder at once
+            record_schema(spark, raw_df, table, ctx, schemas, changes_path=f"{schemas}_changes")
+
+
 def _is_live(spark: SparkSession, curated_root: str, table: str, ctx: RunContext) -> bool:
     return current_version(spark, f"{curated_root}/{table}") == ctx.batch_id
 
 
 def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
               ops_root: str | None = None, tables=FULL_ORDER,
-              parallel: int = DEFAULT_PARALLEL, layout: dict | None = None) -> DataFrame:
+              parallel: int = DEFAULT_PARALLEL, layout: dict | None = None, schemas: str | None = None) -> DataFrame:
     """C7 + O1: build and write every curated table (they are independent,
     so up to ``parallel`` run at once); returns the run log in table order.
 
@@ -182,13 +193,15 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
     Column[, clustering columns])``, e.g. ``{"orders": ("month",
     month_of_purchase, ["customer_id"])}``: that table is written partitioned
     and sorted, and later incremental loads merge into its touched partitions
-    only."""
+    only. ``schemas`` is a folder in which raw schemas are recorded and against
+    which they are checked."""
     layout = layout or {}
     builders = curated_builders(raw, ctx)
     log = RunLog(spark, ops_root, ctx, "FULL")
 
     def load(table):
         raw_df, build = builders[table]
+        _guard_schema(spark, raw_df, table, ctx, log, schemas)
         # counted apart from the build: an observed scan would take no pushed filters
         n_raw = raw_df.count()
         if _is_live(spark, curated_root, table, ctx):
@@ -275,12 +288,13 @@ def merge_table(table: str, target: DataFrame, source: DataFrame, ctx: RunContex
 def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
                      ops_root: str | None = None, parallel: int = DEFAULT_PARALLEL,
                      layout: dict | None = None, tables=None, lookback_days: int = 0,
-                     late_updates: bool = False, **merge_kw) -> DataFrame:
+                     late_updates: bool = False, schemas: str | None = None, **merge_kw) -> DataFrame:
     """U9 + O2: mark -> dimension refresh -> orders -> items, payments,
     reviews; each written as a new snapshot version, or, for tables in
     ``layout``, merged into new files of their touched partitions, which one
     commit exchanges. ``lookback_days`` and
-    ``late_updates`` go to ``orders_delta``, ``merge_kw`` to the merges.
+    ``late_updates`` go to ``orders_delta``, ``schemas`` is as in ``full_load``,
+    ``merge_kw`` goes to the merges.
 
     Children find their parents by the batch id that the orders step stamps.
     If that step fails, they are logged SKIPPED and do not run. A table whose
@@ -305,6 +319,7 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
 
     def dim(table):                                              # U8
         raw_df, build = builders[table]
+        _guard_schema(spark, raw_df, table, ctx, log, schemas)
         n_raw = raw_df.count()
         if _is_live(spark, curated_root, table, ctx):
             n = read_current(spark, path_of(table)).count()
@@ -324,6 +339,7 @@ def incremental_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx
     def fact(table):
         if _is_live(spark, curated_root, table, ctx):
             return stamped(table)
+        _guard_schema(spark, raw[table], table, ctx, log, schemas)
         target = read_current(spark, path_of(table))
         # written once: the merge reads it twice, and a lost executor does not redo it
         work_root(spark)

@@ -66,6 +66,10 @@ def _load(spark: SparkSession, root: str, seq: int) -> Commit:
     return Commit(**d | {"partition_by": tuple(d["partition_by"])})
 
 
+def at_number(spark: SparkSession, root: str, seq: int) -> Commit:
+    return _load(spark, root, seq)
+
+
 def numbers(spark: SparkSession, root: str) -> list[int]:
     return [int(n.split(".")[0]) for n in exclusive.names(spark, f"{root}/_commits")]
 
@@ -101,18 +105,22 @@ def files(spark: SparkSession, root: str, commit: Commit) -> DataFrame:
     return spark.read.schema(MANIFEST).parquet(f"{root}/_manifests/{commit.attempt}")
 
 
-def scan(spark: SparkSession, root: str, commit: Commit, chosen: DataFrame | None = None, with_path: bool = False) -> DataFrame:
+def scan(spark: SparkSession, root: str, commit: Commit, chosen: DataFrame | None = None, with_path: bool = False,
+         schema: T.StructType | None = None) -> DataFrame:
     """The rows of a version, or of its files ``chosen`` (manifest rows); with
-    ``_path``, the path of a row's file in the manifest."""
+    ``_path``, the path of a row's file in the manifest. Files that were written
+    under an earlier schema give NULL for the columns they lack, and narrower
+    numbers are widened by the parquet reader."""
+    schema = schema or commit.struct()
     rows = files(spark, root, commit) if chosen is None else chosen
     # a folder all of whose files are wanted is one path
     paths = (rows.groupBy("folder").agg((F.count(F.lit(1)) == F.first("folder_files")).alias("whole"), F.collect_list("path").alias("paths"))
                  .select(F.explode(F.when(F.col("whole"), F.array("folder")).otherwise(F.col("paths")))).collect())
-    cols = [F.col(f"`{c}`") for c in commit.struct().names]
+    cols = [F.col(f"`{c}`") for c in schema.names]
     if not paths:
-        empty = spark.createDataFrame([], commit.struct())
+        empty = spark.createDataFrame([], schema)
         return empty.withColumn("_path", F.lit("")) if with_path else empty
-    found = _open(spark, root, commit.struct(), [f"{root}/data/{p[0]}" for p in sorted(paths)])
+    found = _open(spark, root, schema, [f"{root}/data/{p[0]}" for p in sorted(paths)])
     return found.select(*cols, *([_path().alias("_path")] if with_path else []))
 
 
@@ -130,6 +138,54 @@ def read(spark: SparkSession, root: str, version: str | None = None, as_of: date
     return scan(spark, root, find(spark, root, version, as_of))
 
 
+#: What a type may become without a value changing.
+_WIDER = {"byte": {"short", "integer", "long", "double"}, "short": {"integer", "long", "double"}, "integer": {"long", "double"},
+          "float": {"double"}, "date": {"timestamp_ntz"}}
+
+
+class IncompatibleSchema(RuntimeError):
+    """A column whose types in two versions have no common wider one."""
+
+
+def merged_schema(a: T.StructType, b: T.StructType) -> T.StructType:
+    """All columns of both, in the order of their first place, nullable where one
+    of the two lacks them, each in the wider of its types."""
+    def wider(x: T.StructField, y: T.StructField) -> T.StructField:
+        s, t = x.dataType, y.dataType
+        nullable = x.nullable or y.nullable
+        if s == t or s.typeName() in _WIDER.get(t.typeName(), ()):
+            return T.StructField(x.name, s, nullable)
+        if t.typeName() in _WIDER.get(s.typeName(), ()):
+            return T.StructField(x.name, t, nullable)
+        if isinstance(s, T.DecimalType) and isinstance(t, T.DecimalType):
+            scale, whole = max(s.scale, t.scale), max(s.precision - s.scale, t.precision - t.scale)
+            if scale + whole <= 38:
+                return T.StructField(x.name, T.DecimalType(scale + whole, scale), nullable)
+        raise IncompatibleSchema(f"{x.name}: {s.simpleString()} and {t.simpleString()}")
+
+    left, right = {f.name: f for f in a.fields}, {f.name: f for f in b.fields}
+    out = [wider(f, right[f.name]) if f.name in right else T.StructField(f.name, f.dataType, True) for f in a.fields]
+    return T.StructType(out + [T.StructField(f.name, f.dataType, True) for f in b.fields if f.name not in left])
+
+
+def read_versions(spark: SparkSession, root: str, names: Sequence[str]) -> DataFrame:
+    """The rows of several versions as one table, with ``_version``: columns that
+    a version lacks are NULL, types are the widest of all."""
+    commits = [find(spark, root, n) for n in names]
+    schema = commits[0].struct()
+    for c in commits[1:]:
+        schema = merged_schema(schema, c.struct())
+    out = None
+    for c in commits:
+        own = scan(spark, root, c).withColumn("_version", F.lit(c.version))
+        for f in schema.fields:
+            have = F.col(f"`{f.name}`") if f.name in c.struct().names else F.lit(None)
+            own = own.withColumn(f.name, have.cast(f.dataType))
+        own = own.select(*[f"`{n}`" for n in schema.names], "_version")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def part_key(partition_by: Sequence[str]):
     """The partition of a row as the manifest names it."""
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in partition_by])) if partition_by else F.lit("{}")
@@ -202,20 +258,25 @@ def replace(df: DataFrame, root: str, version: str, partition_by: Sequence[str]
     return commit(spark, root, version, "replace", df.schema, partition_by, base, added, removed, attempt, at)
 
 
-def append(df: DataFrame, root: str, version: str, at: datetime | None = None) -> Commit:
-    """Add rows to the live version; other writers' commits do not matter."""
+def append(df: DataFrame, root: str, version: str, at: datetime | None = None, evolve: bool = False) -> Commit:
+    """Add rows to the live version; other writers' commits do not matter. With
+    ``evolve``, columns that are new or wider change the schema from this version
+    on, without a file being rewritten; columns that ``df`` lacks are NULL."""
     spark, base = df.sparkSession, head(df.sparkSession, root)
-    attempt, added = write_files(df.select(*base.struct().names), root, base.partition_by)
-    return commit(spark, root, version, "append", base.struct(), base.partition_by, base, added, None, attempt, at,
+    schema = merged_schema(base.struct(), df.schema) if evolve else base.struct()
+    rows = df.select(*[(F.col(f"`{f.name}`") if f.name in df.columns or not evolve else F.lit(None)).cast(f.dataType).alias(f.name)
+                       for f in schema.fields])
+    attempt, added = write_files(rows, root, base.partition_by)
+    return commit(spark, root, version, "append", schema, base.partition_by, base, added, None, attempt, at,
                   recheck=lambda now, new: True)
 
 
 # ------------------------------------------------- differences and their undo
 
-def _only_in(spark: SparkSession, root: str, a: Commit, b: Commit) -> DataFrame:
+def _only_in(spark: SparkSession, root: str, a: Commit, b: Commit, schema: T.StructType) -> DataFrame:
     """Rows of the files of ``a`` that ``b`` does not have."""
     chosen = files(spark, root, a).join(files(spark, root, b).select("path"), "path", "left_anti")
-    return scan(spark, root, a, chosen.select("path", "folder", "folder_files"))
+    return scan(spark, root, a, chosen.select("path", "folder", "folder_files"), schema=schema)
 
 
 def _net(plus: DataFrame, minus: DataFrame) -> DataFrame:
@@ -232,7 +293,8 @@ def changes(spark: SparkSession, root: str, old: Commit, new: Commit, keys: Sequ
     ``delete``, ``before`` and ``after`` of an update). Files that both versions
     have are not read. Rows with a NULL key are inserted or deleted, never updated;
     a row that changed n times over is there n times."""
-    net = _net(_only_in(spark, root, new, old), _only_in(spark, root, old, new))
+    schema = merged_schema(old.struct(), new.struct())
+    net = _net(_only_in(spark, root, new, old, schema), _only_in(spark, root, old, new, schema))
     cols = [c for c in net.columns if c != "_n"]
     keyed = net.filter(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
     sides = keyed.groupBy(*keys).agg((F.max("_n") > 0).alias("_new"), (F.min("_n") < 0).alias("_old"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import RunContext
 from ..context import new_run_dir
 from ..functions.clustering import clustered
+from ..operators import key_counts as K
 from ..operators import upsert as U
 from ..plans import contracts as X
 from ..plans import curate as C
@@ -185,3 +186,74 @@ def q_reviews_by_month(spark, d):
     V.replace(reviews, root, "b1", ["month"], ["review_creation_date"])
     return V.read(spark, root).groupBy("month").agg(
         F.count(F.lit(1)).alias("reviews"), F.min("review_creation_date").alias("first_day"), F.max("review_creation_date").alias("last_day"))
+
+
+def _counted_sql(step: str, orders: str) -> str:
+    return (f"SELECT '{step}' AS step, 'customer once' AS check_name, CAST(coalesce(sum(n - 1) FILTER (n > 1), 0) AS BIGINT) AS affected_count, "
+            f"CAST(coalesce(sum(n), 0) AS BIGINT) AS total_count FROM (SELECT customer_id, count(*) AS n FROM ({orders}) GROUP BY 1) UNION ALL "
+            f"SELECT '{step}', 'order of item', count(*) FILTER (NOT EXISTS (SELECT 1 FROM ({orders}) o WHERE o.order_id = i.order_id)), "
+            f"count(*) FROM ({O.curated_items_sql()}) i")
+
+
+@register("counted_checks_after_each_batch", _sql(" UNION ALL ".join(_counted_sql(s, o) for s, o in (
+    ("first", INC_TGT_ORDERS), ("second", f"SELECT * EXCLUDE (_action) FROM ({INC_MERGED_ORDERS})"), ("undone", INC_TGT_ORDERS))), *ALL_RAW))
+def q_counted_checks(spark, d):
+    # uniqueness and orphans after a load, a merge and its undo, from counts that only the differences update
+    orders, items = _orders_b1(spark, d), new_run_dir(spark, "items-versions")
+    V.replace(C.curate_order_items(TT.raw_order_items(spark, d), B1), items, "b1")
+    counts = {n: new_run_dir(spark, f"counts-{n}") for n in ("customer", "order", "item")}
+    delta, out = _delta(spark, d, orders).checkpoint(), None
+    for step, act in (("first", lambda: None), ("second", lambda: _merge(spark, orders, delta, B2)),
+                      ("undone", lambda: V.undo(spark, orders, "b2", ["order_id"]))):
+        act()
+        K.refresh(spark, orders, counts["customer"], ["customer_id"])
+        K.refresh(spark, orders, counts["order"], ["order_id"])
+        K.refresh(spark, items, counts["item"], ["order_id"])
+        both = (K.check_unique(spark, counts["customer"], ["customer_id"]).withColumn("check_name", F.lit("customer once"))
+                .unionByName(K.check_foreign_key(spark, counts["item"], counts["order"], "order_id")
+                             .withColumn("check_name", F.lit("order of item"))))
+        both = both.select(F.lit(step).alias("step"), "check_name", "affected_count", "total_count")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
+@register("read_versions_as_one", _sql(
+    "SELECT order_id, order_item_id, CAST(price AS DOUBLE) AS price, note, v AS version FROM ("
+    "SELECT order_id, order_item_id, CAST(price AS INTEGER) AS price, CAST(NULL AS VARCHAR) AS note, 'b1' AS v FROM raw_order_items UNION ALL "
+    "SELECT order_id, order_item_id, CAST(price AS INTEGER), NULL, 'b2' FROM raw_order_items UNION ALL "
+    "SELECT order_id, order_item_id, price, 'with a note', 'b2' FROM raw_order_items WHERE price IS NOT NULL)", "raw_order_items"))
+def q_read_versions(spark, d):
+    # whole prices first; then rows with cents and a new column are appended, and no file is rewritten
+    root, items = new_run_dir(spark, "items-evolving"), TT.raw_order_items(spark, d)
+    whole = items.select("order_id", "order_item_id", F.bround("price").cast("int").alias("price"))
+    V.replace(whole, root, "b1")
+    V.append(items.filter("price IS NOT NULL").select("order_id", "order_item_id", F.col("price").cast("double").alias("price"),
+                                                      F.lit("with a note").alias("note")), root, "b2", evolve=True)
+    both = V.read_versions(spark, root, ["b1", "b2"])
+    return both.select("order_id", "order_item_id", "price", "note", F.col("_version").alias("version"))
+
+
+@register("schema_guard", O.with_raw(
+    f"SELECT 'table' AS kind, 'sellers' AS name, 'SUCCESS' AS state, 'b2' AS detail, count(*) AS rows FROM ({O.curated_sellers_sql()}) UNION ALL "
+    f"SELECT 'table', 'products', 'FAILED', 'b1', count(*) FROM ({O.curated_products_sql()}) UNION ALL "
+    "SELECT 'change', 'sellers.rating', 'WARNING', 'added', count(*) FROM raw_sellers UNION ALL "
+    "SELECT 'change', 'products.product_weight_g', 'BREAKING', 'dropped', count(*) FROM raw_products",
+    "raw_sellers", "raw_products", "raw_category_translation"))
+def q_schema_guard(spark, d):
+    # the second batch brings a new column for sellers and lacks one of products
+    root, raw = new_run_dir(spark, "lake"), _raw_tables(spark, d, 2)
+    schemas, tables = f"{root}/ops/schema_versions", ["sellers", "products"]
+    L.full_load(spark, raw, f"{root}/curated", B1, tables=tables, schemas=schemas)
+    frames = dict(raw.frames, sellers=raw["sellers"].withColumn("rating", F.lit(None).cast("double")),
+                  products=raw["products"].drop("product_weight_g"))
+    log = L.incremental_load(spark, L.RawTables(frames), f"{root}/curated", B2_LOAD, tables=tables, schemas=schemas)
+    out = spark.read.parquet(f"{schemas}_changes").select(
+        F.lit("change").alias("kind"), F.concat_ws(".", "table_name", "column_name").alias("name"), F.col("severity").alias("state"),
+        F.col("change").alias("detail"), F.when(F.col("table_name") == "sellers", raw["sellers"].count())
+        .otherwise(raw["products"].count()).cast("bigint").alias("rows"))
+    for t in tables:
+        now = SK.read_current(spark, f"{root}/curated/{t}").agg(F.count(F.lit(1)).alias("rows"))
+        state = log.filter(F.col("table_name") == t).first()["status"]
+        out = out.unionByName(now.select(F.lit("table").alias("kind"), F.lit(t).alias("name"), F.lit(state).alias("state"),
+                                         F.lit(SK.current_version(spark, f"{root}/curated/{t}")).alias("detail"), "rows"))
+    return out
