@@ -45,9 +45,11 @@ from .pieces import split_pieces, vocabulary_path
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of text that share one table of pieces and one request for counts.
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 6 << 20
+#: Distinct pieces that are cut into groups in one numpy pass.
+PIECES = 20_000
 #: Links that one numpy pass expands.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 #: A space that is not between two other characters.
 _BESIDE_SPACE = re.compile(r" \s|\s |^\s|\s\Z")
 
@@ -73,9 +75,7 @@ class TokensA:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, pieces: list[str]):
-        for at in range(0, len(pieces), 20_000):
-            spaced = [" " + p for p in pieces[at:at + 20_000]]
-            yield from (e.ids for e in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False))
+        return (e.ids for e in self.tokenizer.encode_batch_fast([" " + p for p in pieces], add_special_tokens=False))
 
 
 class TokensB:
@@ -93,8 +93,7 @@ class TokensB:
         self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, pieces: list[str]):
-        for at in range(0, len(pieces), 20_000):
-            yield from self.model.encode(pieces[at:at + 20_000], num_threads=1)
+        return self.model.encode(pieces, num_threads=1)
 
 
 def tokens(kind, path: str):
@@ -129,6 +128,12 @@ def coalesce(a_start, a_end, b_start, b_end) -> tuple[np.ndarray, np.ndarray]:
     return group[:len(a_start)], group[len(a_start):]
 
 
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The concatenated ranges starts[i]..ends[i]."""
+    n = ends - starts
+    return np.arange(int(n.sum())) + np.repeat(starts - (np.cumsum(n) - n), n)
+
+
 def summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, and the sum of the weights of each."""
     if not len(keys):
@@ -149,7 +154,27 @@ def blocks(sizes: np.ndarray, most: int):
 
 
 class Pieces:
-    """The groups and links of the distinct pieces of a chunk."""
+    """The groups and links of the distinct pieces of a chunk: what a document
+    needs of them, gathered block by block."""
+
+    def __init__(self, pieces: list[str], a: TokensA, b: TokensB):
+        kept = {"whole": bool, "n_a": np.int32, "n_b": np.int32, "n_groups": np.int32, "n_links": np.int64, "length": np.int64,
+                "group_start": np.int32, "pairs": np.int64, "times": np.int64, "n_pairs": np.int32}
+        out: dict[str, list] = {c: [np.empty(0, kind)] for c, kind in kept.items()}
+        self.strings: list[str] = []
+        for at in range(0, len(pieces), PIECES):
+            block = PieceBlock(pieces[at:at + PIECES], a, b)
+            for c, kind in kept.items():
+                out[c].append(getattr(block, c).astype(kind))
+            self.strings += block.strings
+        for c in kept:
+            setattr(self, c, np.concatenate(out.pop(c)))
+        self.group_ends = np.cumsum(self.n_groups, dtype=np.int64)
+        self.pair_ends = np.cumsum(self.n_pairs, dtype=np.int64)
+
+
+class PieceBlock:
+    """The groups and links of some distinct pieces, on one byte axis."""
 
     def __init__(self, pieces: list[str], a: TokensA, b: TokensB):
         self.n = len(pieces)
@@ -168,20 +193,19 @@ class Pieces:
         count = lambda piece, w=None: np.bincount(piece, weights=w, minlength=self.n).astype(np.int64)
         self.n_a, self.n_b, self.n_groups = count(a_piece), count(b_piece), count(of)
         self.group_start = a_start[first_a] - base[of] if groups else np.empty(0, np.int64)
-        self.group_ends = np.cumsum(self.n_groups)
         self.length = length
         self.n_links = np.zeros(self.n, np.int64)
         np.add.at(self.n_links, of, per_a * per_b)
         self.strings = self._strings(a_ids, a_group, b_ids, b_group, len(a.bytes), len(b.bytes))
-        self.pairs, self.times, self.pair_ends = self._links(a_ids, a_group, b_ids, b_group, of, len(b.bytes))
+        self.pairs, self.times, self.n_pairs = self._links(a_ids, a_group, b_ids, b_group, of, len(b.bytes))
 
     @staticmethod
     def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
-        flat, ends = [], []
+        flat, sizes = [], []
         for ids in lists:
             flat.extend(ids)
-            ends.append(len(flat))
-        return np.array(flat, np.int64), np.array(ends, np.int64)
+            sizes.append(len(ids))
+        return np.array(flat, np.int64), np.cumsum(np.array(sizes, np.int64))
 
     def _whole(self, raw, tokens, ids, ends) -> np.ndarray:
         starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
@@ -226,7 +250,7 @@ class Pieces:
         for lo, hi in blocks(per[ga], BLOCK):
             g = ga[lo:hi]
             n = per[g]
-            other = gather(np.arange(len(kb)), ends[g] - n, ends[g])
+            other = ranges(ends[g] - n, ends[g])
             pair = np.repeat(ka[lo:hi] % width, n) * size_b + kb[other] % width
             k, t = summed(np.repeat(of[g], n) * width + pair, np.repeat(ma[lo:hi], n) * mb[other])
             keys.append(k)
@@ -234,7 +258,7 @@ class Pieces:
         if not keys:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.zeros(self.n, np.int64)
         k, t = summed(np.concatenate(keys), np.concatenate(times)) if len(keys) > 1 else (keys[0], times[0])
-        return k % width, t, np.cumsum(np.bincount(k // width, minlength=self.n))
+        return k % width, t, np.bincount(k // width, minlength=self.n)
 
 
 class Chunk:
@@ -246,17 +270,14 @@ class Chunk:
         for batch in batches:
             for text in batch.column("text").to_pylist():
                 parts = cut(text) if text else []
-                self.docs.append(np.fromiter(map(numbers.__getitem__, parts), np.int64, len(parts)))
+                self.docs.append(np.fromiter(map(numbers.__getitem__, parts), np.int32, len(parts)))
         self.pieces = p = Pieces(list(numbers), a, b)
         # a text with a piece that does not come back byte by byte has no tokens
         self.docs = [d if p.whole[d].all() else d[:0] for d in self.docs]
         self.size = np.array([len(d) for d in self.docs], np.int64)
-        self.flat = np.concatenate(self.docs) if self.docs else np.empty(0, np.int64)
 
     def sums(self, of_piece: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(of_piece[self.flat])])
-        ends = np.cumsum(self.size)
-        return total[ends] - total[ends - self.size]
+        return np.array([of_piece[d].sum(dtype=np.int64) for d in self.docs], np.int64)
 
     def group_string(self, k: int) -> str:
         return "".join(map(self.pieces.strings.__getitem__, self.docs[k].tolist()))[:-1]
@@ -265,31 +286,26 @@ class Chunk:
         """Byte offsets in the space and the text at which groups start."""
         p, d = self.pieces, self.docs[k]
         at = np.cumsum(p.length[d]) - p.length[d]
-        return gather(p.group_start, p.group_ends[d] - p.n_groups[d], p.group_ends[d]) + np.repeat(at, p.n_groups[d])
+        n = p.n_groups[d].astype(np.int64)
+        return gather(p.group_start, p.group_ends[d] - n, p.group_ends[d]) + np.repeat(at, n)
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pairs and multiplicities of all documents, and where each
         document's end."""
-        p = self.pieces
-        width = np.int64(1) << 32
-        doc = np.repeat(np.arange(len(self.docs)), self.size)
-        at, times = summed(doc * width + self.flat, np.ones(len(self.flat), np.int64))
-        doc, piece = at // width, at % width
-        count = np.diff(p.pair_ends, prepend=0)[piece]
-        out, sums, per_doc = [], [], np.zeros(len(self.docs), np.int64)
-        # a block ends with a document, so that each document's pairs meet in one
-        per = np.bincount(doc, weights=count, minlength=len(self.docs)).astype(np.int64)
-        last = np.searchsorted(doc, np.arange(len(self.docs)), "right")
-        for lo, hi in blocks(per, BLOCK):
-            s, e = (last[lo - 1] if lo else 0), last[hi - 1]
-            n, ends = count[s:e], p.pair_ends[piece[s:e]]
-            entry = gather(np.arange(len(p.pairs)), ends - n, ends)
-            k, t = summed(np.repeat(doc[s:e], n) * width + p.pairs[entry], np.repeat(times[s:e], n) * p.times[entry])
-            out.append((k % width))
+        p, width = self.pieces, np.int64(1) << 32
+        out, sums, n_pairs = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(len(self.docs), np.int64)
+        per = self.sums(p.n_pairs)
+        for lo, hi in blocks(per, BLOCK):          # a block ends with a document
+            doc = np.repeat(np.arange(lo, hi), self.size[lo:hi])
+            at, often = summed(doc * width + np.concatenate(self.docs[lo:hi]), np.ones(len(doc), np.int64))
+            doc, piece = at // width, at % width
+            n, ends = p.n_pairs[piece].astype(np.int64), p.pair_ends[piece]
+            entry = ranges(ends - n, ends)
+            k, t = summed(np.repeat(doc, n) * width + p.pairs[entry], np.repeat(often, n) * p.times[entry])
+            out.append(k % width)
             sums.append(t)
-            per_doc += np.bincount(k // width, minlength=len(self.docs))
-        none = np.empty(0, np.int64)
-        return np.concatenate([*out, none]), np.concatenate([*sums, none]), np.cumsum(per_doc)
+            n_pairs += np.bincount(k // width, minlength=len(self.docs))
+        return np.concatenate(out), np.concatenate(sums), np.cumsum(n_pairs)
 
 
 def chunks(batches, a_path: str, b_path: str):
@@ -340,14 +356,14 @@ def linked(docs: DataFrame, a_path: str | None = None, b_path: str | None = None
             sha = [hashlib.sha256(c.group_string(k).encode()).hexdigest() if len(d) else "" for k, d in enumerate(c.docs)]
             whole = pa.RecordBatch.from_arrays(
                 [*c.keys, pa.array(np.full(len(c.docs), (part << 24) + n)), *(pa.array(c.sums(x)) for x in (p.n_a, p.n_b, p.n_groups, p.n_links)),
-                 pa.array(sha, pa.string()), _list(pairs, ends, kind), _list(times, ends, np.int32)],
+                 pa.array(sha, pa.string()), _list(pairs, ends, kind), _list(times, ends, np.int64)],
                 names=[KEY_ID, KEY_HASH, "chunk", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"])
             for at in range(0, whole.num_rows, 500):
                 yield whole.slice(at, 500)
             n += 1
     counts = "n_a long, n_b long, n_groups long, n_links long"
     return docs.select(*doc_key(), "text").mapInArrow(
-        run, f"{KEY_ID} long, {KEY_HASH} long, chunk long, {counts}, groups_sha256 string, pairs array<{sql}>, times array<int>"), sizes[1]
+        run, f"{KEY_ID} long, {KEY_HASH} long, chunk long, {counts}, groups_sha256 string, pairs array<{sql}>, times array<long>"), sizes[1]
 
 
 def pair_counts(links: DataFrame, size_b: int) -> tuple[DataFrame, DataFrame]:
