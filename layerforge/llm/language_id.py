@@ -48,7 +48,9 @@ UNKNOWN = "und"
 #: Texts in one numpy pass.
 ROWS = 2000
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Word characters that are no letters: numbers such as U+00BD and U+2167.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha())
+_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
 
 
 def normal(text: str) -> str:

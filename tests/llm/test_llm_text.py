@@ -188,6 +188,16 @@ def test_phrases_equal_brute_force():
     assert model.phrases([language_id.normal(t) for t in texts]).tolist() == want
 
 
+def test_numbers_are_no_letters(spark):
+    import sys
+    import unicodedata
+    every = [c for c in map(chr, range(sys.maxunicode + 1)) if unicodedata.category(c) != "Cs"]
+    assert all((language_id.normal(c) == "") == (not any(x.isalpha() for x in c.lower())) for c in every)
+    docs = spark.createDataFrame(enumerate(["½ ²", "Ⅷ", "٣ 1/2 _", "Ⅷ das ½ ist"]), "doc_id long, text string")
+    rows = language_id.predict(docs, {"de": ["das ist"], "en": ["this"]}).collect()
+    assert [(r["lang_pred"], r["score"] > 0) for r in rows] == [("und", False)] * 3 + [("de", True)]
+
+
 def test_language_awkward_rows(awkward, no_rows):
     learn = awkward.select(*language_id.doc_key(), F.col("lang"), "text")
     samples = language_id.labelled_samples(learn)
@@ -196,7 +206,7 @@ def test_language_awkward_rows(awkward, no_rows):
     assert len(rows) == len(awkward_rows())
     for r in rows:
         assert 0 <= r["score"] <= 1
-    none = sum(not re.search(r"[^\W\d_]", t or "") for _, t, *_ in awkward_rows())
+    none = sum(not any(c.isalpha() for c in t or "") for _, t, *_ in awkward_rows())
     assert sum(r["lang_pred"] == "und" and r["score"] == 0 for r in rows) == none
     assert language_id.predict(no_rows, samples).collect() == [] and language_id.labelled_samples(learn.limit(0)) == {}
     assert {r["lang_pred"] for r in language_id.predict(awkward, {}).collect()} == {"und"}
