@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import ntz_lit
 from ..context import RunContext
-from ..sources.sinks import path_exists
+from ..sources.sinks import current_version, path_exists
 
 
 # ------------------------------------------------------------- X1 layout
@@ -239,9 +239,18 @@ def rows_for(df: DataFrame, tenant_col: str, tenant) -> DataFrame:
 
 # -------------------------------------------------------------- X8 expiry
 
-def expired(log: DataFrame, now, days: int = 90) -> DataFrame:
+def expired(log: DataFrame, now, days: int = 90, live: Sequence[str] = ()) -> DataFrame:
     """Batches whose run started more than ``days`` before ``now``: their
-    snapshots may be removed (deletion itself stays a manual step)."""
+    snapshots may be removed (deletion itself stays a manual step). ``live`` names
+    the versions that tables still read (``live_versions``): these are never
+    listed, however old. For tables with manifests, ``sources.versions.removable``
+    lists the files instead."""
     cutoff = ntz_lit(now) - F.make_interval(days=F.lit(days))
     return (log.groupBy("batch_id").agg(F.max("run_timestamp").alias("last_run"))
-               .filter(F.col("last_run") < cutoff))
+               .filter((F.col("last_run") < cutoff) & ~F.col("batch_id").isin(list(live))))
+
+
+def live_versions(spark: SparkSession, curated_root: str, tables: Sequence[str]) -> list[str]:
+    """The version that each table reads now, one name a table at most."""
+    names = {current_version(spark, f"{curated_root}/{t}") for t in tables}
+    return sorted(n for n in names if n is not None)

@@ -182,7 +182,8 @@ def _is_live(spark: SparkSession, curated_root: str, table: str, ctx: RunContext
 
 def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunContext,
               ops_root: str | None = None, tables=FULL_ORDER,
-              parallel: int = DEFAULT_PARALLEL, layout: dict | None = None, schemas: str | None = None) -> DataFrame:
+              parallel: int = DEFAULT_PARALLEL, layout: dict | None = None, schemas: str | None = None,
+              rejects: tuple[str, dict[str, Callable]] | None = None) -> DataFrame:
     """C7 + O1: build and write every curated table (they are independent,
     so up to ``parallel`` run at once); returns the run log in table order.
 
@@ -194,7 +195,9 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
     month_of_purchase, ["customer_id"])}``: that table is written partitioned
     and sorted, and later incremental loads merge into its touched partitions
     only. ``schemas`` is a folder in which raw schemas are recorded and against
-    which they are checked."""
+    which they are checked. ``rejects`` is (rejects table, {table: function raw
+    frame -> rules}): raw rows that break a rule go there and not into the curated
+    table, in one pass over them (``dead_letters.split_write``)."""
     layout = layout or {}
     builders = curated_builders(raw, ctx)
     log = RunLog(spark, ops_root, ctx, "FULL")
@@ -207,6 +210,9 @@ def full_load(spark: SparkSession, raw: RawTables, curated_root: str, ctx: RunCo
         if _is_live(spark, curated_root, table, ctx):
             n_out = read_current(spark, f"{curated_root}/{table}").count()
         else:
+            if rejects and table in rejects[1]:
+                from .dead_letters import split_write
+                raw_df, _ = split_write(raw_df, table, rejects[1][table](raw_df), ctx, rejects[0])
             out, kw = _laid_out(build(raw_df), table, layout)
             out, out_obs = _count_obs(out, f"cur_{table}")
             _write_table(out, f"{curated_root}/{table}", ctx, **kw)

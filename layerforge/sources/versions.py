@@ -271,6 +271,30 @@ def append(df: DataFrame, root: str, version: str, at: datetime | None = None, e
                   recheck=lambda now, new: True)
 
 
+def compact(spark: SparkSession, root: str, small_bytes: int = 64 << 20, target_bytes: int = 256 << 20,
+            at: datetime | None = None) -> Commit:
+    """Rewrite files below ``small_bytes`` into files of about ``target_bytes``,
+    partition by partition; the rows stay what they are. Appends go on meanwhile:
+    the commit is tried again on top of them, and only a writer that rewrote one of
+    the same files is a ``Conflict``. A partition with a single small file is left
+    as it is."""
+    base = head(spark, root)
+    listed = files(spark, root, base).filter(F.col("bytes") < small_bytes)
+    many = listed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("part")
+    chosen = listed.join(many, "part", "left_semi").select(*listed.columns).checkpoint(eager=True)
+    total = chosen.agg(F.sum("bytes")).first()[0]
+    if not total:
+        return base
+    rows = scan(spark, root, base, chosen)
+    n = max(1, -(-total // target_bytes))
+    if base.partition_by:
+        attempt, added = write_files(rows, root, base.partition_by)      # rebalanced by partition
+    else:
+        attempt, added = write_files(rows.coalesce(n) if n < 64 else rows.repartition(n), root)
+    return commit(spark, root, f"compact {base.seq}", "compact", base.struct(), base.partition_by, base, added, chosen, attempt, at,
+                  recheck=lambda now, new: True)
+
+
 # ------------------------------------------------- differences and their undo
 
 def _only_in(spark: SparkSession, root: str, a: Commit, b: Commit, schema: T.StructType) -> DataFrame:

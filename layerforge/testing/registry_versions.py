@@ -15,6 +15,7 @@ from ..operators import key_counts as K
 from ..operators import upsert as U
 from ..plans import contracts as X
 from ..plans import curate as C
+from ..plans import dead_letters as D
 from ..plans import loads as L
 from ..sources import sinks as SK
 from ..sources import versions as V
@@ -257,3 +258,53 @@ def q_schema_guard(spark, d):
         out = out.unionByName(now.select(F.lit("table").alias("kind"), F.lit(t).alias("name"), F.lit(state).alias("state"),
                                          F.lit(SK.current_version(spark, f"{root}/curated/{t}")).alias("detail"), "rows"))
     return out
+
+
+@register("rejects_replayed_once", _sql(
+    "SELECT order_id, order_item_id, coalesce(price, 1.5) AS price, CASE WHEN price IS NULL THEN 'b2' ELSE 'b1' END AS entered "
+    "FROM raw_order_items WHERE freight_value <> 0 OR freight_value IS NULL UNION ALL "
+    "SELECT order_id, order_item_id, price, 'open' FROM raw_order_items WHERE freight_value = 0", "raw_order_items"))
+def q_rejects_replayed(spark, d):
+    # rejected in one pass of the first batch, corrected in the second, which is lost once and run again;
+    # a third finds nothing to take, and what cannot be corrected stays open
+    rejects, ledger = new_run_dir(spark, "rejects"), new_run_dir(spark, "ledger")
+    raw = TT.raw_order_items(spark, d).select("order_id", "order_item_id", "price", "freight_value")
+    rules = {"price_missing": F.col("price").isNull(), "freight_zero": F.col("freight_value") == 0}
+    good, _ = D.split_write(raw, "order_items", rules, B1, rejects)
+    fix = lambda rows: rows.withColumn("price", F.coalesce("price", F.lit(1.5).cast(raw.schema["price"].dataType)))
+    take = lambda ctx: D.claim(spark, rejects, ledger, "order_items", raw.schema, fix, rules, ctx)
+    take(B2)
+    out = good.withColumn("entered", F.lit("b1")).unionByName(take(B2).withColumn("entered", F.lit("b2")))
+    out = out.unionByName(take(B3).withColumn("entered", F.lit("b3")))
+    left = D.open_rejects(spark, rejects, ledger, "order_items").select(F.from_json("row", raw.schema).alias("r")).select("r.*")
+    return out.unionByName(left.withColumn("entered", F.lit("open"))).select("order_id", "order_item_id", "price", "entered")
+
+
+@register("load_with_rejects", _sql(
+    "SELECT 'order_items' AS name, count(*) AS rows FROM ("
+    + O.curated_items_sql(src="(SELECT * FROM raw_order_items WHERE price IS NOT NULL)") + ") UNION ALL "
+    "SELECT 'rejects', count(*) FROM raw_order_items WHERE price IS NULL", "raw_order_items"))
+def q_load_with_rejects(spark, d):
+    root = new_run_dir(spark, "lake")
+    L.full_load(spark, _raw_tables(spark, d, 1), f"{root}/curated", B1, tables=["order_items"],
+                rejects=(f"{root}/rejects", {"order_items": lambda r: {"price_missing": F.col("price").isNull()}}))
+    n = lambda df, name: df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("name"), "rows")
+    return n(SK.read_current(spark, f"{root}/curated/order_items"), "order_items").unionByName(n(V.read(spark, f"{root}/rejects"), "rejects"))
+
+
+_LOGGED = {"orders": "order_id", "customers": "customer_id", "order_items": "order_id", "order_payments": "order_id", "sellers": "seller_id"}
+
+
+@register("compacted_log", _sql(" UNION ALL ".join(
+    f"SELECT '{t}' AS name, count(*) AS rows, count(DISTINCT {k}) AS ids FROM raw_{t}" for t, k in _LOGGED.items()), *ALL_RAW))
+def q_compacted_log(spark, d):
+    # one append a table, a compaction after all but the last, and the same rows in fewer files
+    root, raw = new_run_dir(spark, "log"), _raw_tables(spark, d, 2)
+    frames = dict(raw.frames, orders=TT.raw_orders(spark, d), order_items=TT.raw_order_items(spark, d),
+                  order_payments=TT.raw_order_payments(spark, d))
+    for n, (t, k) in enumerate(_LOGGED.items()):
+        rows = frames[t].select(F.lit(t).alias("name"), F.col(k).cast("string").alias("id"))
+        if n == len(_LOGGED) - 1:
+            V.compact(spark, root)
+        V.append(rows, root, t) if n else V.replace(rows, root, t)
+    return V.read(spark, root).groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))

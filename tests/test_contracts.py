@@ -86,3 +86,18 @@ def test_schema_versions_halt_on_a_breaking_change(spark):
     assert X.record_schema(spark, v1, "u", run(3), path).count() == 0        # another table
     stored = spark.read.parquet(path)
     assert {(r["table_name"], r["batch_id"]) for r in stored.collect()} == {("t", "b1"), ("t", "b2"), ("u", "b3")}
+
+
+def test_a_live_version_never_expires(spark):
+    from datetime import datetime
+
+    from layerforge.context import new_run_dir
+    from layerforge.sources import sinks as SK
+    from layerforge.sources import versions as V
+    root = new_run_dir(spark, "lake")
+    SK.write_snapshot(spark.range(1), f"{root}/a", "old")
+    V.replace(spark.range(1), f"{root}/b", "older")
+    log = spark.createDataFrame([(b, datetime(2020, 1, 1)) for b in ("old", "older", "gone")], "batch_id string, run_timestamp timestamp_ntz")
+    live = X.live_versions(spark, root, ["a", "b", "never_written"])
+    assert live == ["old", "older"]
+    assert [r[0] for r in X.expired(log, "2024-05-02 00:00:00", 90, live).collect()] == ["gone"]

@@ -260,3 +260,29 @@ def test_carried_files_are_not_removable(spark):
     gone = V.removable(spark, root, datetime(2100, 1, 1)).collect()
     assert len(gone) == 2 and all("/m=3/" in r["path"] for r in gone)
     assert rows_of(V.read(spark, root))[0] is not None and V.read(spark, root).count() == 100
+
+
+def test_compaction_keeps_rows_while_appends_go_on(spark, monkeypatch):
+    root = new_run_dir(spark, "log")
+    V.replace(people(spark, 2), root, "b0")
+    for n in range(1, 12):
+        V.append(people(spark, 2), root, f"b{n}")
+    between(monkeypatch, lambda: V.append(people(spark, 3), root, "meanwhile"))
+    done = V.compact(spark, root)
+    assert done.operation == "compact" and V.read(spark, root).count() == 27
+    new = V.files(spark, root, done)
+    assert new.count() <= 1 + new.filter("rows = 3 OR rows < 3").count() and new.filter("rows = 24").count() == 1
+    again = V.compact(spark, root)
+    assert V.files(spark, root, again).count() == 1 and V.read(spark, root).count() == 27
+    assert V.compact(spark, root) == again                              # nothing left to do
+    assert V.read(spark, root, "b3").count() == 8                       # earlier versions read as before
+
+
+def test_compaction_against_a_merge_of_the_same_files_conflicts(spark, monkeypatch):
+    root = new_run_dir(spark, "log")
+    V.replace(people(spark, 4).repartition(3), root, "b1")
+    V.append(people(spark, 4).withColumn("k", F.col("k") + 10), root, "b2")
+    between(monkeypatch, lambda: upsert_files(spark, root, source(spark, (1, "z")).withColumn("m", F.lit(1).cast("long")), "k", "s", ["s"], B3))
+    with pytest.raises(V.Conflict):
+        V.compact(spark, root)
+    assert V.read(spark, root).filter("s = 'z'").count() == 1 and V.read(spark, root).count() == 8
