@@ -17,6 +17,7 @@ from ..plans import contracts as X
 from ..plans import curate as C
 from ..plans import dead_letters as D
 from ..plans import loads as L
+from ..plans import views as W
 from ..sources import sinks as SK
 from ..sources import versions as V
 from . import oracle as O
@@ -308,3 +309,32 @@ def q_compacted_log(spark, d):
             V.compact(spark, root)
         V.append(rows, root, t) if n else V.replace(rows, root, t)
     return V.read(spark, root).groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
+
+
+def _seen_sql(reader: str, clear: str, hidden: str, key: str) -> str:
+    return (f"SELECT '{reader}' AS reader, seller_id, seller_state, CASE WHEN {clear} THEN seller_city "
+            f"ELSE sha256('{key}:' || seller_city) END AS seller_city FROM raw_sellers WHERE {clear} OR {hidden}")
+
+
+@register("secured_view", _sql(_seen_sql("ana", "seller_state < 'j'", "seller_state < 'r'", "k1") + " UNION ALL "
+                               + _seen_sql("ben", "seller_state >= 'r'", "seller_state < 'j'", "k2"), "raw_sellers"))
+def q_secured_view(spark, d):
+    # two readers see some states clear and some masked, through one view
+    sellers = TT.raw_sellers(spark, d).select("seller_id", "seller_state", "seller_city")
+    sellers.createOrReplaceTempView("lf_sellers")
+    state = F.col("seller_state")
+    rights = [(s.select(F.lit(reader), "seller_state", F.lit(clear), F.lit(key)))
+              for reader, key, clear, s in (("ana", "k1", True, sellers.filter(state < "j")), ("ana", "k1", False, sellers.filter(state < "r")),
+                                            ("ben", "k2", True, sellers.filter(state >= "r")), ("ben", "k2", False, sellers.filter(state < "j")))]
+    both = rights[0].union(rights[1]).union(rights[2]).union(rights[3]).distinct().toDF("reader", "tenant", "clear", "mask_key")
+    both.createOrReplaceTempView("lf_entitlements")
+    spark.sql("DECLARE OR REPLACE VARIABLE lf_reader STRING")
+    W.create_view(spark, "lf_sellers_seen", "lf_sellers", "lf_entitlements", "seller_state", {"seller_city": "hash"}, "lf_reader", temporary=True)
+    out = None
+    for reader in ("ana", "ben"):
+        spark.sql(f"SET VARIABLE lf_reader = '{reader}'")
+        path = new_run_dir(spark, "seen")
+        spark.table("lf_sellers_seen").select("seller_id", "seller_state", "seller_city").write.parquet(path)
+        one = spark.read.parquet(path).select(F.lit(reader).alias("reader"), "seller_id", "seller_state", "seller_city")
+        out = one if out is None else out.unionByName(one)
+    return out
