@@ -48,14 +48,15 @@ UNKNOWN = "und"
 #: Texts in one numpy pass.
 ROWS = 2000
 
-#: Word characters that are no letters: numbers such as U+00BD and U+2167.
-_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha())
-_NOT_LETTERS = re.compile(rf"[\W\d_{_NUMBERS}]+")
+_NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
 def normal(text: str) -> str:
     """Lower case; each run of anything but letters is one space."""
-    return _NOT_LETTERS.sub(" ", text.lower()).strip()
+    text = _NOT_LETTERS.sub(" ", text.lower()).strip()
+    if text and not text.replace(" ", "").isalpha():       # numbers such as U+00BD and U+2167 are word characters, too
+        text = " ".join("".join(c if c.isalpha() else " " for c in text).split())
+    return text
 
 
 def suffix_automaton(codes: list[int], symbols: int) -> np.ndarray:
