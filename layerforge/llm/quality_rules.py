@@ -24,9 +24,13 @@ Defined results
 * null text: no words, all counts zero, base_failed, not kept.
 * null language or source: a group of its own, like any other value.
 * Documents that fail the base rules take no part in the estimates.
-* A group with fewer than ``min_group`` such documents is judged by the
-  estimates of its language, and if that is as small, by those of all
-  documents.  With none at all the base rules decide alone.
+* Every (language, source) has an estimate of its own at every size.  Its
+  centre and scatter are drawn towards those of its language, and those of the
+  language towards those of all documents, with a weight that depends smoothly
+  on the group's documents: n / (n + ``prior``) for its own, the rest for the
+  wider group's.  So a few documents can neither make a narrow estimate nor
+  vouch for each other, and no size switches from one estimate to another.
+* A document of a group in which all fail the base rules has no distance.
 * repeated rows count as often as they occur; ties in distance fall in the
   same bin, so they are in or out together.
 * Columns other than doc_id, text, lang and source are not read.
@@ -137,6 +141,9 @@ VECTOR = list(FLOORS)
 DIM = len(VECTOR)
 PAIRS = [(i, j) for i in range(DIM) for j in range(i, DIM)]
 BINS = 640
+#: Documents that the wider group's estimate counts for: some seven for each of
+#: the 14 numbers of a centre and a scatter.
+PRIOR_DOCS = 100
 
 
 def transformed() -> dict[str, Column]:
@@ -196,12 +203,15 @@ def distance(mean: str = "mean", inverse: str = "inverse") -> Column:
     return total
 
 
-ESTIMATE = "g string, n long, mean array<double>, inverse array<double>"
+ESTIMATE = "g string, n long, mean array<double>, scatter array<double>, inverse array<double>"
+
+
+def _inverse(scatter: np.ndarray) -> np.ndarray:
+    return np.linalg.inv(scatter + np.diag([f * f for f in FLOORS.values()]))
 
 
 def _estimate(g: str, n: int, mean: np.ndarray, scatter: np.ndarray) -> tuple:
-    inverse = np.linalg.inv(scatter + np.diag([f * f for f in FLOORS.values()]))
-    return g, n, mean.tolist(), inverse.reshape(-1).tolist()
+    return g, n, mean.tolist(), scatter.reshape(-1).tolist(), _inverse(scatter).reshape(-1).tolist()
 
 
 def start_estimates(rows: DataFrame) -> DataFrame:
@@ -228,10 +238,10 @@ def start_estimates(rows: DataFrame) -> DataFrame:
 
 
 def _estimates_batch(rows: list[tuple]) -> pa.RecordBatch:
-    g, n, mean, inverse = zip(*rows) if rows else ((), (), (), ())
+    g, n, *values = zip(*rows) if rows else ((), (), (), (), ())
     return pa.RecordBatch.from_arrays(
-        [pa.array(g, pa.string()), pa.array(n, pa.int64()), pa.array(mean, pa.list_(pa.float64())),
-         pa.array(inverse, pa.list_(pa.float64()))], names=["g", "n", "mean", "inverse"])
+        [pa.array(g, pa.string()), pa.array(n, pa.int64()), *[pa.array(v, pa.list_(pa.float64())) for v in values]],
+        names=["g", "n", "mean", "scatter", "inverse"])
 
 
 def concentrate(rows: DataFrame, estimates: DataFrame, support: float) -> DataFrame:
@@ -267,23 +277,38 @@ def estimates(vectors: DataFrame, support: float = 0.75, steps: int = 4) -> Data
     return found
 
 
+def drawn(found: DataFrame, wider: DataFrame, prior: int = PRIOR_DOCS) -> DataFrame:
+    """The estimates of every (language, source), drawn towards those of its
+    language and of all documents: g2, mean and inverse, one row a group.
+    ``wider`` has the keys g2 and g1 of each."""
+    def level(k):
+        return found.select(F.col("g").alias(f"g{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("n", "mean", "scatter")])
+    nested = wider.withColumn("g0", F.lit("0")).join(level(2), "g2").join(level(1), "g1").join(level(0), "g0")
+
+    def blend(batch):
+        n = {k: batch.column(f"n{k}").to_numpy() for k in (1, 2)}
+        mean, scatter = ({k: np.array(batch.column(f"{c}{k}").to_pylist()) for k in (0, 1, 2)} for c in ("mean", "scatter"))
+        m, v = mean[0], scatter[0]
+        for k in (1, 2):
+            w = (n[k] / (n[k] + prior))[:, None]
+            m, v = w * mean[k] + (1 - w) * m, w * scatter[k] + (1 - w) * v
+        inverse = [_inverse(x.reshape(DIM, DIM)).reshape(-1).tolist() for x in v]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("g2"), pa.array(m.tolist(), pa.list_(pa.float64())), pa.array(inverse, pa.list_(pa.float64()))],
+            names=["g2", "mean", "inverse"])
+    return arrow_map(nested, blend, "g2 string, mean array<double>, inverse array<double>")
+
+
 def verdicts(docs: DataFrame, support: float = 0.75, steps: int = 4, reject: float = 1e-5,
-             min_group: int = 200) -> DataFrame:
+             prior: int = PRIOR_DOCS) -> DataFrame:
     """Document key, counts, base_failed, squared distance (null if there is no
     estimate) and kept, one row a document.  ``reject`` is the share of clean
-    documents that the cut-off is laid out to reject."""
+    documents that the cut-off is laid out to reject, ``prior`` the documents
+    that the wider group's estimate counts for."""
     vectors = materialise(with_vector(base_counts(docs)), "quality")
-    found = estimates(vectors, support, steps)
-    out = vectors
-    for level in ("g2", "g1", "g0"):
-        least = min_group if level != "g0" else 1
-        out = out.join(found.filter(F.col("n") >= least)
-                            .select(F.col("g").alias(level), F.col("mean").alias(f"mean_{level}"),
-                                    F.col("inverse").alias(f"inverse_{level}")), level, "left")
+    found = drawn(estimates(vectors, support, steps), vectors.select("g2", "g1").distinct(), prior)
     cut = chi2_quantile(1 - reject, DIM)
-    out = out.withColumns({"mean": F.coalesce("mean_g2", "mean_g1", "mean_g0"),
-                           "inverse": F.coalesce("inverse_g2", "inverse_g1", "inverse_g0")})
-    return (out.withColumn("distance2", distance())
+    return (vectors.join(found, "g2", "left").withColumn("distance2", distance())
                .select(KEY_ID, KEY_HASH, F.col(KEY_ID).alias("doc_id"), "lang", "source", *COUNTS, "base_failed", "distance2",
                        (~F.col("base_failed") & F.coalesce(F.col("distance2") <= cut, F.lit(True))).alias("kept")))
 

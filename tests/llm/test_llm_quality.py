@@ -127,3 +127,82 @@ def test_moderate_repetition_is_rejected(spark):
     assert not any(r["base_failed"] for r in planted)
     assert [k for k in range(len(clean)) if not rows[k]["kept"]] == []
     assert [r["doc_id"] for r in planted if r["kept"]] == []
+
+
+def slow_estimate(x, support=0.75, steps=4):
+    """Centre and scatter of the densest share of ``x``, plainly."""
+    floors = np.diag([f * f for f in Q.FLOORS.values()])
+    bins = np.floor(128 * x)
+    at = np.ceil(np.array([0.25, 0.5, 0.75]) * len(x)).astype(int) - 1
+    quartiles = (np.sort(bins, axis=0)[at] + 0.5) / 128
+    mean, scatter = quartiles[1], np.diag(((quartiles[2] - quartiles[0]) / 1.349) ** 2)
+    for _ in range(steps):
+        dev = x - mean
+        d2 = np.einsum("ij,jk,ik->i", dev, np.linalg.inv(scatter + floors), dev)
+        b = np.clip(np.floor(16 * np.log2(d2 + 1e-9)) + 480, 0, Q.BINS - 1)
+        near = x[b <= np.sort(b)[int(np.ceil(support * len(x))) - 1]]
+        mean, scatter = near.mean(0), Q.consistency(support) * np.atleast_2d(np.cov(near.T, bias=True))
+    return mean, scatter
+
+
+def slow_kept(rows):
+    """doc_id -> (kept, squared distance) of (doc_id, text, lang, source)."""
+    floors = np.diag([f * f for f in Q.FLOORS.values()])
+    vectors = {}
+    for i, text, lang, source in rows:
+        n, chars, symbols, dup, repeat = slow_counts(text)
+        if n >= 50 and 100 * repeat <= 50 * n:
+            lines = len([x for x in text.split("\n") if re.search(WORD, x)])
+            vectors[i] = (lang, source), np.array([
+                np.log(max(chars, 1) / n), np.log1p(symbols / n / 0.02),
+                np.arcsin(np.sqrt(dup / (lines + Q.PRIOR_LINES))), np.arcsin(np.sqrt(repeat / (n + Q.PRIOR_WORDS)))])
+    member = lambda test: np.array([v for g, v in vectors.values() if test(g)])
+    found = {}
+    for g in {g for g, _ in vectors.values()}:
+        m, v = slow_estimate(member(lambda _: True))
+        for part in (member(lambda o: o[0] == g[0]), member(lambda o: o == g)):
+            w = len(part) / (len(part) + Q.PRIOR_DOCS)
+            mean, scatter = slow_estimate(part)
+            m, v = w * mean + (1 - w) * m, w * scatter + (1 - w) * v
+        found[g] = m, np.linalg.inv(v + floors)
+    out = {i: (False, None) for i, *_ in rows}
+    for i, (g, v) in vectors.items():
+        d2 = (v - found[g][0]) @ found[g][1] @ (v - found[g][0])
+        out[i] = bool(d2 <= Q.chi2_quantile(1 - 1e-5, Q.DIM)), d2
+    return out
+
+
+def test_verdict_against_brute_force(spark):
+    """Groups of 1, 20, 200 and 2,000 documents, null languages and sources."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for lang, source, n, mean in [("en", "a", 2000, 5), ("en", "b", 200, 6), ("en", "c", 20, 5), ("de", "a", 20, 8),
+                                  ("de", None, 1, 8), (None, "a", 40, 4), (None, None, 3, 4)]:
+        for k in range(n):
+            words = ["".join(rng.choice(list("abcdefghijkl#"), max(1, int(rng.normal(mean, 1.5))), p=[0.083] * 12 + [0.004]))
+                     for _ in range(int(rng.integers(40, 90)))]
+            if k % 9 == 4:
+                words[10:20] = ["$$%|"] * 10                                # symbols and repeats
+            rows.append((len(rows), " ".join(words), lang, source))
+    rows += [(len(rows), None, "fr", "x"), (len(rows) + 1, "", None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: (r["kept"], r["distance2"]) for r in Q.verdicts(df).collect() if not r["base_failed"]}
+    want = {i: x for i, x in slow_kept(rows).items() if x[1] is not None}
+    assert set(got) == set(want) and {k for k, _ in want.values()} == {True, False}
+    for i, (kept, d2) in want.items():
+        assert got[i][0] == kept and np.isclose(got[i][1], d2, rtol=1e-6)
+
+
+def test_group_size_moves_the_estimate_smoothly(spark):
+    """One more document moves a group's weight by little at any size, and a
+    small group of its own kind is drawn to its language, not ignored."""
+    schema = "g string, n long, mean array<double>, scatter array<double>, inverse array<double>"
+    eye = np.diag([0.04] * 4).reshape(-1).tolist()
+    rows = [("0", 10_000, [0.0] * 4, eye, eye), ('1{"lang":"en"}', 1_000_000_000, [1.0] * 4, eye, eye)]
+    sizes = [1, 20, 199, 200, 201, 2000]
+    rows += [(f'2{{"lang":"en","source":"{n}"}}', n, [2.0] * 4, eye, eye) for n in sizes]
+    wider = spark.createDataFrame([(g, rows[1][0]) for g, *_ in rows[2:]], "g2 string, g1 string")
+    found = {r["g2"]: r["mean"][0] for r in Q.drawn(spark.createDataFrame(rows, schema), wider).collect()}
+    centre = [found[f'2{{"lang":"en","source":"{n}"}}'] for n in sizes]
+    assert np.allclose(centre, [1 + n / (n + Q.PRIOR_DOCS) for n in sizes], atol=1e-6)
+    assert abs(centre[3] - centre[2]) < 0.002 and abs(centre[4] - centre[3]) < 0.002
