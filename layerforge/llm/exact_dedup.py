@@ -4,7 +4,16 @@ The index is a parquet table, bucketed and sorted by digest, one row for each
 text seen so far.  A batch of documents is hashed, reduced to one row a digest
 (partial aggregation runs before the shuffle, so a group of copies costs one
 row for each input partition), and sort-merge anti-joined with the index.  The
-index side of that join needs no shuffle and no sort.  What is new is appended.
+index side of that join needs no shuffle: a task reads its bucket's files and
+sorts them (each file is sorted, but a bucket has one from every batch).  What is
+new is appended.
+
+Retry
+-----
+Every index row names the batch that brought it.  A batch that is ingested again
+under its own name (after a crash between the append and the caller's own write)
+gets the decisions that it got the first time: its own rows do not count as
+known, and digests that it has appended already are not appended again.
 
 Decisions
 ---------
@@ -14,8 +23,11 @@ Decisions
   the smallest doc_id (null last).  Of rows that agree in both, exactly one
   stays; which of them makes no difference, as their texts are equal in every
   respect but white space.
-* A text whose digest is already in the index is dropped; its ``keep_id`` is
-  the one that the index holds.
+* A text whose digest another batch brought into the index is dropped; its
+  ``keep_id`` is the one that the index holds.
+* A batch without a name is one of its own, never a retry.  Other rows under a
+  name that was used are decided anew as if the first ones were that batch's
+  too: what these brought in stays in the index and is not known to them.
 * An empty batch gives no rows and leaves the index as it is.
 * Columns other than doc_id and text are not read and cannot clash.
 """
@@ -44,7 +56,7 @@ class DigestIndex:
     fits a task (50,000 at 100 TB).
     """
 
-    COLUMNS = ["digest", "keep_id"]
+    COLUMNS = ["digest", "keep_id", "batch"]
 
     def __init__(self, spark: SparkSession, table: str, buckets: int | None = None):
         self.spark, self.table = spark, table
@@ -65,11 +77,13 @@ class DigestIndex:
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.table}")
 
-    def ingest(self, docs: DataFrame) -> DataFrame:
+    def ingest(self, docs: DataFrame, batch: str | None = None) -> DataFrame:
         """Deduplicate one batch against itself and the index, append what is
         new, and return a decision for every row of the batch: the document
         key, doc_id, digest, keep_id, group_size (rows of this batch with the
-        digest), known (already in the index) and kept."""
+        digest), known (brought into the index by another batch) and kept.
+        Give ``batch`` the same name in a retry."""
+        batch = batch or uuid.uuid4().hex
         rows = materialise(
             docs.select(*doc_key(),
                         F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
@@ -86,8 +100,9 @@ class DigestIndex:
                               F.when(F.col("best.has_id"), F.negative("best.neg_id")).alias("batch_keep"),
                               F.negative("best.neg_row").alias("keep_row")))
         if not self.exists():
-            self.append(groups.select("digest", F.col("batch_keep").alias("keep_id")).limit(0))
-        index = self.read()
+            self.append(groups.select("digest", F.col("batch_keep").alias("keep_id"), F.lit(batch).alias("batch")).limit(0))
+        mine = F.col("batch") == batch
+        index = self.read().filter(~mine)
         new = materialise(groups.hint("merge").join(index.select("digest"), "digest", "left_anti"), "new")
         known = (groups.hint("merge")
                  .join(index.select("digest", F.col("keep_id").alias("index_keep")), "digest", "inner"))
@@ -97,7 +112,9 @@ class DigestIndex:
             .unionByName(known.select("digest", "group_size", F.col("index_keep").alias("keep_id"),
                                       F.lit(None).cast("long").alias("keep_row"), F.lit(True).alias("known"))),
             "decided")
-        self.append(new.select("digest", F.col("batch_keep").alias("keep_id")))
+        there = self.read().filter(mine).select("digest")
+        self.append(new.hint("merge").join(there, "digest", "left_anti")
+                       .select("digest", F.col("batch_keep").alias("keep_id"), F.lit(batch).alias("batch")))
         # both sides are plain shuffles, so AQE can split the rows of a hot digest
         return (rows.join(decided, "digest")
                     .select(KEY_ID, KEY_HASH, F.col(KEY_ID).alias("doc_id"), "digest", "keep_id", "group_size",
@@ -119,10 +136,10 @@ def once(docs: DataFrame) -> DataFrame:
         index.drop()
 
 
-def dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+def dedup(docs: DataFrame, index: DigestIndex | None = None, batch: str | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, columns unchanged.  Of rows that are
     the same in doc_id and text, one stays."""
-    decisions = index.ingest(docs) if index else once(docs)
+    decisions = index.ingest(docs, batch) if index else once(docs)
     kept = keep_rows(docs, decisions.filter("kept").dropDuplicates([KEY_ID, KEY_HASH]))
     keyed = kept.select(*doc_key(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_lf_row"))
     return keyed.dropDuplicates([KEY_ID, KEY_HASH]).select("_lf_row.*")

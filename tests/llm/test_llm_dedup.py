@@ -64,6 +64,30 @@ def test_index_keeps_what_came_first(spark):
         index.drop()
 
 
+def test_retried_batch_gets_the_same_decisions(spark):
+    """A batch that was registered but whose caller was lost is ingested again,
+    also when a later batch has come in between."""
+    index = E.fresh_index(spark)
+    docs = lambda *rows: spark.createDataFrame(list(rows), "doc_id long, text string")
+    told = lambda df: sorted((r["doc_id"], r["keep_id"], r["group_size"], r["known"], r["kept"]) for r in df.collect())
+    try:
+        index.ingest(docs((7, "old"), (8, None)), "b0")
+        b1 = docs((1, "a b"), (2, "ab"), (3, "c"), (4, "o l d"), (5, ""))
+        first = told(index.ingest(b1, "b1"))
+        assert first == [(1, 1, 2, False, True), (2, 1, 2, False, False), (3, 3, 1, False, True),
+                         (4, 7, 1, True, False), (5, 8, 1, True, False)]
+        assert told(index.ingest(b1, "b1")) == first
+        assert told(index.ingest(docs((9, "c"), (10, "new")), "b2")) == [(9, 3, 1, True, False), (10, 10, 1, False, True)]
+        assert told(index.ingest(b1, "b1")) == first
+        assert sorted(r["doc_id"] for r in E.dedup(b1, index, "b1").collect()) == [1, 3]
+        digests = [bytes(r["digest"]) for r in index.read().collect()]
+        assert len(digests) == len(set(digests)) == 5
+        assert told(index.ingest(b1)) == [(i, k, n, True, False) for i, k, n, *_ in first]      # no name: not a retry
+        assert told(index.ingest(b1.limit(0), "b1")) == [] and index.read().count() == 5
+    finally:
+        index.drop()
+
+
 def test_exact_plan_is_native(spark):
     plan = E.once(spark.read.parquet(f"{SF}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
