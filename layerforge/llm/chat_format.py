@@ -127,29 +127,39 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.select("conv_id", "part", "assistant", "n_turns", "n_own", "rendered", spans.alias("spans"))
 
 
+#: Participants are those of the whole conversation; each part begins with the
+#: system turns before it, one for each text.
 OP5_SQL = r"""
 WITH o AS (
-  SELECT conv_id, role, coalesce(replace(text, '<|', '< |'), '') || chr(10) || '<|end|>' || chr(10) AS body,
+  SELECT conv_id, role, text,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS ordinal
   FROM conversations
-), p AS (
-  SELECT *, ordinal // 128 AS part FROM o
-), v AS (
-  SELECT DISTINCT conv_id, part, role AS assistant FROM p WHERE role IS NOT NULL AND role <> 'system'
+), people AS (
+  SELECT DISTINCT conv_id, role AS assistant FROM o WHERE role IS NOT NULL AND role <> 'system'
+), parts AS (
+  SELECT DISTINCT conv_id, ordinal // 128 AS part FROM o
+), rules AS (
+  SELECT conv_id, role, text, min(ordinal) AS ordinal FROM o WHERE role = 'system' GROUP BY conv_id, role, text
+), held AS (
+  SELECT conv_id, ordinal // 128 AS part, role, text, ordinal, false AS again FROM o
+  UNION ALL
+  SELECT r.conv_id, p.part, r.role, r.text, r.ordinal, true
+  FROM rules r JOIN parts p ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND p.part > r.ordinal // 128
 ), s AS (
-  SELECT p.conv_id, p.part, v.assistant, p.ordinal, p.body,
-         coalesce(p.role = v.assistant, false) AS own,
-         CASE WHEN p.role IS NULL THEN '<|user|>'
-              WHEN p.role = 'system' THEN '<|system|>'
-              WHEN p.role = v.assistant THEN '<|assistant|>'
-              ELSE '<|user name=' || replace(p.role, '<|', '< |') || '|>' END || chr(10) AS head
-  FROM p JOIN v ON p.conv_id IS NOT DISTINCT FROM v.conv_id AND p.part = v.part
+  SELECT h.conv_id, h.part, v.assistant, h.ordinal, h.again,
+         coalesce(replace(h.text, '<|', '< |'), '') || chr(10) || '<|end|>' || chr(10) AS body,
+         coalesce(h.role = v.assistant, false) AS own,
+         CASE WHEN h.role IS NULL THEN '<|user|>'
+              WHEN h.role = 'system' THEN '<|system|>'
+              WHEN h.role = v.assistant THEN '<|assistant|>'
+              ELSE '<|user name=' || replace(h.role, '<|', '< |') || '|>' END || chr(10) AS head
+  FROM held h JOIN people v ON h.conv_id IS NOT DISTINCT FROM v.conv_id
 ), c AS (
   SELECT *, sum(length(head) + length(body)) OVER (PARTITION BY conv_id, part, assistant ORDER BY ordinal) AS stop FROM s
 )
-SELECT conv_id, part, assistant, count(*) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
+SELECT conv_id, part, assistant, count(*) FILTER (WHERE NOT again) AS n_turns, count(*) FILTER (WHERE own) AS n_own,
        string_agg(head || body, '' ORDER BY ordinal) AS rendered,
-       string_agg(CASE WHEN own THEN CAST(CAST(stop - length(body) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(stop AS BIGINT) AS VARCHAR) END,
-                  ';' ORDER BY ordinal) AS spans
+       coalesce(string_agg(CASE WHEN own THEN CAST(CAST(stop - length(body) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(stop AS BIGINT) AS VARCHAR) END,
+                           ';' ORDER BY ordinal), '') AS spans
 FROM c GROUP BY conv_id, part, assistant
 """

@@ -292,6 +292,10 @@ def test_chat_query_gives_everyone_the_whole_dialogue(spark, tmp_path):
     assert set(got) == set(want) and (1, 2, "ann") in got
     for k, w in want.items():
         assert (got[k]["rendered"], got[k]["spans"], got[k]["n_turns"], got[k]["n_own"]) == w
+    con = duckdb.connect()                                     # the SQL states the same beyond one part
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    stated = {(c, p, a): (text, spans, n, own) for c, p, a, n, own, text, spans in con.execute(chat_format.OP5_SQL).fetchall()}
+    assert stated == want
 
 
 # ---------------------------------------------------------------------- lm
