@@ -15,7 +15,7 @@ ORDER = ["quality rules", "exact dedup", "simhash near-dedup", "substring dedup"
 def test_registered():
     assert [n for n, _ in C.STAGES] == ORDER
     assert set(queries.QUERIES) | {"pipeline"} <= set(E.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLES) <= set(E.oracle_sql())
 
 
