@@ -280,10 +280,10 @@ def estimates(vectors: DataFrame, support: float = 0.75, steps: int = 4) -> Data
 def drawn(found: DataFrame, wider: DataFrame, prior: int = PRIOR_DOCS) -> DataFrame:
     """The estimates of every (language, source), drawn towards those of its
     language and of all documents: g2, mean and inverse, one row a group.
-    ``wider`` has the keys g2 and g1 of each."""
+    ``wider`` has the keys g2, g1 and g0 of each."""
     def level(k):
         return found.select(F.col("g").alias(f"g{k}"), *[F.col(c).alias(f"{c}{k}") for c in ("n", "mean", "scatter")])
-    nested = wider.withColumn("g0", F.lit("0")).join(level(2), "g2").join(level(1), "g1").join(level(0), "g0")
+    nested = wider.join(level(2), "g2").join(level(1), "g1").join(level(0), "g0")
 
     def blend(batch):
         n = {k: batch.column(f"n{k}").to_numpy() for k in (1, 2)}
@@ -306,7 +306,7 @@ def verdicts(docs: DataFrame, support: float = 0.75, steps: int = 4, reject: flo
     documents that the cut-off is laid out to reject, ``prior`` the documents
     that the wider group's estimate counts for."""
     vectors = materialise(with_vector(base_counts(docs)), "quality")
-    found = drawn(estimates(vectors, support, steps), vectors.select("g2", "g1").distinct(), prior)
+    found = drawn(estimates(vectors, support, steps), vectors.select("g2", "g1", "g0").distinct(), prior)
     cut = chi2_quantile(1 - reject, DIM)
     return (vectors.join(found, "g2", "left").withColumn("distance2", distance())
                .select(KEY_ID, KEY_HASH, F.col(KEY_ID).alias("doc_id"), "lang", "source", *COUNTS, "base_failed", "distance2",

@@ -201,8 +201,10 @@ def test_group_size_moves_the_estimate_smoothly(spark):
     rows = [("0", 10_000, [0.0] * 4, eye, eye), ('1{"lang":"en"}', 1_000_000_000, [1.0] * 4, eye, eye)]
     sizes = [1, 20, 199, 200, 201, 2000]
     rows += [(f'2{{"lang":"en","source":"{n}"}}', n, [2.0] * 4, eye, eye) for n in sizes]
-    wider = spark.createDataFrame([(g, rows[1][0]) for g, *_ in rows[2:]], "g2 string, g1 string")
-    found = {r["g2"]: r["mean"][0] for r in Q.drawn(spark.createDataFrame(rows, schema), wider).collect()}
+    wider = spark.createDataFrame([(g, rows[1][0], "0") for g, *_ in rows[2:]], "g2 string, g1 string, g0 string")
+    drawn = Q.drawn(spark.createDataFrame(rows, schema), wider)
+    assert not re.search("NestedLoop|Cartesian", drawn._jdf.queryExecution().executedPlan().toString())
+    found = {r["g2"]: r["mean"][0] for r in drawn.collect()}
     centre = [found[f'2{{"lang":"en","source":"{n}"}}'] for n in sizes]
     assert np.allclose(centre, [1 + n / (n + Q.PRIOR_DOCS) for n in sizes], atol=1e-6)
     assert abs(centre[3] - centre[2]) < 0.002 and abs(centre[4] - centre[3]) < 0.002
