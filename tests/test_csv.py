@@ -2,6 +2,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from layerforge.sources import csv as CSV
 from layerforge.sources import sinks as SK
@@ -76,3 +77,31 @@ def test_conversion_failures_count_as_bad_records(spark):
     m = CSV.load_raw_csv(spark, p, SCHEMA, root, "v2", max_bad=1, types={"a": "bigint", "b": "int"})
     assert m == {"rows": 2, "rejected": 1}                   # empty b is NULL, not a failure
     assert sorted(r["a"] for r in CSV.read_raw(spark, root).collect()) == ["1", "4"]
+
+
+def test_good_rows_are_written_by_the_tasks_that_parse_them(spark):
+    src, root = tempfile.mkdtemp(prefix="lf-csv-", dir="/tmp") + "/f.csv", tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
+    spark.range(4000).select(*[F.col("id").alias(c) for c in "abc"]).repartition(4).write.option("header", True).csv(src)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        assert CSV.load_raw_csv(spark, src, SCHEMA, root, "v1") == {"rows": 4000, "rejected": 0}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    back = CSV.read_raw(spark, root)
+    assert back.count() == 4000 and len(back.inputFiles()) > 1           # no shuffle gathered them
+
+
+def test_rejects_of_an_attempt_over_budget_do_not_stay(spark):
+    root = tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
+    with pytest.raises(CSV.BadRecordBudgetExceeded):
+        CSV.load_raw_csv(spark, write(b"a,b,c\n1,2,3\n1,2,3,4\n"), SCHEMA, root, "v1")
+    assert CSV.load_raw_csv(spark, write(b"a,b,c\n5,2,3\n"), SCHEMA, root, "v1") == {"rows": 1, "rejected": 0}
+    assert [r["a"] for r in spark.read.parquet(f"{root}/v=v1").collect()] == ["5"]
+
+
+def test_compressed_text_round_trip(spark):
+    src, root = tempfile.mkdtemp(prefix="lf-csv-", dir="/tmp") + "/f.csv", tempfile.mkdtemp(prefix="lf-raw-", dir="/tmp") + "/t"
+    rows = [("1", " x ", "a\nb"), ("2", None, 'q"q'), ("3", "y,z", "c")]
+    CSV.write_csv(spark.createDataFrame(rows, "a string, b string, c string"), src, compression="gzip", rows_a_file=1)
+    assert CSV.load_raw_csv(spark, src, SCHEMA, root, "v1", multiline=True) == {"rows": 3, "rejected": 0}
+    assert sorted(tuple(r) for r in CSV.read_raw(spark, root).collect()) == rows
