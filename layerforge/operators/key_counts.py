@@ -3,9 +3,9 @@
 Uniqueness and foreign keys are facts about whole tables, but a batch changes few
 keys. The counts are a versioned table of their own (the keys, ``cnt``, and a
 bucket by hash, its partition), whose version is named after the version of the
-table that it counts. To bring it up to date, the difference of the two versions
-is reduced to a net count by key (partial sums before the shuffle, so a key with a
-third of the changes is a row a task), the buckets that it touches are merged, and
+table that it counts. To bring it up to date, the keys of the files that only one of
+the two versions has are reduced to a net count by key (partial sums before the
+shuffle, so a key with a third of the changes is a row a task), the buckets that it touches are merged, and
 one commit exchanges their files. Neither the table's unchanged files nor the
 other buckets are read.
 
@@ -44,9 +44,7 @@ def refresh(spark: SparkSession, root: str, counts_root: str, keys: Sequence[str
         return known
     old = V.at_number(spark, root, int(known.version))
     work_root(spark)
-    sign = F.when(F.col("_change").isin("insert", "after"), 1).otherwise(-1)
-    net = (V.changes(spark, root, old, now, keys).groupBy(*keys).agg(F.sum(sign).alias("cnt")).filter("cnt <> 0"))
-    net = _bucketed(net, keys, buckets).checkpoint(eager=True)
+    net = _bucketed(V.key_changes(spark, root, old, now, keys), keys, buckets).checkpoint(eager=True)
     touched = net.select(V.part_key([BUCKET]).alias("part")).distinct()
     files = V.files(spark, counts_root, known)
     hit = files.join(touched, "part", "left_semi").select(*files.columns).checkpoint(eager=True)

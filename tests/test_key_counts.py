@@ -61,3 +61,16 @@ def test_only_the_difference_and_touched_buckets_are_read(spark):
     plan = diff._jdf.queryExecution().executedPlan().toString()
     assert "InMemoryFileIndex(16 paths)" not in plan and diff.count() == 2
     assert K.read(spark, counts).filter("k = 5").first()["cnt"] == 5
+
+
+def test_key_changes_are_the_changes_by_key_from_the_keys_alone(spark):
+    root = new_run_dir(spark, "key-changes")
+    old = V.replace(spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (None, "c"), (4, "d")], "k long, s string"), root, "b1")
+    new = V.replace(spark.createDataFrame([(1, "a"), (2, "z"), (None, "c"), (None, "e"), (5, "d")], "k long, s string"), root, "b2")
+    net = V.key_changes(spark, root, old, new, ["k"])
+    assert {(r["k"], r["cnt"]) for r in net.collect()} == {(1, -1), (None, 1), (4, -1), (5, 1)}
+    sign = F.when(F.col("_change").isin("insert", "after"), 1).otherwise(-1)
+    long_way = V.changes(spark, root, old, new, ["k"]).groupBy("k").agg(F.sum(sign).alias("cnt")).filter("cnt <> 0")
+    assert net.exceptAll(long_way).isEmpty() and long_way.exceptAll(net).isEmpty()
+    scans = [x for x in net._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x]
+    assert scans and not any("s#" in x.split("Batched")[0] for x in scans)
